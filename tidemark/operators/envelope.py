@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.barrier import computed_once
 from tidemark.functions.rules import PAYLOAD_RULES, Record, failing_details
 from tidemark.functions.text import key_or_unknown
 from tidemark.functions.times import lag_ms, utc_iso
@@ -78,12 +79,6 @@ def dlq_event_key(business_id: Column, listing_id: Column | None = None) -> Colu
     return key_or_unknown(business_id, *extra)
 
 
-def check_payload(df: DataFrame) -> DataFrame:
-    """Add ``failures`` of the payload rules."""
-    record = Record.of_payload(F.col("payload"))
-    return df.withColumn("failures", failing_details(record, PAYLOAD_RULES))
-
-
 def outcomes(normalized: DataFrame) -> DataFrame:
     """Label every normalised listing: ``reason`` is null for publishable ones.
 
@@ -97,7 +92,7 @@ def outcomes(normalized: DataFrame) -> DataFrame:
     reason = F.when(failed, F.lit(REASON_NORMALIZE)).when(
         F.size("failures") > 0, F.lit(REASON_PREPUBLISH)
     )
-    return normalized.withColumn("failures", failures).withColumn("reason", reason)
+    return computed_once(normalized, "failures", failures).withColumn("reason", reason)
 
 
 def prepublish_split(

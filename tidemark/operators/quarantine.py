@@ -65,10 +65,10 @@ def union_failures(broken: DataFrame, unparsed: DataFrame) -> DataFrame:
     return to_dlq(broken, REASON_RULES).unionByName(to_dlq(unparsed, REASON_PARSE))
 
 
-def replay_dlq(dlq: DataFrame) -> DataFrame:
-    """Decode and check quarantined text again under the current rules.
+def replay_dlq(dlq: DataFrame, rules: Sequence[Rule] = ENVELOPE_RULES) -> DataFrame:
+    """Decode and check quarantined text again under the rules of today.
 
     Rows that pass now have a null ``failure_reason`` and carry ``env``, ready for
     :func:`tidemark.operators.silver.latest_observations`.
     """
-    return classify(dlq.drop("failure_reason", "failure_codes"))
+    return classify(dlq.drop("failure_reason", "failure_codes"), rules)
