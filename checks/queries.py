@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import recipe
@@ -16,8 +16,8 @@ from tidemark.functions.times import lag_ms, to_utc, utc_instant, utc_wall_clock
 from tidemark.operators import gold, reports
 from tidemark.operators.decode import decode, split_parsed
 from tidemark.operators.envelope import (
+    EVENT_KEY,
     content_event_id,
-    event_key,
     outcomes,
     prepublish_split,
     stamp,
@@ -91,41 +91,48 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes(normalize(explode_listings(recipe.pages(spark, sf_dir))))
 
 
-def _joined(column: str, sep: str = "|") -> Column:
-    return F.array_join(column, sep).alias(column.rpartition(".")[2])
+def _joined(column: str) -> str:
+    return f"array_join({column}, '|') AS {column.rpartition('.')[2]}"
+
+
+def _wall(column: str) -> str:
+    return f"{utc_wall_clock(column)} AS {column}"
+
+
+def _listings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return split_normalized(normalize(explode_listings(recipe.pages(spark, sf_dir))))
 
 
 def _silver_view(df: DataFrame, *more: str) -> DataFrame:
     """Silver columns in types both engines compare alike."""
-    return df.select(
+    return df.selectExpr(
         "event_id", "business_id", "name", "rating", "review_count", _joined("categories"),
         "latitude", "longitude", "city", "country", "search_term", "search_location",
         "producer_id", "schema_version",
-        utc_wall_clock(F.col("observed_at")).alias("observed_at"),
-        utc_wall_clock(F.col("ingest_ts")).alias("ingest_ts"),
+        _wall("observed_at"), _wall("ingest_ts"),
         *more,
     )
 
 
 def _drift_view(df: DataFrame) -> DataFrame:
-    return df.select(
-        "day", "business_id", "name", "city", F.round("rating_avg", 6).alias("rating_avg"),
+    return df.selectExpr(
+        "day", "business_id", "name", "city", "round(rating_avg, 6) AS rating_avg",
         "rating_min", "rating_max", "review_count_max", "observations",
     )
 
 
 def _trends_view(df: DataFrame) -> DataFrame:
-    return df.select(
+    return df.selectExpr(
         "day", "category", "city", "total_observations", "distinct_businesses",
-        F.round("avg_rating", 6).alias("avg_rating"),
+        "round(avg_rating, 6) AS avg_rating",
     )
 
 
 def _dlq_view(df: DataFrame) -> DataFrame:
-    return df.select(
+    return df.selectExpr(
         "dlq_key", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_key",
         "failure_reason", _joined("failure_codes"), "raw_envelope",
-        utc_wall_clock(F.col("ingest_ts")).alias("ingest_ts"),
+        _wall("ingest_ts"),
     )
 
 
@@ -149,11 +156,11 @@ def _gold_tables(spark: SparkSession, label: str) -> tuple[ParquetTable, Parquet
 def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed, _ = split_parsed(decode(recipe.bronze(spark, sf_dir)))
     p = "env.payload"
-    return parsed.select(
+    return parsed.selectExpr(
         "kafka_offset", "env.event_id", f"{p}.business_id", f"{p}.name", f"{p}.rating",
         f"{p}.review_count", _joined(f"{p}.categories"), f"{p}.coordinates.latitude",
         f"{p}.coordinates.longitude", f"{p}.location.city",
-        utc_wall_clock(F.col("observed_at")).alias("observed_at"),
+        _wall("observed_at"),
     )
 
 
@@ -195,7 +202,7 @@ def valid_invalid_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def silver_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, _ = split_classified(_classified(spark, sf_dir))
-    return _silver_view(to_silver(valid, keep=[F.col("kafka_offset")]), "kafka_offset")
+    return _silver_view(to_silver(valid, keep=["kafka_offset"]), "kafka_offset")
 
 
 @query
@@ -250,9 +257,9 @@ def dlq_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarantined rows checked again after the rating scale rule is withdrawn."""
     rules = [r for r in ENVELOPE_RULES if r.code != "rating_out_of_range"]
     again = replay_dlq(_dlq(spark, sf_dir), rules)
-    return again.select(
+    return again.selectExpr(
         "kafka_offset",
-        F.coalesce("failure_reason", F.lit("valid")).alias("outcome"),
+        "coalesce(failure_reason, 'valid') AS outcome",
         _joined("failure_codes"),
     )
 
@@ -260,15 +267,13 @@ def dlq_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def document_content_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    key = content_key(*[F.col(c) for c in ("source", "lang", "text")])
-    return docs.select("doc_id", key.alias("content_key"))
+    return docs.selectExpr("doc_id", f"{content_key(['source', 'lang', 'text'])} AS content_key")
 
 
 @query
 def orders_latest_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    order = [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]
-    latest = dedup_latest(orders, ["o_custkey"], order)
+    latest = dedup_latest(orders, ["o_custkey"], ["o_orderdate DESC", "o_orderkey DESC"])
     return latest.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
 
 
@@ -420,7 +425,7 @@ def trending_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def latest_observations_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = reports.latest_silver(_silver(spark, sf_dir))
-    return latest.withColumn("observed_at", utc_wall_clock(F.col("observed_at")))
+    return latest.withColumn("observed_at", F.expr(utc_wall_clock("observed_at")))
 
 
 @query
@@ -432,7 +437,7 @@ def business_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def bronze_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     fresh = reports.bronze_freshness(recipe.bronze(spark, sf_dir))
-    return fresh.withColumn("latest_ingest_ts", utc_wall_clock(F.col("latest_ingest_ts")))
+    return fresh.withColumn("latest_ingest_ts", F.expr(utc_wall_clock("latest_ingest_ts")))
 
 
 @query
@@ -456,9 +461,7 @@ def listings_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def listing_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    usable, _ = split_normalized(
-        normalize(explode_listings(recipe.pages(spark, sf_dir)))
-    )
+    usable, _ = _listings(spark, sf_dir)
     p = "payload"
     return usable.select(
         "page_no", "position", f"{p}.business_id", f"{p}.name", f"{p}.rating",
@@ -471,60 +474,56 @@ def listing_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def category_alias_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    usable, _ = split_normalized(
-        normalize(explode_listings(recipe.pages(spark, sf_dir)))
-    )
-    return usable.select("page_no", "position", _joined("payload.categories"))
+    usable, _ = _listings(spark, sf_dir)
+    return usable.selectExpr("page_no", "position", _joined("payload.categories"))
 
 
 @query
 def coercion_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings that cannot be normalised, with the listing text."""
-    _, failed = split_normalized(
-        normalize(explode_listings(recipe.pages(spark, sf_dir)))
-    )
+    _, failed = _listings(spark, sf_dir)
     return failed.select("page_no", "position", "listing")
 
 
 @query
 def coercion_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event's value in one of ten JSON spellings, coerced three ways."""
-    whole = F.floor("value").cast("string")
+    whole = "cast(floor(value) AS string)"
     spellings = [
         whole,
-        F.concat(whole, F.lit(".0")),
-        F.concat(whole, F.lit(".5")),
-        F.concat(F.lit('"'), whole, F.lit('"')),
-        F.concat(F.lit('"'), whole, F.lit('.5"')),
-        F.concat(F.lit('"'), F.col("event_type"), F.lit('"')),
-        F.lit("true"),
-        F.lit("null"),
-        F.lit('"No"'),
-        F.concat(F.lit("["), whole, F.lit("]")),
+        f"concat({whole}, '.0')",
+        f"concat({whole}, '.5')",
+        f"""concat('"', {whole}, '"')""",
+        f"""concat('"', {whole}, '.5"')""",
+        """concat('"', event_type, '"')""",
+        "'true'",
+        "'null'",
+        """'"No"'""",
+        f"concat('[', {whole}, ']')",
     ]
-    text = F.element_at(F.array(*spellings), (F.col("event_id") % 10 + 1).cast("int"))
-    leaf = recipe.events(spark, sf_dir).select("event_id", F.parse_json(text).alias("v"))
-    v = F.col("v")
-    number, integer, flag = variants.to_double(v), variants.to_integer(v), variants.to_boolean(v)
-    return leaf.select(
+    text = f"element_at(array({', '.join(spellings)}), cast(event_id % 10 + 1 AS int))"
+    leaf = recipe.events(spark, sf_dir).selectExpr("event_id", f"parse_json({text}) AS v")
+    coerced = {
+        "double": variants.to_double("v"),
+        "int": variants.to_integer("v"),
+        "bool": variants.to_boolean("v"),
+    }
+    return leaf.selectExpr(
         "event_id",
-        number.value.alias("as_double"), number.bad.alias("bad_double"),
-        integer.value.alias("as_int"), integer.bad.alias("bad_int"),
-        flag.value.alias("as_bool"), flag.bad.alias("bad_bool"),
+        *[f"{c.value} AS as_{k}" for k, c in coerced.items()],
+        *[f"{c.bad} AS bad_{k}" for k, c in coerced.items()],
     )
 
 
 @query
 def envelope_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    usable, _ = split_normalized(
-        normalize(explode_listings(recipe.pages(spark, sf_dir)))
-    )
+    usable, _ = _listings(spark, sf_dir)
     stamped = stamp(
         usable,
         producer_id="p1",
         source="events",
-        now=F.col("fetched_at") + F.expr("interval 250 milliseconds"),
-        event_id=content_event_id(F.col("page_no"), F.col("position")),
+        now="fetched_at + interval 250 milliseconds",
+        event_id=content_event_id("page_no", "position"),
     )
     return stamped.select("page_no", "position", "envelope.*").drop("payload")
 
@@ -532,40 +531,40 @@ def envelope_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ingest_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clocks from one second behind the fetch to four seconds after it."""
-    fetched = utc_instant(F.col("ts"))
-    micros = (F.col("event_id") * 137_911) % 5_000_000 - 1_000_000
-    now = F.timestamp_micros(F.unix_micros(fetched) + micros)
-    return recipe.events(spark, sf_dir).select(
-        "event_id", lag_ms(now, fetched).alias("ingest_lag_ms")
+    fetched = utc_instant("ts")
+    micros = "((event_id * 137911L) % 5000000L - 1000000L)"
+    now = f"timestamp_micros(unix_micros({fetched}) + {micros})"
+    return recipe.events(spark, sf_dir).selectExpr(
+        "event_id", f"{lag_ms(now, fetched)} AS ingest_lag_ms"
     )
 
 
 @query
 def observed_at_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Naive, offset, Zulu, date-only and unusable texts of every event's time."""
-    ts = F.col("ts")
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     texts = [
-        F.date_format(ts, iso),
-        F.concat(F.date_format(ts + F.expr("interval 2 hours"), iso), F.lit("+02:00")),
-        F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit("Z")),
-        F.date_format(ts, "yyyy-MM-dd"),
-        F.date_format(ts, "HH:mm:ss"),
-        F.col("event_type"),
+        f'date_format(ts, "{iso}")',
+        f"""concat(date_format(ts + interval 2 hours, "{iso}"), '+02:00')""",
+        "concat(date_format(ts, 'yyyy-MM-dd HH:mm:ss'), 'Z')",
+        "date_format(ts, 'yyyy-MM-dd')",
+        "date_format(ts, 'HH:mm:ss')",
+        "event_type",
     ]
-    text = F.element_at(F.array(*texts), (F.col("event_id") % 6 + 1).cast("int"))
-    return recipe.events(spark, sf_dir).select(
-        "event_id", utc_wall_clock(to_utc(text)).alias("observed_at")
+    text = f"element_at(array({', '.join(texts)}), cast(event_id % 6 + 1 AS int))"
+    return (
+        recipe.events(spark, sf_dir)
+        .selectExpr("event_id", f"{text} AS observed_text")
+        .selectExpr("event_id", f"{to_utc('observed_text')} AS instant")
+        .selectExpr("event_id", f"{utc_wall_clock('instant')} AS observed_at")
     )
 
 
 @query
 def partition_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, invalid = prepublish_split(_labelled(spark, sf_dir), "p1", "events")
-    published = valid.select("page_no", "position", event_key().alias("key"))
-    return published.unionByName(
-        invalid.select("page_no", "position", F.col("dlq_key").alias("key"))
-    )
+    published = valid.selectExpr("page_no", "position", f"{EVENT_KEY} AS key")
+    return published.unionByName(invalid.selectExpr("page_no", "position", "dlq_key AS key"))
 
 
 @query

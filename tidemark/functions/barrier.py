@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+def computed_once(df: DataFrame, name: str, value: str) -> DataFrame:
     """Add a column that filters above it will not pull below it.
 
     Catalyst pushes a filter through a projection by copying the projection's
@@ -15,5 +14,6 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     crossed; exploding a one-element array keeps the row count and stops that.
     The value itself is computed by a projection, where it is code-generated.
     """
-    staged = df.withColumn("_staged", value)
-    return staged.select("*", F.explode(F.array("_staged")).alias(name)).drop("_staged")
+    columns = [f"`{c}`" for c in df.columns]
+    staged = df.selectExpr(*columns, f"{value} AS _staged")
+    return staged.selectExpr(*columns, f"explode(array(_staged)) AS {name}")

@@ -1,20 +1,16 @@
 """The validation rules: one table that serves both the publish and the silver side.
 
-A rule reads its fields through a :class:`Record`, so the same rules run on a
-decoded envelope, on a normalised payload, or on any frame with other names.
+A rule is SQL text over named fields. A :class:`Record` says where each field is
+found, so the same rules run on a decoded envelope, on a normalised payload, or on
+any frame with other names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
-from functools import reduce
-from operator import or_
+from collections.abc import Sequence
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from tidemark.functions.text import is_blank
+from tidemark.functions.text import is_blank, quoted
 from tidemark.schemas import FAILURES
 
 
@@ -22,34 +18,32 @@ from tidemark.schemas import FAILURES
 class Record:
     """Where a rule finds each field, and which fields held a wrongly typed value."""
 
-    business_id: Column
-    name: Column
-    rating: Column
-    review_count: Column
-    latitude: Column
-    longitude: Column
-    city: Column
-    categories: Column
-    event_id: Column | None = None
-    observed_at: Column | None = None
-    rating_mistyped: Column = field(default_factory=lambda: F.lit(False))
-    review_count_mistyped: Column = field(default_factory=lambda: F.lit(False))
+    business_id: str
+    name: str
+    rating: str
+    review_count: str
+    latitude: str
+    longitude: str
+    city: str
+    categories: str
+    event_id: str = "NULL"
+    observed_at: str = "NULL"
+    rating_mistyped: str = "false"
+    review_count_mistyped: str = "false"
     # Positions of category elements that were not JSON strings.
-    categories_mistyped: Column = field(
-        default_factory=lambda: F.array().cast("array<int>")
-    )
+    categories_mistyped: str = "cast(array() AS array<int>)"
 
     @classmethod
-    def of_payload(cls, payload: Column, **extra: Column) -> Record:
+    def of_payload(cls, payload: str, **extra: str) -> Record:
         return cls(
-            business_id=payload["business_id"],
-            name=payload["name"],
-            rating=payload["rating"],
-            review_count=payload["review_count"],
-            latitude=payload["coordinates"]["latitude"],
-            longitude=payload["coordinates"]["longitude"],
-            city=payload["location"]["city"],
-            categories=payload["categories"],
+            business_id=f"{payload}.business_id",
+            name=f"{payload}.name",
+            rating=f"{payload}.rating",
+            review_count=f"{payload}.review_count",
+            latitude=f"{payload}.coordinates.latitude",
+            longitude=f"{payload}.coordinates.longitude",
+            city=f"{payload}.location.city",
+            categories=f"{payload}.categories",
             **extra,
         )
 
@@ -60,154 +54,122 @@ class Rule:
 
     code: str
     field: str
-    fails: Callable[[Record], Column]
-    message: Callable[[Record], Column]
+    fails: str
+    message: str
     # Positions of the offending elements, for a rule about array elements.
-    positions: Callable[[Record], Column] | None = None
-
-
-def _says(text: str) -> Callable[[Record], Column]:
-    return lambda r: F.lit(text)
-
-
-def _off_scale(rating: Column) -> Column:
-    """Not one of 1.0, 1.5 .. 5.0 after rounding half up to one decimal."""
-    steps = F.round(rating, 1) * 2
-    return (
-        rating.isNotNull()
-        & ~(steps.between(2.0, 10.0) & (steps == F.floor(steps)))
-    )
-
-
-def _outside(value: Column, bound: float) -> Column:
-    # NaN sorts above every number, so it is outside too.
-    return value.isNotNull() & ((value < -bound) | (value > bound))
-
-
-def _bad_elements(r: Record) -> Column:
-    """Positions of elements that are null, blank or not a JSON string."""
-    marked = F.transform(
-        r.categories,
-        lambda c, i: F.when(is_blank(c) | F.array_contains(r.categories_mistyped, i), i),
-    )
-    return F.filter(marked, lambda i: i.isNotNull())
-
+    positions: str = ""
+
+    def bound(self, record: Record) -> Rule:
+        """The rule with its fields filled in."""
+        where = asdict(record)
+        return Rule(
+            self.code,
+            self.field,
+            f"({self.fails.format(**where)})",
+            self.message.format(**where),
+            self.positions.format(**where),
+        )
 
-def _has_bad_element(r: Record) -> Column:
-    # Joined text with an empty-looking line is the only way an element can be
-    # blank; the exact, slower look at each element runs for those rows only.
-    suspect = F.array_join(r.categories, "\n", "").rlike(r"(?U)(^|\n)\s*(\n|$)") | (
-        F.size(r.categories_mistyped) > 0
-    )
-    return F.coalesce(suspect & (F.size(_bad_elements(r)) > 0), F.lit(False))
 
+# Rounded half up to one decimal, then one of 1.0, 1.5 .. 5.0.
+_ON_SCALE = (
+    "round({rating}, 1) BETWEEN 1.0 AND 5.0 "
+    "AND round({rating}, 1) * 2 = floor(round({rating}, 1) * 2)"
+)
+# Null, blank or not a JSON string.
+_BAD_POSITIONS = (
+    "filter(transform({categories}, (c, i) -> CASE WHEN "
+    + is_blank("c")
+    + " OR array_contains({categories_mistyped}, i) THEN i END), i -> i IS NOT NULL)"
+)
+# An element can only be blank if the joined text has an empty-looking line; the
+# exact, slower look at each element runs for such rows only.
+_BAD_CATEGORY = (
+    "coalesce((array_join({categories}, '\\n', '') RLIKE r'(?U)(^|\\n)\\s*(\\n|$)' "
+    "OR size({categories_mistyped}) > 0) AND size(" + _BAD_POSITIONS + ") > 0, false)"
+)
 
 # Codes, fields and message texts are fixed values.
 PAYLOAD_RULES: tuple[Rule, ...] = (
-    Rule("missing_business_id", "business_id",
-         lambda r: is_blank(r.business_id),
-         _says("business_id must be a non-empty string")),
-    Rule("missing_name", "name",
-         lambda r: is_blank(r.name),
-         _says("name must be a non-empty string")),
-    Rule("missing_rating", "rating",
-         lambda r: r.rating.isNull() & ~r.rating_mistyped,
-         _says("rating is required")),
-    Rule("bad_rating_type", "rating",
-         lambda r: r.rating_mistyped,
-         _says("rating must be numeric")),
-    Rule("rating_out_of_range", "rating",
-         lambda r: _off_scale(r.rating),
-         lambda r: F.format_string(
-             "rating=%s outside 1.0..5.0 in 0.5 increments", r.rating.cast("string"))),
+    Rule("missing_business_id", "business_id", is_blank("{business_id}"),
+         "'business_id must be a non-empty string'"),
+    Rule("missing_name", "name", is_blank("{name}"),
+         "'name must be a non-empty string'"),
+    Rule("missing_rating", "rating", "{rating} IS NULL AND NOT {rating_mistyped}",
+         "'rating is required'"),
+    Rule("bad_rating_type", "rating", "{rating_mistyped}",
+         "'rating must be numeric'"),
+    Rule("rating_out_of_range", "rating", "{rating} IS NOT NULL AND NOT (" + _ON_SCALE + ")",
+         "concat('rating=', {rating}, ' outside 1.0..5.0 in 0.5 increments')"),
     Rule("missing_review_count", "review_count",
-         lambda r: r.review_count.isNull() & ~r.review_count_mistyped,
-         _says("review_count is required")),
-    Rule("bad_review_count_type", "review_count",
-         lambda r: r.review_count_mistyped,
-         _says("review_count must be an integer")),
+         "{review_count} IS NULL AND NOT {review_count_mistyped}",
+         "'review_count is required'"),
+    Rule("bad_review_count_type", "review_count", "{review_count_mistyped}",
+         "'review_count must be an integer'"),
     Rule("negative_review_count", "review_count",
-         lambda r: r.review_count.isNotNull() & (r.review_count < 0),
-         lambda r: F.format_string(
-             "review_count=%s is negative", r.review_count.cast("string"))),
-    Rule("missing_coordinates", "coordinates",
-         lambda r: r.latitude.isNull() | r.longitude.isNull(),
-         _says("coordinates.latitude and coordinates.longitude required")),
+         "{review_count} IS NOT NULL AND {review_count} < 0",
+         "concat('review_count=', {review_count}, ' is negative')"),
+    Rule("missing_coordinates", "coordinates", "{latitude} IS NULL OR {longitude} IS NULL",
+         "'coordinates.latitude and coordinates.longitude required'"),
+    # NaN sorts above every number, so it is out of range too.
     Rule("latitude_out_of_range", "coordinates.latitude",
-         lambda r: _outside(r.latitude, 90.0),
-         lambda r: F.format_string(
-             "latitude=%s not in [-90, 90]", r.latitude.cast("string"))),
+         "{latitude} IS NOT NULL AND NOT {latitude} BETWEEN -90 AND 90",
+         "concat('latitude=', {latitude}, ' not in [-90, 90]')"),
     Rule("longitude_out_of_range", "coordinates.longitude",
-         lambda r: _outside(r.longitude, 180.0),
-         lambda r: F.format_string(
-             "longitude=%s not in [-180, 180]", r.longitude.cast("string"))),
-    Rule("missing_city", "location.city",
-         lambda r: is_blank(r.city),
-         _says("location.city must be a non-empty string")),
+         "{longitude} IS NOT NULL AND NOT {longitude} BETWEEN -180 AND 180",
+         "concat('longitude=', {longitude}, ' not in [-180, 180]')"),
+    Rule("missing_city", "location.city", is_blank("{city}"),
+         "'location.city must be a non-empty string'"),
     Rule("missing_categories", "categories",
-         lambda r: r.categories.isNull() | (F.size(r.categories) == 0),
-         _says("categories must be a non-empty list")),
-    Rule("bad_category_value", "categories",
-         _has_bad_element,
-         _says("each category must be a non-empty string"),
-         positions=_bad_elements),
+         "{categories} IS NULL OR size({categories}) = 0",
+         "'categories must be a non-empty list'"),
+    Rule("bad_category_value", "categories", _BAD_CATEGORY,
+         "'each category must be a non-empty string'", positions=_BAD_POSITIONS),
 )
 
 # The upsert key and the day bucket must exist before anything else is looked at.
 ENVELOPE_RULES: tuple[Rule, ...] = (
-    Rule("missing_event_id", "event_id",
-         lambda r: is_blank(r.event_id),
-         _says("event_id must be a non-empty string")),
-    Rule("missing_observed_at", "observed_at",
-         lambda r: r.observed_at.isNull(),
-         _says("observed_at must be a timestamp")),
+    Rule("missing_event_id", "event_id", is_blank("{event_id}"),
+         "'event_id must be a non-empty string'"),
+    Rule("missing_observed_at", "observed_at", "{observed_at} IS NULL",
+         "'observed_at must be a timestamp'"),
     *PAYLOAD_RULES,
 )
 
 
-def failing_codes(record: Record, rules: Sequence[Rule]) -> Column:
+def failing_codes(record: Record, rules: Sequence[Rule]) -> str:
     """Codes of all rules a row breaks, in rule order; each code at most once."""
-    codes = F.array_compact(
-        F.array(*[F.when(rule.fails(record), F.lit(rule.code)) for rule in rules])
-    )
-    return F.when(_any_fails(record, rules), codes).otherwise(_no_codes())
-
+    bound = [rule.bound(record) for rule in rules]
+    entries = [f"CASE WHEN {r.fails} THEN {quoted(r.code)} END" for r in bound]
+    return _if_any(bound, f"array_compact(array({', '.join(entries)}))", "array<string>")
 
-def _no_codes() -> Column:
-    return F.array().cast("array<string>")
 
-
-def _any_fails(record: Record, rules: Sequence[Rule]) -> Column:
-    """Whether a row breaks any rule; valid rows pay for this test alone."""
-    return reduce(or_, [rule.fails(record) for rule in rules])
-
-
-def failing_details(record: Record, rules: Sequence[Rule]) -> Column:
+def failing_details(record: Record, rules: Sequence[Rule]) -> str:
     """``(code, field, message)`` per failure; element rules give one per element."""
+    bound = [rule.bound(record) for rule in rules]
+    entries = [f"CASE WHEN {r.fails} THEN {_entries(r)} END" for r in bound]
+    return _if_any(bound, f"flatten(array_compact(array({', '.join(entries)})))", FAILURES)
 
-    def entry(rule: Rule, field_name: Column) -> Column:
-        return F.struct(
-            F.lit(rule.code).alias("code"),
-            field_name.alias("field"),
-            rule.message(record).alias("message"),
+
+def _entries(rule: Rule) -> str:
+    def entry(field: str) -> str:
+        return (
+            f"named_struct('code', {quoted(rule.code)}, 'field', {field}, "
+            f"'message', {rule.message})"
         )
 
-    def entries(rule: Rule) -> Column:
-        if rule.positions is None:
-            found = F.array(entry(rule, F.lit(rule.field)))
-        else:
-            found = F.transform(
-                rule.positions(record),
-                lambda i: entry(rule, F.format_string(f"{rule.field}[%d]", i)),
-            )
-        return F.when(rule.fails(record), found)
+    if not rule.positions:
+        return f"array({entry(quoted(rule.field))})"
+    at = f"concat({quoted(rule.field + '[')}, i, ']')"
+    return f"transform({rule.positions}, i -> {entry(at)})"
+
 
-    found = F.flatten(F.array_compact(F.array(*[entries(rule) for rule in rules])))
-    return F.when(_any_fails(record, rules), found).otherwise(F.array().cast(FAILURES))
+def _if_any(bound: Sequence[Rule], found: str, kind: str) -> str:
+    """Valid rows pay for the bare tests alone."""
+    tests = " OR ".join(r.fails for r in bound)
+    return f"CASE WHEN {tests} THEN {found} ELSE cast(array() AS {kind}) END"
 
 
-def summarize(failures: Column) -> Column:
+def summarize(failures: str) -> str:
     """One line ``code:field,code:field``."""
-    return F.array_join(
-        F.transform(failures, lambda f: F.concat_ws(":", f["code"], f["field"])), ","
-    )
+    return f"array_join(transform({failures}, f -> concat_ws(':', f.code, f.field)), ',')"

@@ -2,32 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Sequence
 
 
-def is_blank(col: Column) -> Column:
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def is_blank(x: str) -> str:
     """Null, empty, or nothing but Unicode white space.
 
     The common case (a first character above the blank) is settled without a
     regular expression.
     """
-    return col.isNull() | (
-        ~(F.substring(col, 1, 1).between("!", "~")) & ~col.rlike(r"(?U)\S")
+    return (
+        f"({x} IS NULL OR (NOT substring({x}, 1, 1) BETWEEN '!' AND '~' "
+        rf"AND NOT {x} RLIKE r'(?U)\S'))"
     )
 
 
-def key_or_unknown(*candidates: Column) -> Column:
+def key_or_unknown(*candidates: str) -> str:
     """First non-empty candidate, else ``'unknown'``."""
-    return F.coalesce(*[F.nullif(c, F.lit("")) for c in candidates], F.lit("unknown"))
+    return f"coalesce({', '.join(f'''nullif({c}, '')''' for c in candidates)}, 'unknown')"
 
 
-def content_key(*parts: Column) -> Column:
+def content_key(parts: Sequence[str]) -> str:
     """SHA-256 over the parts joined by ``§``; a null part counts as ``''``.
 
     ``concat_ws`` alone would skip nulls and let ``(a, null)`` and ``(null, a)``
     share a key.
     """
-    return F.sha2(
-        F.concat_ws("§", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256
-    )
+    texts = ", ".join(f"coalesce(cast({p} AS string), '')" for p in parts)
+    return f"sha2(concat_ws('§', {texts}), 256)"

@@ -8,63 +8,66 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 _MICROS_PER_DAY = 86_400_000_000
+_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 _ZONED = r"(Z|[+-]\d{1,2}(:?\d{2})?(:\d{2})?|[A-Za-z]{2,}(/\w+)*)\s*$"
 _DATED = r"^\s*[+-]?\d{4,}-\d{1,2}(-\d{1,2})?"
 
 
-def to_utc(text: Column) -> Column:
+def to_utc(text: str) -> str:
     """ISO-8601 text to an instant: naive text is UTC, offsets are honoured.
 
     Null for anything that is not a dated timestamp.
     """
-    clock = F.regexp_replace(text, _DATED, "")
-    return (
-        F.when(text.endswith("+00:00"), F.try_to_timestamp(text))
-        .when(~text.rlike(_DATED), F.lit(None).cast("timestamp"))
-        .when(F.trim(clock) == "", F.try_to_timestamp(F.concat(F.trim(text), F.lit("T00:00:00Z"))))
-        .when(clock.rlike(_ZONED), F.try_to_timestamp(text))
-        .otherwise(F.try_to_timestamp(F.concat(F.rtrim(text), F.lit("Z"))))
-    )
+    clock = f"regexp_replace({text}, r'{_DATED}', '')"
+    return f"""CASE
+        WHEN endswith({text}, '+00:00') THEN try_to_timestamp({text})
+        WHEN NOT {text} RLIKE r'{_DATED}' THEN NULL
+        WHEN trim({clock}) = '' THEN try_to_timestamp(concat(trim({text}), 'T00:00:00Z'))
+        WHEN {clock} RLIKE r'{_ZONED}' THEN try_to_timestamp({text})
+        ELSE try_to_timestamp(concat(rtrim({text}), 'Z')) END"""
 
 
-def utc_day(instant: Column) -> Column:
+def utc_day(instant: str) -> str:
     """UTC calendar day of an instant."""
-    micros = F.unix_micros(instant)
-    midnight = micros - F.pmod(micros, F.lit(_MICROS_PER_DAY))
-    return F.date_from_unix_date((midnight / F.lit(_MICROS_PER_DAY)).cast("int"))
+    micros = f"unix_micros({instant})"
+    midnight = f"({micros} - pmod({micros}, {_MICROS_PER_DAY}L))"
+    return f"date_from_unix_date(cast({midnight} div {_MICROS_PER_DAY}L AS int))"
 
 
-def utc_wall_clock(instant: Column) -> Column:
+def utc_wall_clock(instant: str) -> str:
     """UTC wall clock of an instant as TIMESTAMP_NTZ."""
-    return F.timestamp_add(
-        "MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return (
+        f"timestampadd(MICROSECOND, unix_micros({instant}), "
+        "timestamp_ntz'1970-01-01 00:00:00')"
     )
 
 
-def utc_instant(wall_clock: Column) -> Column:
+def utc_instant(wall_clock: str) -> str:
     """Instant of a TIMESTAMP_NTZ (or naive text) read as UTC."""
-    return F.try_to_timestamp(F.concat(wall_clock.cast("string"), F.lit("Z")))
+    return f"try_to_timestamp(concat(cast({wall_clock} AS string), 'Z'))"
 
 
-def utc_iso(instant: Column) -> Column:
+def utc_iso(instant: str) -> str:
     """ISO-8601 text in UTC with microseconds and ``+00:00``."""
-    return F.concat(
-        F.date_format(utc_wall_clock(instant), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")
-    )
+    text = f"""date_format({utc_wall_clock(instant)}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")"""
+    return f"concat({text}, '+00:00')"
+
+
+def instant_literal(moment: dt.datetime) -> str:
+    """A zoned moment as a constant that folds and reaches the scan."""
+    if moment.tzinfo is None:
+        raise ValueError("the moment must carry a time zone")
+    micros = (moment - _EPOCH) // dt.timedelta(microseconds=1)
+    return f"timestamp_micros({micros}L)"
 
 
-def utc_midnight(day: dt.date) -> Column:
-    """Literal instant at 00:00 UTC of a day; folds to a constant for pushdown."""
-    epoch_days = (day - dt.date(1970, 1, 1)).days
-    return F.timestamp_micros(F.lit(epoch_days * _MICROS_PER_DAY))
+def utc_midnight(day: dt.date) -> str:
+    """The instant at 00:00 UTC of a day."""
+    return instant_literal(dt.datetime(day.year, day.month, day.day, tzinfo=dt.timezone.utc))
 
 
-def lag_ms(now: Column, fetched: Column) -> Column:
+def lag_ms(now: str, fetched: str) -> str:
     """Whole milliseconds from fetch to now, never negative."""
-    micros = F.unix_micros(now) - F.unix_micros(fetched)
-    bounded = F.least(F.floor(micros / F.lit(1000)), F.lit(2_147_483_647))
-    return F.greatest(F.lit(0), bounded).cast("int")
+    micros = f"(unix_micros({now}) - unix_micros({fetched}))"
+    return f"cast(greatest(0L, least({micros} div 1000L, 2147483647L)) AS int)"

@@ -8,99 +8,94 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 _NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _INTEGER_TEXT = r"^\s*[+-]?\d+(\.0*)?\s*$"
+_NUMBER_KINDS = "^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE)"
 # The words a boolean field accepts, in any letter case.
-_TRUE_WORDS = ("1", "on", "t", "true", "y", "yes")
-_FALSE_WORDS = ("0", "off", "f", "false", "n", "no")
-_INT_MIN, _INT_MAX = -2_147_483_648, 2_147_483_647
+_TRUE_WORDS = "'1', 'on', 't', 'true', 'y', 'yes'"
+_FALSE_WORDS = "'0', 'off', 'f', 'false', 'n', 'no'"
 
 
 class Coerced(NamedTuple):
-    value: Column
-    bad: Column
+    value: str
+    bad: str
 
 
-def kind(v: Column) -> Column:
-    """``VOID``, ``STRING``, ``BOOLEAN``, ``BIGINT``, ``DECIMAL(..)``, ``OBJECT<..>`` ..; SQL null when absent."""
-    return F.schema_of_variant(v)
+def kind(v: str) -> str:
+    """``VOID``, ``STRING``, ``BOOLEAN``, ``BIGINT``, ``OBJECT<..>`` ..; SQL null when absent."""
+    return f"schema_of_variant({v})"
 
 
-def is_absent(v: Column) -> Column:
+def is_absent(v: str) -> str:
     """Missing or JSON null."""
-    return v.isNull() | F.is_variant_null(v)
+    return f"({v} IS NULL OR is_variant_null({v}))"
 
 
-def is_number(v: Column) -> Column:
-    return kind(v).rlike("^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE)")
+def is_number(v: str) -> str:
+    return f"({kind(v)} RLIKE '{_NUMBER_KINDS}')"
 
 
-def _get(v: Column, as_type: str) -> Column:
-    return F.try_variant_get(v, "$", as_type)
+def is_text(v: str) -> str:
+    return f"({kind(v)} = 'STRING')"
 
 
-def _result(v: Column, value: Column) -> Coerced:
-    return Coerced(value, ~is_absent(v) & value.isNull())
+def is_flag(v: str) -> str:
+    return f"({kind(v)} = 'BOOLEAN')"
 
 
-def to_text(v: Column) -> Coerced:
-    """Only JSON strings are text."""
-    return _result(v, F.when(kind(v) == "STRING", _get(v, "string")))
+def get(v: str, as_type: str) -> str:
+    return f"try_variant_get({v}, '$', '{as_type}')"
 
 
-def to_double(v: Column) -> Coerced:
-    """Numbers, booleans (1/0) and strings that spell a number."""
-    text = _get(v, "string")
-    value = (
-        F.when(is_number(v), _get(v, "double"))
-        .when(kind(v) == "BOOLEAN", _get(v, "boolean").cast("double"))
-        .when((kind(v) == "STRING") & text.rlike(_NUMBER_TEXT), text.try_cast("double"))
-    )
-    return _result(v, value)
+def member(v: str, path: str) -> str:
+    """A member of a JSON object as VARIANT, null if missing or not an object."""
+    return f"try_variant_get({v}, '$.{path}', 'variant')"
 
 
-def to_integer(v: Column) -> Coerced:
-    """Integers, integral floats, booleans and strings of either; 32-bit range."""
-    text = _get(v, "string")
-    number = (
-        F.when(is_number(v), _get(v, "double"))
-        .when(kind(v) == "BOOLEAN", _get(v, "boolean").cast("double"))
-        .when((kind(v) == "STRING") & text.rlike(_INTEGER_TEXT), text.try_cast("double"))
-    )
-    fits = number.between(_INT_MIN, _INT_MAX) & (number == F.floor(number))
-    return _result(v, F.when(fits, number.try_cast("int")))
+def elements(v: str) -> str:
+    """The elements of a JSON array as ``array<variant>``, null if it is not one."""
+    return f"CASE WHEN startswith({kind(v)}, 'ARRAY') THEN {get(v, 'array<variant>')} END"
 
 
-def to_boolean(v: Column) -> Coerced:
-    """Booleans, the numbers 0 and 1, and the fixed words."""
-    number, word = _get(v, "double"), F.lower(_get(v, "string"))
-    value = (
-        F.when(kind(v) == "BOOLEAN", _get(v, "boolean"))
-        .when(is_number(v) & number.isin(0.0, 1.0), number == 1.0)
-        .when((kind(v) == "STRING") & word.isin(*_TRUE_WORDS), F.lit(True))
-        .when((kind(v) == "STRING") & word.isin(*_FALSE_WORDS), F.lit(False))
-    )
-    return _result(v, value)
+def is_empty(v: str) -> str:
+    """Absent or an empty value: ``""``, ``0``, ``false``, ``[]``, ``{}``."""
+    return f"""({is_absent(v)} OR ({is_flag(v)} AND NOT {get(v, 'boolean')})
+        OR ({is_number(v)} AND {get(v, 'double')} = 0)
+        OR coalesce({get(v, 'string')}, '?') IN ('', '[]', '{{}}'))"""
 
 
-def is_empty(v: Column) -> Column:
-    """Absent or an empty value: ``""``, ``0``, ``false``, ``[]``, ``{}``."""
-    return (
-        is_absent(v)
-        | ((kind(v) == "BOOLEAN") & ~F.coalesce(_get(v, "boolean"), F.lit(True)))
-        | (is_number(v) & (F.coalesce(_get(v, "double"), F.lit(1.0)) == 0.0))
-        | F.coalesce(_get(v, "string"), F.lit("?")).isin("", "[]", "{}")
-    )
+def _result(v: str, value: str) -> Coerced:
+    return Coerced(value, f"(NOT {is_absent(v)} AND ({value}) IS NULL)")
 
 
-def elements(v: Column) -> Column:
-    """The elements of a JSON array as ``array<variant>``, null if it is not one."""
-    return F.when(kind(v).startswith("ARRAY"), _get(v, "array<variant>"))
+def to_text(v: str) -> Coerced:
+    """Only JSON strings are text."""
+    return _result(v, f"CASE WHEN {is_text(v)} THEN {get(v, 'string')} END")
 
 
-def member(v: Column, name: str) -> Column:
-    """A member of a JSON object as VARIANT, null if missing or not an object."""
-    return F.try_variant_get(v, f"$.{name}", "variant")
+def _number(v: str, pattern: str) -> str:
+    text = get(v, "string")
+    return f"""CASE WHEN {is_number(v)} THEN {get(v, 'double')}
+        WHEN {is_flag(v)} THEN cast({get(v, 'boolean')} AS double)
+        WHEN {is_text(v)} AND {text} RLIKE r'{pattern}' THEN try_cast({text} AS double) END"""
+
+
+def to_double(v: str) -> Coerced:
+    """Numbers, booleans (1/0) and strings that spell a number."""
+    return _result(v, _number(v, _NUMBER_TEXT))
+
+
+def to_integer(v: str) -> Coerced:
+    """Integers, integral floats, booleans and strings of either; 32-bit range."""
+    number = f"({_number(v, _INTEGER_TEXT)})"
+    return _result(v, f"CASE WHEN {number} = floor({number}) THEN try_cast({number} AS int) END")
+
+
+def to_boolean(v: str) -> Coerced:
+    """Booleans, the numbers 0 and 1, and the fixed words."""
+    word = f"lower({get(v, 'string')})"
+    value = f"""CASE WHEN {is_flag(v)} THEN {get(v, 'boolean')}
+        WHEN {is_number(v)} AND {get(v, 'double')} IN (0, 1) THEN {get(v, 'double')} = 1
+        WHEN {is_text(v)} AND {word} IN ({_TRUE_WORDS}) THEN true
+        WHEN {is_text(v)} AND {word} IN ({_FALSE_WORDS}) THEN false END"""
+    return _result(v, value)

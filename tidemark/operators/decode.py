@@ -7,18 +7,34 @@ bare JSON literals are parsed a second time, to tell unparseable from mistyped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tidemark.functions import variants
 from tidemark.functions.barrier import computed_once
 from tidemark.functions.rules import Record
+from tidemark.functions.text import quoted
 from tidemark.functions.times import to_utc
 from tidemark.schemas import ENVELOPE
 
-_FLAG = "_flagged"
 # How a number, true/false, object or array element reads once turned to text.
 _LITERAL_TEXT = r"(?m)^(-?\d.*|true|false|\{.*|\[.*)$"
+_FLAGGED = "(env IS NULL OR env._flagged IS NOT NULL)"
+
+
+def _mistyped(field: str) -> str:
+    """A value is present in the text but not in the typed struct."""
+    leaf = variants.member("_doc", f"payload.{field}")
+    return (
+        f"(_doc IS NOT NULL AND env.payload.{field} IS NULL AND NOT {variants.is_absent(leaf)})"
+    )
+
+
+def _untyped_categories() -> str:
+    """Positions of category elements that are present but not JSON strings."""
+    elements = variants.elements(variants.member("_doc", "payload.categories"))
+    odd = f"NOT {variants.is_absent('e')} AND NOT {variants.is_text('e')}"
+    return f"""coalesce(filter(transform({elements}, (e, i) -> CASE WHEN {odd} THEN i END),
+        i -> i IS NOT NULL), cast(array() AS array<int>))"""
 
 
 def decode(df: DataFrame, column: str = "raw_envelope", schema: str = ENVELOPE) -> DataFrame:
@@ -27,67 +43,38 @@ def decode(df: DataFrame, column: str = "raw_envelope", schema: str = ENVELOPE)
     ``env_check`` says whether the text is a JSON object and which leaves held a
     value of the wrong type, so that mistyped is not reported as missing.
     """
-    parsed = computed_once(
-        df,
-        "env",
-        F.from_json(
-            F.col(column), f"{schema}, {_FLAG} string", {"columnNameOfCorruptRecord": _FLAG}
-        ),
+    parse = (
+        f"from_json({column}, {quoted(schema + ', _flagged string')}, "
+        "map('columnNameOfCorruptRecord', '_flagged'))"
     )
-    raw, env = F.col(column), F.col("env")
-    payload = env["payload"]
-    flagged = env.isNull() | env[_FLAG].isNotNull()
-    odd_categories = F.coalesce(
-        F.array_join(payload["categories"], "\n").rlike(_LITERAL_TEXT), F.lit(False)
+    odd_categories = (
+        f"coalesce(array_join(env.payload.categories, '\\n') RLIKE r'{_LITERAL_TEXT}', false)"
     )
     # Null on the fast path: the second parse runs for odd rows only.
-    parsed = parsed.withColumn(
-        "_doc", F.when(flagged | odd_categories, F.try_parse_json(raw))
-    )
-    doc = F.col("_doc")
-    is_object = raw.rlike(r"^\s*\{")
-
-    def mistyped(path: str, typed: Column) -> Column:
-        leaf = F.try_variant_get(doc, f"$.payload.{path}", "variant")
-        return doc.isNotNull() & typed.isNull() & ~variants.is_absent(leaf)
-
-    elements = variants.elements(F.try_variant_get(doc, "$.payload.categories", "variant"))
-    non_text = F.filter(
-        F.transform(
-            elements,
-            lambda e, i: F.when(
-                ~variants.is_absent(e) & (variants.kind(e) != "STRING"), i
-            ),
-        ),
-        lambda i: i.isNotNull(),
-    )
-    check = F.struct(
-        F.when(flagged, is_object & doc.isNotNull()).otherwise(F.lit(True)).alias("parsed"),
-        mistyped("rating", payload["rating"]).alias("rating"),
-        mistyped("review_count", payload["review_count"]).alias("review_count"),
-        F.coalesce(non_text, F.array().cast("array<int>")).alias("categories"),
-    )
-    return (
-        parsed.withColumn("env_check", check)
-        .withColumn("observed_at", to_utc(env["observed_at"]))
-        .drop("_doc")
-    )
+    reparse = f"CASE WHEN {_FLAGGED} OR {odd_categories} THEN try_parse_json({column}) END"
+    check = f"""named_struct(
+        'parsed', coalesce(NOT {_FLAGGED} OR ({column} RLIKE r'^\\s*\\{{'
+            AND _doc IS NOT NULL), false),
+        'rating', {_mistyped('rating')},
+        'review_count', {_mistyped('review_count')},
+        'categories', {_untyped_categories()})"""
+    parsed = computed_once(df, "env", parse).selectExpr("*", f"{reparse} AS _doc")
+    return parsed.selectExpr(
+        "*", f"{check} AS env_check", f"{to_utc('env.observed_at')} AS observed_at"
+    ).drop("_doc")
 
 
 def split_parsed(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows whose envelope is a JSON object, rows whose text is not)."""
-    parsed = F.coalesce(F.col("env_check.parsed"), F.lit(False))
-    return decoded.filter(parsed), decoded.filter(~parsed)
-
-
-def decoded_record() -> Record:
-    """Rule fields of a frame that went through :func:`decode`."""
-    check = F.col("env_check")
-    return Record.of_payload(
-        F.col("env.payload"),
-        event_id=F.col("env.event_id"),
-        observed_at=F.col("observed_at"),
-        rating_mistyped=check["rating"],
-        review_count_mistyped=check["review_count"],
-        categories_mistyped=check["categories"],
-    )
+    return decoded.filter("env_check.parsed"), decoded.filter("NOT env_check.parsed")
+
+
+# Rule fields of a frame that went through decode().
+DECODED = Record.of_payload(
+    "env.payload",
+    event_id="env.event_id",
+    observed_at="observed_at",
+    rating_mistyped="env_check.rating",
+    review_count_mistyped="env_check.review_count",
+    categories_mistyped="env_check.categories",
+)

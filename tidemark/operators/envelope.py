@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.barrier import computed_once
 from tidemark.functions.rules import PAYLOAD_RULES, Record, failing_details
-from tidemark.functions.text import key_or_unknown
+from tidemark.functions.text import key_or_unknown, quoted
 from tidemark.functions.times import lag_ms, utc_iso
 from tidemark.schemas import FAILURES, SCHEMA_VERSION
 
@@ -16,31 +16,28 @@ REASON_NORMALIZE = "normalize_failed"
 REASON_PREPUBLISH = "pre_publish_validation"
 SOURCE_ENDPOINT = "businesses/search"
 
+# A random UUID. Freeze it with a write before using the rows twice.
+RANDOM_EVENT_ID = "uuid()"
+# Partition key of a published event: all events of a business stay in order.
+EVENT_KEY = "payload.business_id"
+_WITH_NULLS = "map('ignoreNullFields', 'false')"
 
-def random_event_id() -> Column:
-    """A random UUID. Freeze it with a write before using the rows twice."""
-    return F.uuid()
 
-
-def content_event_id(*parts: Column) -> Column:
+def content_event_id(*parts: str) -> str:
     """An id in UUID form that is the same whenever the parts are."""
-    digest = F.sha2(
-        F.to_json(F.struct(*[p.cast("string").alias(f"p{i}") for i, p in enumerate(parts)])), 256
-    )
+    named = ", ".join(f"'p{i}', cast({p} AS string)" for i, p in enumerate(parts))
+    digest = f"sha2(to_json(named_struct({named})), 256)"
     bounds = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    return F.concat_ws("-", *[F.substring(digest, at, size) for at, size in bounds])
+    return (
+        f"concat_ws('-', {', '.join(f'substring({digest}, {a}, {n})' for a, n in bounds)})"
+    )
 
 
-def observation_id(source: str) -> Column:
+def observation_id(source: str) -> str:
     """Id of one listing in one fetched page: a re-run of the job repeats it."""
     return content_event_id(
-        F.lit(source),
-        F.col("payload.business_id"),
-        F.unix_micros("fetched_at"),
-        F.col("search_location"),
-        F.col("search_term"),
-        F.col("position"),
-        F.col("listing"),
+        quoted(source), "payload.business_id", "unix_micros(fetched_at)", "search_location",
+        "search_term", "position", "listing",
     )
 
 
@@ -48,35 +45,29 @@ def stamp(
     df: DataFrame,
     producer_id: str,
     source: str,
-    now: Column | None = None,
-    event_id: Column | None = None,
+    now: str = "current_timestamp()",
+    event_id: str = RANDOM_EVENT_ID,
     source_endpoint: str = SOURCE_ENDPOINT,
     fetched_at: str = "fetched_at",
 ) -> DataFrame:
     """Add ``envelope`` around ``payload``. Needs the fetch time."""
-    fetched = F.col(fetched_at)
-    envelope = F.struct(
-        (random_event_id() if event_id is None else event_id).alias("event_id"),
-        F.lit(producer_id).alias("producer_id"),
-        F.lit(source).alias("source"),
-        F.lit(source_endpoint).alias("source_endpoint"),
-        F.lit(SCHEMA_VERSION).alias("schema_version"),
-        utc_iso(fetched).alias("observed_at"),
-        lag_ms(F.current_timestamp() if now is None else now, fetched).alias("ingest_lag_ms"),
-        F.col("payload"),
+    return df.selectExpr(
+        "*",
+        f"""named_struct(
+            'event_id', {event_id},
+            'producer_id', {quoted(producer_id)},
+            'source', {quoted(source)},
+            'source_endpoint', {quoted(source_endpoint)},
+            'schema_version', {SCHEMA_VERSION},
+            'observed_at', {utc_iso(fetched_at)},
+            'ingest_lag_ms', {lag_ms(now, fetched_at)},
+            'payload', payload) AS envelope""",
     )
-    return df.withColumn("envelope", envelope)
-
-
-def event_key() -> Column:
-    """Partition key of a published event: all events of a business stay in order."""
-    return F.col("payload.business_id")
 
 
-def dlq_event_key(business_id: Column, listing_id: Column | None = None) -> Column:
-    """Key of a quarantined event."""
-    extra = [] if listing_id is None else [listing_id]
-    return key_or_unknown(business_id, *extra)
+def dlq_event_key(*candidates: str) -> str:
+    """Key of a quarantined event: the first id there is, else ``unknown``."""
+    return key_or_unknown(*candidates)
 
 
 def outcomes(normalized: DataFrame) -> DataFrame:
@@ -84,62 +75,57 @@ def outcomes(normalized: DataFrame) -> DataFrame:
 
     Narrow. ``failures`` is empty for listings that could not be normalised.
     """
-    failed = F.col("normalize_failed")
-    record = Record.of_payload(F.col("payload"))
-    failures = F.when(failed, F.array().cast(FAILURES)).otherwise(
-        failing_details(record, PAYLOAD_RULES)
+    details = failing_details(Record.of_payload("payload"), PAYLOAD_RULES)
+    failures = f"CASE WHEN normalize_failed THEN cast(array() AS {FAILURES}) ELSE {details} END"
+    return computed_once(normalized, "failures", failures).selectExpr(
+        "*",
+        f"""CASE WHEN normalize_failed THEN '{REASON_NORMALIZE}'
+            WHEN size(failures) > 0 THEN '{REASON_PREPUBLISH}' END AS reason""",
     )
-    reason = F.when(failed, F.lit(REASON_NORMALIZE)).when(
-        F.size("failures") > 0, F.lit(REASON_PREPUBLISH)
-    )
-    return computed_once(normalized, "failures", failures).withColumn("reason", reason)
 
 
 def prepublish_split(
-    labelled: DataFrame, producer_id: str, source: str, **stamp_args
+    labelled: DataFrame, producer_id: str, source: str, **stamp_args: str
 ) -> tuple[DataFrame, DataFrame]:
     """(stamped envelopes of publishable listings, quarantine records of the rest).
 
     A quarantine record carries the normalised payload, or the raw listing where
     there is none.
     """
-    valid = stamp(labelled.filter(F.col("reason").isNull()), producer_id, source, **stamp_args)
-    invalid = labelled.filter(F.col("reason").isNotNull())
+    valid = stamp(labelled.filter("reason IS NULL"), producer_id, source, **stamp_args)
+    raw = f"reason = '{REASON_NORMALIZE}'"
     # Built as text so that a raw body is embedded as it came.
-    head = F.to_json(
-        F.struct(
-            F.lit(producer_id).alias("producer_id"),
-            "reason",
-            "failures",
-            utc_iso(F.col("fetched_at")).alias("observed_at"),
-        )
+    head = f"""to_json(named_struct('producer_id', {quoted(producer_id)}, 'reason', reason,
+        'failures', failures, 'observed_at', {utc_iso('fetched_at')}))"""
+    body = f"CASE WHEN {raw} THEN listing ELSE to_json(payload, {_WITH_NULLS}) END"
+    raw_key = dlq_event_key(
+        "get_json_object(listing, '$.business_id')", "get_json_object(listing, '$.id')"
     )
-    raw = F.col("reason") == REASON_NORMALIZE
-    body = F.when(raw, F.col("listing")).otherwise(
-        F.to_json("payload", {"ignoreNullFields": "false"})
+    key = f"CASE WHEN {raw} THEN {raw_key} ELSE {dlq_event_key('payload.business_id')} END"
+    invalid = labelled.filter("reason IS NOT NULL").selectExpr(
+        "*",
+        f"{key} AS dlq_key",
+        f"""concat(substring({head}, 1, length({head}) - 1), ',"payload":', {body}, '}}')
+            AS dlq_record""",
     )
-    record = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"payload":'), body, F.lit("}"))
-    own_id = F.get_json_object("listing", "$.id")
-    key = F.when(
-        raw, dlq_event_key(F.get_json_object("listing", "$.business_id"), own_id)
-    ).otherwise(dlq_event_key(F.col("payload.business_id")))
-    return valid, invalid.withColumn("dlq_key", key).withColumn("dlq_record", record)
+    return valid, invalid
 
 
-def to_kafka_records(df: DataFrame, topic: str, key: Column, value: Column) -> DataFrame:
+def to_kafka_records(df: DataFrame, topic: str, key: str, value: str) -> DataFrame:
     """``(topic, key, value)`` rows for a Kafka write or a JSONL mirror."""
-    return df.select(F.lit(topic).alias("topic"), key.alias("key"), value.alias("value"))
+    return df.selectExpr(f"{quoted(topic)} AS topic", f"{key} AS key", f"{value} AS value")
 
 
 def envelope_records(stamped: DataFrame, topic: str) -> DataFrame:
     """Published envelopes as records keyed by business."""
-    value = F.to_json("envelope", {"ignoreNullFields": "false"})
-    return to_kafka_records(stamped, topic, F.col("envelope.payload.business_id"), value)
+    return to_kafka_records(
+        stamped, topic, f"envelope.{EVENT_KEY}", f"to_json(envelope, {_WITH_NULLS})"
+    )
 
 
 def dlq_records(invalid: DataFrame, topic: str) -> DataFrame:
     """Quarantine records keyed by business, listing id or ``unknown``."""
-    return to_kafka_records(invalid, topic, F.col("dlq_key"), F.col("dlq_record"))
+    return to_kafka_records(invalid, topic, "dlq_key", "dlq_record")
 
 
 def sweep_report(labelled: DataFrame, pages: DataFrame) -> DataFrame:
@@ -149,21 +135,17 @@ def sweep_report(labelled: DataFrame, pages: DataFrame) -> DataFrame:
     before they meet; the total row has null search columns.
     """
     search = ["search_location", "search_term"]
+    counts = ("pages_fetched", "businesses_seen", "accepted", "rejected")
     fetched = pages.groupBy(*search).agg(F.count(F.lit(1)).alias("pages_fetched"))
     seen = labelled.groupBy(*search).agg(
         F.count(F.lit(1)).alias("businesses_seen"),
-        F.count_if(F.col("reason").isNull()).alias("accepted"),
-        F.count_if(F.col("reason").isNotNull()).alias("rejected"),
+        F.expr("count_if(reason IS NULL)").alias("accepted"),
+        F.expr("count_if(reason IS NOT NULL)").alias("rejected"),
     )
-    counts = ("pages_fetched", "businesses_seen", "accepted", "rejected")
-    per_search = fetched.join(seen, search, "left").select(
-        *search, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in counts]
+    per_search = fetched.join(seen, search, "left").selectExpr(
+        *search, "search_location AS city", *[f"coalesce({c}, 0L) AS {c}" for c in counts]
     )
-    return (
-        per_search.withColumn("city", F.col("search_location"))
-        .groupingSets([[F.col(c) for c in search], []], *search)
-        .agg(
-            F.count_distinct("city").alias("cities_attempted"),
-            *[F.sum(c).alias(c) for c in counts],
-        )
+    return per_search.groupingSets([search, []], *search).agg(
+        F.count_distinct("city").alias("cities_attempted"),
+        *[F.sum(c).alias(c) for c in counts],
     )

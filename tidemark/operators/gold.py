@@ -39,7 +39,7 @@ def recompute_window(
     if "day" in silver.columns:
         bounded = silver.filter(F.col("day") >= F.lit(as_of))
     else:
-        bounded = with_day(silver.filter(F.col("observed_at") >= utc_midnight(as_of)))
+        bounded = with_day(silver.filter(f"observed_at >= {utc_midnight(as_of)}"))
     return bounded.filter(F.col("day") <= F.lit(today)) if cap_at_today else bounded
 
 

@@ -2,32 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tidemark.schemas import RAW_TOPIC_FILES
 
 
-def to_bronze_kafka(records: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
+def to_bronze_kafka(records: DataFrame, ingest_ts: str = "current_timestamp()") -> DataFrame:
     """Kafka records to bronze rows."""
-    return records.select(
-        (F.current_timestamp() if ingest_ts is None else ingest_ts).alias("ingest_ts"),
-        F.col("topic").alias("kafka_topic"),
-        F.col("partition").alias("kafka_partition"),
-        F.col("offset").alias("kafka_offset"),
-        F.col("key").cast("string").alias("kafka_key"),
-        F.col("value").cast("string").alias("raw_envelope"),
+    return records.selectExpr(
+        f"{ingest_ts} AS ingest_ts",
+        "topic AS kafka_topic",
+        "partition AS kafka_partition",
+        "offset AS kafka_offset",
+        "cast(key AS string) AS kafka_key",
+        "cast(value AS string) AS raw_envelope",
     )
 
 
-def to_bronze_files(lines: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
+def to_bronze_files(lines: DataFrame, ingest_ts: str = "current_timestamp()") -> DataFrame:
     """Lines of dropped files to bronze rows; files have no offsets to record."""
-    business = F.get_json_object("value", "$.payload.business_id")
-    return lines.select(
-        (F.current_timestamp() if ingest_ts is None else ingest_ts).alias("ingest_ts"),
-        F.lit(RAW_TOPIC_FILES).alias("kafka_topic"),
-        F.lit(0).alias("kafka_partition"),
-        F.lit(-1).cast("long").alias("kafka_offset"),
-        F.coalesce(business, F.lit("")).alias("kafka_key"),
-        F.col("value").alias("raw_envelope"),
+    return lines.selectExpr(
+        f"{ingest_ts} AS ingest_ts",
+        f"'{RAW_TOPIC_FILES}' AS kafka_topic",
+        "0 AS kafka_partition",
+        "-1L AS kafka_offset",
+        "coalesce(get_json_object(value, '$.payload.business_id'), '') AS kafka_key",
+        "value AS raw_envelope",
     )

@@ -2,84 +2,82 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tidemark.functions import variants
 from tidemark.functions.barrier import computed_once
+from tidemark.functions.text import quoted
 from tidemark.functions.variants import Coerced
 from tidemark.schemas import LISTING, PAYLOAD
 
-_TEXT_FIELDS = ("url", "image_url", "price", "phone")
-_LOCATION_FIELDS = ("address1", "city", "state", "country", "zip_code")
+_NO_TEXTS = "cast(array() AS array<string>)"
+_COORDINATES = ("latitude", "longitude")
+_LOCATION = ("address1", "city", "state", "country", "zip_code")
 
 
-def category_aliases(categories: Column) -> Coerced:
+def category_aliases(categories: str) -> Coerced:
     """Non-empty ``alias`` of each category object, in order.
 
     Bad if the value is not an array of objects, or an alias is not a string.
     """
+    alias = variants.member("c", "alias")
     items = variants.elements(categories)
-    aliases = F.transform(items, lambda c: variants.member(c, "alias"))
-    named = F.filter(aliases, lambda a: ~variants.is_empty(a))
-    odd = F.exists(items, lambda c: ~variants.kind(c).startswith("OBJECT")) | F.exists(
-        named, lambda a: variants.kind(a) != "STRING"
+    named = f"filter(transform({items}, c -> {alias}), a -> NOT {variants.is_empty('a')})"
+    odd = (
+        f"(exists({items}, c -> NOT startswith({variants.kind('c')}, 'OBJECT')) "
+        f"OR exists({named}, a -> NOT {variants.is_text('a')}))"
     )
-    value = F.transform(named, lambda a: variants.to_text(a).value)
-    return _array_or_empty(categories, items, value, odd)
+    return _list_of(categories, f"transform({named}, a -> {variants.get('a', 'string')})", odd)
 
 
-def _text_array(v: Column) -> Coerced:
+def text_list(v: str) -> Coerced:
+    """An array of JSON strings."""
     items = variants.elements(v)
-    odd = F.exists(items, lambda t: F.coalesce(variants.kind(t) != "STRING", F.lit(True)))
-    return _array_or_empty(v, items, F.transform(items, lambda t: variants.to_text(t).value), odd)
+    odd = f"exists({items}, t -> NOT coalesce({variants.is_text('t')}, false))"
+    return _list_of(v, f"transform({items}, t -> {variants.get('t', 'string')})", odd)
 
 
-def _array_or_empty(v: Column, items: Column, value: Column, odd: Column) -> Coerced:
+def _list_of(v: str, value: str, odd: str) -> Coerced:
+    """Empty values give an empty list; anything that is not an array is bad."""
     empty = variants.is_empty(v)
-    bad = ~empty & F.coalesce(odd, F.lit(True))
-    fallback = F.array().cast("array<string>")
-    return Coerced(F.when(empty | items.isNull(), fallback).otherwise(value), bad)
+    return Coerced(
+        f"CASE WHEN {empty} THEN {_NO_TEXTS} ELSE coalesce({value}, {_NO_TEXTS}) END",
+        f"(NOT {empty} AND coalesce({odd}, true))",
+    )
 
 
-def _not_an_object(v: Column) -> Column:
-    return ~variants.is_empty(v) & ~F.coalesce(
-        variants.kind(v).startswith("OBJECT"), F.lit(False)
+def _not_an_object(v: str) -> str:
+    return (
+        f"(NOT {variants.is_empty(v)} AND "
+        f"NOT coalesce(startswith({variants.kind(v)}, 'OBJECT'), false))"
     )
 
 
-def _fields(raw: Column) -> tuple[dict[str, Coerced], list[Column]]:
-    """Coerced leaves by payload path, and further reasons to reject a listing."""
-    coordinates, location = raw["coordinates"], raw["location"]
+def _leaves() -> dict[str, Coerced]:
+    """Coerced leaves by payload path."""
+    text, number = variants.to_text, variants.to_double
     leaves = {
-        "business_id": variants.to_text(raw["id"]),
-        "name": variants.to_text(raw["name"]),
-        "is_closed": variants.to_boolean(raw["is_closed"]),
-        "rating": variants.to_double(raw["rating"]),
-        "review_count": variants.to_integer(raw["review_count"]),
-        "categories": category_aliases(raw["categories"]),
-        "transactions": _text_array(raw["transactions"]),
-        **{f: variants.to_text(raw[f]) for f in _TEXT_FIELDS},
-        **{
-            f"coordinates.{f}": variants.to_double(variants.member(coordinates, f))
-            for f in ("latitude", "longitude")
-        },
-        **{
-            f"location.{f}": variants.to_text(variants.member(location, f))
-            for f in _LOCATION_FIELDS
-        },
+        "business_id": text("_raw.id"),
+        "name": text("_raw.name"),
+        "url": text("_raw.url"),
+        "image_url": text("_raw.image_url"),
+        "is_closed": variants.to_boolean("_raw.is_closed"),
+        "rating": number("_raw.rating"),
+        "review_count": variants.to_integer("_raw.review_count"),
+        "price": text("_raw.price"),
+        "phone": text("_raw.phone"),
+        "categories": category_aliases("_raw.categories"),
+        "transactions": text_list("_raw.transactions"),
     }
-    rejects = [
-        variants.is_absent(raw["id"]),
-        # A missing name is empty text; a JSON null is not a name.
-        raw["name"].isNotNull() & variants.is_absent(raw["name"]),
-        _not_an_object(coordinates),
-        _not_an_object(location),
-    ]
-    return leaves, rejects
+    for field in _COORDINATES:
+        leaves[f"coordinates.{field}"] = number(variants.member("_raw.coordinates", field))
+    for field in _LOCATION:
+        leaves[f"location.{field}"] = text(variants.member("_raw.location", field))
+    return leaves
+
+
+def _struct(**fields: str) -> str:
+    return f"named_struct({', '.join(f'{quoted(k)}, {v}' for k, v in fields.items())})"
 
 
 def normalize(listings: DataFrame, listing: str = "listing") -> DataFrame:
@@ -89,45 +87,44 @@ def normalize(listings: DataFrame, listing: str = "listing") -> DataFrame:
     nested objects become empty ones, loosely typed leaves are coerced. A listing
     that cannot be coerced is flagged; its ``payload`` is then not meaningful.
     """
-    parsed = computed_once(listings, "_raw", F.from_json(F.col(listing), LISTING))
-    raw = F.col("_raw")
-    leaves, rejects = _fields(raw)
-
-    def value(path: str) -> Column:
-        return leaves[path].value.alias(path.rpartition(".")[2])
-
-    payload = F.struct(
-        value("business_id"),
-        F.coalesce(leaves["name"].value, F.lit("")).alias("name"),
-        value("url"),
-        value("image_url"),
-        value("is_closed"),
-        value("rating"),
-        value("review_count"),
-        value("price"),
-        value("phone"),
-        value("categories"),
-        F.struct(value("coordinates.latitude"), value("coordinates.longitude")).alias(
-            "coordinates"
-        ),
-        F.struct(*[value(f"location.{f}") for f in _LOCATION_FIELDS]).alias("location"),
-        value("transactions"),
-        "search_term",
-        "search_location",
-    ).cast(PAYLOAD)
-    failed = reduce(or_, [*(c.bad for c in leaves.values()), *rejects])
-    outcome = F.struct(
-        payload.alias("payload"), F.coalesce(failed, F.lit(True)).alias("failed")
+    leaves = _leaves()
+
+    def nested(parent: str, names: tuple[str, ...]) -> str:
+        return _struct(**{n: leaves[f"{parent}.{n}"].value for n in names})
+
+    def plain(*names: str) -> dict[str, str]:
+        return {n: leaves[n].value for n in names}
+
+    payload = _struct(
+        **plain("business_id"),
+        name=f"coalesce({leaves['name'].value}, '')",
+        **plain("url", "image_url", "is_closed", "rating", "review_count", "price", "phone",
+                "categories"),
+        coordinates=nested("coordinates", _COORDINATES),
+        location=nested("location", _LOCATION),
+        **plain("transactions"),
+        search_term="search_term",
+        search_location="search_location",
+    )
+    rejects = [
+        variants.is_absent("_raw.id"),
+        # A missing name is empty text; a JSON null is not a name.
+        "(_raw.name IS NOT NULL AND is_variant_null(_raw.name))",
+        _not_an_object("_raw.coordinates"),
+        _not_an_object("_raw.location"),
+        *(leaf.bad for leaf in leaves.values()),
+    ]
+    outcome = _struct(
+        payload=f"cast({payload} AS {PAYLOAD})", failed=f"coalesce({' OR '.join(rejects)}, true)"
     )
+    parsed = computed_once(listings, "_raw", f"from_json({listing}, {quoted(LISTING)})")
     return (
         computed_once(parsed, "_outcome", outcome)
-        .withColumn("payload", F.col("_outcome.payload"))
-        .withColumn("normalize_failed", F.col("_outcome.failed"))
+        .selectExpr("*", "_outcome.payload AS payload", "_outcome.failed AS normalize_failed")
         .drop("_raw", "_outcome")
     )
 
 
 def split_normalized(normalized: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(listings with a usable payload, listings that could not be normalised)."""
-    failed = F.col("normalize_failed")
-    return normalized.filter(~failed), normalized.filter(failed)
+    return normalized.filter("NOT normalize_failed"), normalized.filter("normalize_failed")

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.functions.barrier import computed_once
 from tidemark.functions.rules import ENVELOPE_RULES, Rule, failing_codes
 from tidemark.functions.text import content_key
-from tidemark.operators.decode import decode, decoded_record
+from tidemark.operators.decode import DECODED, decode
 from tidemark.schemas import DLQ_COLUMNS
 
 # Reasons and the code of text that is not a JSON object.
@@ -18,6 +17,8 @@ REASON_RULES = "silver_validation"
 REASON_PARSE = "envelope_parse_failed"
 CODE_PARSE = "unparseable_envelope"
 
+_KEY_PARTS = ("kafka_topic", "kafka_partition", "kafka_offset", "raw_envelope")
+
 
 def classify(bronze: DataFrame, rules: Sequence[Rule] = ENVELOPE_RULES) -> DataFrame:
     """Decode bronze rows and label each with its failure codes and reason.
@@ -25,19 +26,16 @@ def classify(bronze: DataFrame, rules: Sequence[Rule] = ENVELOPE_RULES) -> DataF
     One narrow pass. ``failure_reason`` is null exactly for valid rows; nothing is
     dropped, so valid and quarantined rows add up to the input.
     """
-    decoded = decode(bronze)
-    parsed = F.coalesce(F.col("env_check.parsed"), F.lit(False))
-    codes = F.when(parsed, failing_codes(decoded_record(), rules)).otherwise(
-        F.array(F.lit(CODE_PARSE))
-    )
-    reason = F.when(~parsed, F.lit(REASON_PARSE)).when(
-        F.size("failure_codes") > 0, F.lit(REASON_RULES)
+    codes = (
+        f"CASE WHEN env_check.parsed THEN {failing_codes(DECODED, rules)} "
+        f"ELSE array('{CODE_PARSE}') END"
     )
-    return (
-        computed_once(decoded, "failure_codes", codes)
-        .withColumn("failure_reason", reason)
-        .drop("env_check")
+    reason = (
+        f"CASE WHEN NOT env_check.parsed THEN '{REASON_PARSE}' "
+        f"WHEN size(failure_codes) > 0 THEN '{REASON_RULES}' END AS failure_reason"
     )
+    labelled = computed_once(decode(bronze), "failure_codes", codes)
+    return labelled.selectExpr("*", reason).drop("env_check")
 
 
 def to_dlq(failing: DataFrame, reason: str | None = None) -> DataFrame:
@@ -45,23 +43,24 @@ def to_dlq(failing: DataFrame, reason: str | None = None) -> DataFrame:
 
     ``reason`` overrides the rows' own ``failure_reason``.
     """
-    key = content_key(
-        *[F.col(c) for c in ("kafka_topic", "kafka_partition", "kafka_offset", "raw_envelope")]
-    )
-    if reason is not None:
-        failing = failing.withColumn("failure_reason", F.lit(reason))
-    return failing.withColumn("dlq_key", key).select(*DLQ_COLUMNS)
+    own = {
+        "dlq_key": f"{content_key(_KEY_PARTS)} AS dlq_key",
+        "failure_reason": "failure_reason" if reason is None else f"'{reason}' AS failure_reason",
+    }
+    return failing.selectExpr(*[own.get(c, c) for c in DLQ_COLUMNS])
 
 
 def split_classified(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantine rows of both reasons)."""
-    valid = F.col("failure_reason").isNull()
-    return classified.filter(valid), to_dlq(classified.filter(~valid))
+    return (
+        classified.filter("failure_reason IS NULL"),
+        to_dlq(classified.filter("failure_reason IS NOT NULL")),
+    )
 
 
 def union_failures(broken: DataFrame, unparsed: DataFrame) -> DataFrame:
     """Rule failures and unparseable rows, split earlier, as one quarantine frame."""
-    unparsed = unparsed.withColumn("failure_codes", F.array(F.lit(CODE_PARSE)))
+    unparsed = unparsed.selectExpr("*", f"array('{CODE_PARSE}') AS failure_codes")
     return to_dlq(broken, REASON_RULES).unionByName(to_dlq(unparsed, REASON_PARSE))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import utc_day
@@ -26,39 +26,31 @@ _ELSEWHERE = {
 }
 
 
-def to_silver(decoded: DataFrame, keep: Sequence[Column] = ()) -> DataFrame:
+def to_silver(decoded: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Flatten decoded envelopes to the silver columns, in table order."""
-    flat = [
-        F.col(_ELSEWHERE.get(name, f"env.payload.{name}")).alias(name)
-        for name in SILVER_COLUMNS
-    ]
-    return decoded.select(*flat, *keep)
+    flat = [f"{_ELSEWHERE.get(c, f'env.payload.{c}')} AS {c}" for c in SILVER_COLUMNS]
+    return decoded.selectExpr(*flat, *keep)
 
 
-def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Keep the first row per key under ``order``.
+def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Keep the first row per key under ``order`` (SQL sort terms).
 
     One shuffle on the keys. The rank filter also runs before it, so a key that
     owns a large share of the rows sends one row per input partition.
     """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("_rank", F.row_number().over(window))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank")
+    rank = (
+        f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)})"
     )
+    return df.selectExpr("*", f"{rank} AS _rank").filter("_rank = 1").drop("_rank")
 
 
 def latest_observations(valid: DataFrame) -> DataFrame:
     """Silver rows of a batch: latest arrival, then highest offset, then content."""
-    rows = to_silver(
-        valid,
-        keep=[F.col("kafka_offset"), F.xxhash64("raw_envelope").alias("_content")],
-    )
-    order = [F.col(c).desc() for c in ("ingest_ts", "kafka_offset", "_content")]
+    rows = to_silver(valid, keep=["kafka_offset", "xxhash64(raw_envelope) AS _content"])
+    order = ["ingest_ts DESC", "kafka_offset DESC", "_content DESC"]
     return dedup_latest(rows, ["event_id"], order).select(*SILVER_COLUMNS)
 
 
 def with_day(df: DataFrame, instant: str = "observed_at") -> DataFrame:
     """Add the UTC observation day, whatever the session time zone is."""
-    return df.withColumn("day", utc_day(F.col(instant)))
+    return df.withColumn("day", F.expr(utc_day(instant)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from tidemark.operators.envelope import (
     dlq_records,
@@ -33,8 +33,8 @@ def ingest(
     source: str,
     raw_topic: str,
     dlq_topic: str,
-    now: Column | None = None,
-    event_id: Column | None = None,
+    now: str = "current_timestamp()",
+    event_id: str | None = None,
 ) -> Sweep:
     """Explode, normalise, validate and envelope a frame of fetched pages.
 

@@ -9,182 +9,109 @@ rows are kept.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.times import utc_instant
 
 TODAY = "2024-01-30"
 
+_OBSERVED_AT = """CASE WHEN event_id % 89 = 0 THEN 'garbage' ELSE
+    concat(date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), '+00:00') END"""
+_RATING = """CASE WHEN event_id % 53 = 0 THEN 9.9D WHEN event_id % 59 = 0 THEN NULL
+    WHEN event_id % 61 = 0 THEN 4.2D ELSE 1.0D + (event_id % 9) * 0.5D END"""
+_REVIEW_COUNT = "cast(CASE WHEN event_id % 67 = 0 THEN -1 ELSE floor(value) END AS int)"
+_CATEGORIES = """CASE WHEN event_id % 71 = 0 THEN cast(array() AS array<string>)
+    WHEN event_id % 2 = 0 THEN array(event_type)
+    ELSE array(event_type, concat('k', event_id % 5)) END"""
+_COORDINATES = """named_struct(
+    'latitude', CASE WHEN event_id % 79 = 0 THEN NULL WHEN event_id % 73 = 0 THEN 100.0D
+        ELSE cast(user_id % 181 - 90 AS double) END,
+    'longitude', CASE WHEN event_id % 79 <> 0
+        THEN cast((user_id * 7) % 361 - 180 AS double) END)"""
+_CITY = "CASE WHEN event_id % 83 = 0 THEN ' ' ELSE concat('City ', user_id % 10) END"
+_BUSINESS_ID = "concat('b', user_id)"
+_NAME = "concat('Business ', user_id, ' v', event_id % 3)"
+_AREA = "concat('Area ', user_id % 3)"
+
+_ENVELOPE = f"""named_struct(
+    'event_id', cast(event_id AS string), 'producer_id', 'recipe', 'source', 'events',
+    'source_endpoint', 'businesses/search', 'schema_version', 1,
+    'observed_at', {_OBSERVED_AT}, 'ingest_lag_ms', 0,
+    'payload', named_struct(
+        'business_id', {_BUSINESS_ID}, 'name', {_NAME}, 'rating', {_RATING},
+        'review_count', {_REVIEW_COUNT}, 'categories', {_CATEGORIES},
+        'coordinates', {_COORDINATES},
+        'location', named_struct('city', {_CITY}, 'country', 'US'),
+        'search_term', 'restaurants', 'search_location', {_AREA}))"""
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
-
-
-def _observed_at() -> Column:
-    iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
-    return F.when(_every(89), F.lit("garbage")).otherwise(iso)
-
-
-def _rating() -> Column:
-    return (
-        F.when(_every(53), F.lit(9.9))
-        .when(_every(59), F.lit(None))
-        .when(_every(61), F.lit(4.2))
-        .otherwise(F.lit(1.0) + (F.col("event_id") % 9) * F.lit(0.5))
-    )
-
-
-def _review_count() -> Column:
-    return F.when(_every(67), F.lit(-1)).otherwise(F.floor("value")).cast("int")
-
-
-def _categories() -> Column:
-    kind = F.col("event_type")
-    return (
-        F.when(_every(71), F.array().cast("array<string>"))
-        .when(_every(2), F.array(kind))
-        .otherwise(F.array(kind, F.concat(F.lit("k"), F.col("event_id") % 5)))
-    )
-
-
-def _coordinates() -> Column:
-    user = F.col("user_id")
-    latitude = F.when(_every(73), F.lit(100.0)).otherwise((user % 181 - 90).cast("double"))
-    longitude = ((user * 7) % 361 - 180).cast("double")
-    return F.struct(
-        F.when(~_every(79), latitude).alias("latitude"),
-        F.when(~_every(79), longitude).alias("longitude"),
-    )
-
-
-def _city() -> Column:
-    return F.when(_every(83), F.lit(" ")).otherwise(
-        F.concat(F.lit("City "), F.col("user_id") % 10)
-    )
-
-
-def _business_id() -> Column:
-    return F.concat(F.lit("b"), F.col("user_id"))
-
-
-def _name() -> Column:
-    return F.concat(
-        F.lit("Business "), F.col("user_id"), F.lit(" v"), F.col("event_id") % 3
-    )
-
-
-def envelopes(ev: DataFrame) -> DataFrame:
-    """One row per delivery: event columns plus ``copy`` and ``raw_envelope``."""
-    payload = F.struct(
-        _business_id().alias("business_id"),
-        _name().alias("name"),
-        _rating().alias("rating"),
-        _review_count().alias("review_count"),
-        _categories().alias("categories"),
-        _coordinates().alias("coordinates"),
-        F.struct(_city().alias("city"), F.lit("US").alias("country")).alias("location"),
-        F.lit("restaurants").alias("search_term"),
-        F.concat(F.lit("Area "), F.col("user_id") % 3).alias("search_location"),
-    )
-    envelope = F.struct(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.lit("recipe").alias("producer_id"),
-        F.lit("events").alias("source"),
-        F.lit("businesses/search").alias("source_endpoint"),
-        F.lit(1).alias("schema_version"),
-        _observed_at().alias("observed_at"),
-        F.lit(0).alias("ingest_lag_ms"),
-        payload.alias("payload"),
-    )
-    raw = F.when(_every(97), F.concat(F.lit("not json #"), F.col("event_id"))).otherwise(
-        F.to_json(envelope)
-    )
-    copies = F.when(_every(50), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return ev.withColumn("raw_envelope", raw).withColumn("copy", F.explode(copies))
-
-
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bronze table the recipe stands for."""
-    minutes = F.make_dt_interval(mins=F.lit(1) + F.col("copy"))
-    return envelopes(events(spark, sf_dir)).select(
-        (utc_instant(F.col("ts")) + minutes).alias("ingest_ts"),
-        F.lit("events").alias("kafka_topic"),
-        (F.col("user_id") % 6).cast("int").alias("kafka_partition"),
-        (F.col("event_id") + F.col("copy") * 1_000_000).alias("kafka_offset"),
-        _business_id().alias("kafka_key"),
+    deliveries = events(spark, sf_dir).selectExpr(
+        "*",
+        f"""CASE WHEN event_id % 97 = 0 THEN concat('not json #', event_id)
+            ELSE to_json({_ENVELOPE}) END AS raw_envelope""",
+        "explode(CASE WHEN event_id % 50 = 0 THEN array(0, 1) ELSE array(0) END) AS copy",
+    )
+    return deliveries.selectExpr(
+        f"{utc_instant('ts')} + make_dt_interval(0, 0, 1 + copy) AS ingest_ts",
+        "'events' AS kafka_topic",
+        "cast(user_id % 6 AS int) AS kafka_partition",
+        "event_id + copy * 1000000L AS kafka_offset",
+        f"{_BUSINESS_ID} AS kafka_key",
         "raw_envelope",
     )
 
 
-def _fragment(name: str, value: Column) -> Column:
-    """``"name":value``; a null value leaves the member out."""
-    return F.concat(F.lit(f'"{name}":'), value)
+def _member(name: str, value: str) -> str:
+    """``"name":value`` as JSON text; a null value leaves the member out."""
+    return f"concat('\"{name}\":', {value})"
 
 
-def _quoted(value: Column) -> Column:
-    return F.concat(F.lit('"'), value, F.lit('"'))
+def _text(value: str) -> str:
+    return f"concat('\"', {value}, '\"')"
 
 
-def listing_json() -> Column:
-    """A raw listing body as a search response would carry it."""
-    rating = (
-        F.when(_every(109), _quoted(_rating().cast("string")))
-        .when(_every(113), F.lit('"great"'))
-        .otherwise(_rating().cast("string"))
-    )
-    count = _review_count().cast("string")
-    count = (
-        F.when(_every(127), F.concat(count, F.lit(".0")))
-        .when(_every(131), F.concat(count, F.lit(".5")))
-        .otherwise(count)
-    )
-    categories = F.to_json(
-        F.transform(
-            _categories(), lambda c: F.struct(c.alias("alias"), F.upper(c).alias("title"))
-        )
-    )
-    fragments = [
-        _fragment("id", F.when(~_every(101), _quoted(_business_id()))),
-        _fragment(
-            "name",
-            F.when(_every(107), F.lit("null")).when(~_every(103), _quoted(_name())),
-        ),
-        _fragment("rating", F.coalesce(rating, F.lit("null"))),
-        _fragment("review_count", count),
-        _fragment("is_closed", F.lit("false")),
-        _fragment("distance", F.col("value").cast("string")),
-        _fragment("categories", categories),
-        _fragment(
-            "coordinates",
-            F.when(_every(79), F.lit("null")).otherwise(F.to_json(_coordinates())),
-        ),
-        _fragment("location", F.to_json(F.struct(_city().alias("city")))),
-        _fragment("transactions", F.when(_every(5), F.lit("null")).otherwise(F.lit('["pickup"]'))),
-    ]
-    return F.concat(F.lit("{"), F.concat_ws(",", *fragments), F.lit("}"))
+# A raw listing body as a search response would carry it.
+_LISTING_MEMBERS = (
+    _member("id", f"CASE WHEN event_id % 101 <> 0 THEN {_text(_BUSINESS_ID)} END"),
+    _member("name", f"""CASE WHEN event_id % 107 = 0 THEN 'null'
+        WHEN event_id % 103 <> 0 THEN {_text(_NAME)} END"""),
+    _member("rating", f"""coalesce(CASE
+        WHEN event_id % 109 = 0 THEN {_text(f"cast({_RATING} AS string)")}
+        WHEN event_id % 113 = 0 THEN '"great"' ELSE cast({_RATING} AS string) END, 'null')"""),
+    _member("review_count", f"""concat({_REVIEW_COUNT}, CASE WHEN event_id % 127 = 0 THEN '.0'
+        WHEN event_id % 131 = 0 THEN '.5' ELSE '' END)"""),
+    _member("is_closed", "'false'"),
+    _member("distance", "cast(value AS string)"),
+    _member("categories", f"""to_json(transform({_CATEGORIES},
+        c -> named_struct('alias', c, 'title', upper(c))))"""),
+    _member("coordinates", f"""CASE WHEN event_id % 79 = 0 THEN 'null'
+        ELSE to_json({_COORDINATES}) END"""),
+    _member("location", f"to_json(named_struct('city', {_CITY}))"),
+    _member("transactions", """CASE WHEN event_id % 5 = 0 THEN 'null' ELSE '["pickup"]' END"""),
+)
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One search-response page per event: one listing, two, none, or no array."""
-    listing = listing_json()
-    body = (
-        F.when(_every(11), F.lit('{"total":0,"businesses":[]}'))
-        .when(_every(13), F.lit('{"total":0}'))
-        .when(
-            _every(7),
-            F.concat(F.lit('{"total":2,"businesses":['), listing, F.lit(","), listing, F.lit("]}")),
+    listing = f"concat('{{', concat_ws(',', {', '.join(_LISTING_MEMBERS)}), '}}')"
+    return (
+        events(spark, sf_dir)
+        .selectExpr("*", f"{listing} AS listing")
+        .selectExpr(
+            """CASE WHEN event_id % 11 = 0 THEN '{"total":0,"businesses":[]}'
+                WHEN event_id % 13 = 0 THEN '{"total":0}'
+                WHEN event_id % 7 = 0 THEN
+                    concat('{"total":2,"businesses":[', listing, ',', listing, ']}')
+                ELSE concat('{"total":1,"businesses":[', listing, ']}') END AS body""",
+            "CASE WHEN event_id % 2 = 0 THEN 'restaurants' ELSE 'bars' END AS search_term",
+            f"{_AREA} AS search_location",
+            f"{utc_instant('ts')} AS fetched_at",
+            "event_id AS page_no",
         )
-        .otherwise(F.concat(F.lit('{"total":1,"businesses":['), listing, F.lit("]}")))
-    )
-    return events(spark, sf_dir).select(
-        body.alias("body"),
-        F.when(_every(2), F.lit("restaurants")).otherwise(F.lit("bars")).alias("search_term"),
-        F.concat(F.lit("Area "), F.col("user_id") % 3).alias("search_location"),
-        utc_instant(F.col("ts")).alias("fetched_at"),
-        F.col("event_id").alias("page_no"),
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators.quarantine import REASON_PARSE, classify, split_classified
 from tidemark.operators.silver import latest_observations, with_day
@@ -47,11 +46,10 @@ def process_batch(
     """
     rows = classify(bronze).persist()
     try:
-        failing = F.col("failure_reason").isNotNull()
-        counts = rows.agg(
-            F.count_if(~failing).alias("valid"),
-            F.count_if(failing).alias("dlq"),
-            F.count_if(F.col("failure_reason") == REASON_PARSE).alias("unparseable"),
+        counts = rows.selectExpr(
+            "count_if(failure_reason IS NULL) AS valid",
+            "count_if(failure_reason IS NOT NULL) AS dlq",
+            f"count_if(failure_reason = '{REASON_PARSE}') AS unparseable",
         ).first()
         report = BatchReport(batch_id, counts["valid"], counts["dlq"], counts["unparseable"])
         valid, quarantined = split_classified(rows)

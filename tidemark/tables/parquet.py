@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,7 +74,7 @@ class ParquetTable:
         seen = Observation()
         rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         self._writer(self.laid_out(rows), "append").parquet(self.path)
-        return seen.get["rows"]
+        return _observed_rows(seen)
 
     def upsert(
         self,
@@ -181,7 +182,7 @@ class ParquetTable:
         rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         self._writer(self.laid_out(rows), "overwrite").option(_MODE, "dynamic").parquet(self.path)
         self._drop(d for d in old if d not in new)
-        return seen.get["rows"]
+        return _observed_rows(seen)
 
     def overwrite(self, rows: DataFrame, values: Sequence, laid_out: bool = False) -> None:
         """Make ``rows`` the whole content of the listed partitions.
@@ -235,6 +236,16 @@ class ParquetTable:
             paths.delete(self.spark, f"{self.path}/{part}={value}")
 
 
+def _observed_rows(seen: Observation) -> int:
+    """The observed count; nothing is observed where the plan was found to be empty."""
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError as error:
+        if "AssertionError" in str(error.java_exception.toString()):
+            return 0
+        raise
+
+
 def _within(part: str, values: Sequence) -> tuple[Column, Column]:
     """(rows outside the listed partitions, rows inside them)."""
     if not values:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import utc_midnight
+from tidemark.functions.times import instant_literal
 from tidemark.tables import paths
 from tidemark.tables.parquet import ParquetTable
 
@@ -86,7 +86,6 @@ def prune(
     (part,) = table.spec.partition_by
     rows = table.read()
     cut = (now - ttl).astimezone(dt.timezone.utc)
-    keep = F.col(instant) >= _literal(cut)
     dropped: list = []
     if part == "day" and instant == "observed_at":
         old = table._values(rows.filter(F.col(part) < F.lit(cut.date())), part)
@@ -94,20 +93,13 @@ def prune(
         dropped = old
         rows = table.read().filter(F.col(part) == F.lit(cut.date()))
     # A null instant is not known to have expired.
-    expired = F.coalesce(~keep, F.lit(False))
+    expired = F.expr(f"coalesce({instant} < {instant_literal(cut)}, false)")
     touched = table._values(rows.filter(expired), part)
     if touched:
         table.overwrite(rows.filter(F.col(part).isin(touched) & ~expired), touched)
     return dropped, touched
 
 
-def _literal(moment: dt.datetime):
-    midnight = utc_midnight(moment.date())
-    start = moment.replace(hour=0, minute=0, second=0, microsecond=0)
-    micros = (moment - start) // dt.timedelta(microseconds=1)
-    return F.timestamp_micros(F.unix_micros(midnight) + F.lit(micros))
-
-
 def _refuse_logged(table: ParquetTable) -> None:
     """A directory with a streaming sink log is defined by that log, not its files."""
     if paths.exists(table.spark, f"{table.path}/_spark_metadata"):
