@@ -502,13 +502,14 @@ def coercion_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"concat('[', {whole}, ']')",
     ]
     text = f"element_at(array({', '.join(spellings)}), cast(event_id % 10 + 1 AS int))"
-    leaf = recipe.events(spark, sf_dir).selectExpr("event_id", f"parse_json({text}) AS v")
+    rows = recipe.events(spark, sf_dir).selectExpr("event_id", f"parse_json({text}) AS v")
+    leaf = variants.Leaf.of("v")
     coerced = {
-        "double": variants.to_double("v"),
-        "int": variants.to_integer("v"),
-        "bool": variants.to_boolean("v"),
+        "double": variants.to_double(leaf),
+        "int": variants.to_integer(leaf),
+        "bool": variants.to_boolean(leaf),
     }
-    return leaf.selectExpr(
+    return rows.selectExpr(
         "event_id",
         *[f"{c.value} AS as_{k}" for k, c in coerced.items()],
         *[f"{c.bad} AS bad_{k}" for k, c in coerced.items()],

@@ -21,26 +21,45 @@ class Coerced(NamedTuple):
     bad: str
 
 
-def kind(v: str) -> str:
-    """``VOID``, ``STRING``, ``BOOLEAN``, ``BIGINT``, ``OBJECT<..>`` ..; SQL null when absent."""
-    return f"schema_of_variant({v})"
+class Leaf(NamedTuple):
+    """A VARIANT expression and the expression of its kind.
 
+    The kind is ``VOID``, ``STRING``, ``BOOLEAN``, ``BIGINT``, ``OBJECT<..>`` .., and
+    SQL null when the value is missing. Where many tests look at one value, compute
+    its kind into a column first and name that column here.
+    """
 
-def is_absent(v: str) -> str:
+    v: str
+    kind: str
+
+    @classmethod
+    def of(cls, v: str) -> Leaf:
+        return cls(v, f"schema_of_variant({v})")
+
+
+def is_absent(x: Leaf) -> str:
     """Missing or JSON null."""
-    return f"({v} IS NULL OR is_variant_null({v}))"
+    return f"coalesce({x.kind} = 'VOID', true)"
+
+
+def is_number(x: Leaf) -> str:
+    return f"({x.kind} RLIKE '{_NUMBER_KINDS}')"
 
 
-def is_number(v: str) -> str:
-    return f"({kind(v)} RLIKE '{_NUMBER_KINDS}')"
+def is_text(x: Leaf) -> str:
+    return f"({x.kind} = 'STRING')"
 
 
-def is_text(v: str) -> str:
-    return f"({kind(v)} = 'STRING')"
+def is_flag(x: Leaf) -> str:
+    return f"({x.kind} = 'BOOLEAN')"
 
 
-def is_flag(v: str) -> str:
-    return f"({kind(v)} = 'BOOLEAN')"
+def is_array(x: Leaf) -> str:
+    return f"startswith({x.kind}, 'ARRAY')"
+
+
+def is_object(x: Leaf) -> str:
+    return f"startswith({x.kind}, 'OBJECT')"
 
 
 def get(v: str, as_type: str) -> str:
@@ -52,50 +71,53 @@ def member(v: str, path: str) -> str:
     return f"try_variant_get({v}, '$.{path}', 'variant')"
 
 
-def elements(v: str) -> str:
+def elements(x: Leaf) -> str:
     """The elements of a JSON array as ``array<variant>``, null if it is not one."""
-    return f"CASE WHEN startswith({kind(v)}, 'ARRAY') THEN {get(v, 'array<variant>')} END"
+    return f"CASE WHEN {is_array(x)} THEN {get(x.v, 'array<variant>')} END"
 
 
-def is_empty(v: str) -> str:
+def is_empty(x: Leaf) -> str:
     """Absent or an empty value: ``""``, ``0``, ``false``, ``[]``, ``{}``."""
-    return f"""({is_absent(v)} OR ({is_flag(v)} AND NOT {get(v, 'boolean')})
-        OR ({is_number(v)} AND {get(v, 'double')} = 0)
-        OR coalesce({get(v, 'string')}, '?') IN ('', '[]', '{{}}'))"""
+    return f"""({is_absent(x)} OR ({is_flag(x)} AND NOT {get(x.v, 'boolean')})
+        OR ({is_number(x)} AND {get(x.v, 'double')} = 0)
+        OR coalesce({get(x.v, 'string')}, '?') IN ('', '[]', '{{}}'))"""
 
 
-def _result(v: str, value: str) -> Coerced:
-    return Coerced(value, f"(NOT {is_absent(v)} AND ({value}) IS NULL)")
+def to_text(x: Leaf) -> Coerced:
+    """Only JSON strings are text."""
+    return Coerced(
+        f"CASE WHEN {is_text(x)} THEN {get(x.v, 'string')} END",
+        f"(NOT {is_absent(x)} AND NOT {is_text(x)})",
+    )
 
 
-def to_text(v: str) -> Coerced:
-    """Only JSON strings are text."""
-    return _result(v, f"CASE WHEN {is_text(v)} THEN {get(v, 'string')} END")
+def _number(x: Leaf, pattern: str) -> str:
+    text = get(x.v, "string")
+    return f"""CASE WHEN {is_number(x)} THEN {get(x.v, 'double')}
+        WHEN {is_flag(x)} THEN cast({get(x.v, 'boolean')} AS double)
+        WHEN {is_text(x)} AND {text} RLIKE r'{pattern}' THEN try_cast({text} AS double) END"""
 
 
-def _number(v: str, pattern: str) -> str:
-    text = get(v, "string")
-    return f"""CASE WHEN {is_number(v)} THEN {get(v, 'double')}
-        WHEN {is_flag(v)} THEN cast({get(v, 'boolean')} AS double)
-        WHEN {is_text(v)} AND {text} RLIKE r'{pattern}' THEN try_cast({text} AS double) END"""
+def _result(x: Leaf, value: str) -> Coerced:
+    return Coerced(value, f"(NOT {is_absent(x)} AND ({value}) IS NULL)")
 
 
-def to_double(v: str) -> Coerced:
+def to_double(x: Leaf) -> Coerced:
     """Numbers, booleans (1/0) and strings that spell a number."""
-    return _result(v, _number(v, _NUMBER_TEXT))
+    return _result(x, _number(x, _NUMBER_TEXT))
 
 
-def to_integer(v: str) -> Coerced:
+def to_integer(x: Leaf) -> Coerced:
     """Integers, integral floats, booleans and strings of either; 32-bit range."""
-    number = f"({_number(v, _INTEGER_TEXT)})"
-    return _result(v, f"CASE WHEN {number} = floor({number}) THEN try_cast({number} AS int) END")
+    number = f"({_number(x, _INTEGER_TEXT)})"
+    return _result(x, f"CASE WHEN {number} = floor({number}) THEN try_cast({number} AS int) END")
 
 
-def to_boolean(v: str) -> Coerced:
+def to_boolean(x: Leaf) -> Coerced:
     """Booleans, the numbers 0 and 1, and the fixed words."""
-    word = f"lower({get(v, 'string')})"
-    value = f"""CASE WHEN {is_flag(v)} THEN {get(v, 'boolean')}
-        WHEN {is_number(v)} AND {get(v, 'double')} IN (0, 1) THEN {get(v, 'double')} = 1
-        WHEN {is_text(v)} AND {word} IN ({_TRUE_WORDS}) THEN true
-        WHEN {is_text(v)} AND {word} IN ({_FALSE_WORDS}) THEN false END"""
-    return _result(v, value)
+    word = f"lower({get(x.v, 'string')})"
+    value = f"""CASE WHEN {is_flag(x)} THEN {get(x.v, 'boolean')}
+        WHEN {is_number(x)} AND {get(x.v, 'double')} IN (0, 1) THEN {get(x.v, 'double')} = 1
+        WHEN {is_text(x)} AND {word} IN ({_TRUE_WORDS}) THEN true
+        WHEN {is_text(x)} AND {word} IN ({_FALSE_WORDS}) THEN false END"""
+    return _result(x, value)

@@ -14,6 +14,7 @@ from tidemark.functions.barrier import computed_once
 from tidemark.functions.rules import Record
 from tidemark.functions.text import quoted
 from tidemark.functions.times import to_utc
+from tidemark.functions.variants import Leaf
 from tidemark.schemas import ENVELOPE
 
 # How a number, true/false, object or array element reads once turned to text.
@@ -23,7 +24,7 @@ _FLAGGED = "(env IS NULL OR env._flagged IS NOT NULL)"
 
 def _mistyped(field: str) -> str:
     """A value is present in the text but not in the typed struct."""
-    leaf = variants.member("_doc", f"payload.{field}")
+    leaf = Leaf.of(variants.member("_doc", f"payload.{field}"))
     return (
         f"(_doc IS NOT NULL AND env.payload.{field} IS NULL AND NOT {variants.is_absent(leaf)})"
     )
@@ -31,8 +32,8 @@ def _mistyped(field: str) -> str:
 
 def _untyped_categories() -> str:
     """Positions of category elements that are present but not JSON strings."""
-    elements = variants.elements(variants.member("_doc", "payload.categories"))
-    odd = f"NOT {variants.is_absent('e')} AND NOT {variants.is_text('e')}"
+    elements = variants.elements(Leaf.of(variants.member("_doc", "payload.categories")))
+    odd = variants.to_text(Leaf.of("e")).bad
     return f"""coalesce(filter(transform({elements}, (e, i) -> CASE WHEN {odd} THEN i END),
         i -> i IS NOT NULL), cast(array() AS array<int>))"""
 

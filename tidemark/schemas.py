@@ -27,14 +27,12 @@ FAILURES = "array<struct<code:string,field:string,message:string>>"
 
 # One search-response body; listings stay JSON text until they are normalised.
 PAGE = "businesses array<string>"
-# Leaves stay VARIANT so that a missing field, a JSON null and a wrongly typed
-# value remain three different things.
-LISTING = ", ".join(
-    f"{name} variant"
-    for name in (
-        "id", "name", "url", "image_url", "is_closed", "rating", "review_count",
-        "price", "phone", "categories", "coordinates", "location", "transactions",
-    )
+# A listing whose members all have their proper JSON types.
+LISTING = (
+    "id string, name string, url string, image_url string, is_closed boolean, "
+    "rating double, review_count int, price string, phone string, "
+    f"categories array<struct<alias:string>>, coordinates {COORDINATES}, "
+    f"location {LOCATION}, transactions array<string>"
 )
 
 
