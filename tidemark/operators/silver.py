@@ -44,11 +44,19 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     return df.selectExpr("*", f"{rank} AS _rank").filter("_rank = 1").drop("_rank")
 
 
+# What ranking deliveries of one event needs besides the silver columns.
+DELIVERY = ("kafka_offset", "xxhash64(raw_envelope) AS _content")
+
+
 def latest_observations(valid: DataFrame) -> DataFrame:
     """Silver rows of a batch: latest arrival, then highest offset, then content."""
-    rows = to_silver(valid, keep=["kafka_offset", "xxhash64(raw_envelope) AS _content"])
+    return latest_delivery(to_silver(valid, keep=DELIVERY))
+
+
+def latest_delivery(flat: DataFrame) -> DataFrame:
+    """One silver row per event out of rows that carry the ``DELIVERY`` columns."""
     order = ["ingest_ts DESC", "kafka_offset DESC", "_content DESC"]
-    return dedup_latest(rows, ["event_id"], order).select(*SILVER_COLUMNS)
+    return dedup_latest(flat, ["event_id"], order).select(*SILVER_COLUMNS)
 
 
 def with_day(df: DataFrame, instant: str = "observed_at") -> DataFrame:

@@ -52,6 +52,10 @@ class TableSpec:
     def full_name(self) -> str:
         return f"{self.schema_name}.{self.name}"
 
+    @property
+    def column_names(self) -> list[str]:
+        return [column.split()[0] for column in self.columns.split(", ")]
+
 
 BRONZE = TableSpec(
     "bronze",

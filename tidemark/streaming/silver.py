@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.quarantine import REASON_PARSE, classify, split_classified
-from tidemark.operators.silver import latest_observations, with_day
+from tidemark.operators.silver import DELIVERY, latest_delivery, to_silver, with_day
 from tidemark.sources.files import bronze_stream
 from tidemark.streaming.drain import RunReport, drain
 from tidemark.tables.merge import MergeTable
@@ -15,6 +15,14 @@ from tidemark.tables.parquet import ParquetTable
 
 Table = ParquetTable | MergeTable
 
+# Kept with the flattened rows while both outputs are written. The envelope text is
+# only needed where it goes to quarantine; a hash of it ranks equal deliveries.
+_SHARED = (
+    *DELIVERY,
+    "kafka_topic", "kafka_partition", "kafka_key", "failure_reason", "failure_codes",
+    "CASE WHEN failure_reason IS NOT NULL THEN raw_envelope END AS raw_envelope",
+)
+
 
 @dataclass(frozen=True)
 class BatchReport:
@@ -44,7 +52,7 @@ def process_batch(
     The batch is parsed once and shared by both outputs. A crash between the two
     writes repeats the batch, which neither table notices.
     """
-    rows = classify(bronze).persist()
+    rows = to_silver(classify(bronze), keep=_SHARED).persist()
     try:
         counts = rows.selectExpr(
             "count_if(failure_reason IS NULL) AS valid",
@@ -55,7 +63,7 @@ def process_batch(
         valid, quarantined = split_classified(rows)
         if report.valid:
             silver.upsert(
-                with_day(latest_observations(valid)), keys_keep_partition=keys_keep_partition
+                with_day(latest_delivery(valid)), keys_keep_partition=keys_keep_partition
             )
         if report.dlq:
             # The offset is part of the hashed key, so equal keys have equal offsets.

@@ -53,8 +53,11 @@ class ParquetTable:
         """The table, with its declared schema; empty if nothing was written yet."""
         if not self.exists():
             return self.spark.createDataFrame([], self.spec.columns)
-        columns = self.spark.createDataFrame([], self.spec.columns).columns
-        return self.spark.read.schema(self.spec.columns).parquet(self.path).select(*columns)
+        return self._load(self.path)
+
+    def _load(self, path: str) -> DataFrame:
+        rows = self.spark.read.schema(self.spec.columns).parquet(path)
+        return rows.select(*self.spec.column_names)
 
     # -- writing ---------------------------------------------------------------
 
@@ -91,7 +94,7 @@ class ParquetTable:
         keys = list(keys or self.spec.keys)
         (part,) = self.spec.partition_by
         self.recover()
-        batch = batch.select(*self.read().columns).persist()
+        batch = batch.select(*self.spec.column_names).persist()
         try:
             if not self.exists():
                 return UpsertReport(self.append(batch), ())
@@ -147,7 +150,7 @@ class ParquetTable:
         are; their range in ``df`` lets the scan of existing keys skip files.
         """
         keys = list(keys or self.spec.keys)
-        rows = df.select(*self.read().columns).dropDuplicates(keys).persist()
+        rows = df.select(*self.spec.column_names).dropDuplicates(keys).persist()
         try:
             if not self.exists():
                 return self.append(rows)
@@ -207,10 +210,9 @@ class ParquetTable:
             return
         if paths.exists(self.spark, f"{self._pending}/partitions/_SUCCESS"):
             (part,) = self.spec.partition_by
-            rows = self.spark.read.schema(self.spec.columns).parquet(f"{self._pending}/rows")
+            rows = self._load(f"{self._pending}/rows")
             values = self._values(self.spark.read.parquet(f"{self._pending}/partitions"), part)
             present = set(self._values(rows, part))
-            rows = rows.select(*self.read().columns)
             # Files are already laid out: one task per staged split, no shuffle.
             self._writer(rows, "overwrite").option(_MODE, "dynamic").parquet(self.path)
             self._drop(v for v in values if v not in present)
