@@ -1,9 +1,10 @@
 """Daily aggregates over observations.
 
-Both aggregates read *tallies*: rows of partial sums per day, business, city and
-category set. An observation is a tally of one; :func:`compact_tallies` merges them.
-The same definitions therefore serve a direct run over silver and a job that scans
-silver once and derives both tables from the much smaller merged tallies.
+Both aggregates read *tallies*: rows of partial sums per day, business, name, city
+and category set. An observation is a tally of one; :func:`compact_tallies` merges
+them. All their measures have a fixed width, so the one pass over the observations is
+a hash aggregation; picking the latest name, which Spark has to sort for, happens on
+the much smaller merged tallies. Both tables can be derived from them, with one scan.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.times import utc_midnight
 from tidemark.operators.silver import with_day
 
-_GRAIN = ("day", "business_id", "city", "categories")
+_GRAIN = ("day", "business_id", "name", "city", "categories")
 
 
 def window_start(today: dt.date, days: int) -> dt.date:
@@ -53,13 +54,12 @@ def tallies(observations: DataFrame) -> DataFrame:
         F.col("rating").alias("rating_min"),
         F.col("rating").alias("rating_max"),
         F.col("review_count").alias("review_count_max"),
-        # Latest name and city, with a full order so that ties cannot flip.
-        F.struct("observed_at", "name", "city").alias("latest"),
+        "observed_at",
     )
 
 
 def compact_tallies(rows: DataFrame) -> DataFrame:
-    """Merge tallies per day, business, city and category set. One shuffle."""
+    """Merge tallies of one grain. One shuffle, after a map-side merge."""
     return rows.groupBy(*_GRAIN).agg(
         F.sum("n").alias("n"),
         F.sum("rated").alias("rated"),
@@ -67,7 +67,7 @@ def compact_tallies(rows: DataFrame) -> DataFrame:
         F.min("rating_min").alias("rating_min"),
         F.max("rating_max").alias("rating_max"),
         F.max("review_count_max").alias("review_count_max"),
-        F.max("latest").alias("latest"),
+        F.max("observed_at").alias("observed_at"),
     )
 
 
@@ -76,7 +76,8 @@ def rating_drift_from(rows: DataFrame) -> DataFrame:
     return (
         rows.groupBy("day", "business_id")
         .agg(
-            F.max("latest").alias("latest"),
+            # Latest name and city, with a full order so that ties cannot flip.
+            F.max(F.struct("observed_at", "name", "city")).alias("latest"),
             F.try_divide(F.sum("rating_sum"), F.sum("rated")).alias("rating_avg"),
             F.min("rating_min").alias("rating_min"),
             F.max("rating_max").alias("rating_max"),
@@ -111,7 +112,7 @@ def category_trends_from(rows: DataFrame) -> DataFrame:
 
 def rating_drift_daily(silver: DataFrame) -> DataFrame:
     """Rating drift straight from observations (``day`` is added if missing)."""
-    return rating_drift_from(tallies(_dated(silver)))
+    return rating_drift_from(compact_tallies(tallies(_dated(silver))))
 
 
 def category_trends_daily(silver: DataFrame) -> DataFrame:
