@@ -2,7 +2,7 @@
 
 import os
 
-from jobs.common import parser
+from jobs.common import parser, report
 from tidemark.schemas import BRONZE
 from tidemark.session import build_session
 from tidemark.sources.kafka import auth_options
@@ -23,12 +23,12 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("bronze")
     table = location(BRONZE, args.root)
     if args.source == "files":
-        report = land_files(spark, args.drop, table, args.checkpoint, max_files=args.max_files)
+        run = land_files(spark, args.drop, table, args.checkpoint, max_files=args.max_files)
     else:
         auth = auth_options(os.environ.get("KAFKA_USERNAME", ""), os.environ.get("KAFKA_PASSWORD", ""))
-        report = land_kafka(spark, args.topic, args.bootstrap, table, args.checkpoint,
-                            auth=auth, max_offsets=args.max_offsets)
-    print(f"bronze.done source={args.source} input_rows={report.input_rows} batches={report.batches}")
+        run = land_kafka(spark, args.topic, args.bootstrap, table, args.checkpoint,
+                         auth=auth, max_offsets=args.max_offsets)
+    report("bronze", source=args.source, rows=run.input_rows, batches=run.batches)
 
 
 if __name__ == "__main__":

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
 
 from pyspark.sql import SparkSession
 
@@ -31,3 +32,8 @@ def table(spark: SparkSession, args: argparse.Namespace, spec: TableSpec) -> Par
 
 def today_utc() -> dt.date:
     return dt.datetime.now(dt.timezone.utc).date()
+
+
+def report(job: str, **fields: object) -> None:
+    """One JSON line on standard output."""
+    print(json.dumps({"job": job, **fields}, default=str), flush=True)

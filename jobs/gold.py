@@ -1,8 +1,9 @@
 """Recompute the recent days of the gold tables."""
 
 import datetime as dt
+from dataclasses import asdict
 
-from jobs.common import parser, table, today_utc
+from jobs.common import parser, report, table, today_utc
 from tidemark.plans.gold import gold_job
 from tidemark.schemas import CATEGORY_TRENDS, RATING_DRIFT, SILVER
 from tidemark.session import build_session
@@ -15,16 +16,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--cap-at-today", action="store_true", help="leave out future-dated rows")
     args = p.parse_args(argv)
     spark = build_session("gold")
-    report = gold_job(
+    result = gold_job(
         table(spark, args, SILVER).read(), table(spark, args, RATING_DRIFT),
         table(spark, args, CATEGORY_TRENDS), args.today or today_utc(), args.days,
         args.cap_at_today,
     )
-    if report.skipped:
-        print(f"gold.skip empty window as_of={report.as_of}")
-    else:
-        print(f"gold.done as_of={report.as_of} rating_drift_rows={report.rating_drift_rows} "
-              f"category_trends_rows={report.category_trends_rows}")
+    report("gold", **asdict(result))
 
 
 if __name__ == "__main__":

@@ -1,6 +1,8 @@
 """Drain bronze into silver and quarantine."""
 
-from jobs.common import parser, table
+from dataclasses import asdict
+
+from jobs.common import parser, report, table
 from tidemark.schemas import BRONZE, DLQ, SILVER
 from tidemark.session import build_session
 from tidemark.streaming.silver import silver_job
@@ -21,9 +23,9 @@ def main(argv: list[str] | None = None) -> None:
         table(spark, args, SILVER), table(spark, args, DLQ), args.checkpoint,
         max_files=args.max_files, keys_keep_partition=args.keys_keep_partition,
     )
-    for b in run.batches:
-        print(f"silver.batch id={b.batch_id} valid={b.valid} dlq={b.dlq}")
-    print(f"silver.done input_rows={run.run.input_rows}")
+    for batch in run.batches:
+        report("silver", **asdict(batch))
+    report("silver", rows=run.run.input_rows, batches=run.run.batches)
 
 
 if __name__ == "__main__":

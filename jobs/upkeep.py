@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from jobs.common import parser, table
+from jobs.common import parser, report, table
 from tidemark.schemas import CATEGORY_TRENDS, DLQ, RATING_DRIFT, SILVER
 from tidemark.session import build_session
 from tidemark.tables.upkeep import compact, prune
@@ -19,9 +19,9 @@ def main(argv: list[str] | None = None) -> None:
         ttl, now = dt.timedelta(hours=args.ttl_hours), dt.datetime.now(dt.timezone.utc)
         for t, instant in ((silver, "observed_at"), (dlq, "ingest_ts")):
             dropped, rewritten = prune(t, instant, ttl, now)
-            print(f"prune table={t.spec.full_name} dropped={len(dropped)} rewritten={len(rewritten)}")
+            report("prune", table=t.spec.full_name, dropped=len(dropped), rewritten=len(rewritten))
     for t in (silver, dlq, table(spark, args, RATING_DRIFT), table(spark, args, CATEGORY_TRENDS)):
-        print(f"compact table={t.spec.full_name} partitions={len(compact(t, args.target_mb))}")
+        report("compact", table=t.spec.full_name, partitions=len(compact(t, args.target_mb)))
 
 
 if __name__ == "__main__":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 
 import __spark_entry__ as contract
@@ -25,10 +27,13 @@ def test_mains_run_in_sequence(spark, capsys):
     gold.main(["--root", root, "--today", "2026-06-09"])
     gold.main(["--root", root, "--today", "2026-07-09"])
     upkeep.main(["--root", root])
-    out = capsys.readouterr().out
-    assert "input_rows=4" in out and "valid=2 dlq=2" in out
-    assert "rating_drift_rows=1 category_trends_rows=1" in out
-    assert "gold.skip empty window as_of=2026-07-08" in out
+    lines = [json.loads(line) for line in capsys.readouterr().out.splitlines()]
+    reports = {job: [r for r in lines if r["job"] == job] for job in ("bronze", "silver", "gold")}
+    assert reports["bronze"][0]["rows"] == 4
+    assert [(r["valid"], r["dlq"]) for r in reports["silver"] if "valid" in r] == [(2, 2)] * 2
+    first, second = reports["gold"]
+    assert (first["rating_drift_rows"], first["category_trends_rows"]) == (1, 1)
+    assert second["skipped"] and second["as_of"] == "2026-07-08"
     for name in ("bronze.business_events_raw", "silver.business_events", "dlq.business",
                  "gold.rating_drift_daily", "gold.category_trends_daily"):
         spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -98,10 +98,10 @@ class ParquetTable:
         try:
             if not self.exists():
                 return UpsertReport(self.append(batch), ())
-            old = self._partitions_with(batch, keys, part, keys_keep_partition)
+            old = self._rows_sharing_days(batch, keys, part, keys_keep_partition)
             if old is None:
                 return UpsertReport(self.append(batch), ())
-            changed = self._values(old.join(
+            changed = self.partition_values(old.join(
                 batch.alias("new"),
                 self._same(keys, "new", null_safe=False)
                 & ~self._same([c for c in batch.columns if c not in keys], "new"),
@@ -118,14 +118,14 @@ class ParquetTable:
         finally:
             batch.unpersist()
 
-    def _partitions_with(
+    def _rows_sharing_days(
         self, batch: DataFrame, keys: list[str], part: str, keys_keep_partition: bool
     ) -> DataFrame | None:
         """Rows of the partitions that hold any of the batch's keys, as ``old``."""
         table = self.read()
         if keys_keep_partition:
-            table = table.filter(F.col(part).isin(self._values(batch, part)))
-        hits = self._values(
+            table = table.filter(F.col(part).isin(self.partition_values(batch, part)))
+        hits = self.partition_values(
             table.select(*keys, part).join(batch.select(*keys), keys, "left_semi"), part
         )
         return table.filter(F.col(part).isin(hits)).alias("old") if hits else None
@@ -179,8 +179,8 @@ class ParquetTable:
         (part,) = self.spec.partition_by
         window = F.col(part) >= F.lit(as_of)
         df = df.filter(window)
-        old = self._values(self.read().filter(window), part)
-        new = set(self._values(df, part) if days is None else days)
+        old = self.partition_values(self.read().filter(window), part)
+        new = set(self.partition_values(df, part) if days is None else days)
         seen = Observation()
         rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         self._writer(self.laid_out(rows), "overwrite").option(_MODE, "dynamic").parquet(self.path)
@@ -211,8 +211,8 @@ class ParquetTable:
         if paths.exists(self.spark, f"{self._pending}/partitions/_SUCCESS"):
             (part,) = self.spec.partition_by
             rows = self._load(f"{self._pending}/rows")
-            values = self._values(self.spark.read.parquet(f"{self._pending}/partitions"), part)
-            present = set(self._values(rows, part))
+            values = self.partition_values(self.spark.read.parquet(f"{self._pending}/partitions"), part)
+            present = set(self.partition_values(rows, part))
             # Files are already laid out: one task per staged split, no shuffle.
             self._writer(rows, "overwrite").option(_MODE, "dynamic").parquet(self.path)
             self._drop(v for v in values if v not in present)
@@ -228,7 +228,7 @@ class ParquetTable:
         return df.write.mode(mode).partitionBy(*self.spec.partition_by)
 
     @staticmethod
-    def _values(df: DataFrame, part: str) -> list:
+    def partition_values(df: DataFrame, part: str) -> list:
         """Distinct partition values; as many as the table has partitions."""
         return sorted(r[0] for r in df.select(part).distinct().collect())
 

@@ -92,13 +92,13 @@ def prune(
     cut = (now - ttl).astimezone(dt.timezone.utc)
     dropped: list = []
     if part == "day" and instant == "observed_at":
-        old = table._values(rows.filter(F.col(part) < F.lit(cut.date())), part)
+        old = table.partition_values(rows.filter(F.col(part) < F.lit(cut.date())), part)
         table.drop_partitions(old)
         dropped = old
         rows = table.read().filter(F.col(part) == F.lit(cut.date()))
     # A null instant is not known to have expired.
     expired = F.expr(f"coalesce({instant} < {instant_literal(cut)}, false)")
-    touched = table._values(rows.filter(expired), part)
+    touched = table.partition_values(rows.filter(expired), part)
     if touched:
         table.overwrite(rows.filter(F.col(part).isin(touched) & ~expired), touched)
     return dropped, touched
