@@ -89,8 +89,7 @@ def main() -> None:
         "gold_job_window": lambda: gold_job(silver.read(), drift, trends, TODAY),
         "dlq_by_reason_code": lambda: drain(reports.dlq_by_reason_code(dlq.read())),
         "trending_rollup": lambda: drain(reports.trending_rollup(trends.read(), TODAY)),
-        "ingest_records": lambda: drain(sweep("raw")),
-        "ingest_quarantine": lambda: drain(sweep("dlq")),
+        "ingest_records": lambda: drain(sweep("records")),
         "sweep_report": lambda: drain(sweep("report")),
     }
     seconds: dict[str, float] = {}

@@ -42,7 +42,7 @@ from tidemark.plans.gold import gold_job
 from tidemark.plans.ingest import ingest
 from tidemark.schemas import CATEGORY_TRENDS, DLQ, RATING_DRIFT, SILVER
 from tidemark.session import workspace
-from tidemark.sources.files import write_jsonl
+from tidemark.sources.files import write_jsonl, write_jsonl_by_topic
 from tidemark.sources.pages import explode_listings
 from tidemark.streaming.bronze import land_files
 from tidemark.streaming.silver import process_batch, rebuild, silver_job
@@ -586,15 +586,16 @@ def prepublish_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sink_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both record streams mirrored as JSONL and read back."""
+    """Records of both topics mirrored as JSONL in one pass and read back."""
     root = workspace(spark, "sink")
     sweep = ingest(recipe.pages(spark, sf_dir), "p1", "events", "raw", "dlq")
-    counts = {}
-    for topic, records in (("raw", sweep.raw), ("dlq", sweep.dlq)):
-        write_jsonl(records, f"{root}/{topic}")
-        counts[topic] = spark.read.text(f"{root}/{topic}").filter(
+    write_jsonl_by_topic(sweep.records, root)
+    counts = {
+        topic: spark.read.text(f"{root}/topic={topic}").filter(
             F.get_json_object("value", "$.producer_id") == "p1"
         )
+        for topic in ("raw", "dlq")
+    }
     return reports.table_counts(counts)
 
 

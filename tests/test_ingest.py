@@ -124,7 +124,7 @@ def test_sweep(spark):
     )
     sweep = ingest(frame, "p1", "src", "raw", "dlq",
                    now="timestamp'2026-06-09 12:00:00.250Z'")
-    (raw,) = sweep.raw.collect()
+    (raw,) = sweep.records.filter("topic = 'raw'").collect()
     envelope = json.loads(raw["value"])
     assert (raw["topic"], raw["key"]) == ("raw", "biz-1")
     assert envelope["observed_at"] == "2026-06-09T12:00:00.000000+00:00"
@@ -132,7 +132,7 @@ def test_sweep(spark):
     assert envelope["payload"]["price"] is None
     assert len(envelope["event_id"]) == 36
 
-    dlq = {r["key"]: json.loads(r["value"]) for r in sweep.dlq.collect()}
+    dlq = {r["key"]: json.loads(r["value"]) for r in sweep.records.filter("topic = 'dlq'").collect()}
     assert set(dlq) == {"x", "5", "unknown"}
     assert dlq["x"]["reason"] == "pre_publish_validation"
     assert [f["code"] for f in dlq["x"]["failures"]] == [
@@ -156,7 +156,7 @@ def test_event_ids_repeat_with_the_input_and_differ_by_position(spark):
     frame = one_page(spark, listing(), listing())
 
     def ids():
-        rows = ingest(frame, "p", "s", "raw", "dlq").raw.collect()
+        rows = ingest(frame, "p", "s", "raw", "dlq").records.collect()
         return {json.loads(r["value"])["event_id"] for r in rows}
 
     assert len(ids()) == 2 and ids() == ids()

@@ -41,28 +41,29 @@ def observation_id(source: str) -> str:
     )
 
 
-def stamp(
-    df: DataFrame,
+def envelope_of(
     producer_id: str,
     source: str,
     now: str = "current_timestamp()",
     event_id: str = RANDOM_EVENT_ID,
     source_endpoint: str = SOURCE_ENDPOINT,
     fetched_at: str = "fetched_at",
-) -> DataFrame:
-    """Add ``envelope`` around ``payload``. Needs the fetch time."""
-    return df.selectExpr(
-        "*",
-        f"""named_struct(
-            'event_id', {event_id},
-            'producer_id', {quoted(producer_id)},
-            'source', {quoted(source)},
-            'source_endpoint', {quoted(source_endpoint)},
-            'schema_version', {SCHEMA_VERSION},
-            'observed_at', {utc_iso(fetched_at)},
-            'ingest_lag_ms', {lag_ms(now, fetched_at)},
-            'payload', payload) AS envelope""",
-    )
+) -> str:
+    """The envelope struct around ``payload``."""
+    return f"""named_struct(
+        'event_id', {event_id},
+        'producer_id', {quoted(producer_id)},
+        'source', {quoted(source)},
+        'source_endpoint', {quoted(source_endpoint)},
+        'schema_version', {SCHEMA_VERSION},
+        'observed_at', {utc_iso(fetched_at)},
+        'ingest_lag_ms', {lag_ms(now, fetched_at)},
+        'payload', payload)"""
+
+
+def stamp(df: DataFrame, producer_id: str, source: str, **args: str) -> DataFrame:
+    """Add ``envelope``; arguments as in :func:`envelope_of`."""
+    return df.selectExpr("*", f"{envelope_of(producer_id, source, **args)} AS envelope")
 
 
 def dlq_event_key(*candidates: str) -> str:
@@ -84,6 +85,23 @@ def outcomes(normalized: DataFrame) -> DataFrame:
     )
 
 
+_UNNORMALISED = f"reason = '{REASON_NORMALIZE}'"
+_RAW_KEY = dlq_event_key(
+    "get_json_object(listing, '$.business_id')", "get_json_object(listing, '$.id')"
+)
+_DLQ_KEY = (
+    f"CASE WHEN {_UNNORMALISED} THEN {_RAW_KEY} ELSE {dlq_event_key('payload.business_id')} END"
+)
+
+
+def _dlq_record(producer_id: str) -> str:
+    """A quarantine record, built as text so that a raw body is embedded as it came."""
+    head = f"""to_json(named_struct('producer_id', {quoted(producer_id)}, 'reason', reason,
+        'failures', failures, 'observed_at', {utc_iso('fetched_at')}))"""
+    body = f"CASE WHEN {_UNNORMALISED} THEN listing ELSE to_json(payload, {_WITH_NULLS}) END"
+    return f"""concat(substring({head}, 1, length({head}) - 1), ',"payload":', {body}, '}}')"""
+
+
 def prepublish_split(
     labelled: DataFrame, producer_id: str, source: str, **stamp_args: str
 ) -> tuple[DataFrame, DataFrame]:
@@ -93,39 +111,36 @@ def prepublish_split(
     there is none.
     """
     valid = stamp(labelled.filter("reason IS NULL"), producer_id, source, **stamp_args)
-    raw = f"reason = '{REASON_NORMALIZE}'"
-    # Built as text so that a raw body is embedded as it came.
-    head = f"""to_json(named_struct('producer_id', {quoted(producer_id)}, 'reason', reason,
-        'failures', failures, 'observed_at', {utc_iso('fetched_at')}))"""
-    body = f"CASE WHEN {raw} THEN listing ELSE to_json(payload, {_WITH_NULLS}) END"
-    raw_key = dlq_event_key(
-        "get_json_object(listing, '$.business_id')", "get_json_object(listing, '$.id')"
-    )
-    key = f"CASE WHEN {raw} THEN {raw_key} ELSE {dlq_event_key('payload.business_id')} END"
     invalid = labelled.filter("reason IS NOT NULL").selectExpr(
-        "*",
-        f"{key} AS dlq_key",
-        f"""concat(substring({head}, 1, length({head}) - 1), ',"payload":', {body}, '}}')
-            AS dlq_record""",
+        "*", f"{_DLQ_KEY} AS dlq_key", f"{_dlq_record(producer_id)} AS dlq_record"
     )
     return valid, invalid
 
 
-def to_kafka_records(df: DataFrame, topic: str, key: str, value: str) -> DataFrame:
-    """``(topic, key, value)`` rows for a Kafka write or a JSONL mirror."""
-    return df.selectExpr(f"{quoted(topic)} AS topic", f"{key} AS key", f"{value} AS value")
+def publish_records(
+    labelled: DataFrame,
+    producer_id: str,
+    source: str,
+    raw_topic: str,
+    dlq_topic: str,
+    **stamp_args: str,
+) -> DataFrame:
+    """``(topic, key, value)`` of every listing, published and quarantined in one pass."""
+    envelope = f"to_json({envelope_of(producer_id, source, **stamp_args)}, {_WITH_NULLS})"
 
+    def either(published: str, quarantined: str) -> str:
+        return f"CASE WHEN reason IS NULL THEN {published} ELSE {quarantined} END"
 
-def envelope_records(stamped: DataFrame, topic: str) -> DataFrame:
-    """Published envelopes as records keyed by business."""
-    return to_kafka_records(
-        stamped, topic, f"envelope.{EVENT_KEY}", f"to_json(envelope, {_WITH_NULLS})"
+    return labelled.selectExpr(
+        f"{either(quoted(raw_topic), quoted(dlq_topic))} AS topic",
+        f"{either(EVENT_KEY, _DLQ_KEY)} AS key",
+        f"{either(envelope, _dlq_record(producer_id))} AS value",
     )
 
 
-def dlq_records(invalid: DataFrame, topic: str) -> DataFrame:
-    """Quarantine records keyed by business, listing id or ``unknown``."""
-    return to_kafka_records(invalid, topic, "dlq_key", "dlq_record")
+def to_kafka_records(df: DataFrame, topic: str, key: str, value: str) -> DataFrame:
+    """``(topic, key, value)`` rows for a Kafka write or a JSONL mirror."""
+    return df.selectExpr(f"{quoted(topic)} AS topic", f"{key} AS key", f"{value} AS value")
 
 
 def sweep_report(labelled: DataFrame, pages: DataFrame) -> DataFrame:

@@ -7,11 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tidemark.operators.envelope import (
-    dlq_records,
-    envelope_records,
     observation_id,
     outcomes,
-    prepublish_split,
+    publish_records,
     sweep_report,
 )
 from tidemark.operators.normalize import normalize
@@ -20,10 +18,13 @@ from tidemark.sources.pages import explode_listings
 
 @dataclass(frozen=True)
 class Sweep:
-    """Lazy outputs of one sweep; write ``raw`` and ``dlq`` to separate places."""
+    """Lazy outputs of one sweep.
 
-    raw: DataFrame
-    dlq: DataFrame
+    ``records`` holds the rows of both topics, so that one pass over the pages feeds
+    one write; ``report`` is a separate, aggregating query.
+    """
+
+    records: DataFrame
     report: DataFrame
 
 
@@ -43,15 +44,15 @@ def ingest(
     events.
     """
     labelled = outcomes(normalize(explode_listings(pages)))
-    valid, invalid = prepublish_split(
-        labelled,
-        producer_id,
-        source,
-        now=now,
-        event_id=observation_id(source) if event_id is None else event_id,
-    )
     return Sweep(
-        raw=envelope_records(valid, raw_topic),
-        dlq=dlq_records(invalid, dlq_topic),
+        records=publish_records(
+            labelled,
+            producer_id,
+            source,
+            raw_topic,
+            dlq_topic,
+            now=now,
+            event_id=observation_id(source) if event_id is None else event_id,
+        ),
         report=sweep_report(labelled, pages),
     )

@@ -47,5 +47,14 @@ def bronze_stream(
 
 
 def write_jsonl(records: DataFrame, directory: str, column: str = "value") -> None:
-    """Mirror outgoing records, one per line; keep one directory per topic."""
+    """Mirror outgoing records, one per line."""
     records.select(column).write.mode("append").text(directory)
+
+
+def write_jsonl_by_topic(records: DataFrame, directory: str) -> None:
+    """Mirror records of several topics in one pass, to ``<directory>/topic=<topic>``.
+
+    A file drop reads one of these directories, so quarantine records never pass for
+    envelopes.
+    """
+    records.select("topic", "value").write.mode("append").partitionBy("topic").text(directory)
