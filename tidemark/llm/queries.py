@@ -8,13 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, quality, secret_scan
+from tidemark.llm import bpe, dart_minhash, line_dedup, mixing, quality, secret_scan, topk, warc, word_windows
+from tidemark.llm.workers import importable
+from tidemark.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -35,6 +38,50 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op3_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{workspace(spark, 'warc')}/archives"
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    captures = warc.assemble(warc.read_archives(spark, path, payload=False))
+    return captures.select(
+        F.col("metadata.page_id").alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"), F.col("response.type").alias("record_type"),
+        F.col("metadata.refers_to_page").alias("refers_to"), F.col("request.record_id").isNotNull().alias("has_request"),
+    )
+
+
+def op4_word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_windows.remove_repeated_windows(_table(spark, sf_dir, "documents"), texts=False)
+
+
+#: Names and weights of the mixing tree: a source's number tells its domain.
+DOMAINS = {"web": range(0, 10), "books": range(10, 15), "code": range(15, 20)}
+WEIGHTS = {
+    ("web",): 0.5, ("books",): 0.3, ("code",): 0.2,
+    **{(d, lang): w for d in DOMAINS for lang, w in (("en", 0.55), ("de", 0.15), ("fr", 0.15), ("es", 0.15))},
+}
+
+
+def mixing_levels() -> dict:
+    number = F.expr("try_cast(regexp_extract(source, '[0-9]+$', 0) AS int)")
+    domain = F.lit("other")
+    for name, numbers in DOMAINS.items():
+        domain = F.when(number.between(numbers.start, numbers.stop - 1), name).otherwise(domain)
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), mixing_levels(), WEIGHTS)
+    path = F.col("mix_path")
+    return mixed.select(
+        "doc_id", path[0].alias("domain"), path[1].alias("lang"), path[2].alias("source"),
+        F.col("mix_epoch").alias("epoch"),
+    )
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -49,7 +96,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_secret_scan, op6_bpe_round_trip, op7_quality_rules)
+    f.__name__: f for f in (
+        op1_secret_scan, op2_dart_minhash, op3_warc_transactions, op4_word_windows, op5_mixing,
+        op6_bpe_round_trip, op7_quality_rules, op9_top_k, op10_line_runs,
+    )
 }
 ORACLE: dict[str, str] = {}
