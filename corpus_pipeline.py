@@ -1,26 +1,73 @@
-"""Stages of the corpus pipeline, each written as Parquet and read again as the next one's documents."""
+"""The corpus pipeline: documents in, token ids out, in five stages.
+
+Each stage is written as Parquet and read again as the next one's documents. All but the last return
+the columns of ``documents``. Rows of a null doc_id stay where a stage decides by doc_id.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality
+from tidemark.llm import bpe, dart_minhash, line_dedup, mixing, quality
+from tidemark.llm.queries import VOCABULARY, WEIGHTS, mixing_levels
+from tidemark.llm.workers import importable
 from tidemark.session import workspace
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep; cutoffs are set on the labelled ones among them."""
+    importable(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    kept = quality.quality_verdicts(docs, labels).filter("kept").select("doc_id")
-    return docs.join(kept.filter("doc_id IS NOT NULL").distinct(), "doc_id", "left_semi")
+    kept = quality.quality_verdicts(docs, labels).filter("kept").select(
+        F.col("doc_id").alias("_kept_id"), F.col("tie").alias("_kept_tie")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.xxhash64("text") == F.col("_kept_tie"))
+    return docs.join(kept, same, "left_semi")
+
+
+def drop_line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the later copies of repeated lines; what has no line left goes."""
+    kept = line_dedup.drop_repeated_lines(docs)
+    some = (F.col("n_removed") == 0) | (F.trim(F.translate("kept_text", "\t\n\r\x0b\x0c", "")) != "")
+    return kept.filter(some).withColumns(
+        {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    ).select(*docs.columns)
+
+
+def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each near-duplicate class."""
+    importable(spark)
+    first = dart_minhash.near_duplicates(docs).filter("doc_id = class_id").select("doc_id").distinct()
+    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return named.union(docs.filter("doc_id IS NULL"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the proportions of the mixing tree; a repeated epoch repeats its rows."""
+    importable(spark)
+    return mixing.mix(docs, mixing_levels(), WEIGHTS).select(*docs.columns)
+
+
+def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and ids of each row."""
+    importable(spark)
+    return bpe.encode(docs, public_tokenizers.path(VOCABULARY))
 
 
-STAGES: list[tuple[str, Stage]] = [("quality", keep_quality)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", keep_quality),
+    ("line_runs", drop_line_runs),
+    ("near_duplicates", keep_one_of_each_class),
+    ("mixing", mix_sources),
+    ("bpe", to_tokens),
+]
+#: The binomial bounds, signatures, budgets and ids are no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
@@ -28,6 +75,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     root = workspace(spark, "pipeline")
     for i, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{root}/{i}_{name}")
-        docs = spark.read.parquet(f"{root}/{i}_{name}")
+        path = f"{root}/{i}_{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

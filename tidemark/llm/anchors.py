@@ -10,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 from tidemark.llm import chunks as ck
+from tidemark.llm import text as tx
 
 _MOST = np.iinfo(np.uint64).max
 
@@ -49,13 +50,13 @@ class Anchors:
     def ask(self, chunk: str, buckets: int):
         """The chunk's cells: its distinct anchors."""
         values = self.values
-        return ck.cells(chunk, ck.bucket_of(values, buckets), buckets, lambda at: (values[at].tobytes(), None, None))
+        return ck.cells(chunk, ck.bucket_of(tx.mix(values), buckets), buckets, lambda at: (values[at].tobytes(), None, None))
 
     def repeated(self, answers: dict[int, bytes], buckets: int) -> np.ndarray:
         """True for the windows whose anchor occurs more than once anywhere."""
         if not len(self.values):
             return np.zeros(len(self.inside), bool)
-        bits, start = ck.read_answers(answers, ck.bucket_of(self.values, buckets), buckets)
+        bits, start = ck.read_answers(answers, ck.bucket_of(tx.mix(self.values), buckets), buckets)
         known = bits[start] | self.several
         change = np.flatnonzero(np.concatenate([[True], self.of[1:] != self.of[:-1]]))
         at = np.minimum(np.searchsorted(self.values, self.of[change]), len(self.values) - 1)

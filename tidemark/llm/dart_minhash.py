@@ -10,9 +10,9 @@ the documents' weighted Jaccard similarity.
 
 Exact copies are folded first. Bands of a signature are joined by their hash: every document of a band is
 compared with the band's first one, exactly on their shingles; classes are the connected components
-of the pairs found. Bands that still hold several classes are compared once more, all across, in
-blocks of bounded size, so that no link between documents of a band is lost; only pairs whose
-signatures could agree are emitted. With 30 bands of 5 a pair of similarity 0.8 shares a band
+of the pairs found. Documents of bands that still hold several classes are compared once more, all
+across, in blocks of bounded size, so that no link between documents of a band is lost; a pair of blocks
+emits what connects classes, no pairs. With 30 bands of 5 a pair of similarity 0.8 shares a band
 with probability 0.99999.
 
 Edge cases: a text without words is a class of its own; one of fewer than five words is one
@@ -39,9 +39,8 @@ WIDTH = 5
 ROWS, BANDS = 5, 30
 COORDINATES = ROWS * BANDS
 LEAST = 0.8
-#: Of the coordinates of a pair of similarity LEAST, this part agrees but for one pair in millions.
-MAY_AGREE = 0.62
-BLOCK = 512
+BLOCK, BLOCK_BYTES = 512, 1 << 20  # documents of a block, and bytes of their packed texts
+COLUMNS = 4096
 _DARTS = COORDINATES * (math.log(COORDINATES) + 2)
 _LOWEST = 6  # the first band of ranks is [0, 2**-6), each further one doubles the range
 _U = np.uint64
@@ -132,12 +131,10 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(ROWS):
             h = tx.join_hash(h, bands[:, :, i])
         weight = np.bincount(doc, minlength=n)
-        small = tx.mix(sig.copy()).astype(np.uint8)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([k.tobytes() for k in keys], pa.binary()), pa.array(weight.astype(np.int64)),
-             pa.array([x.tobytes() for x in small], pa.binary()),
              pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(h.view(np.int64).ravel()))],
-            ["doc_id", "text_key", "weight", "signature", "bands"],
+            ["doc_id", "text_key", "weight", "bands"],
         )
 
 
@@ -167,15 +164,17 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _similar(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of doc_ids of ``docs`` with similarity LEAST or more, computed on the texts."""
+def _texts(docs: DataFrame, pairs: DataFrame, path: str) -> DataFrame:
+    """node and packed text of the documents in the pairs (a, b)."""
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b"))).distinct()
-    texts = docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
+    docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
         _compress, "node bigint, packed binary"
-    )
-    root = workspace(docs.sparkSession, "darts")
-    texts.write.parquet(f"{root}/texts")
-    texts = docs.sparkSession.read.parquet(f"{root}/texts")
+    ).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) with similarity LEAST or more, computed on the texts."""
     joined = (
         pairs.join(texts.select(F.col("node").alias("a"), F.col("packed").alias("one")), "a")
         .join(texts.select(F.col("node").alias("b"), F.col("packed").alias("two")), "b")
@@ -183,48 +182,79 @@ def _similar(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return joined.select("a", "b", "one", "two").mapInArrow(_verify, "a bigint, b bigint")
 
 
-def _cross_pairs(key, rows):
-    """Pairs of different classes in a pair of blocks of one band whose signatures could agree."""
-    left = np.array(rows.column("left").to_pylist(), bool)
-    right = np.array(rows.column("right").to_pylist(), bool)
-    node = rows.column("node").to_numpy()
+def _linked(key, rows):
+    """Links between classes in a pair of blocks: pairs of labels, enough to connect what is similar.
+
+    The shared weight of all pairs is one product of document-by-unit matrices, taken in slices of
+    columns; a unit in one document only is shared by none.
+    """
+    left = np.flatnonzero(rows.column("left").to_numpy(zero_copy_only=False))
+    right = np.flatnonzero(rows.column("right").to_numpy(zero_copy_only=False))
     label = rows.column("label").to_numpy()
-    weight = rows.column("weight").to_numpy().astype(np.float64)
-    sig = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-    a, b = np.flatnonzero(left), np.flatnonzero(right)
-    out_a, out_b = [], []
-    for i in a:
-        fit = (label[b] != label[i]) & (node[b] != node[i])
-        fit &= np.minimum(weight[b], weight[i]) >= LEAST * np.maximum(weight[b], weight[i]) - 1e-9
-        near = b[fit]
-        near = near[(sig[near] == sig[i]).sum(axis=1) >= MAY_AGREE * COORDINATES]
-        out_a.append(np.full(len(near), node[i]))
-        out_b.append(node[near])
-    first = np.concatenate([np.zeros(0, np.int64), *out_a]).astype(np.int64)
-    second = np.concatenate([np.zeros(0, np.int64), *out_b]).astype(np.int64)
-    return pa.table({"a": pa.array(np.maximum(first, second)), "b": pa.array(np.minimum(first, second))})
-
-
-def _rest(bands: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs that may be similar, in bands whose documents are of several classes so far."""
-    own = bands.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = own.groupBy("band").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")
-    ).filter("low <> high")
-    many = own.join(mixed.select(F.col("band"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "band")
-    # Each row goes to the pairs of blocks that its own block is in.
+    unpack = zstandard.ZstdDecompressor().decompress
+    texts = [unpack(t.as_py()) for t in rows.column("packed")]
+    off = np.cumsum([0, *map(len, texts)])
+    element, doc, _ = elements(np.frombuffer(b"".join(texts), np.uint8), off)
+    weight = np.bincount(doc, minlength=len(texts))
+    order = np.argsort(element, kind="stable")
+    element, doc = element[order], doc[order]
+    new = np.ones(len(element), bool)
+    new[1:] = element[1:] != element[:-1]
+    several = ~new
+    several[:-1] |= ~new[1:]
+    doc, column = doc[several], np.cumsum(new[several]) - 1
+    shared = np.zeros((len(left), len(right)), np.float32)
+    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [begin, begin + COLUMNS])
+        has = np.zeros((len(texts), COLUMNS), np.float32)
+        has[doc[a:b], column[a:b] - begin] = 1
+        shared += has[left] @ has[right].T
+    union = weight[left][:, None] + weight[right][None, :] - shared
+    near = (shared >= LEAST * union - 1e-4) & (label[left][:, None] != label[right][None, :])
+    i, j = np.nonzero(near)
+    pairs = np.unique(np.sort(np.stack([label[left[i]], label[right[j]]], axis=1), axis=1), axis=0)
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    out = []
+    for x, y in pairs.tolist():
+        low, high = sorted((find(x), find(y)))
+        if low != high:
+            root[high] = low
+            out.append((high, low))
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+
+def _rest(shared: DataFrame, labels: DataFrame, texts: DataFrame, path: str) -> DataFrame:
+    """Links (a, b) between labels, from bands whose documents are of several classes so far.
+
+    The documents of such bands are gathered by the band's smallest label, so that a group that shares many
+    bands is compared once, and dealt to pairs of blocks of bounded size.
+    """
+    own = shared.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    mixed = own.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    several = mixed.select(F.bitwise_not("band").alias("key"), "low")
+    (own.withColumn("key", F.bitwise_not("band")).join(several, "key").select("low", "node", "label").distinct()
+     .join(texts.select("node", F.octet_length("packed").alias("size")), "node")
+     .groupBy("low", "node", "label").agg(F.max("size").alias("size")).write.parquet(path))
+    many = shared.sparkSession.read.parquet(path)
+    blocks = many.groupBy("low").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_BYTES)).cast("int").alias("blocks")
+    )
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = (
-        many.withColumn("block", block)
+        many.join(blocks.withColumnRenamed("low", "group"), F.col("low") == F.col("group"))
+        .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("band", "node", "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
-        .select("band", "i", "j", "node", "label",
+        .select("low", "node", "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
+        .select("low", "i", "j", "node", "label",
                 (F.col("block") == F.col("i")).alias("left"), (F.col("block") == F.col("j")).alias("right"))
     )
-    return (
-        dealt.join(nodes.select("node", "weight", "signature"), "node").groupBy("band", "i", "j")
-        .applyInArrow(_cross_pairs, "a bigint, b bigint").distinct()
-    )
+    return dealt.join(texts, "node").groupBy("low", "i", "j").applyInArrow(_linked, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -233,7 +263,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     root = workspace(spark, "darts")
     lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lean.mapInArrow(
-        _sketch, "doc_id bigint, text_key binary, weight bigint, signature binary, bands array<bigint>"
+        _sketch, "doc_id bigint, text_key binary, weight bigint, bands array<bigint>"
     ).write.parquet(f"{root}/sketches")
     sketches = spark.read.parquet(f"{root}/sketches")
     # One node per text: its smallest doc_id. Copies of a text have one signature.
@@ -244,8 +274,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     firsts = spark.read.parquet(f"{root}/firsts")
     first_rows = firsts.filter("node IS NOT NULL").select("text_key", F.col("node").alias("doc_id"))
     sketches.join(first_rows, ["text_key", "doc_id"], "left_semi").select(
-        F.col("doc_id").alias("node"), "weight", "signature", "bands"
-    ).dropDuplicates(["node", "signature"]).write.parquet(f"{root}/nodes")
+        F.col("doc_id").alias("node"), "bands"
+    ).distinct().write.parquet(f"{root}/nodes")
     nodes = spark.read.parquet(f"{root}/nodes")
 
     bands = nodes.select("node", F.explode("bands").alias("band"))
@@ -259,16 +289,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     shared = spark.read.parquet(f"{root}/shared")
     stars = shared.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    _similar(lean, stars).distinct().write.parquet(f"{root}/links")
-    links = spark.read.parquet(f"{root}/links")
-    labels = components(links)
-
-    rest = _rest(shared.select("band", "node"), nodes, labels)
-    rest.write.parquet(f"{root}/rest")
-    rest = spark.read.parquet(f"{root}/rest")
-    if rest.limit(1).count():
-        _similar(lean, rest).write.parquet(f"{root}/more")
-        labels = components(links.union(spark.read.parquet(f"{root}/more")))
+    stars.write.parquet(f"{root}/stars")
+    stars = spark.read.parquet(f"{root}/stars")
+    texts = _texts(lean, stars, f"{root}/texts")
+    _similar(stars, texts).write.parquet(f"{root}/links")
+    labels = components(spark.read.parquet(f"{root}/links"))
+
+    _rest(shared.select("band", "node"), labels, texts, f"{root}/mixed").write.parquet(f"{root}/more")
+    more = spark.read.parquet(f"{root}/more")
+    if more.limit(1).count():
+        joined = components(more).select(F.col("node").alias("label"), F.col("label").alias("lower"))
+        # Labels without a document of their own in ``labels`` are documents that had no link yet.
+        alone = joined.join(labels, joined["label"] == labels["node"], "left_anti").select(
+            F.col("label").alias("node"), F.col("lower").alias("label")
+        )
+        labels = labels.join(joined, "label", "left").select(
+            "node", F.coalesce("lower", "label").alias("label")
+        ).union(alone)
     classes = firsts.join(labels, "node", "left").select(
         "text_key", F.coalesce("label", "node").alias("class_id"), "n_copies"
     )

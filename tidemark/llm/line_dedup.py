@@ -34,8 +34,11 @@ def _lines(text: Column) -> Column:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    """doc (the whole row), doc_id, run_tie, run_text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.withColumns({"run_text": text, "run_tie": F.xxhash64(text)})
+    return docs.select(
+        F.struct(*docs.columns).alias("doc"), "doc_id", F.xxhash64(text).alias("run_tie"), text.alias("run_text")
+    )
 
 
 def _positions(docs: DataFrame) -> DataFrame:
@@ -100,19 +103,19 @@ def _double(ranked: DataFrame, by: int) -> DataFrame:
 
 
 def drop_repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with kept_text, n_lines and n_removed; one row per row."""
-    removed = repeated_lines(docs, min_lines, min_chars)
-    keyed = _keyed(docs)
-    on = [keyed[c].eqNullSafe(removed[c]) for c in ("doc_id", "run_tie")]
-    joined = keyed.join(removed, on[0] & on[1], "left").select(
-        *[keyed[c] for c in keyed.columns], removed["removed"]
-    )
+    """``docs`` with kept_text, n_lines and n_removed, which replace columns of these names; one row per row."""
+    removed = repeated_lines(docs, min_lines, min_chars).withColumnsRenamed({"doc_id": "id", "run_tie": "tie"})
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("run_tie") == F.col("tie"))
+    joined = _keyed(docs).join(removed, same, "left").withColumn("run_lines", _lines(F.col("run_text")))
     # The numbers that stay, then the lines they name: linear in the lines, unlike a look-up per line.
     stay = F.array_except(F.sequence(F.lit(0), F.size("run_lines") - 1), F.col("removed"))
     kept = F.transform(stay, lambda i: F.element_at(F.col("run_lines"), i + 1))
-    return joined.withColumn("run_lines", _lines(F.col("run_text"))).select(
-        *docs.columns,
-        F.when(F.col("removed").isNull(), F.col("run_text")).otherwise(F.array_join(kept, "\n")).alias("kept_text"),
-        F.size("run_lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+    added = {
+        "kept_text": F.when(F.col("removed").isNull(), F.col("run_text")).otherwise(F.array_join(kept, "\n")),
+        "n_lines": F.size("run_lines").cast("long"),
+        "n_removed": F.coalesce(F.size("removed"), F.lit(0)).cast("long"),
+    }
+    return joined.select(
+        *[F.col("doc")[c].alias(c) for c in docs.columns if c not in added],
+        *[c.alias(name) for name, c in added.items()],
     )

@@ -30,6 +30,7 @@ from tidemark.llm import text as tx
 from tidemark.session import workspace
 
 MAX_LEAVES = 200_000
+BROADCAST_LEAVES = 20_000  # a plan of at most so many rows is broadcast, a larger one is joined
 BUCKET_ROWS = 20_000
 Path = tuple[str, ...]
 
@@ -98,7 +99,7 @@ def mix(
     docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[Path, float], budget_share: float = 1.0,
     max_epochs: int = 2, seed: int = 1,
 ) -> DataFrame:
-    """``docs`` with the columns mix_path, mix_tokens and mix_epoch (from 0); one row per copy taken.
+    """``docs`` with mix_path and mix_epoch (from 0), which replace such columns; one row per copy taken.
 
     The budget is ``budget_share`` of all words of ``docs``.
     """
@@ -128,12 +129,16 @@ def mix(
         rows.append((list(leaf), whole, rest, max(1, -(-int(r["rows"]) // BUCKET_ROWS))))
     plan = spark.createDataFrame(rows, "mix_path array<string>, whole int, rest long, buckets int")
 
+    def small(df: DataFrame) -> DataFrame:
+        """A row per leaf; its size is known here, so a leaf with most rows need not meet in one task."""
+        return F.broadcast(df) if len(rows) <= BROADCAST_LEAVES else df
+
     def placed(df: DataFrame) -> DataFrame:
         """With each row's place in its leaf's next epoch."""
         key = _order_key(seed, F.col("whole"), F.col("doc_id"), F.col("tie"))
         return df.withColumn("key", key).withColumn("bucket", _bucket(F.col("key"), F.col("buckets")))
 
-    within = placed(sizes.join(plan.filter("rest > 0"), "mix_path"))
+    within = placed(sizes.join(small(plan.filter("rest > 0")), "mix_path"))
     up_to = Window.partitionBy("mix_path").orderBy("bucket")
     ends = (
         within.groupBy("mix_path", "bucket", "rest").agg(F.sum("tokens").alias("tokens"))
@@ -143,22 +148,22 @@ def mix(
     )
     in_order = Window.partitionBy("mix_path").orderBy("key").rangeBetween(Window.unboundedPreceding, 0)
     cuts = (
-        within.join(ends.withColumn("bucket", F.col("cut_bucket")), ["mix_path", "bucket"])
+        within.join(small(ends.withColumn("bucket", F.col("cut_bucket"))), ["mix_path", "bucket"])
         .withColumn("upto", F.col("before") + F.sum("tokens").over(in_order))
         .groupBy("mix_path", "cut_bucket")
         .agg(F.max(F.when(F.col("upto") <= F.col("rest"), F.col("key"))).alias("cut_key"))
     )
     plan.join(cuts, "mix_path", "left").write.parquet(f"{root}/plan")
-    final = placed(
-        docs.withColumns({"mix_path": path, "tie": tie}).join(spark.read.parquet(f"{root}/plan"), "mix_path")
-    )
+    rows_with_plan = docs.select(
+        F.struct(*docs.columns).alias("doc"), "doc_id", path.alias("mix_path"), tie.alias("tie")
+    ).join(small(spark.read.parquet(f"{root}/plan")), "mix_path")
     taken = (F.col("bucket") < F.col("cut_bucket")) | (
         (F.col("bucket") == F.col("cut_bucket")) & (F.col("key") <= F.col("cut_key"))
     )
     copies = F.col("whole") + F.coalesce(taken, F.lit(False)).cast("int")
-    kept = docs.columns
     return (
-        final.withColumn("copies", copies).filter("copies > 0")
+        placed(rows_with_plan).withColumn("copies", copies).filter("copies > 0")
         .withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-        .select(*kept, "mix_path", "mix_epoch")
+        .select(*[F.col("doc")[c].alias(c) for c in docs.columns if c not in ("mix_path", "mix_epoch")],
+                "mix_path", "mix_epoch")
     )

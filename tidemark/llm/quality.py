@@ -213,7 +213,8 @@ def quality_verdicts(
     docs: DataFrame, labels: DataFrame, stratum: Column | None = None,
     max_false_reject: float = 0.01, error: float = 0.05,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, stratum, MEASURES, base_failed, n_rules_failed, kept.
+    """One row per row of ``docs``: doc_id, tie (a hash of the text), stratum, MEASURES, base_failed,
+    n_rules_failed, kept.
 
     The text is read once: measures are written to the shared folder and read back for the
     calibration and the verdicts.
@@ -221,7 +222,8 @@ def quality_verdicts(
     spark = docs.sparkSession
     stratum = F.col("lang") if stratum is None else stratum
     path = f"{workspace(spark, 'quality')}/measures"
-    named = docs.select("doc_id", F.coalesce(stratum.cast("string"), F.lit("")).alias("stratum"), "text")
-    text_measures(named, "doc_id", "stratum").write.parquet(path)
+    named = docs.select("doc_id", F.coalesce(stratum.cast("string"), F.lit("")).alias("stratum"),
+                        F.xxhash64("text").alias("tie"), "text")
+    text_measures(named, "doc_id", "stratum", "tie").write.parquet(path)
     measures = spark.read.parquet(path)
     return apply_rules(measures, choose_cutoffs(measures, labels, max_false_reject, error))

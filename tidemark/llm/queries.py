@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, dart_minhash, line_dedup, mixing, quality, secret_scan, topk, warc, word_windows
+from tidemark.llm import bpe, bwt_dedup, dart_minhash, line_dedup, mixing, quality, secret_scan, topk, warc, word_windows
+from tidemark.llm.oracle import ORACLE
 from tidemark.llm.workers import importable
 from tidemark.session import workspace
 
@@ -96,6 +97,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_bwt_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.remove_repeated_bytes(_table(spark, sf_dir, "documents"), texts=False)
+
+
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -108,7 +113,8 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_secret_scan, op2_dart_minhash, op3_warc_transactions, op4_word_windows, op5_mixing,
-        op6_bpe_round_trip, op7_quality_rules, op9_top_k, op10_line_runs,
+        op6_bpe_round_trip, op7_quality_rules, op8_bwt_byte_dedup, op9_top_k, op10_line_runs,
     )
 }
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES"]
