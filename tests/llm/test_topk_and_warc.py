@@ -16,7 +16,7 @@ def test_top_k(spark):
     rng = random.Random(4)
     base = [[rng.uniform(-1, 1) for _ in range(6)] for _ in range(300)]
     rows = [(i, base[7] if i % 3 == 0 else base[i]) for i in range(300)]
-    rows += [(1000, None), (1050, [1.0, None, 0, 0, 0, 0]), (1001, [math.inf] * 6), (1100, [1.0, 2.0]),
+    rows += [(1000, None), (1050, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (1001, [math.inf] * 6), (1100, [1.0, 2.0]),
              (1002, [0.5, 0.25]), (None, base[1]), (1150, [float("nan")] * 6), (1003, base[5]), (1003, base[5])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(1))
     got = {}

@@ -29,28 +29,26 @@ class Anchors:
     """Anchors of the windows of ``span`` pieces; ``inside`` tells which windows lie in one text."""
 
     def __init__(self, pieces: np.ndarray, usable: np.ndarray, inside: np.ndarray, span: int):
-        pieces = np.where(usable, pieces, _MOST)
         self.inside = inside
         if not len(inside):
-            self.of = np.zeros(0, np.uint64)
-            self.values = self.of
+            self.of = self.values = np.zeros(0, np.uint64)
             self.several = np.zeros(0, bool)
             return
+        pieces = np.where(usable, pieces, _MOST)
         self.of = _slid(pieces, span, np.minimum)
-        shown = np.where(inside, self.of, np.uint64(0))
         pad = np.zeros(span - 1, np.uint64)
-        highest = _slid(np.concatenate([pad, shown, pad]), span, np.maximum)
-        found = np.sort(pieces[(pieces == highest) & usable])
-        new = np.ones(len(found), bool)
-        new[1:] = found[1:] != found[:-1]
-        self.values = found[new]
+        shown = np.concatenate([pad, np.where(inside, self.of, np.uint64(0)), pad])
+        # A piece is an anchor if it is the smallest of some window it is in.
+        found = pieces[(pieces == _slid(shown, span, np.maximum)) & usable]
+        self.values, times = np.unique(found, return_counts=True)
         # Of two or more pieces in this chunk: repeated, whatever the other chunks hold.
-        self.several = np.diff(np.append(np.flatnonzero(new), len(found))) > 1
+        self.several = times > 1
 
     def ask(self, chunk: str, buckets: int):
-        """The chunk's cells: its distinct anchors."""
-        values = self.values
-        return ck.cells(chunk, ck.bucket_of(tx.mix(values), buckets), buckets, lambda at: (values[at].tobytes(), None, None))
+        """The chunk's cells: its distinct anchors, by 32 bits beside those of the bucket."""
+        keys = tx.mix(self.values)
+        short = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        return ck.cells(chunk, ck.bucket_of(keys, buckets), buckets, lambda at: (short[at].tobytes(), None, None))
 
     def repeated(self, answers: dict[int, bytes], buckets: int) -> np.ndarray:
         """True for the windows whose anchor occurs more than once anywhere."""
@@ -66,7 +64,7 @@ class Anchors:
 
 def in_several_chunks(rows: list[dict]) -> list[np.ndarray]:
     """For a bucket of cells of distinct hashes: which of them another cell has too."""
-    parts = [np.frombuffer(r["entries"], np.uint64) for r in rows]
+    parts = [np.frombuffer(r["entries"], np.uint32) for r in rows]
     values = np.concatenate(parts)
     order = np.argsort(values, kind="stable")
     same = values[order[1:]] == values[order[:-1]]

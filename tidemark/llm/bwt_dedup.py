@@ -32,6 +32,7 @@ from tidemark.session import workspace
 
 LENGTH = 50
 _SYMBOLS = 7  # of nine bits, in the first sort key
+PARTS = 32  # of a bucket, by anchor, taken one after the other: a small text is sorted in the cache
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -43,7 +44,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         key = (key << np.uint64(9)) | padded[i : i + n]
     known = _SYMBOLS
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         if known >= depth:
             return order
         rank = np.zeros(n, np.uint64)
@@ -63,11 +64,11 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     those, so it is found in the round after the first boundary there was: breadth first, by value.
     """
     n = len(text)
-    value = np.full(n, most, np.int64)
+    value = np.full(n, most, np.int16)
     if n < 2:
-        return np.zeros(n, np.int64)
-    place = np.zeros(n + 1, np.int64)
-    place[order] = np.arange(n)
+        return np.zeros(n, np.int16)
+    place = np.zeros(n + 1, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
     place[n] = -1  # the empty suffix comes before all
     one, two = order[:-1], order[1:]
     first_same = text[one] == text[two]
@@ -81,7 +82,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     for level in range(most):
         if not len(open_):
             break
-        passed = np.cumsum(boundary)
+        passed = np.cumsum(boundary, dtype=np.int32)
         upto = passed[high] - np.where(low >= 0, passed[low], 0)
         found = upto > 0
         if not found.any() and level:
@@ -120,13 +121,15 @@ class _Stretches:
     def __init__(self, chunk: ck.Chunk, length: int):
         self.chunk, self.length = chunk, length
         n, piece = len(chunk.data), max(1, length // 2)
-        self.windows = max(0, n - length + 1)
-        pieces = max(0, n - piece + 1)
-        at = np.arange(pieces)
-        hashes = tx.range_hash(tx.prefix_sums(chunk.data, 31), at, at + piece) if pieces else np.zeros(0, np.uint64)
-        end = np.repeat(chunk.off[1:], np.diff(chunk.off))  # of the text that each byte is in
-        inside = np.arange(self.windows) + length <= end[: self.windows]
-        self.anchors = Anchors(hashes, at + piece <= end[:pieces], inside, length - piece + 1)
+        starts = np.zeros(n + 1, np.int32)
+        starts[chunk.off] = 1
+        np.cumsum(starts, out=starts)  # equal at both ends of what lies in one text
+
+        def inside(width: int) -> np.ndarray:
+            return starts[: max(0, n - width + 1)] == starts[width - 1 : n]
+
+        hashes = tx.sliding_hash(chunk.data, piece, 31)
+        self.anchors = Anchors(hashes, inside(piece), inside(length), length - piece + 1)
 
     def stretches(self, answers: dict[int, bytes], buckets: int):
         """Start, number of windows, anchor, and the number of the first equal stretch of the chunk."""
@@ -158,11 +161,13 @@ def _stretch_cells(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
         start, count, anchor, same, texts = _Stretches(chunk, length).stretches(chunk.answers[0], buckets)
         first = np.flatnonzero(same == np.arange(len(same)))
         docs, sizes = chunk.order_ids[chunk.doc(start[first])], count[first] + length - 1
+        part = (tx.mix(anchor[first]) % np.uint64(PARTS)).astype(np.uint8)
 
         def rows(i: np.ndarray) -> tuple:
             steps = np.diff(docs[i], prepend=np.int64(0))
             joined = b"".join([texts[first[k]] for k in i])
-            return squeeze(joined), steps.tobytes(), sizes[i].astype(np.uint32).tobytes()
+            parts = (part[i].tobytes(), sizes[i].astype(np.uint32).tobytes())
+            return squeeze(joined), steps.tobytes(), b"".join(parts)
 
         yield ck.cells(chunk.name, ck.bucket_of(tx.mix(anchor[first]), buckets), buckets, rows)
 
@@ -170,26 +175,29 @@ def _stretch_cells(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
 def _decide(rows: list[dict], length: int) -> list[np.ndarray]:
     """For a bucket of cells: one bit per window of each stretch, whether a smaller doc has it."""
     expand = zstandard.ZstdDecompressor().decompress
-    numbers: dict[bytes, int] = {}
-    which, docs, cuts = [], [], [0]
+    texts, docs, parts, cuts = [], [], [], [0]
     for r in rows:
-        sizes = np.frombuffer(r["extra"], np.uint32).astype(np.int64)
+        n = len(r["docs"]) // 8
+        parts.append(np.frombuffer(r["extra"], np.uint8, n))
+        sizes = np.frombuffer(r["extra"], np.uint32, offset=n).astype(np.int64)
         raw = expand(r["entries"], max_output_size=max(1, int(sizes.sum())))
         ends = np.cumsum(sizes)
-        for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
-            which.append(numbers.setdefault(raw[a:b], len(numbers)))
+        texts += [raw[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
         docs.append(np.cumsum(np.frombuffer(r["docs"], np.int64)))
-        cuts.append(len(which))
-    doc, number = np.concatenate(docs), np.array(which, np.int64)
-    least = np.full(len(numbers), np.iinfo(np.int64).max)
-    np.minimum.at(least, number, doc)
-    gone = removable(list(numbers), least, length)
-    later = doc > least[number]
-    out = []
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        bits = [np.ones(len(gone[number[k]]), bool) if later[k] else gone[number[k]] for k in range(a, b)]
-        out.append(np.concatenate(bits) if bits else np.zeros(0, bool))
-    return out
+        cuts.append(len(texts))
+    doc, part = np.concatenate(docs), np.concatenate(parts)
+    bits: list[np.ndarray] = [np.zeros(0, bool)] * len(texts)
+    for p in np.unique(part):
+        at = np.flatnonzero(part == p)
+        numbers: dict[bytes, int] = {}
+        number = np.array([numbers.setdefault(texts[k], len(numbers)) for k in at.tolist()], np.int64)
+        least = np.full(len(numbers), np.iinfo(np.int64).max)
+        np.minimum.at(least, number, doc[at])
+        gone = removable(list(numbers), least, length)
+        later = (doc[at] > least[number]).tolist()
+        for k, x, all_gone in zip(at.tolist(), number.tolist(), later, strict=True):
+            bits[k] = np.ones(len(gone[x]), bool) if all_gone else gone[x]
+    return [np.concatenate([np.zeros(0, bool), *bits[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -203,7 +211,7 @@ def _results(batches: Iterator[pa.RecordBatch], length: int, buckets: int, texts
     for chunk in ck.unpacked(batches):
         start, count, anchor, same, _ = _Stretches(chunk, length).stretches(chunk.answers[0], buckets)
         n = len(chunk.data)
-        gone = np.zeros(n + 1, bool)
+        gone = np.zeros(n, bool)
         first = np.flatnonzero(same == np.arange(len(same)))
         if len(first):
             bits, at = ck.read_answers(chunk.answers[1], ck.bucket_of(tx.mix(anchor[first]), buckets), buckets, count[first])
@@ -214,7 +222,7 @@ def _results(batches: Iterator[pa.RecordBatch], length: int, buckets: int, texts
             gone[_ranges(start[again[later]], count[again[later]])] = True
             equal = again[~later]  # of the same doc: as its first copy
             gone[_ranges(start[equal], count[equal])] = gone[_ranges(start[same[equal]], count[equal])]
-        removed = tx.covered(n, np.flatnonzero(gone[: n]), length)
+        removed = tx.covered(n, np.flatnonzero(gone), length)
         lost = tx.per_text(removed, chunk.off)
         begins = removed.copy()
         edge = np.zeros(n + 1, bool)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
 
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20  # of text for each bucket
 _NULL = np.iinfo(np.int64).min
 CHUNK = "chunk string, n_bytes bigint, doc_ids array<bigint>, sizes array<bigint>, packed binary"

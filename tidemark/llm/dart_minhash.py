@@ -39,7 +39,7 @@ WIDTH = 5
 ROWS, BANDS = 5, 30
 COORDINATES = ROWS * BANDS
 LEAST = 0.8
-BLOCK, BLOCK_BYTES = 512, 1 << 20  # documents of a block, and bytes of their packed texts
+BLOCK, BLOCK_BYTES = 256, 1 << 20  # documents of a block, and bytes of their packed texts
 COLUMNS = 4096
 _DARTS = COORDINATES * (math.log(COORDINATES) + 2)
 _LOWEST = 6  # the first band of ranks is [0, 2**-6), each further one doubles the range
@@ -165,9 +165,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts(docs: DataFrame, pairs: DataFrame, path: str) -> DataFrame:
-    """node and packed text of the documents in the pairs (a, b)."""
+    """node and packed text of the documents in the pairs (a, b).
+
+    Joined by a shuffle at any size: how many documents are wanted grows with the input.
+    """
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b"))).distinct()
-    docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
+    docs.join(wanted.hint("merge"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
         _compress, "node bigint, packed binary"
     ).write.parquet(path)
     return docs.sparkSession.read.parquet(path)

@@ -104,6 +104,16 @@ def range_hash(sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np
     return mix(x + (ends - starts).astype(_U) * _U(0xD6E8FEB86659FD93))
 
 
+def sliding_hash(data: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
+    """Hashes of all ranges of ``width`` bytes; equal bytes have equal hashes anywhere."""
+    if len(data) < width:
+        return np.zeros(0, _U)
+    pre, down = prefix_sums(data, seed)
+    x = pre[width:] - pre[: len(data) - width + 1]
+    x *= down[: len(x)]
+    return mix(x)
+
+
 def join_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The hash of two adjacent pieces from the hashes of both."""
     return mix(left * _BASE + (right ^ _U(0xA0761D6478BD642F)))
@@ -136,8 +146,10 @@ def windows_inside(group: np.ndarray, width: int) -> np.ndarray:
 def covered(n: int, starts: np.ndarray, width: int) -> np.ndarray:
     """True for the items in one of the windows of ``width`` that begin at ``starts``."""
     ends = np.minimum(starts + width, n)
-    depth = np.bincount(starts, minlength=n + 1) - np.bincount(ends, minlength=n + 1)
-    return np.cumsum(depth[:n]) > 0
+    depth = np.zeros(n + 1, np.int32)
+    depth += np.bincount(starts, minlength=n + 1).astype(np.int32)
+    depth -= np.bincount(ends, minlength=n + 1).astype(np.int32)
+    return np.cumsum(depth[:n], dtype=np.int32) > 0
 
 
 def per_text(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
