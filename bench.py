@@ -85,7 +85,7 @@ def main() -> None:
         ),
         "rating_drift_all_days": lambda: drain(gold.rating_drift_daily(silver.read())),
         "category_trends_all_days": lambda: drain(gold.category_trends_daily(silver.read())),
-        "gold_job_all_days": lambda: gold_job(silver.read(), drift, trends, TODAY, days=365),
+        "gold_job_all_days": lambda: gold_job(silver.read(), drift, trends, TODAY, days=None),
         "gold_job_window": lambda: gold_job(silver.read(), drift, trends, TODAY),
         "dlq_by_reason_code": lambda: drain(reports.dlq_by_reason_code(dlq.read())),
         "trending_rollup": lambda: drain(reports.trending_rollup(trends.read(), TODAY)),

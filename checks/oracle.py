@@ -16,7 +16,7 @@ WITH deliveries AS (
 ),
 typed AS (
   SELECT id, copy, ts,
-    id % 97 <> 0 AS parsed,
+    id % 97 <> 0 AND id % 137 <> 0 AND id % 139 <> 0 AS parsed,
     CAST(id AS VARCHAR) AS event_id,
     'b' || user_id AS business_id,
     'Business ' || user_id || ' v' || (id % 3) AS name,
@@ -36,13 +36,15 @@ typed AS (
     CASE WHEN id % 89 = 0 THEN 'garbage'
          ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' END AS observed_text,
     'events' AS kafka_topic, CAST(user_id % 6 AS INTEGER) AS kafka_partition,
-    id + copy * 1000000 AS kafka_offset, 'b' || user_id AS kafka_key,
+    CAST(id * 2 + copy AS BIGINT) AS kafka_offset, 'b' || user_id AS kafka_key,
     ts + INTERVAL (1 + copy) MINUTE AS ingest_ts
   FROM deliveries
 ),
 texts AS (
   SELECT *,
-    CASE WHEN NOT parsed THEN 'not json #' || id ELSE
+    CASE WHEN id % 97 = 0 THEN 'not json #' || id
+      WHEN id % 137 = 0 THEN '{"event_id":"' || id || '"}{}'
+      WHEN id % 139 = 0 THEN '{"event_id":"' || id || '"} more' ELSE
       '{"event_id":"' || id || '","producer_id":"recipe","source":"events",'
       || '"source_endpoint":"businesses/search","schema_version":1,"observed_at":"'
       || observed_text || '","ingest_lag_ms":0,"payload":{"business_id":"' || business_id
@@ -126,7 +128,7 @@ WITH pages_of_events AS (
   SELECT event_id AS id, ts, user_id, event_type, value,
     CASE WHEN event_id % 2 = 0 THEN 'restaurants' ELSE 'bars' END AS search_term,
     'Area ' || (user_id % 3) AS search_location,
-    CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 THEN 0
+    CASE WHEN event_id % 17 = 0 OR event_id % 11 = 0 OR event_id % 13 = 0 THEN 0
          WHEN event_id % 7 = 0 THEN 2 ELSE 1 END AS size
   FROM events
 ),
@@ -287,6 +289,15 @@ _DELIVERY_QUERIES = {
     "retention_prune": f"""{_ALL_SILVER}
         WHERE observed_at >= TIMESTAMP '2024-01-20 12:00:00'""",
     "compaction_same_rows": _ALL_SILVER,
+    "compaction_files": """SELECT day, count(*) AS n, TRUE AS few_files, FALSE AS rewritten_again
+        FROM silver GROUP BY day""",
+    "run_reports": """SELECT 'bronze_rows' AS report, count(*) AS rows FROM texts
+        UNION ALL SELECT 'valid', count(*) FROM labelled WHERE failure_reason IS NULL
+        UNION ALL SELECT 'dlq', count(*) FROM labelled WHERE failure_reason IS NOT NULL
+        UNION ALL SELECT 'unparseable', count(*) FROM labelled WHERE NOT parsed
+        UNION ALL SELECT 'drift_rows', count(*) FROM drift
+        UNION ALL SELECT 'trend_rows', count(*) FROM trends""",
+    "crash_then_write": _ALL_SILVER,
 }
 
 _LISTING_QUERIES = {
@@ -305,7 +316,7 @@ _LISTING_QUERIES = {
         'events' AS source, 'businesses/search' AS source_endpoint,
         CAST(1 AS INTEGER) AS schema_version,
         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS observed_at,
-        CAST(250 AS INTEGER) AS ingest_lag_ms FROM (SELECT *, sha256('{"p0":"' || page_no
+        CAST(250 AS BIGINT) AS ingest_lag_ms FROM (SELECT *, sha256('{"p0":"' || page_no
         || '","p1":"' || position || '"}') AS digest FROM listings WHERE NOT failed)""",
     "partition_key": """SELECT page_no, position, CASE WHEN page_no % 101 = 0 THEN 'unknown'
         ELSE business_id END AS key FROM listings""",
@@ -316,6 +327,7 @@ _LISTING_QUERIES = {
     "sink_records": """SELECT CASE WHEN reason IS NULL THEN 'raw' ELSE 'dlq' END
         AS table_name, count(*) AS rows FROM outcomes GROUP BY 1""",
     "sweep_totals": """SELECT p.search_location, p.search_term,
+        grouping(p.search_location, p.search_term) <> 0 AS is_total,
         count(DISTINCT p.search_location) AS cities_attempted,
         count(DISTINCT p.id) AS pages_fetched, count(o.id) AS businesses_seen,
         count(*) FILTER (o.id IS NOT NULL AND o.reason IS NULL) AS accepted,
@@ -343,9 +355,12 @@ _OTHER_QUERIES = {
           NOT (k IN (6, 7, 8) OR (k IN (0, 1, 3) AND w IN (0, 1) )) AS bad_bool
         FROM v""",
     "ingest_lag": """SELECT event_id, CAST(greatest(0,
-        floor(((event_id * 137911) % 5000000 - 1000000) / 1000)) AS INTEGER)
+        floor(((event_id * 137911) % 5000000 - 1000000) / 1000)) AS BIGINT)
         AS ingest_lag_ms FROM events""",
-    "observed_at_utc": """SELECT event_id, CASE event_id % 6 WHEN 0 THEN ts WHEN 1 THEN ts
+    "page_failures": """SELECT event_id AS page_no, CASE event_id % 3 WHEN 0 THEN 'page not found'
+        WHEN 1 THEN '{"total":1,"businesses":[{"id":"b' ELSE '{"total":1,"businesses":"none"}' END
+        AS body FROM events WHERE event_id % 17 = 0""",
+    "observed_at_utc": """SELECT event_id, CASE event_id % 7 WHEN 0 THEN ts WHEN 1 THEN ts
         WHEN 2 THEN date_trunc('second', ts) WHEN 3 THEN date_trunc('day', ts) END
         AS observed_at FROM events""",
 }

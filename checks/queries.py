@@ -43,11 +43,11 @@ from tidemark.plans.ingest import ingest
 from tidemark.schemas import CATEGORY_TRENDS, DLQ, RATING_DRIFT, SILVER
 from tidemark.session import workspace
 from tidemark.sources.files import write_jsonl, write_jsonl_by_topic
-from tidemark.sources.pages import explode_listings
+from tidemark.sources.pages import explode_listings, failed_pages
 from tidemark.streaming.bronze import land_files
 from tidemark.streaming.silver import process_batch, rebuild, silver_job
 from tidemark.tables.parquet import ParquetTable
-from tidemark.tables.upkeep import compact, prune
+from tidemark.tables.upkeep import compact, prune, small_file_partitions
 
 TODAY = dt.date.fromisoformat(recipe.TODAY)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -215,7 +215,7 @@ def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All first deliveries, then all redeliveries: the later copy wins."""
     silver, dlq = _tables(spark, "silver-upsert")
     rows = recipe.bronze(spark, sf_dir)
-    first = F.col("kafka_offset") < 1_000_000
+    first = F.col("kafka_offset") % 2 == 0
     process_batch(rows.filter(first), silver, dlq, 0)
     process_batch(rows.filter(~first), silver, dlq, 1)
     return _silver_view(silver.read())
@@ -295,7 +295,7 @@ def kafka_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dropped_files(spark: SparkSession, sf_dir: str, root: str) -> str:
     drop = f"{root}/drop"
-    write_jsonl(recipe.bronze(spark, sf_dir).repartition(8), drop, "raw_envelope")
+    write_jsonl(recipe.bronze(spark, sf_dir).repartition("kafka_offset"), drop, "raw_envelope")
     return drop
 
 
@@ -367,7 +367,7 @@ def gold_replace_keeps_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     drift, trends = _gold_tables(spark, "history")
     silver = _silver(spark, sf_dir)
     altered = silver.withColumn("review_count", F.col("review_count") + 1000)
-    gold_job(altered, drift, trends, TODAY, days=365)
+    gold_job(altered, drift, trends, TODAY, days=None)
     gold_job(silver, drift, trends, TODAY)
     return _drift_view(drift.read())
 
@@ -377,7 +377,7 @@ def gold_empty_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A window without observations leaves the table alone."""
     drift, trends = _gold_tables(spark, "empty-window")
     silver = _silver(spark, sf_dir)
-    gold_job(silver, drift, trends, TODAY, days=365)
+    gold_job(silver, drift, trends, TODAY, days=None)
     gold_job(silver, drift, trends, TODAY + dt.timedelta(days=300))
     return _trends_view(trends.read())
 
@@ -459,6 +459,12 @@ def listings_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_no", "position", "search_term", "search_location", "listing")
 
 
+@query
+def page_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that cannot be read, with their raw bodies."""
+    return failed_pages(recipe.pages(spark, sf_dir)).select("page_no", "body")
+
+
 @query
 def listing_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     usable, _ = _listings(spark, sf_dir)
@@ -550,9 +556,10 @@ def observed_at_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat(date_format(ts, 'yyyy-MM-dd HH:mm:ss'), 'Z')",
         "date_format(ts, 'yyyy-MM-dd')",
         "date_format(ts, 'HH:mm:ss')",
+        "concat(date_format(ts, 'HH:mm:ss'), '+00:00')",
         "event_type",
     ]
-    text = f"element_at(array({', '.join(texts)}), cast(event_id % 6 + 1 AS int))"
+    text = f"element_at(array({', '.join(texts)}), cast(event_id % 7 + 1 AS int))"
     return (
         recipe.events(spark, sf_dir)
         .selectExpr("event_id", f"{text} AS observed_text")
@@ -622,6 +629,51 @@ def compaction_same_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, _ = split_classified(_classified(spark, sf_dir))
     rows = with_day(latest_observations(valid))
     # Written without a layout step: many small files per day.
-    rows.repartition(8).write.partitionBy("day").parquet(silver.path)
+    rows.repartition("event_id").write.partitionBy("day").parquet(silver.path)
     compact(silver, target_mb=16)
     return _silver_view(silver.read())
+
+
+@query
+def compaction_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days whose files are few enough after compaction, and what a second run rewrites."""
+    silver, _ = _tables(spark, "compact-files")
+    rows = _silver(spark, sf_dir)
+    rows.repartition("event_id").write.partitionBy("day").parquet(silver.path)
+    compact(silver, target_mb=16)
+    left = [r["day"] for r in small_file_partitions(silver, 16).select(F.col("day").cast("date").alias("day")).collect()]
+    again = compact(silver, target_mb=16)
+    return silver.read().groupBy("day").agg(F.count(F.lit(1)).alias("n")).select(
+        "day", "n", (~F.col("day").isin(left)).alias("few_files"), F.col("day").isin(again).alias("rewritten_again")
+    )
+
+
+@query
+def run_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the landing, silver and gold runs report about themselves."""
+    root = workspace(spark, "reports")
+    landed = land_files(spark, _dropped_files(spark, sf_dir, root), f"{root}/bronze", f"{root}/cp")
+    silver, dlq = _tables(spark, "reports")
+    batch = process_batch(recipe.bronze(spark, sf_dir), silver, dlq)
+    result = gold_job(silver.read(), *_gold_tables(spark, "reports"), TODAY, days=None)
+    counts = {
+        "bronze_rows": landed.input_rows, "valid": batch.valid, "dlq": batch.dlq,
+        "unparseable": batch.unparseable, "drift_rows": result.rating_drift_rows,
+        "trend_rows": result.category_trends_rows,
+    }
+    return spark.createDataFrame(list(counts.items()), "report string, rows long")
+
+
+@query
+def crash_then_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replacement that a dead driver left binding, then another writer: nothing reverts."""
+    silver, _ = _tables(spark, "crash")
+    rows = _silver(spark, sf_dir)
+    silver.append(rows.withColumn("name", F.lit("before")))
+    days = silver.partition_values(silver.read(), "day")
+    dead = ParquetTable(spark, silver.path, SILVER)
+    dead.recover = lambda: None
+    dead.overwrite(rows, days)
+    silver.append(rows.limit(0))
+    silver.recover()
+    return _silver_view(silver.read())

@@ -8,9 +8,9 @@ import json
 
 from pyspark.sql import SparkSession
 
-from tidemark.schemas import TableSpec
+from tidemark.schemas import BRONZE, TableSpec
 from tidemark.tables import MergeTable, ParquetTable, open_table
-from tidemark.tables.bootstrap import location
+from tidemark.tables.bootstrap import location, sync_partitions
 
 
 def parser(description: str | None) -> argparse.ArgumentParser:
@@ -30,6 +30,25 @@ def table(spark: SparkSession, args: argparse.Namespace, spec: TableSpec) -> Par
     return open_table(spark, prefix + spec.full_name, spec, args.format)
 
 
+def show(spark: SparkSession, args: argparse.Namespace, *specs: TableSpec) -> None:
+    """Let readers by name see what was written by path, where the table was bootstrapped."""
+    if args.format != "parquet":
+        return
+    for spec in specs:
+        name = f"{args.catalog}.{spec.full_name}" if args.catalog else spec.full_name
+        if spark.catalog.tableExists(name):
+            sync_partitions(spark, spec, args.catalog)
+
+
+def bronze_table(args: argparse.Namespace) -> str:
+    """Directory of bronze under ``--root``, else its catalog name."""
+    if args.root:
+        return location(BRONZE, args.root)
+    if not args.catalog:
+        raise SystemExit("--root or --catalog is required")
+    return f"{args.catalog}.{BRONZE.full_name}"
+
+
 def today_utc() -> dt.date:
     return dt.datetime.now(dt.timezone.utc).date()
 

@@ -3,7 +3,7 @@
 import datetime as dt
 from dataclasses import asdict
 
-from jobs.common import parser, report, table, today_utc
+from jobs.common import parser, report, show, table, today_utc
 from tidemark.plans.gold import gold_job
 from tidemark.schemas import CATEGORY_TRENDS, RATING_DRIFT, SILVER
 from tidemark.session import build_session
@@ -21,6 +21,7 @@ def main(argv: list[str] | None = None) -> None:
         table(spark, args, CATEGORY_TRENDS), args.today or today_utc(), args.days,
         args.cap_at_today,
     )
+    show(spark, args, RATING_DRIFT, CATEGORY_TRENDS)
     report("gold", **asdict(result))
 
 

@@ -2,11 +2,10 @@
 
 from dataclasses import asdict
 
-from jobs.common import parser, report, table
-from tidemark.schemas import BRONZE, DLQ, SILVER
+from jobs.common import bronze_table, parser, report, show, table
+from tidemark.schemas import DLQ, SILVER
 from tidemark.session import build_session
 from tidemark.streaming.silver import silver_job
-from tidemark.tables.bootstrap import location
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -19,10 +18,11 @@ def main(argv: list[str] | None = None) -> None:
     args = p.parse_args(argv)
     spark = build_session("silver")
     run = silver_job(
-        spark, args.bronze or location(BRONZE, args.root),
+        spark, args.bronze or bronze_table(args),
         table(spark, args, SILVER), table(spark, args, DLQ), args.checkpoint,
         max_files=args.max_files, keys_keep_partition=args.keys_keep_partition,
     )
+    show(spark, args, SILVER, DLQ)
     for batch in run.batches:
         report("silver", **asdict(batch))
     report("silver", rows=run.run.input_rows, batches=run.run.batches)

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from jobs.common import parser, report, table
+from jobs.common import parser, report, show, table
 from tidemark.schemas import CATEGORY_TRENDS, DLQ, RATING_DRIFT, SILVER
 from tidemark.session import build_session
 from tidemark.tables.upkeep import compact, prune
@@ -13,6 +13,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--target-mb", type=int, default=128)
     p.add_argument("--ttl-hours", type=float, help="prune silver and quarantine rows older than this")
     args = p.parse_args(argv)
+    if args.format != "parquet":
+        raise SystemExit("upkeep is for parquet tables; a format with MERGE brings its own")
     spark = build_session("upkeep")
     silver, dlq = table(spark, args, SILVER), table(spark, args, DLQ)
     if args.ttl_hours is not None:
@@ -22,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
             report("prune", table=t.spec.full_name, dropped=len(dropped), rewritten=len(rewritten))
     for t in (silver, dlq, table(spark, args, RATING_DRIFT), table(spark, args, CATEGORY_TRENDS)):
         report("compact", table=t.spec.full_name, partitions=len(compact(t, args.target_mb)))
+    show(spark, args, SILVER, DLQ, RATING_DRIFT, CATEGORY_TRENDS)
 
 
 if __name__ == "__main__":

@@ -29,7 +29,7 @@ def silver(spark, data):
     return with_day(spark.createDataFrame(
         data, "business_id string, name string, rating double, review_count int, "
         "categories array<string>, at string",
-    ).selectExpr("*", "'Boston' AS city", "cast(concat(at, 'Z') AS timestamp) AS observed_at",
+    ).selectExpr("*", "'Trondheim' AS city", "cast(concat(at, 'Z') AS timestamp) AS observed_at",
                  "concat(business_id, at) AS event_id"))
 
 
@@ -134,7 +134,7 @@ def test_job_replaces_the_window_only(spark):
 
 def test_window_over_all_days_equals_a_full_run(spark):
     drift, trends = gold_tables(spark)
-    gold_job(silver(spark, DATA), drift, trends, TODAY, days=365)
+    gold_job(silver(spark, DATA), drift, trends, TODAY, days=None)
     columns = drift.read().columns
     assert as_rows(drift.read(), *columns) == as_rows(
         rating_drift_daily(silver(spark, DATA)), *columns)

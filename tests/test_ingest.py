@@ -3,25 +3,26 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import MISSING
 from tidemark.operators.envelope import REASON_NORMALIZE, outcomes
 from tidemark.operators.normalize import normalize
 from tidemark.plans.ingest import ingest
-from tidemark.sources.pages import explode_listings
+from tidemark.sources.pages import explode_listings, failed_pages
 
 GOOD = {
+    "distance": 803.25,
+    "name": "Lantern & Page",
     "id": "biz-1",
-    "name": "Cafe",
-    "url": "https://example.org/1",
+    "review_count": 37,
+    "rating": 3.5,
     "is_closed": False,
-    "rating": 4.5,
-    "review_count": 218,
-    "categories": [{"alias": "cafes", "title": "Cafes"}],
-    "coordinates": {"latitude": 42.3601, "longitude": -71.0589},
-    "location": {"address1": "1 Main St", "city": "Boston", "zip_code": "02108"},
-    "transactions": ["delivery"],
-    "distance": 12.5,
+    "url": "https://example.net/lantern",
+    "transactions": ["pickup"],
+    "location": {"city": "Trondheim", "zip_code": "7010", "address1": "Kaigata 9"},
+    "coordinates": {"longitude": 10.395, "latitude": 63.43},
+    "categories": [{"title": "Bookshops", "alias": "bookstores"}],
 }
 
 
@@ -33,7 +34,7 @@ def listing(**changes) -> dict:
 def pages(spark, *bodies):
     rows = [(b if isinstance(b, str) else json.dumps(b), i) for i, b in enumerate(bodies)]
     return spark.createDataFrame(rows, "body string, page_no int").selectExpr(
-        "*", "'restaurants' AS search_term", "'Boston' AS search_location",
+        "*", "'bookshops' AS search_term", "'Harbour Quarter' AS search_location",
         "timestamp'2026-06-09 12:00:00Z' AS fetched_at",
     )
 
@@ -49,9 +50,25 @@ def test_pages_without_listings_yield_none(spark):
     assert [(r["page_no"], r["position"]) for r in rows] == [(4, 0)]
 
 
+def test_broken_pages_are_told(spark):
+    whole = json.dumps({"businesses": [listing()]})
+    frame = pages(spark, {"businesses": []}, {"total": 0}, {"businesses": None}, "junk", whole, whole[:-9],
+                  {"businesses": "none"}, "[]", "")
+    failed = failed_pages(frame).collect()
+    assert sorted(r["page_no"] for r in failed) == [3, 5, 6, 7, 8]
+    assert {r["body"] for r in failed} >= {"junk", whole[:-9]}
+
+
+def test_report_of_searches_without_a_term(spark):
+    frame = one_page(spark, listing()).withColumn("search_term", F.lit(None).cast("string"))
+    report = ingest(frame, "p1", "src", "raw", "dlq").report.collect()
+    got = {r["is_total"]: (r["pages_fetched"], r["businesses_seen"], r["accepted"]) for r in report}
+    assert len(report) == 2 and got == {False: (1, 1, 1), True: (1, 1, 1)}
+
+
 # (change, expected payload members) or (change, None) for a failure
 NORMALISE = {
-    "good": ({}, {"business_id": "biz-1", "categories": ["cafes"], "rating": 4.5}),
+    "good": ({}, {"business_id": "biz-1", "categories": ["bookstores"], "rating": 3.5}),
     "sparse": (
         {"url": MISSING, "transactions": MISSING, "is_closed": MISSING},
         {"url": None, "transactions": [], "is_closed": None},
@@ -64,9 +81,9 @@ NORMALISE = {
     "id number": ({"id": 5}, None),
     "url number": ({"url": 5}, None),
     "city number": ({"location": {"city": 5}}, None),
-    "quoted rating": ({"rating": "4.5"}, {"rating": 4.5}),
+    "quoted rating": ({"rating": "2.5"}, {"rating": 2.5}),
     "word rating": ({"rating": "great"}, None),
-    "suffixed rating": ({"rating": "4.5d"}, None),
+    "suffixed rating": ({"rating": "2.5d"}, None),
     "bool rating": ({"rating": True}, {"rating": 1.0}),
     "integral count": ({"review_count": 10.0}, {"review_count": 10}),
     "quoted count": ({"review_count": "10"}, {"review_count": 10}),
@@ -82,9 +99,9 @@ NORMALISE = {
     "alias empty": ({"categories": [{"alias": ""}, {"title": "x"}, {"alias": "b"}]},
                     {"categories": ["b"]}),
     "alias number": ({"categories": [{"alias": 5}]}, None),
-    "category text": ({"categories": ["cafes"]}, None),
+    "category text": ({"categories": ["tea"]}, None),
     "category null": ({"categories": [None, {"alias": "a"}]}, None),
-    "categories text": ({"categories": "cafes"}, None),
+    "categories text": ({"categories": "tea"}, None),
     "transaction number": ({"transactions": [5]}, None),
     "transaction null": ({"transactions": [None]}, None),
     "quote in name": ({"name": 'The "id": 5 Bar'}, {"name": 'The "id": 5 Bar'}),
@@ -106,9 +123,9 @@ def test_normalise(normalised, name):
     for key, value in (expected or {}).items():
         assert row["payload"][key] == value
     if name == "good":
-        assert row["payload"]["location"]["city"] == "Boston"
-        assert row["payload"]["coordinates"]["latitude"] == 42.3601
-        assert row["payload"]["search_term"] == "restaurants"
+        assert row["payload"]["location"]["city"] == "Trondheim"
+        assert row["payload"]["coordinates"]["latitude"] == 63.43
+        assert row["payload"]["search_term"] == "bookshops"
 
 
 def test_escaped_member_name_is_not_missed(spark):

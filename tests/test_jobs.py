@@ -8,8 +8,10 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import connect, difference
+from checks.oracle import statements
+from checks.queries import registry
 from helpers import envelope
-from jobs import bootstrap, bronze, gold, silver, upkeep
+from jobs import bootstrap, bronze, gold, ingest, silver, upkeep
 from tidemark.session import workspace
 
 SMALL = "/root/testdata/sf0.001"
@@ -32,11 +34,36 @@ def test_mains_run_in_sequence(spark, capsys):
     assert reports["bronze"][0]["rows"] == 4
     assert [(r["valid"], r["dlq"]) for r in reports["silver"] if "valid" in r] == [(2, 2)] * 2
     first, second = reports["gold"]
-    assert (first["rating_drift_rows"], first["category_trends_rows"]) == (1, 1)
+    assert (first["rating_drift_rows"], first["category_trends_rows"]) == (1, 2)
     assert second["skipped"] and second["as_of"] == "2026-07-08"
-    for name in ("bronze.business_events_raw", "silver.business_events", "dlq.business",
-                 "gold.rating_drift_daily", "gold.category_trends_daily"):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    rows = {"bronze.business_events_raw": 4, "silver.business_events": 2, "dlq.business": 2,
+            "gold.rating_drift_daily": 1, "gold.category_trends_daily": 2}
+    for name, count in rows.items():
+        assert spark.table(name).count() == count, name
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_ingest_main(spark, capsys):
+    root = workspace(spark, "ingest")
+    good = {"id": "b1", "name": "n", "rating": 4, "review_count": 1, "categories": [{"alias": "a"}],
+            "coordinates": {"latitude": 1, "longitude": 2}, "location": {"city": "c"}}
+    bodies = [json.dumps({"businesses": [good, {"id": 5}]}), "broken", '{"businesses": []}']
+    spark.createDataFrame([(b,) for b in bodies], "body string").selectExpr(
+        "body", "'t' AS search_term", "'l' AS search_location", "timestamp'2026-06-09 12:00:00Z' AS fetched_at",
+    ).write.parquet(f"{root}/pages")
+    ingest.main(["--pages", f"{root}/pages", "--producer-id", "p", "--source", "s", "--raw-topic", "raw",
+                 "--dlq-topic", "dlq", "--out", f"{root}/out", "--failed-pages", f"{root}/failed"])
+    line = json.loads(capsys.readouterr().out.splitlines()[-1])
+    assert (line["pages_fetched"], line["businesses_seen"], line["accepted"], line["rejected"]) == (3, 2, 1, 1)
+    assert line["failed_pages"] == 1 and spark.read.json(f"{root}/failed").first()["body"] == "broken"
+    assert spark.read.text(f"{root}/out/topic=raw").count() == spark.read.text(f"{root}/out/topic=dlq").count() == 1
+
+
+def test_other_formats_need_a_name(spark):
+    with pytest.raises(SystemExit):
+        bronze.main(["--source", "files", "--drop", "d", "--checkpoint", "c"])
+    with pytest.raises(SystemExit):
+        upkeep.main(["--format", "delta", "--catalog", "c"])
 
 
 def test_root_is_required_for_parquet(spark):
@@ -50,13 +77,14 @@ def oracle():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry()) == set(statements())
+    assert set(registry()) <= set(contract.queries()) and set(statements()) <= set(contract.oracle_sql())
 
 
 def test_flagship_query(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(registry()))
 def test_query_equals_its_counterpart(spark, oracle, name):
     assert difference(spark, oracle, name, SMALL) is None

@@ -27,19 +27,19 @@ CASES = {
     "event id": (envelope(event_id=" "), ["missing_event_id"]),
     "observed": (envelope(observed_at="garbage"), ["missing_observed_at"]),
     "rating": (envelope(rating=7.0), ["rating_out_of_range"]),
-    "half step": (envelope(rating=4.2), ["rating_out_of_range"]),
+    "half step": (envelope(rating=2.7), ["rating_out_of_range"]),
     "rating zero": (envelope(rating=0.5), ["rating_out_of_range"]),
     "rating null": (envelope(rating=None), ["missing_rating"]),
     "rating absent": (envelope(rating=MISSING), ["missing_rating"]),
     "rating text": (envelope(rating="good"), ["bad_rating_type"]),
-    "rating quoted": (envelope(rating="4.5"), ["bad_rating_type"]),
+    "rating quoted": (envelope(rating="2.5"), ["bad_rating_type"]),
     "rating int": (envelope(rating=4), []),
-    "count": (envelope(review_count=-1), ["negative_review_count"]),
+    "count": (envelope(review_count=-12), ["negative_review_count"]),
     "count null": (envelope(review_count=None), ["missing_review_count"]),
     "count float": (envelope(review_count=10.0), ["bad_review_count_type"]),
     "count huge": (envelope(review_count=99999999999), ["bad_review_count_type"]),
-    "latitude": (envelope(coordinates__latitude=100.0), ["latitude_out_of_range"]),
-    "longitude": (envelope(coordinates__longitude=-200.0), ["longitude_out_of_range"]),
+    "latitude": (envelope(coordinates__latitude=-91.5), ["latitude_out_of_range"]),
+    "longitude": (envelope(coordinates__longitude=181.25), ["longitude_out_of_range"]),
     "no latitude": (
         envelope(coordinates__latitude=None, coordinates__longitude=999.0),
         ["missing_coordinates", "longitude_out_of_range"],
@@ -55,8 +55,8 @@ CASES = {
     "category digits": (envelope(categories=["5"]), []),
     "category lines": (envelope(categories=["a\n\nb"]), []),
     "all": (
-        envelope(business_id="", name="", rating=99, review_count=-1, categories=[],
-                 coordinates__latitude=999, coordinates__longitude=999, location__city=""),
+        envelope(location__city=" ", coordinates__longitude=-640.5, coordinates__latitude=123.75,
+                 categories=[], review_count=-7, rating=0.25, name=" ", business_id=" "),
         ["missing_business_id", "missing_name", "rating_out_of_range",
          "negative_review_count", "latitude_out_of_range", "longitude_out_of_range",
          "missing_city", "missing_categories"],
@@ -70,6 +70,13 @@ CASES = {
     "array": ("[1, 2]", [CODE_PARSE]),
     "array of envelopes": (f"[{envelope()}]", [CODE_PARSE]),
     "scalar": ("5", [CODE_PARSE]),
+    "two envelopes": (envelope() + envelope(), [CODE_PARSE]),
+    "two lines": (envelope() + "\n" + envelope(), [CODE_PARSE]),
+    "text after": (envelope() + " xyz", [CODE_PARSE]),
+    "brace after": (envelope() + "}", [CODE_PARSE]),
+    "list after": (envelope() + "," + envelope(), [CODE_PARSE]),
+    "braces in a name": (envelope(name="a } b {{ c"), []),
+    "space after": (envelope() + " \n", []),
     "payload text": (
         json.dumps({"event_id": "e", "observed_at": "2026-01-01", "payload": "x"}),
         ["missing_business_id", "missing_name", "missing_rating", "missing_review_count",
@@ -96,6 +103,12 @@ def test_codes(codes, name):
         assert row["failure_reason"] == (REASON_RULES if expected else None)
 
 
+@pytest.mark.parametrize(("value", "kind"), [("good", "str"), ([1], "list"), ({"a": 1}, "dict")])
+def test_the_message_names_the_type_of_a_bad_rating(spark, value, kind):
+    row = failure_details(decode(bronze(spark, [envelope(rating=value)]))).first()
+    assert [f["message"] for f in row["failures"]] == [f"rating must be numeric, got {kind}"]
+
+
 def test_nothing_is_dropped(spark):
     frame = classify(bronze(spark, [t for t, _ in CASES.values()]))
     valid, quarantined = split_classified(frame)

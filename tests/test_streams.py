@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import os
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.errors import StreamingQueryException
 
@@ -45,6 +49,18 @@ def test_file_drop_lands_lines_verbatim_and_resumes(spark):
     assert rows[odd]["kafka_topic"] == "file://volume" and rows[odd]["kafka_offset"] == -1
 
 
+def test_an_old_file_lands_after_newer_ones(spark):
+    root = workspace(spark, "t")
+    drop(spark, f"{root}/drop", [envelope("a")])
+    land_files(spark, f"{root}/drop", f"{root}/bronze", f"{root}/cp")
+    before = set(Path(f"{root}/drop").glob("part-*"))
+    drop(spark, f"{root}/drop", [envelope("b")])
+    for file in set(Path(f"{root}/drop").glob("part-*")) - before:
+        os.utime(file, (time.time() - 30 * 86_400,) * 2)
+    assert land_files(spark, f"{root}/drop", f"{root}/bronze", f"{root}/cp").input_rows == 1
+    assert spark.read.parquet(f"{root}/bronze").count() == 2
+
+
 def test_report_sums_over_micro_batches(spark):
     root = workspace(spark, "t")
     for name in "abcd":

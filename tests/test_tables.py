@@ -107,6 +107,53 @@ def test_crash_during_the_replacement_is_finished_by_the_next_write(spark, table
     assert report.rewritten == ()
 
 
+def half_replaced(spark, table, monkeypatch):
+    """Day 1 is to become a=10, day 2 to go; the driver died before the first directory moved."""
+    table.upsert(rows(spark, [("a", 1, 1), ("b", 2, 2), ("c", 3, 3)]))
+    with monkeypatch.context() as patch:
+        patch.setattr(ParquetTable, "recover", lambda self: None)
+        table.overwrite(rows(spark, [("a", 10, 1)]), [dt.date(2024, 1, 1), dt.date(2024, 1, 2)])
+    paths.delete(spark, f"{table.path}/day=2024-01-01")
+
+
+AFTER = {"a": (10, 1), "c": (3, 3)}
+WRITERS = {
+    "append": (lambda s, t: t.append(rows(s, [("x", 7, 1)])), {"x": (7, 1)}),
+    "insert": (lambda s, t: t.insert_absent(rows(s, [("x", 7, 2), ("a", 5, 1)])), {"x": (7, 2)}),
+    "upsert": (lambda s, t: t.upsert(rows(s, [("x", 7, 3)])), {"x": (7, 3)}),
+    "replace": (lambda s, t: t.replace_days(rows(s, [("a", 99, 1), ("c", 3, 3)]), dt.date(2024, 1, 1)), {"a": (99, 1)}),
+    "drop": (lambda s, t: t.drop_partitions([dt.date(2024, 1, 9)]), {}),
+    "compact": (lambda s, t: compact(t, 1), {}),
+}
+
+
+@pytest.mark.parametrize("name", list(WRITERS))
+def test_every_writer_finishes_a_replacement_first(spark, table, monkeypatch, name):
+    half_replaced(spark, table, monkeypatch)
+    write, change = WRITERS[name]
+    write(spark, table)
+    assert content(table) == AFTER | change
+    assert not paths.exists(spark, f"{table.path}/_pending")
+    compact(table, 1)
+    assert content(table) == AFTER | change
+
+
+def test_readers_see_the_replacement_before_it_is_moved(spark, table, monkeypatch):
+    half_replaced(spark, table, monkeypatch)
+    assert content(table) == AFTER
+    paths.move(spark, f"{table.path}/_pending/rows/day=2024-01-01", f"{table.path}/day=2024-01-01")
+    assert content(table) == AFTER
+    table.recover()
+    assert content(table) == AFTER
+
+
+def test_insert_absent_where_an_implied_column_has_no_value(spark, table):
+    data = rows(spark, [("a", None, 1), ("b", None, 1)])
+    assert table.insert_absent(data, implied_by_key=["v"]) == 2
+    assert table.insert_absent(data.union(rows(spark, [("c", 4, 1)])), implied_by_key=["v"]) == 1
+    assert table.insert_absent(rows(spark, [("d", None, 1)]), implied_by_key=["v"]) == 1
+
+
 def test_pinned_partitions_give_the_same_result(spark, table):
     table.upsert(rows(spark, [("a", 1, 1), ("b", 2, 2)]))
     table.upsert(rows(spark, [("b", 3, 2), ("c", 4, 2)]), keys_keep_partition=True)

@@ -25,6 +25,7 @@ TEXTS = {
     "2026-01-01": "2026-01-01 00:00:00",
     "2026-06-09T12:00:00.000+00:00": "2026-06-09 12:00:00",
     "12:00:00": None,
+    "12:00:00+00:00": None,
     "garbage": None,
     "": None,
     "2026-13-01T00:00:00": None,
@@ -69,3 +70,8 @@ def test_lag_truncates_and_never_goes_negative(spark):
         f"{lag_ms('later', 'earlier')} AS a", f"{lag_ms('earlier', 'later')} AS b"
     ).first()
     assert (row["a"], row["b"]) == (999, 0)
+
+
+def test_lag_of_many_days_is_not_cut(spark):
+    frame = spark.sql("SELECT timestamp'2024-03-01 00:00:00Z' AS later, timestamp'2023-03-01 00:00:00Z' AS earlier")
+    assert frame.selectExpr(f"{lag_ms('later', 'earlier')} AS a").first()["a"] == 366 * 86_400_000

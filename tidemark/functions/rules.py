@@ -29,6 +29,8 @@ class Record:
     event_id: str = "NULL"
     observed_at: str = "NULL"
     rating_mistyped: str = "false"
+    # Name of the type a mistyped rating has.
+    rating_kind: str = "'null'"
     review_count_mistyped: str = "false"
     # Positions of category elements that were not JSON strings.
     categories_mistyped: str = "cast(array() AS array<int>)"
@@ -98,7 +100,7 @@ PAYLOAD_RULES: tuple[Rule, ...] = (
     Rule("missing_rating", "rating", "{rating} IS NULL AND NOT {rating_mistyped}",
          "'rating is required'"),
     Rule("bad_rating_type", "rating", "{rating_mistyped}",
-         "'rating must be numeric'"),
+         "concat('rating must be numeric, got ', coalesce({rating_kind}, 'null'))"),
     Rule("rating_out_of_range", "rating", "{rating} IS NOT NULL AND NOT (" + _ON_SCALE + ")",
          "concat('rating=', {rating}, ' outside 1.0..5.0 in 0.5 increments')"),
     Rule("missing_review_count", "review_count",

@@ -21,8 +21,8 @@ def to_utc(text: str) -> str:
     """
     clock = f"regexp_replace({text}, r'{_DATED}', '')"
     return f"""CASE
-        WHEN endswith({text}, '+00:00') THEN try_to_timestamp({text})
         WHEN NOT {text} RLIKE r'{_DATED}' THEN NULL
+        WHEN endswith({text}, '+00:00') THEN try_to_timestamp({text})
         WHEN trim({clock}) = '' THEN try_to_timestamp(concat(trim({text}), 'T00:00:00Z'))
         WHEN {clock} RLIKE r'{_ZONED}' THEN try_to_timestamp({text})
         ELSE try_to_timestamp(concat(rtrim({text}), 'Z')) END"""
@@ -70,4 +70,4 @@ def utc_midnight(day: dt.date) -> str:
 def lag_ms(now: str, fetched: str) -> str:
     """Whole milliseconds from fetch to now, never negative."""
     micros = f"(unix_micros({now}) - unix_micros({fetched}))"
-    return f"cast(greatest(0L, least({micros} div 1000L, 2147483647L)) AS int)"
+    return f"greatest(0L, {micros} div 1000L)"

@@ -20,6 +20,18 @@ from tidemark.schemas import ENVELOPE
 # How a number, true/false, object or array element reads once turned to text.
 _LITERAL_TEXT = r"(?m)^(-?\d.*|true|false|\{.*|\[.*)$"
 _FLAGGED = "(env IS NULL OR env._flagged IS NOT NULL)"
+# The parser stops after the first value. Texts that may hold more behind it: something other
+# than a comma or bracket after a brace, objects side by side, an end that is no brace, or braces
+# that do not match.
+_MORE_AFTER = r"\}\s*[^\s,\]\}]|\}\s*,\s*\{|[^\s\}]\s*$"
+
+
+def _trailing(column: str) -> str:
+    """Whether anything follows the first JSON value; only suspects are parsed once more."""
+    braces = " <> ".join(f"length(replace({column}, '{b}', ''))" for b in "{}")
+    suspect = f"({column} RLIKE r'{_MORE_AFTER}' OR {braces})"
+    alone = f"size(from_json(concat('[', {column}, ']'), 'array<string>')) = 1"
+    return f"coalesce({suspect} AND NOT coalesce({alone}, false), false)"
 
 
 def _mistyped(field: str) -> str:
@@ -30,6 +42,14 @@ def _mistyped(field: str) -> str:
     )
 
 
+def _kind_name(field: str) -> str:
+    """The wire contract's name for the JSON type of a member."""
+    kind = Leaf.of(variants.member("_doc", f"payload.{field}")).kind
+    return f"""CASE WHEN _doc IS NOT NULL THEN CASE WHEN {kind} = 'STRING' THEN 'str'
+        WHEN {kind} = 'BOOLEAN' THEN 'bool' WHEN startswith({kind}, 'ARRAY') THEN 'list'
+        WHEN startswith({kind}, 'OBJECT') THEN 'dict' END END"""
+
+
 def _untyped_categories() -> str:
     """Positions of category elements that are present but not JSON strings."""
     elements = variants.elements(Leaf.of(variants.member("_doc", "payload.categories")))
@@ -55,8 +75,9 @@ def decode(df: DataFrame, column: str = "raw_envelope", schema: str = ENVELOPE)
     reparse = f"CASE WHEN {_FLAGGED} OR {odd_categories} THEN try_parse_json({column}) END"
     check = f"""named_struct(
         'parsed', coalesce(NOT {_FLAGGED} OR ({column} RLIKE r'^\\s*\\{{'
-            AND _doc IS NOT NULL), false),
+            AND _doc IS NOT NULL), false) AND NOT {_trailing(column)},
         'rating', {_mistyped('rating')},
+        'rating_kind', {_kind_name('rating')},
         'review_count', {_mistyped('review_count')},
         'categories', {_untyped_categories()})"""
     parsed = computed_once(df, "env", parse).selectExpr("*", f"{reparse} AS _doc")
@@ -76,6 +97,7 @@ DECODED = Record.of_payload(
     event_id="env.event_id",
     observed_at="observed_at",
     rating_mistyped="env_check.rating",
+    rating_kind="env_check.rating_kind",
     review_count_mistyped="env_check.review_count",
     categories_mistyped="env_check.categories",
 )

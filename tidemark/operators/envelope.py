@@ -144,23 +144,25 @@ def to_kafka_records(df: DataFrame, topic: str, key: str, value: str) -> DataFra
 
 
 def sweep_report(labelled: DataFrame, pages: DataFrame) -> DataFrame:
-    """Pages, listings seen, accepted and rejected per search, plus a total row.
+    """Pages, listings seen, accepted and rejected per search, plus a total row (``is_total``).
 
-    Searches without a single listing are reported too. Both inputs are aggregated
-    before they meet; the total row has null search columns.
+    Searches without a single listing are reported too, and those without a term or place. Both
+    inputs are aggregated before they meet; the total row has null search columns.
     """
     search = ["search_location", "search_term"]
     counts = ("pages_fetched", "businesses_seen", "accepted", "rejected")
     fetched = pages.groupBy(*search).agg(F.count(F.lit(1)).alias("pages_fetched"))
-    seen = labelled.groupBy(*search).agg(
+    seen = labelled.groupBy(*[F.col(c).alias(f"_{c}") for c in search]).agg(
         F.count(F.lit(1)).alias("businesses_seen"),
         F.expr("count_if(reason IS NULL)").alias("accepted"),
         F.expr("count_if(reason IS NOT NULL)").alias("rejected"),
     )
-    per_search = fetched.join(seen, search, "left").selectExpr(
+    same = F.col(search[0]).eqNullSafe(F.col(f"_{search[0]}")) & F.col(search[1]).eqNullSafe(F.col(f"_{search[1]}"))
+    per_search = fetched.join(seen, same, "left").selectExpr(
         *search, "search_location AS city", *[f"coalesce({c}, 0L) AS {c}" for c in counts]
     )
     return per_search.groupingSets([search, []], *search).agg(
+        (F.grouping_id() != 0).alias("is_total"),
         F.count_distinct("city").alias("cities_attempted"),
         *[F.sum(c).alias(c) for c in counts],
     )

@@ -20,15 +20,21 @@ from tidemark.operators.silver import with_day
 _GRAIN = ("day", "business_id", "name", "city", "categories")
 
 
-def window_start(today: dt.date, days: int) -> dt.date:
-    """First day of a recompute window of ``days`` days that ends today."""
+# Before any observation; the start of a window over all days.
+FIRST_DAY = dt.date(1600, 1, 1)
+
+
+def window_start(today: dt.date, days: int | None) -> dt.date:
+    """First day of a recompute window of ``days`` days that ends today; None: of all days."""
+    if days is None:
+        return FIRST_DAY
     if days < 1:
         raise ValueError("the window needs at least one day")
     return today - dt.timedelta(days=days - 1)
 
 
 def recompute_window(
-    silver: DataFrame, today: dt.date, days: int = 2, cap_at_today: bool = False
+    silver: DataFrame, today: dt.date, days: int | None = 2, cap_at_today: bool = False
 ) -> DataFrame:
     """Observations of the window, with their UTC ``day``.
 
@@ -37,7 +43,9 @@ def recompute_window(
     dated after ``today`` stay in unless ``cap_at_today``.
     """
     as_of = window_start(today, days)
-    if "day" in silver.columns:
+    if days is None:
+        bounded = silver if "day" in silver.columns else with_day(silver)
+    elif "day" in silver.columns:
         bounded = silver.filter(F.col("day") >= F.lit(as_of))
     else:
         bounded = with_day(silver.filter(f"observed_at >= {utc_midnight(as_of)}"))

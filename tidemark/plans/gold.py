@@ -34,10 +34,10 @@ def gold_job(
     drift: Table,
     trends: Table,
     today: dt.date,
-    days: int = 2,
+    days: int | None = 2,
     cap_at_today: bool = False,
 ) -> GoldReport:
-    """Rebuild the days of the window; older days stay as they are.
+    """Rebuild the days of the window; older days stay as they are. ``days=None``: all days.
 
     Silver is scanned once. Both tables come from the merged tallies, which are kept
     for the second one. An empty window changes nothing.

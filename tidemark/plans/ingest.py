@@ -13,7 +13,7 @@ from tidemark.operators.envelope import (
     sweep_report,
 )
 from tidemark.operators.normalize import normalize
-from tidemark.sources.pages import explode_listings
+from tidemark.sources.pages import explode_listings, failed_pages
 
 
 @dataclass(frozen=True)
@@ -26,6 +26,7 @@ class Sweep:
 
     records: DataFrame
     report: DataFrame
+    failed_pages: DataFrame
 
 
 def ingest(
@@ -55,4 +56,5 @@ def ingest(
             event_id=observation_id(source) if event_id is None else event_id,
         ),
         report=sweep_report(labelled, pages),
+        failed_pages=failed_pages(pages),
     )

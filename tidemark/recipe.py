@@ -54,6 +54,8 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     deliveries = events(spark, sf_dir).selectExpr(
         "*",
         f"""CASE WHEN event_id % 97 = 0 THEN concat('not json #', event_id)
+            WHEN event_id % 137 = 0 THEN concat('{{"event_id":"', event_id, '"}}', '{{}}')
+            WHEN event_id % 139 = 0 THEN concat('{{"event_id":"', event_id, '"}} more')
             ELSE to_json({_ENVELOPE}) END AS raw_envelope""",
         "explode(CASE WHEN event_id % 50 = 0 THEN array(0, 1) ELSE array(0) END) AS copy",
     )
@@ -61,7 +63,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{utc_instant('ts')} + make_dt_interval(0, 0, 1 + copy) AS ingest_ts",
         "'events' AS kafka_topic",
         "cast(user_id % 6 AS int) AS kafka_partition",
-        "event_id + copy * 1000000L AS kafka_offset",
+        "event_id * 2L + copy AS kafka_offset",
         f"{_BUSINESS_ID} AS kafka_key",
         "raw_envelope",
     )
@@ -98,13 +100,16 @@ _LISTING_MEMBERS = (
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One search-response page per event: one listing, two, none, or no array."""
+    """One search-response page per event: one listing, two, none, no array, or a broken page."""
     listing = f"concat('{{', concat_ws(',', {', '.join(_LISTING_MEMBERS)}), '}}')"
     return (
         events(spark, sf_dir)
         .selectExpr("*", f"{listing} AS listing")
         .selectExpr(
-            """CASE WHEN event_id % 11 = 0 THEN '{"total":0,"businesses":[]}'
+            """CASE WHEN event_id % 17 = 0 THEN element_at(array('page not found',
+                    '{"total":1,"businesses":[{"id":"b', '{"total":1,"businesses":"none"}'),
+                    cast(event_id % 3 + 1 AS int))
+                WHEN event_id % 11 = 0 THEN '{"total":0,"businesses":[]}'
                 WHEN event_id % 13 = 0 THEN '{"total":0}'
                 WHEN event_id % 7 = 0 THEN
                     concat('{"total":2,"businesses":[', listing, ',', listing, ']}')

@@ -20,7 +20,7 @@ PAYLOAD = (
 )
 ENVELOPE = (
     "event_id string, producer_id string, source string, source_endpoint string, "
-    "schema_version int, observed_at string, ingest_lag_ms int, "
+    "schema_version int, observed_at string, ingest_lag_ms bigint, "
     f"payload {PAYLOAD}"
 )
 FAILURES = "array<struct<code:string,field:string,message:string>>"

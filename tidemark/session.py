@@ -30,9 +30,11 @@ def workspace(spark: SparkSession, label: str) -> str:
     """A fresh directory for tables, checkpoints and stream state of one run.
 
     It lies under ``spark.checkpoint.dir``, the folder all executors share. A
-    machine-local folder is used only where that is unset, as in tests.
+    machine-local folder is used only where that is unset and there is no other machine.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/tidemark-{label}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"tidemark-{label}-")

@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.schemas import BRONZE
 
+# Files older than the newest seen one by more than this are not landed. Spark's own
+# default of a week loses backfills and copies that keep their times; the price of a long age
+# is that the source remembers more file names.
+MAX_FILE_AGE = "36500d"
+
 
 def file_drop_source(
     spark: SparkSession,
@@ -19,7 +24,7 @@ def file_drop_source(
     ``max_files`` or ``max_bytes`` bounds each micro-batch, so that the first drain
     of a large backlog is many batches of one size.
     """
-    reader = spark.readStream.format("text")
+    reader = spark.readStream.format("text").option("maxFileAge", MAX_FILE_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
@@ -36,7 +41,7 @@ def bronze_stream(
     max_bytes: int | None = None,
 ) -> DataFrame:
     """Bronze as an append-only stream; ``table`` is a directory or a catalog name."""
-    reader = spark.readStream
+    reader = spark.readStream.option("maxFileAge", MAX_FILE_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:

@@ -11,11 +11,26 @@ from tidemark.schemas import PAGE
 def explode_listings(pages: DataFrame, body: str = "body") -> DataFrame:
     """One row per element of each body's ``businesses`` array, as JSON text.
 
-    An empty, null or missing array yields none. Page columns are kept; the
-    listing's place in its page is added as ``position``.
+    An empty, null or missing array yields none; so does a page that ``failed_pages`` tells.
+    Page columns are kept; the listing's place in its page is added as ``position``.
     """
     return (
         pages.withColumn("_page", F.from_json(F.col(body), PAGE))
         .select("*", F.posexplode("_page.businesses").alias("position", "listing"))
         .drop("_page", body)
     )
+
+
+def failed_pages(pages: DataFrame, body: str = "body") -> DataFrame:
+    """Pages whose body is null, no JSON object or truncated, or whose ``businesses`` is no array.
+
+    Their rows are kept whole, raw body included, to be quarantined or fetched again.
+    """
+    flagged = F.from_json(
+        F.col(body), f"{PAGE}, _flagged string", {"columnNameOfCorruptRecord": "_flagged"}
+    )
+    return (
+        pages.withColumn("_page", flagged)
+        .filter("_page IS NULL OR _page._flagged IS NOT NULL")
+        .drop("_page")
+    )

@@ -3,12 +3,15 @@
 Parquet has no MERGE, so writes are laid out to be repeatable instead:
 
 * new rows are appended, which touches no existing file;
-* only partitions that hold a changed row are rewritten, and their next content
-  is complete in a hidden side directory before the live one is replaced. If the
-  driver dies in between, the next write finishes the replacement first.
+* only partitions that hold a changed row are rewritten. Their next content is complete
+  in a hidden side directory before a marker makes the replacement binding; then whole
+  partition directories are moved into place, nothing is written twice. If the driver dies
+  in between, every write finishes the replacement first, and a reader takes the
+  partitions that are not yet moved from the side directory.
 
 Repeating any call gives the same table. One writer per table; a reader that lists
-files during a replacement can see a mix of old and new partitions.
+files while directories are moved can see a mix of old and new partitions, or fail and
+be repeated. Where a store has no cheap rename, use a format with MERGE.
 """
 
 from __future__ import annotations
@@ -53,7 +56,24 @@ class ParquetTable:
         """The table, with its declared schema; empty if nothing was written yet."""
         if not self.exists():
             return self.spark.createDataFrame([], self.spec.columns)
-        return self._load(self.path)
+        replaced = self._replacement()
+        if replaced is None:
+            return self._load(self.path)
+        (part,) = self.spec.partition_by
+        staged = set(paths.names(self.spark, f"{self._pending}/rows"))
+        waiting = [r["value"] for r in replaced if r["filled"] and r["name"] in staged]
+        emptied = [r["value"] for r in replaced if not r["filled"]]
+        live = self._load(self.path).filter(_within(part, [*waiting, *emptied])[0])
+        if not waiting:
+            return live
+        return live.unionByName(self._load(f"{self._pending}/rows").filter(_within(part, waiting)[1]))
+
+    def _replacement(self) -> list | None:
+        """(value, name, filled) of each partition of a binding replacement, if there is one."""
+        marker = f"{self._pending}/partitions"
+        if not paths.exists(self.spark, f"{marker}/_SUCCESS"):
+            return None
+        return self.spark.read.parquet(marker).collect()
 
     def _load(self, path: str) -> DataFrame:
         rows = self.spark.read.schema(self.spec.columns).parquet(path)
@@ -74,6 +94,10 @@ class ParquetTable:
 
     def append(self, df: DataFrame) -> int:
         """Append rows; returns how many."""
+        self.recover()
+        return self._append(df)
+
+    def _append(self, df: DataFrame) -> int:
         seen = Observation()
         rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         self._writer(self.laid_out(rows), "append").parquet(self.path)
@@ -97,10 +121,10 @@ class ParquetTable:
         batch = batch.select(*self.spec.column_names).persist()
         try:
             if not self.exists():
-                return UpsertReport(self.append(batch), ())
+                return UpsertReport(self._append(batch), ())
             old = self._rows_sharing_days(batch, keys, part, keys_keep_partition)
             if old is None:
-                return UpsertReport(self.append(batch), ())
+                return UpsertReport(self._append(batch), ())
             changed = self.partition_values(old.join(
                 batch.alias("new"),
                 self._same(keys, "new", null_safe=False)
@@ -110,7 +134,7 @@ class ParquetTable:
             kept, stale = _within(part, changed)
             untouched = old.filter(kept)
             fresh = batch.filter(kept).join(untouched.select(*keys), keys, "left_anti")
-            appended = self.append(fresh)
+            appended = self._append(fresh)
             if changed:
                 survivors = old.filter(stale).join(batch.select(*keys), keys, "left_anti")
                 self.overwrite(survivors.unionByName(batch.filter(stale)), changed)
@@ -146,25 +170,31 @@ class ParquetTable:
     ) -> int:
         """Append rows whose key is not in the table yet; returns how many.
 
-        ``implied_by_key`` names non-null columns that are equal whenever the keys
+        ``implied_by_key`` names columns that are equal whenever the keys
         are; their range in ``df`` lets the scan of existing keys skip files.
         """
         keys = list(keys or self.spec.keys)
+        self.recover()
         rows = df.select(*self.spec.column_names).dropDuplicates(keys).persist()
         try:
             if not self.exists():
-                return self.append(rows)
+                return self._append(rows)
             known = self.read()
             if implied_by_key:
-                edge = rows.agg(*[
-                    f(c).alias(f"{n}_{c}")
-                    for c in implied_by_key for n, f in (("lo", F.min), ("hi", F.max))
+                edge = rows.agg(F.count(F.lit(1)).alias("rows"), *[
+                    f(c).alias(f"{n}_{c}") for c in implied_by_key
+                    for n, f in (("lo", F.min), ("hi", F.max), ("some", F.count))
                 ]).first()
-                if edge[0] is None:
+                if edge["rows"] == 0:
                     return 0
                 for c in implied_by_key:
-                    known = known.filter(F.col(c).between(edge[f"lo_{c}"], edge[f"hi_{c}"]))
-            return self.append(rows.join(known.select(*keys), keys, "left_anti"))
+                    # Where the batch has no value at all, its range says nothing.
+                    inside = F.col(c).between(edge[f"lo_{c}"], edge[f"hi_{c}"])
+                    if edge[f"some_{c}"] == edge["rows"]:
+                        known = known.filter(inside)
+                    elif edge[f"some_{c}"]:
+                        known = known.filter(inside | F.col(c).isNull())
+            return self._append(rows.join(known.select(*keys), keys, "left_anti"))
         finally:
             rows.unpersist()
 
@@ -177,6 +207,7 @@ class ParquetTable:
         ``df`` must not read this table. ``days`` are the days in ``df``, if known.
         """
         (part,) = self.spec.partition_by
+        self.recover()
         window = F.col(part) >= F.lit(as_of)
         df = df.filter(window)
         old = self.partition_values(self.read().filter(window), part)
@@ -198,28 +229,34 @@ class ParquetTable:
         if not laid_out:
             rows = self.laid_out(rows)
         self._writer(rows, "overwrite").parquet(f"{self._pending}/rows")
+        staged = set(paths.names(self.spark, f"{self._pending}/rows"))
+        named = [(v, paths.partition_name(self.spark, part, v)) for v in values]
         # Written last: its success marker is what makes the replacement binding.
-        self.spark.createDataFrame([(v,) for v in values], f"{part} {kind}").coalesce(
-            1
-        ).write.mode("overwrite").parquet(f"{self._pending}/partitions")
+        self.spark.createDataFrame(
+            [(v, name, name in staged) for v, name in named], f"value {kind}, name string, filled boolean"
+        ).coalesce(1).write.mode("overwrite").parquet(f"{self._pending}/partitions")
         self.recover()
 
     def recover(self) -> None:
-        """Finish a replacement a previous run left behind, or discard its start."""
+        """Finish a replacement a previous run left behind, or discard its start.
+
+        Directories are moved one by one. One that is no longer staged was moved before, so
+        any number of crashes in here ends in the same table.
+        """
         if not paths.exists(self.spark, self._pending):
             return
-        if paths.exists(self.spark, f"{self._pending}/partitions/_SUCCESS"):
-            (part,) = self.spec.partition_by
-            rows = self._load(f"{self._pending}/rows")
-            values = self.partition_values(self.spark.read.parquet(f"{self._pending}/partitions"), part)
-            present = set(self.partition_values(rows, part))
-            # Files are already laid out: one task per staged split, no shuffle.
-            self._writer(rows, "overwrite").option(_MODE, "dynamic").parquet(self.path)
-            self._drop(v for v in values if v not in present)
+        for r in self._replacement() or ():
+            staged, live = f"{self._pending}/rows/{r['name']}", f"{self.path}/{r['name']}"
+            if not r["filled"]:
+                paths.delete(self.spark, live)
+            elif paths.exists(self.spark, staged):
+                paths.delete(self.spark, live)
+                paths.move(self.spark, staged, live)
         paths.delete(self.spark, self._pending)
 
     def drop_partitions(self, values: Iterable) -> None:
         """Remove whole partitions."""
+        self.recover()
         self._drop(values)
 
     # -- helpers ---------------------------------------------------------------
@@ -235,7 +272,7 @@ class ParquetTable:
     def _drop(self, values: Iterable) -> None:
         (part,) = self.spec.partition_by
         for value in values:
-            paths.delete(self.spark, f"{self.path}/{part}={value}")
+            paths.delete(self.spark, f"{self.path}/{paths.partition_name(self.spark, part, value)}")
 
 
 def _observed_rows(seen: Observation) -> int:
@@ -252,5 +289,7 @@ def _within(part: str, values: Sequence) -> tuple[Column, Column]:
     """(rows outside the listed partitions, rows inside them)."""
     if not values:
         return F.lit(True), F.lit(False)
-    inside = F.col(part).isin(list(values))
+    inside = F.coalesce(F.col(part).isin([v for v in values if v is not None]), F.lit(False))
+    if None in values:
+        inside = inside | F.col(part).isNull()
     return ~inside, inside

@@ -20,6 +20,26 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename; the target must not exist."""
+    fs, jpath = _open(spark, source)
+    if not fs.rename(jpath, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a directory; none if there is no such directory."""
+    fs, jpath = _open(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(jpath)) if fs.exists(jpath) else []
+
+
+def partition_name(spark: SparkSession, column: str, value: object) -> str:
+    """The directory Spark writes rows of one partition value to."""
+    catalog = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    text = "__HIVE_DEFAULT_PARTITION__" if value is None else catalog.escapePathName(str(value))
+    return f"{column}={text}"
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path as the file system spells it, scheme included."""
     fs, jpath = _open(spark, path)
