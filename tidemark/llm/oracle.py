@@ -36,13 +36,13 @@ s AS (
     CASE WHEN ks IS NULL THEN array_to_string(w, ' ') END AS whole
   FROM d LEFT JOIN per USING (doc_id)
 ), cut AS (
-  SELECT d.doc_id, string_agg(w[k + 1], ' ' ORDER BY k) AS some
+  SELECT d.doc_id, string_agg(w[k + 1], ' ' ORDER BY k) AS some_text
   FROM d JOIN per USING (doc_id), unnest(range(0, len(w))) AS t(k)
   WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = d.doc_id AND g.k = t.k)
   GROUP BY d.doc_id
 )
 SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
-  sha256(coalesce(whole, some, '')) AS kept_sha256
+  sha256(coalesce(whole, some_text, '')) AS kept_sha256
 FROM kept LEFT JOIN cut USING (doc_id)
 """
 
@@ -53,22 +53,23 @@ s AS (
   FROM d, unnest(range(0, greatest(length(h) // 2 - 49, 0))) AS t(i)
 ), r AS (
   SELECT doc_id, i FROM s QUALIFY doc_id > min(doc_id) OVER (PARTITION BY win)
-), gone AS (
-  SELECT DISTINCT doc_id, k FROM r, unnest(range(i, i + 50)) AS t(k)
+), m AS (
+  SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+    SELECT doc_id, i, CASE WHEN i <= lag(i, 1, -99) OVER (PARTITION BY doc_id ORDER BY i) + 50
+      THEN 0 ELSE 1 END AS new FROM r)
+), runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM m GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM runs
 ), per AS (
-  SELECT doc_id, count(*) AS n, sum(CASE WHEN k = before + 1 THEN 0 ELSE 1 END) AS spans
-  FROM (SELECT doc_id, k, lag(k, 1, -9) OVER (PARTITION BY doc_id ORDER BY k) AS before FROM gone)
-  GROUP BY doc_id
-), cut AS (
-  SELECT d.doc_id, string_agg(substr(h, 2 * k + 1, 2), '' ORDER BY k) AS some
-  FROM d JOIN per USING (doc_id), unnest(range(0, length(h) // 2)) AS t(k)
-  WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = d.doc_id AND g.k = t.k)
-  GROUP BY d.doc_id
+  SELECT g.doc_id, sum(b - a) AS n, count(*) AS spans, max(b) AS stop,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+  FROM gaps g JOIN d USING (doc_id) GROUP BY g.doc_id
 )
 SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed,
   coalesce(spans, 0)::BIGINT AS n_spans,
-  sha256(unhex(CASE WHEN n IS NULL THEN h ELSE coalesce(some, '') END)) AS kept_sha256
-FROM d LEFT JOIN per USING (doc_id) LEFT JOIN cut USING (doc_id)
+  sha256(unhex(CASE WHEN n IS NULL THEN h ELSE kept || substr(h, 2 * stop + 1) END)) AS kept_sha256
+FROM d LEFT JOIN per USING (doc_id)
 """
 
 OP9 = """
@@ -109,12 +110,12 @@ WITH d AS (
 ), per AS (
   SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
 ), cut AS (
-  SELECT l.doc_id, string_agg(t, chr(10) ORDER BY line) AS some
+  SELECT l.doc_id, string_agg(t, chr(10) ORDER BY line) AS some_text
   FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.k = l.line
   WHERE gone.k IS NULL GROUP BY l.doc_id
 )
 SELECT d.doc_id, len(ls)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_removed,
-  sha256(coalesce(some, '')) AS kept_sha256
+  sha256(coalesce(some_text, '')) AS kept_sha256
 FROM d LEFT JOIN per USING (doc_id) LEFT JOIN cut USING (doc_id)
 """
 
