@@ -101,3 +101,25 @@ def test_novel_strings(value, found):
     spans = list(secret_scan.novel_spans(value, secret_scan.base_spans(value), secret_scan.Novelty()))
     assert bool(spans) is found
     assert all(value[a:b] == "q7Xv9Lz2Kd8Wm4Rt6Yp1Bn3" for a, b, _ in spans)
+
+
+KEY = "q7Xv9Lz2Kd8Wm4Rt6Yp1Bn3Hs5Jc0Gf7"
+
+
+@pytest.mark.parametrize(("value", "found"), [
+    *[("bearer" + " " * gap + KEY + " came", gap <= 48) for gap in (1, 36, 37, 40, 47, 48, 49)],
+    *[(KEY + " " * gap + "bearer came", gap <= 48) for gap in (1, 37, 48, 49)],
+    (KEY + " # api token", True),
+    ("bearer my_token_" + KEY, True),
+    ("it is " + KEY + "_token", True),
+])
+def test_reach_of_sensitive_words(value, found):
+    spans = list(secret_scan.novel_spans(value, secret_scan.base_spans(value), secret_scan.Novelty()))
+    assert bool(spans) is found
+    assert all(KEY in value[a:b] for a, b, _ in spans)
+
+
+def test_a_string_between_two_words_is_told_once():
+    value = "bearer " + KEY + " token"
+    spans = list(secret_scan.novel_spans(value, [], secret_scan.Novelty()))
+    assert [value[a:b] for a, b, _ in spans] == [KEY]

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
-LEAST = {"assign": 12, "access": 18, "hex": 16}
+LEAST = {"assign": 12, "access": 18, "hex": 16, "novel": 12}
 KINDS = ("assign", "access", "hex", "novel")
 
 #: Words that make the strings after them sensitive.
@@ -50,7 +51,7 @@ IDENTIFIERS = (
     "0123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ the and of to in for with "
 )
 
-REACH = 48  # code points from the sensitive word to the candidate's start
+REACH = 48  # code points from the sensitive word to the candidate's start, or back to its end
 AROUND = 160  # code points of surroundings on either side
 NOVEL = 0.55  # marginal bytes per character of the candidate
 
@@ -78,23 +79,44 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: Novelty, least: float = NOVEL):
-    """Strings near a sensitive word that are new to the compressor and not in a base span."""
-    seen: set[int] = set()
-    for word in _NEAR.finditer(text):
-        for m in _STRING.finditer(text, word.end(), min(len(text), word.end() + REACH)):
-            start = m.start()
-            end = start + len(_STRING.match(text, start)[0])  # the whole string, past the reach
-            if start in seen:
-                continue
-            seen.add(start)
-            value = text[start:end]
-            if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
-                continue
-            if any(s < end and start < e for s, e, _ in base):
-                continue
-            bytes_ = novelty.marginal(text[max(0, start - AROUND) : start], value, text[end : end + AROUND])
-            if bytes_ >= least * len(value):
-                yield start, end, "novel"
+    """Strings near a sensitive word that are new to the compressor and not in a base span.
+
+    Behind a word: those that start at most ``REACH`` after it, the rest of a string that holds the word
+    included. In front of it: those that end at most ``REACH`` before it, as far as the word; what a span
+    found behind a word covers is not told again.
+    """
+    words = [(m.start(), m.end()) for m in _NEAR.finditer(text)]
+    if not words:
+        return
+    runs = [(m.start(), m.end()) for m in _STRING.finditer(text)]
+    starts, ends = [s for s, _ in runs], [e for _, e in runs]
+    behind, front = [], []
+    for begin, end in words:
+        k = bisect_right(ends, end)
+        while k < len(runs) and starts[k] <= end + REACH:
+            behind.append((max(starts[k], end), ends[k]))
+            k += 1
+        k = bisect_left(ends, begin - REACH)
+        while k < len(runs) and starts[k] < begin:
+            front.append((starts[k], min(ends[k], begin)))
+            k += 1
+    seen: set[tuple[int, int]] = set()
+    told: list[tuple[int, int]] = []
+    for i, (start, end) in enumerate(behind + front):
+        if end - start < LEAST["novel"] or (start, end) in seen:
+            continue
+        seen.add((start, end))
+        value = text[start:end]
+        if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
+            continue
+        if any(s < end and start < e for s, e, _ in base):
+            continue
+        if i >= len(behind) and any(s < end and start < e for s, e in told):
+            continue
+        bytes_ = novelty.marginal(text[max(0, start - AROUND) : start], value, text[end : end + AROUND])
+        if bytes_ >= least * len(value):
+            told.append((start, end))
+            yield start, end, "novel"
 
 
 def joined(spans: list[tuple[int, int, str]]) -> str:
