@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import string
 
 import public_tokenizers
 import pytest
@@ -123,3 +124,24 @@ def test_a_string_between_two_words_is_told_once():
     value = "bearer " + KEY + " token"
     spans = list(secret_scan.novel_spans(value, [], secret_scan.Novelty()))
     assert [value[a:b] for a, b, _ in spans] == [KEY]
+
+
+@pytest.mark.parametrize("alphabet", [string.ascii_letters, string.ascii_lowercase, string.ascii_uppercase, string.digits])
+@pytest.mark.parametrize("word", ["bearer", "credential", "private key"])
+def test_keys_of_letters_or_digits_only(alphabet, word):
+    rng, novelty = random.Random(word + alphabet), secret_scan.Novelty()
+    for size in (16, 24, 40):
+        key = "".join(rng.choice(alphabet) for _ in range(size))
+        value = f"please send the {word} {key} to the office"
+        base = secret_scan.base_spans(value)
+        spans = base + list(secret_scan.novel_spans(value, base, novelty))
+        assert [value[a:b] for a, b, _ in spans] == [key]
+
+
+@pytest.mark.parametrize("word", [
+    "authentication", "documentation", "implementation", "responsibility", "Representative", "Configuration",
+    "internationally", "unfortunately", "malheureusement", "desafortunadamente", "----------------", "============",
+])
+def test_long_words_are_no_keys(word):
+    value = f"the credential and {word} of the office"
+    assert not list(secret_scan.novel_spans(value, [], secret_scan.Novelty()))

@@ -2,9 +2,10 @@
 
 The patterns (assignments to sensitive names, access keys, long hexadecimal runs) are the base.
 The novelty method adds strings that stand near a sensitive word: each candidate is compressed by
-zstandard, primed with a dictionary of identifiers, once with and once without its surroundings; its
+zstandard, primed with a dictionary of identifiers and long words, once with and once without its surroundings; its
 marginal bytes per character tell how much of it neither the surroundings nor the dictionary
-explain. Random keys cost about as many bytes as their entropy, identifiers and words far fewer.
+explain. Random keys, of letters or digits only too, cost about as many bytes as their entropy, known
+identifiers and words far fewer; a long word the dictionary lacks is told as a key is.
 
 Edge cases: a null text is an empty one (no spans); texts are scanned whole, however long;
 repeated rows are scanned row by row; bytes of any language count as code points in spans.
@@ -50,6 +51,35 @@ IDENTIFIERS = (
     "AbstractAuthenticationProvider UserDetailsService PasswordEncoder getPassword setPassword "
     "0123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ the and of to in for with "
 )
+#: Common long words, which the novelty would otherwise take for letters-only keys.
+LONG_WORDS = (
+    "accidentally accommodation accomplishment accountability acknowledgement additionally administration "
+    "administrator advertisement agricultural alternatively announcement appropriately approximately "
+    "architecture authentication authorization automatically availability characteristics championship "
+    "circumstances collaboration communication comprehensive compatibility concentration configuration "
+    "congratulations consciousness consequences considerable considerably consideration constitutional "
+    "construction contemporary continuously contribution conventional conversation corresponding "
+    "demonstration description determination development differentiate disappointment discrimination "
+    "distribution documentation effectiveness electromagnetic encyclopedia enthusiastic entertainment "
+    "entrepreneur environmental establishment experimental extraordinary fundamentally functionality "
+    "governmental headquarters identification immediately implementation improvement independently "
+    "individually industrialization infrastructure instantaneously institutional instructions instrumental "
+    "intellectual intelligence international internationally interpretation investigation jurisdiction "
+    "justification kindergarten knowledgeable legislation manufacturer manufacturing mathematical "
+    "measurements mediterranean microprocessor misunderstanding modification multinational neighborhood "
+    "nevertheless notification occasionally organizational organization-wide participants participation "
+    "particularly pharmaceutical philosophical photographer predominantly presentation presidential "
+    "professional psychological qualification questionnaire recommendation redistribution relationship "
+    "representation representative requirements responsibility revolutionary satisfaction significantly "
+    "simultaneously sophisticated specification straightforward subsequently successfully superintendent "
+    "surprisingly sustainability technological telecommunications temporarily transformation transportation "
+    "understanding unfortunately universities unprecedented verification vulnerability whatsoever "
+    "wissenschaftlich selbstverständlich Geschwindigkeit Verantwortung Entwicklungen Informationen Unternehmen "
+    "Gesellschaft Bundesrepublik Zusammenarbeit Voraussetzungen wahrscheinlich Veranstaltung Versicherung "
+    "naturellement malheureusement particulièrement développement gouvernement environnement administration "
+    "actuellement immédiatement responsabilité desafortunadamente aproximadamente responsabilidad "
+    "especialmente administración desarrolladores conocimientos establecimiento inmediatamente "
+)
 
 REACH = 48  # code points from the sensitive word to the candidate's start, or back to its end
 AROUND = 160  # code points of surroundings on either side
@@ -59,8 +89,8 @@ NOVEL = 0.55  # marginal bytes per character of the candidate
 class Novelty:
     """Marginal compressed size of a string within its surroundings."""
 
-    def __init__(self, identifiers: str = IDENTIFIERS):
-        primed = zstandard.ZstdCompressionDict(identifiers.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    def __init__(self, known: str = LONG_WORDS + IDENTIFIERS):
+        primed = zstandard.ZstdCompressionDict(known.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.compress = zstandard.ZstdCompressor(
             level=9, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False
         ).compress
@@ -107,8 +137,6 @@ def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: Novelty, l
             continue
         seen.add((start, end))
         value = text[start:end]
-        if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
-            continue
         if any(s < end and start < e for s, e, _ in base):
             continue
         if i >= len(behind) and any(s < end and start < e for s, e in told):
