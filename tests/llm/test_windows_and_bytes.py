@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import bwt_dedup, text, word_windows
+from tidemark.llm import anchors, bwt_dedup, chunks, text, word_windows
 
 
 def _documents(seed: int, n: int = 60):
@@ -130,3 +130,48 @@ def test_words_and_windows_of_a_slice():
         assert len(w) == max(0, len(h) - width + 1)
     three = text.window_hash(h, 3)
     assert three[4] == three[7] and len(set(three.tolist())) == len(three) - 1
+
+
+LICENSE = "Licensed under the terms of the common form, by "
+
+
+def _forms(n: int):
+    rng = random.Random(n)
+    names = ["".join(rng.choice("abcdefgh") for _ in range(30)) for _ in range(n)]
+    # Every third document repeats the neighbours of another one: its strings over the license are to go.
+    names = [names[i // 2] if i % 3 == 0 else x for i, x in enumerate(names)]
+    return [(i * 7919 % n, x + LICENSE + x[::-1]) for i, x in enumerate(names)]
+
+
+@pytest.mark.parametrize(("size", "hot"), [(50, 0), (50, 2), (51, 5), (8, 3), (1, 2), (50, 10**6)])
+def test_byte_strings_of_hot_anchors(spark, size, hot):
+    rows = _documents(size + 1) + [(d + 1000, v) for d, v in _forms(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = bwt_dedup.remove_repeated_bytes(docs, size, hot=hot).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept_bytes)) for r in got} == \
+        _strings(rows, size)
+
+
+def test_no_key_of_a_hot_anchor_gathers_a_stretch_per_occurrence():
+    made = []
+    for c in range(2):
+        values = [v.encode() for _, v in _forms(3000 + c)]
+        data = np.frombuffer(b"".join(values), np.uint8)
+        off = np.cumsum([0, *map(len, values)])
+        made.append(chunks.Chunk(f"c{c}", None, np.arange(len(values)), data, off, []))
+    stretches, asked = [bwt_dedup._Stretches(c, 50) for c in made], {}
+    for s, c in zip(stretches, made, strict=True):
+        for cell in s.anchors.ask_with_times(c.name, 4).to_pylist():
+            asked.setdefault(cell["bucket"], []).append(cell)
+    answers = {c.name: {} for c in made}
+    for bucket, cells in asked.items():
+        for cell, bits in zip(cells, anchors.in_several_chunks_and_hot(cells, bwt_dedup.HOT), strict=True):
+            answers[cell["chunk"]][bucket] = np.packbits(bits).tobytes()
+    sent = {}
+    for s, c in zip(stretches, made, strict=True):
+        _, _, key, same, texts = s.stretches(answers[c.name], 4)
+        first = np.flatnonzero(same == np.arange(len(same)))
+        assert sorted(texts) == first.tolist()
+        for k in key[first].tolist():
+            sent[k] = sent.get(k, 0) + 1
+    assert max(sent.values()) <= bwt_dedup.HOT

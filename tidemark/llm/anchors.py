@@ -8,6 +8,7 @@ other anchors are unique. Nothing repeated is missed.
 from __future__ import annotations
 
 import numpy as np
+import zstandard
 
 from tidemark.llm import chunks as ck
 from tidemark.llm import text as tx
@@ -33,6 +34,7 @@ class Anchors:
         if not len(inside):
             self.of = self.values = np.zeros(0, np.uint64)
             self.several = np.zeros(0, bool)
+            self.times = np.zeros(0, np.int64)
             return
         pieces = np.where(usable, pieces, _MOST)
         self.of = _slid(pieces, span, np.minimum)
@@ -40,9 +42,9 @@ class Anchors:
         shown = np.concatenate([pad, np.where(inside, self.of, np.uint64(0)), pad])
         # A piece is an anchor if it is the smallest of some window it is in.
         found = pieces[(pieces == _slid(shown, span, np.maximum)) & usable]
-        self.values, times = np.unique(found, return_counts=True)
+        self.values, self.times = np.unique(found, return_counts=True)
         # Of two or more pieces in this chunk: repeated, whatever the other chunks hold.
-        self.several = times > 1
+        self.several = self.times > 1
 
     def ask(self, chunk: str, buckets: int):
         """The chunk's cells: its distinct anchors, by 32 bits beside those of the bucket."""
@@ -50,12 +52,33 @@ class Anchors:
         short = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         return ck.cells(chunk, ck.bucket_of(keys, buckets), buckets, lambda at: (short[at].tobytes(), None, None))
 
+    def ask_with_times(self, chunk: str, buckets: int):
+        """As ``ask``, with the number of times each anchor occurs in the chunk."""
+        keys, squeeze = tx.mix(self.values), zstandard.ZstdCompressor(level=1).compress
+        short = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        times = self.times.astype(np.uint32)
+        return ck.cells(chunk, ck.bucket_of(keys, buckets), buckets,
+                        lambda at: (short[at].tobytes(), None, squeeze(times[at].tobytes())))
+
     def repeated(self, answers: dict[int, bytes], buckets: int) -> np.ndarray:
         """True for the windows whose anchor occurs more than once anywhere."""
         if not len(self.values):
             return np.zeros(len(self.inside), bool)
         bits, start = ck.read_answers(answers, ck.bucket_of(tx.mix(self.values), buckets), buckets)
-        known = bits[start] | self.several
+        return self._windows(bits[start] | self.several)
+
+    def repeated_and_hot(self, answers: dict[int, bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """As ``repeated``, of answers to ``ask_with_times``; and the windows whose anchor is hot."""
+        if not len(self.values):
+            return np.zeros(len(self.inside), bool), np.zeros(len(self.inside), bool)
+        two = np.full(len(self.values), 2, np.int64)
+        bits, start = ck.read_answers(answers, ck.bucket_of(tx.mix(self.values), buckets), buckets, two)
+        hot = bits[start + 1]
+        flags = self._windows(bits[start] | self.several)
+        return flags, self._windows(hot) if hot.any() else np.zeros(len(self.inside), bool)
+
+    def _windows(self, known: np.ndarray) -> np.ndarray:
+        """What is known of the anchors, for each window."""
         change = np.flatnonzero(np.concatenate([[True], self.of[1:] != self.of[:-1]]))
         at = np.minimum(np.searchsorted(self.values, self.of[change]), len(self.values) - 1)
         flags = known[at] & (self.values[at] == self.of[change])
@@ -74,3 +97,22 @@ def in_several_chunks(rows: list[dict]) -> list[np.ndarray]:
     return np.split(twice, np.cumsum([len(p) for p in parts])[:-1])
 
 
+
+
+def in_several_chunks_and_hot(rows: list[dict], bound: int) -> list[np.ndarray]:
+    """As ``in_several_chunks``, and which occur more than ``bound`` times in all: two bits for each hash."""
+    expand = zstandard.ZstdDecompressor().decompress
+    sizes = [len(r["entries"]) // 4 for r in rows]
+    values = np.concatenate([np.frombuffer(r["entries"], np.uint32) for r in rows])
+    times = np.concatenate([
+        np.frombuffer(expand(r["extra"], max_output_size=max(1, 4 * n)), np.uint32)
+        for r, n in zip(rows, sizes, strict=True)
+    ])
+    order = np.argsort(values, kind="stable")
+    begins = np.concatenate([[True], values[order[1:]] != values[order[:-1]]])
+    group = np.cumsum(begins) - 1
+    several = np.bincount(group) > 1
+    hot = np.add.reduceat(times[order].astype(np.int64), np.flatnonzero(begins)) > bound
+    bits = np.zeros((len(values), 2), bool)
+    bits[order, 0], bits[order, 1] = several[group], hot[group]
+    return [x.reshape(-1) for x in np.split(bits, np.cumsum(sizes)[:-1])]

@@ -2,7 +2,10 @@
 
 Equal strings of ``length`` bytes have the same anchor (see ``anchors``), so the strings over repeated
 anchors are sent, as the stretches of text that share an anchor, to buckets by that anchor: all
-copies of a string meet in one bucket, and a stretch that occurs often counts once a chunk. A bucket
+copies of a string meet in one bucket, and a stretch that occurs often counts once a chunk. An anchor that
+occurs more than ``HOT`` times anywhere may bring a new stretch each time, so its strings are sent one by
+one, by a hash of the whole string, each once a chunk: no key gathers more than ``HOT`` stretches, or one
+string a chunk. A bucket
 sorts the suffixes of its distinct stretches and derives their longest common prefixes from the
 transform, by increasing value: a boundary of value ``v`` between two suffixes, carried one byte
 backward wherever both sides have that byte, is a boundary of value ``v + 1``. The search is breadth
@@ -27,11 +30,13 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm import chunks as ck
 from tidemark.llm import text as tx
-from tidemark.llm.anchors import Anchors, in_several_chunks
+from tidemark.llm.anchors import Anchors, in_several_chunks_and_hot
 from tidemark.session import workspace
 
 LENGTH = 50
 _SYMBOLS = 7  # of nine bits, in the first sort key
+HOT = 1024  # occurrences of an anchor beyond which its strings are dealt by their own hash
+_COMPARED = 1 << 16  # windows compared at a time
 PARTS = 32  # of a bucket, by anchor, taken one after the other: a small text is sorted in the cache
 
 
@@ -128,40 +133,65 @@ class _Stretches:
         def inside(width: int) -> np.ndarray:
             return starts[: max(0, n - width + 1)] == starts[width - 1 : n]
 
-        hashes = tx.sliding_hash(chunk.data, piece, 31)
-        self.anchors = Anchors(hashes, inside(piece), inside(length), length - piece + 1)
+        self.hashes, self.last = tx.sliding_hash(chunk.data, piece, 31), length - piece
+        self.anchors = Anchors(self.hashes, inside(piece), inside(length), length - piece + 1)
 
     def stretches(self, answers: dict[int, bytes], buckets: int):
-        """Start, number of windows, anchor, and the number of the first equal stretch of the chunk."""
-        flags = self.anchors.repeated(answers, buckets)
+        """Start, number of windows, key, the number of the first equal stretch of the chunk, and texts of the first.
+
+        The key is the anchor; windows of hot anchors are stretches of their own, with a hash of themselves.
+        """
+        flags, hot = self.anchors.repeated_and_hot(answers, buckets)
         of = self.anchors.of
         if not flags.any():
             none = np.zeros(0, np.int64)
-            return none, none, np.zeros(0, np.uint64), none, []
+            return none, none, np.zeros(0, np.uint64), none, {}
+        hot &= flags
         begins, ends = flags.copy(), flags.copy()
-        change = of[1:] != of[:-1]
+        change = (of[1:] != of[:-1]) | hot[1:] | hot[:-1]
         begins[1:] &= ~flags[:-1] | change
         ends[:-1] &= ~flags[1:] | change
         start = np.flatnonzero(begins)
         count = np.flatnonzero(ends) + 1 - start
-        raw, seen = self.chunk.data.tobytes(), {}
-        texts = [raw[a:b] for a, b in zip(start.tolist(), (start + count + self.length - 1).tolist(), strict=True)]
-        same = np.array([seen.setdefault(t, i) for i, t in enumerate(texts)], np.int64)
-        return start, count, of[start], same, texts
+        key, same, single = of[start], np.arange(len(start)), np.flatnonzero(hot[start])
+        if len(single):
+            at = start[single]
+            key[single] = tx.mix(tx.mix(self.hashes[at]) ^ self.hashes[at + self.last])
+            same[single] = single[self._first_equal(at, key[single])]
+        raw, seen, texts = self.chunk.data.tobytes(), {}, {}
+        for i in np.flatnonzero(~hot[start]).tolist():
+            text = raw[start[i] : start[i] + count[i] + self.length - 1]
+            same[i] = first = seen.setdefault(text, i)
+            if first == i:
+                texts[i] = text
+        for i in single[same[single] == single].tolist():
+            texts[i] = raw[start[i] : start[i] + self.length]
+        return start, count, key, same, texts
+
+    def _first_equal(self, at: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """For each window, the number of the first one with its key, if that has the same bytes, else its own."""
+        _, first, group = np.unique(key, return_index=True, return_inverse=True)
+        found = first[group]
+        windows = np.lib.stride_tricks.sliding_window_view(self.chunk.data, self.length)
+        for low in range(0, len(at), _COMPARED):
+            some = slice(low, low + _COMPARED)
+            other = (windows[at[some]] != windows[at[found[some]]]).any(axis=1)
+            found[some] = np.where(other, np.arange(len(at))[some], found[some])
+        return found
 
 
 def _anchor_cells(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     for chunk in ck.unpacked(batches):
-        yield _Stretches(chunk, length).anchors.ask(chunk.name, buckets)
+        yield _Stretches(chunk, length).anchors.ask_with_times(chunk.name, buckets)
 
 
 def _stretch_cells(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     squeeze = zstandard.ZstdCompressor(level=1).compress
     for chunk in ck.unpacked(batches):
-        start, count, anchor, same, texts = _Stretches(chunk, length).stretches(chunk.answers[0], buckets)
+        start, count, key, same, texts = _Stretches(chunk, length).stretches(chunk.answers[0], buckets)
         first = np.flatnonzero(same == np.arange(len(same)))
         docs, sizes = chunk.order_ids[chunk.doc(start[first])], count[first] + length - 1
-        part = (tx.mix(anchor[first]) % np.uint64(PARTS)).astype(np.uint8)
+        part = (tx.mix(key[first]) % np.uint64(PARTS)).astype(np.uint8)
 
         def rows(i: np.ndarray) -> tuple:
             steps = np.diff(docs[i], prepend=np.int64(0))
@@ -169,7 +199,7 @@ def _stretch_cells(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
             parts = (part[i].tobytes(), sizes[i].astype(np.uint32).tobytes())
             return squeeze(joined), steps.tobytes(), b"".join(parts)
 
-        yield ck.cells(chunk.name, ck.bucket_of(tx.mix(anchor[first]), buckets), buckets, rows)
+        yield ck.cells(chunk.name, ck.bucket_of(tx.mix(key[first]), buckets), buckets, rows)
 
 
 def _decide(rows: list[dict], length: int) -> list[np.ndarray]:
@@ -209,12 +239,12 @@ def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 def _results(batches: Iterator[pa.RecordBatch], length: int, buckets: int, texts: bool) -> Iterator[pa.RecordBatch]:
     for chunk in ck.unpacked(batches):
-        start, count, anchor, same, _ = _Stretches(chunk, length).stretches(chunk.answers[0], buckets)
+        start, count, key, same, _ = _Stretches(chunk, length).stretches(chunk.answers[0], buckets)
         n = len(chunk.data)
         gone = np.zeros(n, bool)
         first = np.flatnonzero(same == np.arange(len(same)))
         if len(first):
-            bits, at = ck.read_answers(chunk.answers[1], ck.bucket_of(tx.mix(anchor[first]), buckets), buckets, count[first])
+            bits, at = ck.read_answers(chunk.answers[1], ck.bucket_of(tx.mix(key[first]), buckets), buckets, count[first])
             gone[_ranges(start[first], count[first])] = bits[_ranges(at, count[first])]
             doc = chunk.order_ids[chunk.doc(start)]
             again = np.flatnonzero(same != np.arange(len(same)))
@@ -241,13 +271,14 @@ def _results(batches: Iterator[pa.RecordBatch], length: int, buckets: int, texts
         yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])
 
 
-def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, texts: bool = True) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, texts: bool = True, hot: int = HOT) -> DataFrame:
     """One row per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with ``texts``, kept_bytes."""
     root = workspace(docs.sparkSession, "bwt")
     chunks = ck.pack(docs, f"{root}/chunks")
     buckets = ck.bucket_count(chunks)
     anchors = ck.ask(
-        chunks.mapInArrow(lambda b: _anchor_cells(b, length, buckets), ck.CELL), in_several_chunks, f"{root}/anchors"
+        chunks.mapInArrow(lambda b: _anchor_cells(b, length, buckets), ck.CELL),
+        lambda rows: in_several_chunks_and_hot(rows, hot), f"{root}/anchors",
     )
     asked = ck.with_answers(chunks, anchors)
     stretches = ck.ask(
