@@ -45,6 +45,19 @@ def test_top_k_of_few_and_large_values(spark):
     assert got == [(j, s) for s, j in want]
 
 
+def test_a_query_with_broken_rows_keeps_its_good_vector(spark):
+    good = [1.0, 0.5]
+    broken = [None, [None, 9.0], [-math.inf, 0.0], [float("nan"), 0.0], [0.0, None]]
+    rows = [(50 * i, v) for i, v in enumerate(broken)] + [(50 * i, good) for i in range(len(broken))]
+    rows += [(250, [None, 1.0]), (1, [1.0, 1.0]), (2, [0.0, 1.0])]
+    for kind in ("double", "float"):
+        table = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+        got = {}
+        for r in topk.top_k(table, F.col("vec_id") % 50 == 0, k=1).collect():
+            got[r.query_id] = (r.vec_id, r.score)
+        assert got == {50 * i: (1, 256 * 256 + 128 * 256) for i in range(len(broken))}
+
+
 def _digest(html):
     return base64.b32encode(hashlib.sha1((html or "").encode()).digest()).decode()
 

@@ -13,7 +13,7 @@ blocks; beyond, Python integers are used, and a score that is no 64-bit integer
 
 Edge cases: vectors that are null, or hold a null or non-finite component, and rows without an id
 take no part; a query meets vectors of its own length only; rows that repeat a query's id are
-not its candidates, and the query is the smallest of their vectors; with fewer than k candidates all are returned.
+not its candidates, and the query is the smallest of their usable vectors; with fewer than k candidates all are returned.
 """
 
 from __future__ import annotations
@@ -159,7 +159,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
     picked.select("vec_id", "embedding").mapInArrow(lambda b: _blocks(b, scale, size), _BLOCK).write.parquet(
         f"{root}/candidates"
     )
-    asked = picked.filter("is_query").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    # A null or non-finite component makes a vector unusable, and may sort below the good ones.
+    usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < math.inf))
+    asked = picked.filter("is_query").filter(usable).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     tasks = max(1, math.ceil(asked.count() / QUERIES))
     (asked.repartition(tasks).mapInArrow(lambda b: _blocks(b, scale, QUERIES), _BLOCK)
      .select(F.monotonically_increasing_id().alias("block"), F.spark_partition_id().alias("route"), "dim",
