@@ -1,9 +1,8 @@
-"""Removal of repeated word windows, found by doubling their length level by level.
+"""Removal of repeated word windows, found by one step from half their length to the whole.
 
 Level 1 looks at half windows: those that anchor the windows of a text (see ``anchors``) are asked for
 among all chunks. Only windows over a half that is repeated are extended to the full length and
-asked for again, now with their place; further levels would double again, and the search ends when the
-wanted length is reached or no candidate survives. Words covered by a full window that also starts
+asked for again, now with their place; there are no further levels, at any length. Words covered by a full window that also starts
 earlier (in a smaller doc_id, or earlier in the same document) are removed, judged on the input.
 
 Full windows are compared by 96 bits of hash, halves by 64. Edge cases: a null text has no words; a
