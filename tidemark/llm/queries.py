@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, bwt_dedup, dart_minhash, line_dedup, mixing, quality, secret_scan, topk, warc, word_windows
+from tidemark.llm import (
+    bpe,
+    bwt_dedup,
+    conversation_repair,
+    dart_minhash,
+    line_dedup,
+    mixing,
+    quality,
+    secret_scan,
+    topk,
+    warc,
+    word_windows,
+)
 from tidemark.llm.oracle import ORACLE
 from tidemark.llm.workers import importable
 from tidemark.session import workspace
@@ -110,10 +122,14 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_secret_scan, op2_dart_minhash, op3_warc_transactions, op4_word_windows, op5_mixing,
-        op6_bpe_round_trip, op7_quality_rules, op8_bwt_byte_dedup, op9_top_k, op10_line_runs,
+        op6_bpe_round_trip, op7_quality_rules, op8_bwt_byte_dedup, op9_top_k, op10_line_runs, op11_conversation_repair,
     )
 }
 
