@@ -66,7 +66,7 @@ def split(text: str) -> list[str]:
     return _PLAIN(text)
 
 
-def _printable_bytes() -> dict[str, int]:
+def printable_bytes() -> dict[str, int]:
     """Vocabulary files write each byte as a printable character: itself, or one from 256 on."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in set(shown)]
@@ -83,7 +83,7 @@ class Codec:
         model = spec["model"]
         if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or spec["normalizer"]:
             raise ValueError("only byte-level vocabularies without normalizer and prefix space are read")
-        to_byte = _printable_bytes()
+        to_byte = printable_bytes()
         ids = model["vocab"]
         self.bytes = {i: bytes(to_byte[c] for c in word) for word, i in ids.items()}
         self.left, self.right, self.rank = {}, {}, {i: -1 for i in ids.values()}

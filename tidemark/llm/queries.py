@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    alignment,
     bpe,
     bwt_dedup,
     conversation_repair,
     dart_minhash,
     line_dedup,
     mixing,
+    ngram_join,
     quality,
     secret_scan,
     topk,
@@ -27,6 +29,7 @@ from tidemark.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,10 +129,20 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damage(_table(spark, sf_dir, "conversations")))
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = ngram_join.linked_groups(_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return alignment.align(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.path(PIECES))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_secret_scan, op2_dart_minhash, op3_warc_transactions, op4_word_windows, op5_mixing,
-        op6_bpe_round_trip, op7_quality_rules, op8_bwt_byte_dedup, op9_top_k, op10_line_runs, op11_conversation_repair,
+        op6_bpe_round_trip, op7_quality_rules, op8_bwt_byte_dedup, op9_top_k, op10_line_runs, op11_conversation_repair, op12_ngram_join, op13_token_alignment,
     )
 }
 

@@ -66,6 +66,34 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(off, starts, "right") - 1
 
 
+def _pieces(data: np.ndarray, off: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``limit`` bytes that cut no word: they end at a space or where a text does."""
+    start, n = 0, len(data)
+    while start < n:
+        stop = min(n, start + limit)
+        edge = int(off[np.searchsorted(off, stop)])
+        while stop < edge:
+            spaces = np.flatnonzero(_SPACE[data[stop : min(edge, stop + limit)]])
+            if len(spaces):
+                edge = stop + int(spaces[0])
+            stop = min(edge, stop + limit)
+        yield start, stop
+        start = stop
+
+
+def word_hashes(data: np.ndarray, off: np.ndarray, seed: int = 0, limit: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word, and how many words each text has; long texts are taken in pieces."""
+    count, hashes = np.zeros(len(off) - 1, np.int64), [np.zeros(0, _U)]
+    for a, b in _pieces(data, off, limit):
+        first = int(np.searchsorted(off, a, "right")) - 1
+        inner = off[first + 1 : int(np.searchsorted(off, b, "left"))]
+        starts, ends, owner = words(data[a:b], np.concatenate([[a], inner, [b]]) - a)
+        hashes.append(range_hash(prefix_sums(data[a:b], seed), starts, ends))
+        found = np.bincount(owner, minlength=len(inner) + 1)
+        count[first : first + len(found)] += found
+    return np.concatenate(hashes), count
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
     x = x ^ (x >> _U(30))
