@@ -298,6 +298,18 @@ _DELIVERY_QUERIES = {
         UNION ALL SELECT 'drift_rows', count(*) FROM drift
         UNION ALL SELECT 'trend_rows', count(*) FROM trends""",
     "crash_then_write": _ALL_SILVER,
+    "replay_lands": """SELECT 'silver' AS place, event_id AS key, ingest_ts, rating FROM (
+          SELECT * FROM labelled WHERE failure_reason IS NULL OR codes = ['rating_out_of_range']
+          QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingest_ts DESC, kafka_offset DESC) = 1)
+        UNION ALL SELECT 'quarantine', dlq_key, ingest_ts, NULL FROM dlq
+        WHERE codes <> ['rating_out_of_range']""",
+    "gold_late_rows": "SELECT * FROM drift",
+    "retention_by_day": """SELECT 'quarantine' AS place, kafka_offset, ingest_ts FROM dlq
+          WHERE ingest_ts >= TIMESTAMP '2024-01-10 12:00:00'
+        UNION ALL SELECT 'bronze', kafka_offset, ingest_ts FROM texts
+          WHERE ingest_ts >= TIMESTAMP '2024-01-10 12:00:00'""",
+    "bronze_compaction": """SELECT CAST(ingest_ts AS DATE) AS ingest_day,
+        CASE WHEN id % 3 = 2 THEN 'recipe-2' ELSE 'compacted' END AS batch, count(*) AS n FROM texts GROUP BY 1, 2""",
 }
 
 _LISTING_QUERIES = {

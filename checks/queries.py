@@ -40,14 +40,16 @@ from tidemark.operators.validate import (
 )
 from tidemark.plans.gold import gold_job
 from tidemark.plans.ingest import ingest
-from tidemark.schemas import CATEGORY_TRENDS, DLQ, RATING_DRIFT, SILVER
+from tidemark.plans.replay import replay_job
+from tidemark.schemas import BRONZE, CATEGORY_TRENDS, DLQ, RATING_DRIFT, SILVER
 from tidemark.session import workspace
 from tidemark.sources.files import write_jsonl, write_jsonl_by_topic
 from tidemark.sources.pages import explode_listings, failed_pages
-from tidemark.streaming.bronze import land_files
+from tidemark.streaming.bronze import land_batch, land_files
 from tidemark.streaming.silver import process_batch, rebuild, silver_job
+from tidemark.tables.notes import DayNotes
 from tidemark.tables.parquet import ParquetTable
-from tidemark.tables.upkeep import compact, prune, small_file_partitions
+from tidemark.tables.upkeep import compact, compact_landed, prune, small_file_partitions
 
 TODAY = dt.date.fromisoformat(recipe.TODAY)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -664,6 +666,63 @@ def run_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(counts.items()), "report string, rows long")
 
 
+@query
+def replay_lands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarantined batch after the rating scale rule is withdrawn: what is in silver now, and what is left."""
+    silver, dlq = _tables(spark, "replay")
+    process_batch(recipe.bronze(spark, sf_dir), silver, dlq)
+    rules = [r for r in ENVELOPE_RULES if r.code != "rating_out_of_range"]
+    for _ in range(2):  # the second run finds nothing to do
+        replay_job(silver, dlq, rules, codes=["rating_out_of_range"])
+    landed = silver.read().selectExpr("'silver' AS place", "event_id AS key", _wall("ingest_ts"), "rating")
+    left = dlq.read().selectExpr("'quarantine' AS place", "dlq_key AS key", _wall("ingest_ts"), "cast(null AS double) AS rating")
+    return landed.unionByName(left)
+
+
+@query
+def gold_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth event arrives after gold was built: the days it falls on are built again."""
+    silver, dlq = _tables(spark, "late")
+    drift, trends = _gold_tables(spark, "late")
+    notes = DayNotes(spark, f"{workspace(spark, 'late-notes')}/days")
+    rows = recipe.bronze(spark, sf_dir)
+    late = F.expr("kafka_offset div 2 % 10 = 3")
+    process_batch(rows.filter(~late), silver, dlq, 0, notes=notes)
+    gold_job(silver.read(), drift, trends, TODAY, days=None, notes=notes)
+    process_batch(rows.filter(late), silver, dlq, 1, notes=notes)
+    gold_job(silver.read(), drift, trends, TODAY, notes=notes)
+    return _drift_view(drift.read())
+
+
+@query
+def retention_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantine and bronze after twenty days: whole days go by name, the day of the cut is rewritten."""
+    root = workspace(spark, "retention")
+    _, dlq = _tables(spark, "retention")
+    dlq.append(_dlq(spark, sf_dir))
+    bronze = ParquetTable(spark, f"{root}/bronze", BRONZE)
+    land_batch(recipe.bronze(spark, sf_dir), bronze.path, "recipe", 0)
+    now, kept = dt.datetime(2024, 1, 30, 12, tzinfo=dt.timezone.utc), {}
+    for name, table in (("quarantine", dlq), ("bronze", bronze)):
+        prune(table, "ingest_ts", dt.timedelta(days=20), now)
+        kept[name] = table.read().selectExpr(f"'{name}' AS place", "kafka_offset", _wall("ingest_ts"))
+    return kept["quarantine"].unionByName(kept["bronze"])
+
+
+@query
+def bronze_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze landed in several batches, compacted, and drained into silver."""
+    root = workspace(spark, "bronze-compact")
+    bronze = ParquetTable(spark, f"{root}/bronze", BRONZE)
+    rows = recipe.bronze(spark, sf_dir)
+    for i in range(3):
+        part = rows.filter(F.expr(f"kafka_offset div 2 % 3 = {i}"))
+        for _ in range(2):  # a repeated batch lands once
+            land_batch(part, bronze.path, "recipe", i)
+    compact_landed(bronze)
+    return bronze.read().groupBy("ingest_day", "batch").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def crash_then_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A replacement that a dead driver left binding, then another writer: nothing reverts."""

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from tidemark.schemas import BRONZE, TableSpec
 from tidemark.tables import MergeTable, ParquetTable, open_table
 from tidemark.tables.bootstrap import location, sync_partitions
+from tidemark.tables.notes import DayNotes
 
 
 def parser(description: str | None) -> argparse.ArgumentParser:
@@ -49,6 +50,11 @@ def bronze_table(args: argparse.Namespace) -> str:
     return f"{args.catalog}.{BRONZE.full_name}"
 
 
+def day_notes(spark: SparkSession, args: argparse.Namespace) -> DayNotes | None:
+    """The days that silver changed and gold has not seen, where tables lie under ``--root``."""
+    return DayNotes(spark, f"{args.root.rstrip('/')}/gold/_late_days") if args.root else None
+
+
 def today_utc() -> dt.date:
     return dt.datetime.now(dt.timezone.utc).date()
 

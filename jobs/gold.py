@@ -3,7 +3,7 @@
 import datetime as dt
 from dataclasses import asdict
 
-from jobs.common import parser, report, show, table, today_utc
+from jobs.common import day_notes, parser, report, show, table, today_utc
 from tidemark.plans.gold import gold_job
 from tidemark.schemas import CATEGORY_TRENDS, RATING_DRIFT, SILVER
 from tidemark.session import build_session
@@ -19,7 +19,7 @@ def main(argv: list[str] | None = None) -> None:
     result = gold_job(
         table(spark, args, SILVER).read(), table(spark, args, RATING_DRIFT),
         table(spark, args, CATEGORY_TRENDS), args.today or today_utc(), args.days,
-        args.cap_at_today,
+        args.cap_at_today, day_notes(spark, args),
     )
     show(spark, args, RATING_DRIFT, CATEGORY_TRENDS)
     report("gold", **asdict(result))

@@ -49,6 +49,7 @@ def test_upsert_inserts_updates_and_leaves_other_days_alone(spark, table):
     assert (first.appended, first.rewritten) == (3, ())
     before = files(table)
     report = table.upsert(rows(spark, [("b", 20, 2), ("d", 4, 3), ("e", 5, 2)]))
+    assert report.touched == (dt.date(2024, 1, 2), dt.date(2024, 1, 3))
     assert report.rewritten == (dt.date(2024, 1, 2),)
     assert content(table) == {"a": (1, 1), "b": (20, 2), "c": (3, 3), "d": (4, 3), "e": (5, 2)}
     kept = {f for f in before if "2024-01-02" not in f}

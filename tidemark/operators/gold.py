@@ -10,6 +10,7 @@ the much smaller merged tallies. Both tables can be derived from them, with one
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,9 +35,9 @@ def window_start(today: dt.date, days: int | None) -> dt.date:
 
 
 def recompute_window(
-    silver: DataFrame, today: dt.date, days: int | None = 2, cap_at_today: bool = False
+    silver: DataFrame, today: dt.date, days: int | None = 2, cap_at_today: bool = False, also: Sequence[dt.date] = ()
 ) -> DataFrame:
-    """Observations of the window, with their UTC ``day``.
+    """Observations of the window and of the days in ``also``, with their UTC ``day``.
 
     The bound is one literal, fixed before anything runs. On a table partitioned by
     day it prunes partitions; elsewhere the instant bound reaches the scan. Rows
@@ -46,9 +47,11 @@ def recompute_window(
     if days is None:
         bounded = silver if "day" in silver.columns else with_day(silver)
     elif "day" in silver.columns:
-        bounded = silver.filter(F.col("day") >= F.lit(as_of))
+        listed = F.col("day").isin([*also]) if also else F.lit(False)
+        bounded = silver.filter((F.col("day") >= F.lit(as_of)) | listed)
     else:
-        bounded = with_day(silver.filter(f"observed_at >= {utc_midnight(as_of)}"))
+        ranges = [f"observed_at >= {utc_midnight(d)} AND observed_at < {utc_midnight(d + dt.timedelta(days=1))}" for d in also]
+        bounded = with_day(silver.filter(" OR ".join([f"observed_at >= {utc_midnight(as_of)}", *ranges])))
     return bounded.filter(F.col("day") <= F.lit(today)) if cap_at_today else bounded
 
 

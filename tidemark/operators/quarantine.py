@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from tidemark.functions.barrier import computed_once
 from tidemark.functions.rules import ENVELOPE_RULES, Rule, failing_codes
 from tidemark.functions.text import content_key
+from tidemark.functions.times import utc_day
 from tidemark.operators.decode import DECODED, decode
 from tidemark.schemas import DLQ_COLUMNS
 
@@ -46,6 +47,7 @@ def to_dlq(failing: DataFrame, reason: str | None = None) -> DataFrame:
     own = {
         "dlq_key": f"{content_key(_KEY_PARTS)} AS dlq_key",
         "failure_reason": "failure_reason" if reason is None else f"'{reason}' AS failure_reason",
+        "ingest_day": f"{utc_day('ingest_ts')} AS ingest_day",
     }
     return failing.selectExpr(*[own.get(c, c) for c in DLQ_COLUMNS])
 
@@ -70,4 +72,4 @@ def replay_dlq(dlq: DataFrame, rules: Sequence[Rule] = ENVELOPE_RULES) -> DataFr
     Rows that pass now have a null ``failure_reason`` and carry ``env``, ready for
     :func:`tidemark.operators.silver.latest_observations`.
     """
-    return classify(dlq.drop("failure_reason", "failure_codes"), rules)
+    return classify(dlq.drop("failure_reason", "failure_codes", "ingest_day"), rules)

@@ -47,6 +47,10 @@ class TableSpec:
     keys: tuple[str, ...] = ()
     # Columns rows are clustered on inside a partition; serves file pruning.
     cluster_by: tuple[str, ...] = ()
+    # The partition column that holds the UTC day of an instant, and that instant.
+    day_of: tuple[str, str] = ("day", "observed_at")
+    # Columns that are never null.
+    required: tuple[str, ...] = ()
 
     @property
     def full_name(self) -> str:
@@ -57,12 +61,15 @@ class TableSpec:
         return [column.split()[0] for column in self.columns.split(", ")]
 
 
+# `ingest_day` is the UTC day of `ingest_ts`; `batch` names the micro-batch that landed the row.
 BRONZE = TableSpec(
     "bronze",
     "business_events_raw",
     "ingest_ts timestamp, kafka_topic string, kafka_partition int, "
-    "kafka_offset bigint, kafka_key string, raw_envelope string",
-    partition_by=("kafka_topic",),
+    "kafka_offset bigint, kafka_key string, raw_envelope string, ingest_day date, batch string",
+    partition_by=("kafka_topic", "ingest_day", "batch"),
+    cluster_by=("kafka_partition", "kafka_offset"),
+    day_of=("ingest_day", "ingest_ts"),
 )
 
 SILVER_COLUMNS = (
@@ -88,16 +95,18 @@ SILVER = TableSpec(
 
 DLQ_COLUMNS = (
     "dlq_key", "ingest_ts", "kafka_topic", "kafka_partition", "kafka_offset",
-    "kafka_key", "failure_reason", "failure_codes", "raw_envelope",
+    "kafka_key", "failure_reason", "failure_codes", "raw_envelope", "ingest_day",
 )
 DLQ = TableSpec(
     "dlq",
     "business",
     "dlq_key string, ingest_ts timestamp, kafka_topic string, kafka_partition int, "
     "kafka_offset bigint, kafka_key string, failure_reason string, "
-    "failure_codes array<string>, raw_envelope string",
-    partition_by=("failure_reason",),
+    "failure_codes array<string>, raw_envelope string, ingest_day date",
+    partition_by=("failure_reason", "ingest_day"),
     keys=("dlq_key",),
+    cluster_by=("kafka_topic", "kafka_offset", "dlq_key"),
+    day_of=("ingest_day", "ingest_ts"),
 )
 
 RATING_DRIFT = TableSpec(

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+DELIVERY_SECONDS = 60.0  # for the last events of a query that has ended
 
 
 @dataclass(frozen=True)
@@ -15,15 +19,42 @@ class RunReport:
     batches: int
 
 
-def drain(query: StreamingQuery, poll_seconds: float = 1.0) -> RunReport:
+class _Progress(StreamingQueryListener):
+    """Input rows of each micro-batch of one run; every event is delivered, however many there are."""
+
+    def __init__(self, run_id: str):
+        self.run_id, self.rows, self.ended = run_id, {}, threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if str(event.progress.runId) == self.run_id:
+            self.rows[event.progress.batchId] = event.progress.numInputRows
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.runId) == self.run_id:
+            self.ended.set()
+
+
+def drain(spark: SparkSession, query: StreamingQuery) -> RunReport:
     """Wait for an ``availableNow`` query to finish; failures are raised.
 
-    Progress is collected while it runs, since Spark keeps only the latest events.
+    Spark keeps the latest events of a query only, so they are taken as they come. Those of batches
+    that were over before this began to listen are still among the kept ones.
     """
-    rows: dict[int, int] = {}
-    done = False
-    while not done:
-        done = query.awaitTermination(poll_seconds)
-        for event in query.recentProgress:
-            rows[event["batchId"]] = event["numInputRows"]
+    streams = spark.streams
+    progress = _Progress(str(query.runId))
+    streams.addListener(progress)
+    try:
+        early = {event["batchId"]: event["numInputRows"] for event in query.recentProgress}
+        query.awaitTermination()
+        progress.ended.wait(DELIVERY_SECONDS)
+        late = {event["batchId"]: event["numInputRows"] for event in query.recentProgress}
+    finally:
+        streams.removeListener(progress)
+    rows = early | late | progress.rows
     return RunReport(sum(rows.values()), sum(1 for n in rows.values() if n))

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.quarantine import REASON_PARSE, classify, split_classified
 from tidemark.operators.silver import DELIVERY, latest_delivery, to_silver, with_day
 from tidemark.sources.files import bronze_stream
 from tidemark.streaming.drain import RunReport, drain
 from tidemark.tables.merge import MergeTable
-from tidemark.tables.parquet import ParquetTable
+from tidemark.tables.notes import DayNotes
+from tidemark.tables.parquet import ParquetTable, observed
 
 Table = ParquetTable | MergeTable
 
@@ -24,14 +26,25 @@ _SHARED = (
 )
 
 
+_COUNTED = {
+    "valid": "failure_reason IS NULL",
+    "dlq": "failure_reason IS NOT NULL",
+    "unparseable": f"failure_reason = '{REASON_PARSE}'",
+}
+
+
 @dataclass(frozen=True)
 class BatchReport:
-    """Row counts of one micro-batch; ``valid + dlq`` is everything that came in."""
+    """Row counts of one micro-batch; ``valid + dlq`` is everything that came in.
+
+    ``days`` are the silver days that were appended to or rewritten.
+    """
 
     batch_id: int
     valid: int
     dlq: int
     unparseable: int
+    days: tuple = ()
 
 
 @dataclass
@@ -46,29 +59,28 @@ def process_batch(
     dlq: Table,
     batch_id: int = 0,
     keys_keep_partition: bool = False,
+    notes: DayNotes | None = None,
 ) -> BatchReport:
     """Validate a batch, upsert the good rows, quarantine the rest.
 
     The batch is parsed once and shared by both outputs. A crash between the two
     writes repeats the batch, which neither table notices.
     """
-    rows = to_silver(classify(bronze), keep=_SHARED).persist()
+    seen, counted = Observation(), [F.expr(f"count_if({test})").alias(name) for name, test in _COUNTED.items()]
+    rows = to_silver(classify(bronze), keep=_SHARED).observe(seen, *counted).persist()
     try:
-        counts = rows.selectExpr(
-            "count_if(failure_reason IS NULL) AS valid",
-            "count_if(failure_reason IS NOT NULL) AS dlq",
-            f"count_if(failure_reason = '{REASON_PARSE}') AS unparseable",
-        ).first()
-        report = BatchReport(batch_id, counts["valid"], counts["dlq"], counts["unparseable"])
         valid, quarantined = split_classified(rows)
-        if report.valid:
-            silver.upsert(
-                with_day(latest_delivery(valid)), keys_keep_partition=keys_keep_partition
-            )
-        if report.dlq:
-            # The offset is part of the hashed key, so equal keys have equal offsets.
-            dlq.insert_absent(quarantined, implied_by_key=("kafka_offset",))
-        return report
+        # The first write fills the cache and with it the counts; without valid rows it writes nothing.
+        written = silver.upsert(
+            with_day(latest_delivery(valid)), keys_keep_partition=keys_keep_partition,
+            before=notes and notes.before("silver"),
+        )
+        counts = observed(seen) or rows.agg(*counted).first().asDict()
+        if counts["dlq"]:
+            # Topic and offset are part of the hashed key, so equal keys have equal ones.
+            dlq.insert_absent(quarantined, implied_by_key=("kafka_topic", "kafka_offset"))
+        touched = written.touched if written else ()
+        return BatchReport(batch_id, counts["valid"], counts["dlq"], counts["unparseable"], touched)
     finally:
         rows.unpersist()
 
@@ -82,16 +94,17 @@ def silver_job(
     max_files: int | None = None,
     max_bytes: int | None = None,
     keys_keep_partition: bool = False,
+    notes: DayNotes | None = None,
 ) -> SilverRun:
     """Drain bronze into silver and quarantine, then exit.
 
-    A new checkpoint re-reads all of bronze and leaves both tables as they are.
+    The days that change are left in ``notes`` for gold. A new checkpoint re-reads all of bronze and leaves both tables as they are.
     """
     result = SilverRun()
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         result.batches.append(
-            process_batch(batch, silver, dlq, batch_id, keys_keep_partition)
+            process_batch(batch, silver, dlq, batch_id, keys_keep_partition, notes)
         )
 
     query = (
@@ -101,7 +114,7 @@ def silver_job(
         .trigger(availableNow=True)
         .start()
     )
-    result.run = drain(query)
+    result.run = drain(spark, query)
     return result
 
 

@@ -6,10 +6,9 @@ Only statement building can be tested where no such format is installed.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.schemas import TableSpec
 
@@ -49,7 +48,11 @@ class MergeTable:
         batch: DataFrame,
         keys: Sequence[str] | None = None,
         keys_keep_partition: bool = False,
+        before: Callable[[list], None] | None = None,
     ) -> None:
+        if before:
+            (part,) = self.spec.partition_by
+            before(sorted(r[0] for r in batch.select(part).distinct().collect() if r[0] is not None))
         same = self.spec.partition_by if keys_keep_partition else ()
         view = f"{self.spec.name}_upsert"
         statement = self.merge_statement(view, keys or self.spec.keys, True, same)
@@ -66,14 +69,15 @@ class MergeTable:
         statement = self.merge_statement(view, keys, False, implied_by_key)
         self._merge(df.dropDuplicates(keys), statement, view)
 
+    def replaced(self, as_of: dt.date, also: Sequence[dt.date] = ()) -> str:
+        """The days from ``as_of`` on and those in ``also``, as a condition."""
+        (part,) = self.spec.partition_by
+        window = f"{part} >= DATE'{as_of.isoformat()}'"
+        listed = ", ".join(f"DATE'{d.isoformat()}'" for d in also)
+        return f"{window} OR {part} IN ({listed})" if listed else window
+
     def replace_days(
-        self, df: DataFrame, as_of: dt.date, days: Sequence[dt.date] | None = None
+        self, df: DataFrame, as_of: dt.date, days: Sequence[dt.date] | None = None, also: Sequence[dt.date] = ()
     ) -> None:
-        (part,) = self.spec.partition_by
-        (
-            df.filter(F.col(part) >= F.lit(as_of))
-            .write.format(self.fmt)
-            .mode("overwrite")
-            .option("replaceWhere", f"{part} >= DATE'{as_of.isoformat()}'")
-            .saveAsTable(self.name)
-        )
+        where = self.replaced(as_of, also)
+        df.filter(where).write.format(self.fmt).mode("overwrite").option("replaceWhere", where).saveAsTable(self.name)

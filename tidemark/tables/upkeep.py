@@ -12,6 +12,7 @@ from tidemark.tables import paths
 from tidemark.tables.parquet import ParquetTable
 
 MB = 1024 * 1024
+BATCH, COMPACTED = "batch", "compacted"  # the column that names a landed batch, and its value behind a compaction
 
 
 def file_sizes(spark: SparkSession, path: str) -> DataFrame:
@@ -34,14 +35,16 @@ def small_file_partitions(table: ParquetTable, target_mb: int) -> DataFrame:
     One file over is not worth a rewrite: a range split may cut a partition once more
     than its bytes ask for.
     """
-    (part,) = table.spec.partition_by
-    target = target_mb * MB
+    parts = table.parts
+    folder = "/".join(f"({c}=[^/]+)" for c in parts)
+    names = {c: F.regexp_extract("path", f"/{folder}/[^/]+$", i + 1) for i, c in enumerate(parts)}
     return (
         file_sizes(table.spark, table.path)
-        .withColumn(part, F.regexp_extract(F.col("path"), f"/{part}=([^/]+)/[^/]+$", 1))
-        .groupBy(part)
+        .select("length", F.concat_ws("/", *names.values()).alias("directory"),
+                *[F.substring_index(v, "=", -1).alias(c) for c, v in names.items()])
+        .groupBy("directory", *parts)
         .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-        .withColumn("needed", F.ceil(F.col("bytes") / F.lit(target)))
+        .withColumn("needed", F.ceil(F.col("bytes") / F.lit(target_mb * MB)))
         .filter("files > needed + 1")
     )
 
@@ -51,25 +54,61 @@ def compact(table: ParquetTable, target_mb: int = 128) -> list:
 
     Rows are range-split on partition, clustering columns and keys, so a large
     partition spreads over as many tasks as it needs files, and files do not overlap
-    on the clustering columns. Returns the rewritten partition values.
+    on the clustering columns. Returns the rewritten partitions.
     """
     table.recover()
     _refuse_logged(table)
-    (part,) = table.spec.partition_by
     if not table.exists():
         return []
     found = small_file_partitions(table, target_mb).collect()
     if not found:
         return []
-    rows = table.read()
-    kind = dict(rows.dtypes)[part]
-    names = [r[part] for r in found]
-    values = [dt.date.fromisoformat(n) for n in names] if kind == "date" else names
+    values = [table.value_of(r["directory"]) for r in found]
+    order = list(dict.fromkeys([*table.parts, *table.spec.cluster_by, *table.spec.keys]))
     needed = sum(r["needed"] for r in found)
-    order = list(dict.fromkeys([part, *table.spec.cluster_by, *table.spec.keys]))
-    rows = rows.filter(F.col(part).isin(values)).repartitionByRange(needed, *order)
-    table.overwrite(rows, values, laid_out=True)
-    return sorted(values)
+    rows = table.read().filter(table.inside(values)).repartitionByRange(needed, *order)
+    if table.spec.cluster_by:
+        rows = rows.sortWithinPartitions(*order)
+    table.overwrite(rows, values, laid_out=True, same_rows=True)
+    return sorted(values, key=str)
+
+
+def compact_landed(table: ParquetTable, target_mb: int = 128) -> list:
+    """Join the landed batches of each day into one directory of files of about ``target_mb``.
+
+    The newest batch of each query stays as it is: only that one can be repeated, and a repeated
+    batch finds its directory by name. Returns the days' partitions that were written.
+    """
+    table.recover()
+    _refuse_logged(table)
+    at = table.parts.index(BATCH)
+    there = [v for v in table.partitions() if v[at] is not None]
+    newest: dict[str, int] = {}
+    for v in there:
+        query, _, number = v[at].rpartition("-")
+        if number.isdigit():
+            newest[query] = max(newest.get(query, -1), int(number))
+    open_ = {f"{query}-{number}" for query, number in newest.items()}
+    days: dict[tuple, list[tuple]] = {}
+    for v in there:
+        if v[at] not in open_:
+            days.setdefault((*v[:at], COMPACTED, *v[at + 1 :]), []).append(v)
+    days = {day: batches for day, batches in days.items() if len(batches) > 1}
+    if not days:
+        return []
+    values = [v for batches in days.values() for v in batches]
+    rows = table.read().filter(table.inside(values)).withColumn(BATCH, F.lit(COMPACTED))
+    sizes = file_sizes(table.spark, table.path).filter(F.col("path").rlike(_any_folder(table, values)))
+    needed = max(len(days), -(-(sizes.agg(F.sum("length")).first()[0] or 0) // (target_mb * MB)))
+    rows = rows.repartitionByRange(needed, *table.parts, *table.spec.cluster_by)
+    table.overwrite(rows, [*days, *(v for v in values if v not in days)], laid_out=True, same_rows=True)
+    return sorted(days, key=str)
+
+
+def _any_folder(table: ParquetTable, values: list) -> str:
+    """A pattern of the files of some batches; names of batches hold no special characters."""
+    at = table.parts.index(BATCH)
+    return "/" + BATCH + "=(" + "|".join(sorted({v[at] for v in values})) + ")/"
 
 
 def prune(
@@ -77,8 +116,8 @@ def prune(
 ) -> tuple[list, list]:
     """Remove rows whose ``instant`` is older than ``now - ttl``.
 
-    On a table partitioned by the day of that instant, expired days are removed
-    without being read and only the day of the cut is rewritten. Otherwise every
+    On a table partitioned by the day of that instant, expired days are found by their directories and
+    removed unread; only the day of the cut is read and rewritten. Otherwise every
     partition with an expired row is rewritten. Returns (dropped, rewritten).
     """
     if now.tzinfo is None:
@@ -87,27 +126,25 @@ def prune(
     _refuse_logged(table)
     if not table.exists():
         return [], []
-    (part,) = table.spec.partition_by
-    rows = table.read()
     cut = (now - ttl).astimezone(dt.timezone.utc)
+    day, of = table.spec.day_of
     dropped: list = []
-    if part == "day" and instant == "observed_at":
-        old = table.partition_values(rows.filter(F.col(part) < F.lit(cut.date())), part)
-        table.drop_partitions(old)
-        dropped = old
-        rows = table.read().filter(F.col(part) == F.lit(cut.date()))
+    rows = table.read()
+    if day in table.parts and of == instant:
+        at = table.parts.index(day)
+        days = [(v[at] if len(table.parts) > 1 else v, v) for v in table.partitions()]
+        dropped = sorted((v for d, v in days if d is not None and d < cut.date()), key=str)
+        table.drop_partitions(dropped)
+        rows = table.read().filter(F.col(day) == F.lit(cut.date()))
     # A null instant is not known to have expired.
     expired = F.expr(f"coalesce({instant} < {instant_literal(cut)}, false)")
-    touched = table.partition_values(rows.filter(expired), part)
+    touched = table.partition_values(rows.filter(expired))
     if touched:
-        table.overwrite(rows.filter(F.col(part).isin(touched) & ~expired), touched)
+        table.overwrite(rows.filter(table.inside(touched) & ~expired), touched)
     return dropped, touched
 
 
 def _refuse_logged(table: ParquetTable) -> None:
     """A directory with a streaming sink log is defined by that log, not its files."""
     if paths.exists(table.spark, f"{table.path}/_spark_metadata"):
-        raise ValueError(
-            f"{table.path} is written by a streaming sink; size its files at write "
-            "time and expire them with the sink's retention option"
-        )
+        raise ValueError(f"{table.path} is written by a streaming sink, whose log defines it; land it anew in batches")
