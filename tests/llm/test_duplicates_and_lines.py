@@ -57,7 +57,6 @@ def test_near_duplicates(spark):
     rows = _near_copies()
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, node int")
     got = dart_minhash.near_duplicates(docs.repartition(3)).collect()
-    # A node is a doc_id: the two texts of document 2007 are classed each by its own group here.
     assert Counter((r.doc_id, r.class_id) for r in got) == Counter(
         (d, c) for (d, _), c in zip(rows, _classes(rows), strict=True))
     assert {r.class_id for r in got if r.doc_id in (2002, 2003)} == {2002}
@@ -70,6 +69,18 @@ def test_null_doc_ids(spark):
     assert got == Counter([(None, 4), (4, 4), (None, None)])
 
 
+def test_texts_of_one_doc_id_are_told_apart(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(7, a), (7, b), (9, b), (11, a), (None, a), (None, "c d e f g h"), (None, "c d e f g h"), (12, ""), (12, None)]
+    got = dart_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert Counter((r.doc_id, r.class_id) for r in got) == Counter(
+        [(7, 7), (7, 7), (9, 7), (11, 7), (None, 7), (None, None), (None, None), (12, 12), (12, 12)])
+    # Class ids are doc_ids, so two classes may have one; the texts tell them apart.
+    assert len({r.text_key for r in got if r.class_id == 7}) == 2
+    assert sorted((r.doc_id or 0, r.text_key) for r in got if r.chosen and r.class_id == 7) == sorted(
+        (7, k) for k in {r.text_key for r in got if r.class_id == 7})
+
+
 def test_links_across_a_band_are_found(spark):
     """Copies of copies: neighbours are similar, ends are not, and all are one class."""
     rng = random.Random(8)
@@ -94,15 +105,16 @@ def test_links_across_blocks(spark, monkeypatch, tmp_path):
             words[k] = f"e{i}_{k}"
         texts.append((i, " ".join(words)))
     pack = dart_minhash.zstandard.ZstdCompressor().compress
-    packed = spark.createDataFrame([(i, bytearray(pack(t.encode()))) for i, t in texts], "node long, packed binary")
-    bands = spark.createDataFrame([(i, b) for i, _ in texts for b in (7, 9)], "node long, band long")
-    labels = spark.createDataFrame([(4, 4), (8, 4)], "node long, label long")
+    key = lambda i: bytearray([i])
+    packed = spark.createDataFrame([(key(i), bytearray(pack(t.encode()))) for i, t in texts], "node binary, packed binary")
+    bands = spark.createDataFrame([(key(i), b) for i, _ in texts for b in (7, 9)], "node binary, band long")
+    labels = spark.createDataFrame([(key(4), key(4)), (key(8), key(4))], "node binary, label binary")
     links = dart_minhash._rest(bands, labels, packed, str(tmp_path / "mixed"))
     label = {i: i for i, _ in texts} | {8: 4}
     for r in components(links).collect():
         for i in label:
-            if label[i] == r.node:
-                label[i] = r.label
+            if label[i] == r.node[0]:
+                label[i] = r.label[0]
     assert [label[i] for i, _ in texts] == _classes([*texts])
 
 

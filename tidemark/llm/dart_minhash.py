@@ -15,9 +15,12 @@ across, in blocks of bounded size, so that no link between documents of a band i
 emits what connects classes, no pairs. With 30 bands of 5 a pair of similarity 0.8 shares a band
 with probability 0.99999.
 
+Texts are told apart by 128 bits of hash over their words, never by doc_id, so rows of one doc_id may be of several
+classes. Of each class one text is chosen: that of the smallest doc_id, and of several such the one with the smallest hash.
+
 Edge cases: a text without words is a class of its own; one of fewer than five words is one
-shingle; rows are classed by their text, so rows of one doc_id may differ; a null doc_id is
-never a class id or representative: its class is that of the other rows of its class, else null.
+shingle; a null doc_id is no class id: its class is that of the other rows of its class, else null, and it is chosen
+only where all are null.
 """
 
 from __future__ import annotations
@@ -125,6 +128,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, data, off in tx.sliced(batches):
         n = len(off) - 1
         element, doc, keys = elements(data, off)
+        tie = batch.column(2)
         sig = signatures(element, doc, n)
         bands = sig.reshape(n, BANDS, ROWS)
         h = np.broadcast_to(tx.mix(np.arange(1, BANDS + 1, dtype=_U)), (n, BANDS)).copy()
@@ -132,9 +136,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h = tx.join_hash(h, bands[:, :, i])
         weight = np.bincount(doc, minlength=n)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([k.tobytes() for k in keys], pa.binary()), pa.array(weight.astype(np.int64)),
+            [batch.column(0), tie, pa.array([k.tobytes() for k in keys], pa.binary()), pa.array(weight.astype(np.int64)),
              pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(h.view(np.int64).ravel()))],
-            ["doc_id", "text_key", "weight", "bands"],
+            ["doc_id", "tie", "text_key", "weight", "bands"],
         )
 
 
@@ -143,7 +147,9 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, data, off in tx.sliced(batches):
         raw = data.tobytes()
         texts = [pack(raw[off[i] : off[i + 1]]) for i in range(len(off) - 1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], ["node", "packed"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(2), pa.array(texts, pa.binary())], ["doc_id", "tie", "packed"]
+        )
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,18 +167,23 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if shared >= LEAST * (len(mine) + len(theirs) - shared) - 1e-9:
                 a.append(x)
                 b.append(y)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 
-def _texts(docs: DataFrame, pairs: DataFrame, path: str) -> DataFrame:
-    """node and packed text of the documents in the pairs (a, b).
+def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, path: str) -> DataFrame:
+    """node and packed text of the nodes in the pairs (a, b), each from the row that stands for it.
 
     Joined by a shuffle at any size: how many documents are wanted grows with the input.
     """
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b"))).distinct()
-    docs.join(wanted.hint("merge"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
-        _compress, "node bigint, packed binary"
-    ).write.parquet(path)
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b"))).distinct()
+    rows = nodes.join(wanted.hint("merge"), "node", "left_semi").select(
+        "node", F.col("pick.doc_id").alias("its_doc"), F.col("pick.tie").alias("its_tie")
+    )
+    found = docs.join(rows.select("its_tie").distinct().hint("merge"), F.col("tie") == F.col("its_tie"), "left_semi").select(
+        "doc_id", "text", "tie"
+    ).mapInArrow(_compress, "doc_id bigint, tie bigint, packed binary")
+    same = F.col("doc_id").eqNullSafe(F.col("its_doc")) & (F.col("tie") == F.col("its_tie"))
+    found.join(rows.hint("merge"), same).groupBy("node").agg(F.any_value("packed").alias("packed")).write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
@@ -182,7 +193,7 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         pairs.join(texts.select(F.col("node").alias("a"), F.col("packed").alias("one")), "a")
         .join(texts.select(F.col("node").alias("b"), F.col("packed").alias("two")), "b")
     )
-    return joined.select("a", "b", "one", "two").mapInArrow(_verify, "a bigint, b bigint")
+    return joined.select("a", "b", "one", "two").mapInArrow(_verify, "a binary, b binary")
 
 
 def _linked(key, rows):
@@ -193,7 +204,7 @@ def _linked(key, rows):
     """
     left = np.flatnonzero(rows.column("left").to_numpy(zero_copy_only=False))
     right = np.flatnonzero(rows.column("right").to_numpy(zero_copy_only=False))
-    label = rows.column("label").to_numpy()
+    names, label = np.unique(np.array(rows.column("label").to_pylist(), object), return_inverse=True)
     unpack = zstandard.ZstdDecompressor().decompress
     texts = [unpack(t.as_py()) for t in rows.column("packed")]
     off = np.cumsum([0, *map(len, texts)])
@@ -229,7 +240,7 @@ def _linked(key, rows):
         if low != high:
             root[high] = low
             out.append((high, low))
-    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+    return pa.table({"a": pa.array([names[x] for x, _ in out], pa.binary()), "b": pa.array([names[y] for _, y in out], pa.binary())})
 
 
 def _rest(shared: DataFrame, labels: DataFrame, texts: DataFrame, path: str) -> DataFrame:
@@ -257,28 +268,35 @@ def _rest(shared: DataFrame, labels: DataFrame, texts: DataFrame, path: str) ->
         .select("low", "i", "j", "node", "label",
                 (F.col("block") == F.col("i")).alias("left"), (F.col("block") == F.col("j")).alias("right"))
     )
-    return dealt.join(texts, "node").groupBy("low", "i", "j").applyInArrow(_linked, "a bigint, b bigint").distinct()
+    return dealt.join(texts, "node").groupBy("low", "i", "j").applyInArrow(_linked, "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id (smallest doc_id of the class), n_copies of the row's text and text_key."""
+    """doc_id, class_id (smallest doc_id of the class), n_copies of the row's text, text_key, tie and chosen.
+
+    ``tie`` is xxhash64 of the text; ``chosen`` marks the rows of a class that hold its chosen text under its doc_id.
+    """
     spark = docs.sparkSession
     root = workspace(spark, "darts")
-    lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
     lean.mapInArrow(
-        _sketch, "doc_id bigint, text_key binary, weight bigint, bands array<bigint>"
+        _sketch, "doc_id bigint, tie bigint, text_key binary, weight bigint, bands array<bigint>"
     ).write.parquet(f"{root}/sketches")
     sketches = spark.read.parquet(f"{root}/sketches")
-    # One node per text: its smallest doc_id. Copies of a text have one signature.
-    firsts = sketches.filter("weight > 0").groupBy("text_key").agg(
-        F.min("doc_id").alias("node"), F.count("*").alias("n_copies")
-    )
-    firsts.write.parquet(f"{root}/firsts")
+    # One node per text, and the row that stands for it. Copies of a text have one signature.
+    pick = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tie")).alias("pick")
+    sketches.filter("weight > 0").groupBy(F.col("text_key").alias("node")).agg(
+        F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"), pick
+    ).write.parquet(f"{root}/firsts")
     firsts = spark.read.parquet(f"{root}/firsts")
-    first_rows = firsts.filter("node IS NOT NULL").select("text_key", F.col("node").alias("doc_id"))
-    sketches.join(first_rows, ["text_key", "doc_id"], "left_semi").select(
-        F.col("doc_id").alias("node"), "bands"
-    ).distinct().write.parquet(f"{root}/nodes")
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("its_doc")) & (F.col("tie") == F.col("its_tie")) & (F.col("text_key") == F.col("node"))
+    )
+    stand = firsts.select("node", F.col("pick.doc_id").alias("its_doc"), F.col("pick.tie").alias("its_tie"))
+    sketches.filter("weight > 0").join(stand, same).select("node", "bands").dropDuplicates(["node"]).write.parquet(
+        f"{root}/nodes"
+    )
     nodes = spark.read.parquet(f"{root}/nodes")
 
     bands = nodes.select("node", F.explode("bands").alias("band"))
@@ -294,7 +312,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = shared.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     stars.write.parquet(f"{root}/stars")
     stars = spark.read.parquet(f"{root}/stars")
-    texts = _texts(lean, stars, f"{root}/texts")
+    texts = _texts(lean, firsts, stars, f"{root}/texts")
     _similar(stars, texts).write.parquet(f"{root}/links")
     labels = components(spark.read.parquet(f"{root}/links"))
 
@@ -309,14 +327,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         labels = labels.join(joined, "label", "left").select(
             "node", F.coalesce("lower", "label").alias("label")
         ).union(alone)
-    classes = firsts.join(labels, "node", "left").select(
-        "text_key", F.coalesce("label", "node").alias("class_id"), "n_copies"
+    # Only texts that are linked to others need more than their own smallest row.
+    joined = firsts.join(labels, "node").select("node", "label", "doc_id", "pick")
+    joined.groupBy(F.col("label").alias("of")).agg(F.min("doc_id").alias("class_id"), F.min("pick").alias("best")).write.parquet(
+        f"{root}/classes"
+    )
+    classes = spark.read.parquet(f"{root}/classes")
+    joined.join(classes, F.col("label") == F.col("of")).select(F.col("node").alias("linked"), "class_id", "best").write.parquet(
+        f"{root}/linked"
     )
+    linked = spark.read.parquet(f"{root}/linked")
+    firsts.join(linked, F.col("node") == F.col("linked"), "left").select(
+        "node", "n_copies", F.when(F.col("linked").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("best", "pick").alias("best"),
+    ).write.parquet(f"{root}/named")
+    named = spark.read.parquet(f"{root}/named")
+    empty = F.col("weight") == 0
+    best = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("tie") == F.col("best.tie"))
     return (
-        sketches.select("doc_id", F.col("text_key").alias("sketch_key"), "weight")
-        .join(classes.withColumnRenamed("text_key", "sketch_key"), "sketch_key", "left")
+        sketches.select("doc_id", "tie", "text_key", "weight").join(named, F.col("text_key") == F.col("node"), "left")
         .select(
-            "doc_id", F.when(F.col("weight") == 0, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-            F.coalesce("n_copies", F.lit(1)).alias("n_copies"), F.hex("sketch_key").alias("text_key"),
+            "doc_id", F.when(empty, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+            F.coalesce("n_copies", F.lit(1)).alias("n_copies"), F.hex("text_key").alias("text_key"), "tie",
+            (empty | F.coalesce(best, F.lit(False))).alias("chosen"),
         )
     )

@@ -55,7 +55,8 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dart_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    classes = dart_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "n_copies", "text_key")
 
 
 def op3_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
