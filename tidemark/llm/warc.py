@@ -9,8 +9,8 @@ concurrent-to identifiers and returns one nested row per capture.
 
 Of equal payloads of at least ``revisit_from`` bytes the row with the largest page id is the
 response. Edge cases: a null html is an empty payload; a null page id orders before all others; a
-null url gives a record without target; rows equal in page id, url and html are one capture, since
-they have the same record identifiers; empty tables give an empty archive and no captures.
+null url gives a record without target; each row is a capture, rows equal in page id, url and html too: the
+number of the row in its table is part of the record identifiers; empty tables give an empty archive and no captures.
 """
 
 from __future__ import annotations
@@ -28,15 +28,15 @@ from pyspark.sql import functions as F
 CAPTURES_PER_FILE = 1000
 DATE = "2024-01-01T00:00:00Z"
 _BREAK = "\r\n\r\n"
-_NAMES = ("page_id", "url", "html", "first_id", "first_url", "is_revisit")
+_NAMES = ("page_id", "url", "html", "row", "first_id", "first_url", "first_row", "is_revisit")
 
 
 def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _id(page_id: int | None, url: str | None, digest: str, kind: str) -> str:
-    return uuid.uuid5(uuid.NAMESPACE_URL, f"{kind}|{page_id}|{digest}|{url}").urn
+def _id(page_id: int | None, url: str | None, row: int, digest: str, kind: str) -> str:
+    return uuid.uuid5(uuid.NAMESPACE_URL, f"{kind}|{page_id}|{row}|{digest}|{url}").urn
 
 
 def _record(fields: dict[str, str | None], block: str, size: int | None = None) -> str:
@@ -46,14 +46,14 @@ def _record(fields: dict[str, str | None], block: str, size: int | None = None)
     return f"WARC/1.1\r\n{head}Content-Length: {size}{_BREAK}{block}"
 
 
-def _capture(page_id, url, html, first_id, first_url, is_revisit) -> list[str]:
+def _capture(page_id, url, html, row, first_id, first_url, first_row, is_revisit) -> list[str]:
     payload = html or ""
     raw = payload.encode()
     digest = sha1_base32(raw)
     target = None if url is None else "".join(f"%{ord(c):02X}" if c <= " " else c for c in url)
     kind = "revisit" if is_revisit else "response"
     # Whether a response or a revisit, the record has the id that others can refer to.
-    own = _id(page_id, url, digest, "response")
+    own = _id(page_id, url, row, digest, "response")
     common = {"WARC-Target-URI": target, "WARC-Date": DATE}
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(raw)}{_BREAK}"
     main = {
@@ -63,7 +63,7 @@ def _capture(page_id, url, html, first_id, first_url, is_revisit) -> list[str]:
     about = f"pageId: {'' if page_id is None else page_id}\r\n"
     if is_revisit:
         main["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-        main["WARC-Refers-To"] = f"<{_id(first_id, first_url, digest, 'response')}>"
+        main["WARC-Refers-To"] = f"<{_id(first_id, first_url, first_row, digest, 'response')}>"
         about += f"refersToPageId: {first_id}\r\n"
         block, size = http, len(http)
     else:
@@ -72,19 +72,21 @@ def _capture(page_id, url, html, first_id, first_url, is_revisit) -> list[str]:
     host = "" if not target else target.split("://", 1)[-1].partition("/")[0]
     return [
         _record({
-            "WARC-Type": "request", "WARC-Record-ID": f"<{_id(page_id, url, digest, 'request')}>", **common,
+            "WARC-Type": "request", "WARC-Record-ID": f"<{_id(page_id, url, row, digest, 'request')}>", **common,
             "WARC-Concurrent-To": f"<{own}>", "Content-Type": "application/http;msgtype=request",
         }, f"GET {path} HTTP/1.1\r\nHost: {host}{_BREAK}"),
         _record(main, block, size),
         _record({
-            "WARC-Type": "metadata", "WARC-Record-ID": f"<{_id(page_id, url, digest, 'metadata')}>", **common,
+            "WARC-Type": "metadata", "WARC-Record-ID": f"<{_id(page_id, url, row, digest, 'metadata')}>", **common,
             "WARC-Concurrent-To": f"<{own}>", "Content-Type": "application/warc-fields",
         }, about),
     ]
 
 
 def with_first_copies(pages: DataFrame, revisit_from: int = 0) -> DataFrame:
-    """page_id, url, html and the copy that each row revisits, if any.
+    """page_id, url, html, row number, and the copy that each row revisits, if any.
+
+    ``pages`` is a table, so that a row has one number whenever it is read.
 
     The groups are aggregated before they are shuffled; they are joined by another key than they
     were grouped by, so that adaptive execution may split the rows of a payload that is everywhere.
@@ -93,18 +95,19 @@ def with_first_copies(pages: DataFrame, revisit_from: int = 0) -> DataFrame:
     base = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         html.alias("html"), F.sha1(html.cast("binary")).alias("sha1"),
-        F.octet_length(html).cast("long").alias("size"),
+        F.octet_length(html).cast("long").alias("size"), F.monotonically_increasing_id().alias("row"),
     )
     groups = (
         base.filter(F.col("size") >= revisit_from).groupBy("sha1", "size")
-        .agg(F.count("*").alias("copies"), F.max(F.struct("page_id", "url")).alias("first"))
+        .agg(F.count("*").alias("copies"), F.max(F.struct("page_id", "url", "row")).alias("first"))
         .filter("copies > 1")
         .select(F.concat_ws(":", "sha1", "size").alias("payload_key"), "first")
     )
     keyed = base.withColumn("payload_key", F.concat_ws(":", "sha1", "size")).drop("sha1", "size")
     first = F.col("first")
     return keyed.join(groups, "payload_key", "left").select(
-        "page_id", "url", "html", first["page_id"].alias("first_id"), first["url"].alias("first_url"),
+        "page_id", "url", "html", "row", first["page_id"].alias("first_id"), first["url"].alias("first_url"),
+        first["row"].alias("first_row"),
         (first.isNotNull() & ~F.col("page_id").eqNullSafe(first["page_id"])).alias("is_revisit"),
     )
 
