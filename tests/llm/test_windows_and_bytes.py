@@ -89,6 +89,18 @@ def test_rows_of_one_doc_id_and_null_doc_id(spark):
     assert sizes == [(3, 0), (3, 0), (5, len(value))]
 
 
+def test_rows_of_one_doc_id_have_one_order(spark):
+    """Two texts under one doc_id in several partitions: every run and every dealing gives the same rows."""
+    value = " ".join(f"w{i}" for i in range(40))
+    rows = [(3, value + " first"), (3, value + " second"), (3, "third " + value), (5, value), (3, value + " first")]
+    found = set()
+    for i in range(4):
+        docs = spark.createDataFrame(rows[i:] + rows[:i], "doc_id long, text string").repartition(1 + i)
+        got = word_windows.remove_repeated_windows(docs).collect()
+        found.add(tuple(sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got)))
+    assert len(found) == 1
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert word_windows.remove_repeated_windows(docs).count() == 0

@@ -1,6 +1,7 @@
 """Texts in chunks of a few megabytes, and questions about hashes between all chunks.
 
-A chunk is one row: a few megabytes of whole texts in the order of their doc_id. Chunks are written
+A chunk is one row: a few megabytes of whole texts in the order of their doc_id, those of one doc_id by a hash of the
+text; it is named by its content and its place in the partition. Chunks are written
 once to the shared folder, so they are the same in every later pass and after any lost executor.
 A pass sends each chunk's entries (distinct within the chunk) to hash buckets, one packed *cell* per
 chunk and bucket; what is everywhere thus counts once a chunk. A bucket answers with a bit or so per
@@ -9,14 +10,16 @@ entry, in the cell's own order, and the answers are joined to the chunks by thei
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +28,7 @@ from tidemark.llm import text as tx
 CHUNK_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20  # of text for each bucket
 _NULL = np.iinfo(np.int64).min
-CHUNK = "chunk string, n_bytes bigint, doc_ids array<bigint>, sizes array<bigint>, packed binary"
+CHUNK = "chunk string, n_bytes bigint, doc_ids array<bigint>, text_keys array<bigint>, sizes array<bigint>, packed binary"
 CELL = "bucket int, chunk string, entries binary, docs binary, extra binary"
 ANSWER = "chunk string, bucket int, answer binary"
 
@@ -38,6 +41,7 @@ class Chunk:
     data: np.ndarray
     off: np.ndarray
     answers: list[dict[int, bytes]]
+    text_keys: np.ndarray | None = None  # hashes of the texts
 
     def doc(self, at: np.ndarray) -> np.ndarray:
         """Text number of each byte position."""
@@ -48,19 +52,24 @@ def pack(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFram
     """Write the chunks of ``doc_id, text`` rows; null texts are empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3).compress
+        squeeze, number = zstandard.ZstdCompressor(level=3).compress, 0
         for batch, data, off in tx.sliced(batches, limit=chunk_bytes):
             ids = batch.column(0).cast(pa.int64())
             order_ids = pc.fill_null(ids, int(_NULL)).to_numpy(zero_copy_only=False)
-            sizes, order = np.diff(off), np.argsort(order_ids, kind="stable")
-            raw = data.tobytes()
+            raw, at = data.tobytes(), memoryview(data)
+            keys = np.array([xxhash.xxh3_64_intdigest(at[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)],
+                            np.uint64)
+            sizes, order = np.diff(off), np.lexsort((keys, order_ids))
             if (np.diff(order) < 0).any():
                 raw = b"".join([raw[off[i] : off[i + 1]] for i in order])
+            name = f"{hashlib.md5(raw).hexdigest()}-{TaskContext.get().partitionId()}-{number}"
+            number += 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().hex]), pa.array([len(raw)]),
+                [pa.array([name]), pa.array([len(raw)]),
                  pa.array([ids.take(pa.array(order)).to_pylist()], pa.list_(pa.int64())),
+                 pa.array([keys[order].view(np.int64).tolist()], pa.list_(pa.int64())),
                  pa.array([sizes[order].tolist()], pa.list_(pa.int64())), pa.array([squeeze(raw)], pa.binary())],
-                ["chunk", "n_bytes", "doc_ids", "sizes", "packed"],
+                ["chunk", "n_bytes", "doc_ids", "text_keys", "sizes", "packed"],
             )
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -89,6 +98,7 @@ def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
             yield Chunk(
                 row["chunk"].as_py(), ids, pc.fill_null(ids, int(_NULL)).to_numpy(zero_copy_only=False),
                 np.frombuffer(raw, np.uint8), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), answers,
+                row["text_keys"].values.to_numpy(zero_copy_only=False).view(np.uint64),
             )
 
 

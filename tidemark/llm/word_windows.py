@@ -6,7 +6,8 @@ asked for again, now with their place; there are no further levels, at any lengt
 earlier (in a smaller doc_id, or earlier in the same document) are removed, judged on the input.
 
 Full windows are compared by 96 bits of hash, halves by 64. Edge cases: a null text has no words; a
-null doc_id orders before all others; rows of one doc_id are ordered by their chunk; a text shorter
+null doc_id orders before all others; rows of one doc_id are ordered by a hash of their text, and equal rows stand in any
+order, which changes no result; a text shorter
 than a window keeps all its words; the texts are taken whole, a very long one is a chunk of its own.
 """
 
@@ -66,12 +67,12 @@ def _fulls(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Iter
         w = _Windows(chunk, window)
         at, full, first = w.candidates(chunk.answers[0], buckets)
         at, full = at[first], full[first]
-        more, docs = w.second(at), chunk.order_ids[w.owner[at]]
+        more, docs, keys = w.second(at), chunk.order_ids[w.owner[at]], chunk.text_keys[w.owner[at]]
 
         def rows(i: np.ndarray) -> tuple:
             # doc_ids as differences: mostly zeros, which the shuffle's compression takes away.
-            steps = np.diff(docs[i], prepend=np.int64(0))
-            return full[i].tobytes(), steps.tobytes(), more[i].tobytes()
+            steps = np.diff(docs[i], prepend=np.int64(0)).tobytes() + np.diff(keys[i], prepend=np.uint64(0)).tobytes()
+            return full[i].tobytes(), steps, more[i].tobytes()
 
         yield ck.cells(chunk.name, ck.bucket_of(full, buckets), buckets, rows)
 
@@ -81,10 +82,13 @@ def _not_first(rows: list[dict]) -> list[np.ndarray]:
     keys = [np.frombuffer(r["entries"], np.uint64) for r in rows]
     full = np.concatenate(keys)
     more = np.concatenate([np.frombuffer(r["extra"], np.uint32) for r in rows])
-    docs = np.concatenate([np.cumsum(np.frombuffer(r["docs"], np.int64)) for r in rows])
+    docs = np.concatenate([np.cumsum(np.frombuffer(r["docs"], np.int64, len(k))) for r, k in zip(rows, keys, strict=True)])
+    texts = np.concatenate([
+        np.cumsum(np.frombuffer(r["docs"], np.uint64, offset=8 * len(k)), dtype=np.uint64) for r, k in zip(rows, keys, strict=True)
+    ])
     rank = np.argsort(np.argsort([r["chunk"] for r in rows]))
     place = np.repeat(rank, [len(k) for k in keys])
-    order = np.lexsort((place, docs, more, full))
+    order = np.lexsort((place, texts, docs, more, full))
     same = (full[order[1:]] == full[order[:-1]]) & (more[order[1:]] == more[order[:-1]])
     later = np.zeros(len(full), bool)
     later[order[1:][same]] = True
