@@ -58,6 +58,27 @@ def test_a_query_with_broken_rows_keeps_its_good_vector(spark):
         assert got == {50 * i: (1, 256 * 256 + 128 * 256) for i in range(len(broken))}
 
 
+def test_a_large_component_is_no_error_while_scores_fit(spark):
+    rows = [(i, [float(i + 1)] * 128) for i in range(4)]
+    rows[2][1][5] = 2e6
+    rows += [(4, [1e9] * 2), (5, [3.0, -1.0]), (6, [2.0, 7.5])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in topk.top_k(table, F.lit(True)).collect()}
+    ints = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    assert got == {(i, j): sum(a * b for a, b in zip(ints[i], ints[j], strict=True))
+                   for i in ints for j in ints if i != j and len(ints[i]) == len(ints[j])}
+
+
+def test_blocks_are_bounded_by_bytes():
+    import pyarrow as pa
+
+    table = pa.RecordBatch.from_arrays(
+        [pa.array(range(3000)), pa.array([[0.5] * (4096 if i % 3 else 8) for i in range(3000)])], ["vec_id", "embedding"])
+    blocks = [b for b in topk._blocks(iter([table]), 256.0, topk.CANDIDATES)]
+    assert sum(len(b.column(2)[0].as_py()) // 8 for b in blocks) == 3000
+    assert max(len(b.column(3)[0].as_py()) for b in blocks) <= 2 * topk.BLOCK_BYTES
+
+
 def _digest(html):
     return base64.b32encode(hashlib.sha1((html or "").encode()).digest()).decode()
 
@@ -87,6 +108,20 @@ def test_transactions(spark, tmp_path):
             assert r.response.refers_to == got[first].record_id
 
 
+def test_repeated_rows_are_captures(spark, tmp_path):
+    rows = [(1, "u", "<p>"), (1, "u", "<p>"), (1, "v", "<p>"), (2, "u", "<p>"), (2, "u", "<p>"), (3, "u", "x"), (3, "u", "x"), (3, "u", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.repartition(3).write.parquet(str(tmp_path / "pages"))
+    path = str(tmp_path / "copies")
+    warc.write_archives(spark.read.parquet(str(tmp_path / "pages")), path)
+    got = warc.assemble(warc.read_archives(spark, path)).collect()
+    assert sorted((r.metadata.page_id, r.response.type) for r in got) == [
+        *[(1, "revisit")] * 3, *[(2, "response")] * 2, *[(3, "response")] * 3]
+    assert all(r.request.record_id for r in got) and len({r.record_id for r in got}) == len(rows)
+    named = {r.record_id for r in got if r.metadata.page_id == 2}
+    assert len({r.response.refers_to for r in got if r.metadata.page_id == 1} - named) == 0
+
+
 def test_no_pages(spark, tmp_path):
     path = str(tmp_path / "none")
     warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path)

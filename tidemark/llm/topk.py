@@ -9,7 +9,9 @@ go to the smaller id; a block emits at most as many of them as a query still nee
 occurs a million times stays cheap. Nothing is dropped: the rest of the ties cannot be in the result.
 
 Products are exact in double precision while they stay below 2**53, which is checked per pair of
-blocks; beyond, Python integers are used, and a score that is no 64-bit integer raises an error.
+blocks; beyond, Python integers are used, and a score (of two different rows) that is no 64-bit integer raises an error.
+A first pass finds each query's lowest and highest score, which is its first range. Blocks are bounded by bytes; a query block
+holds as many queries as candidates can be dealt to cheaply, and is scored in strips.
 
 Edge cases: vectors that are null, or hold a null or non-finite component, and rows without an id
 take no part; a query meets vectors of its own length only; rows that repeat a query's id are
@@ -31,7 +33,9 @@ from tidemark.session import workspace
 
 BINS = 512
 CANDIDATES = 8192
-QUERIES = 256
+QUERIES = 16384
+STRIP = 256  # queries scored at a time
+BLOCK_BYTES = 16 << 20  # of components
 SPREAD = 16  # tasks among which a query block's work is dealt
 _BLOCK = "dim int, top double, ids binary, data binary"
 
@@ -43,6 +47,7 @@ def integers(values: np.ndarray, scale: float) -> np.ndarray:
 def _blocks(batches: Iterator[pa.RecordBatch], scale: float, rows: int) -> Iterator[pa.RecordBatch]:
     """Packed blocks of up to ``rows`` usable vectors of one length each."""
     waiting: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    held = 0
 
     def packed(dim: int) -> pa.RecordBatch:
         parts = waiting.pop(dim)
@@ -64,15 +69,23 @@ def _blocks(batches: Iterator[pa.RecordBatch], scale: float, rows: int) -> Itera
         flat = pc.fill_null(flat, math.nan).to_numpy(zero_copy_only=False)
         begin = np.concatenate([[0], np.cumsum(sizes)])
         for dim in np.unique(sizes):
+            most = max(1, min(rows, BLOCK_BYTES // (8 * max(1, int(dim)))))
             rows_at = np.flatnonzero(sizes == dim)
             data = flat[begin[rows_at][:, None] + np.arange(dim)] if dim else np.zeros((len(rows_at), 0))
             finite = np.isfinite(data).all(axis=1)
             some_ids, data = ids[rows_at][finite], integers(data[finite], scale)
-            for at in range(0, len(some_ids), rows):
+            for at in range(0, len(some_ids), most):
                 part = waiting.setdefault(int(dim), [])
-                part.append((some_ids[at : at + rows], data[at : at + rows]))
-                if sum(len(x) for x, _ in part) >= rows:
+                part.append((some_ids[at : at + most], data[at : at + most]))
+                held += len(part[-1][0]) * 8 * max(1, int(dim))
+                if sum(len(x) for x, _ in part) >= most:
+                    held -= sum(len(x) for x, _ in part) * 8 * max(1, int(dim))
                     yield packed(int(dim))
+            # Lengths that wait together are no more than one block either.
+            while held > 2 * BLOCK_BYTES:
+                largest = max(waiting, key=lambda d: d * sum(len(x) for x, _ in waiting[d]))
+                held -= sum(len(x) for x, _ in waiting[largest]) * 8 * max(1, largest)
+                yield packed(largest)
     for dim in list(waiting):
         yield packed(dim)
 
@@ -81,37 +94,57 @@ def _matrix(raw: bytes, dim: int, n: int) -> np.ndarray:
     return np.frombuffer(raw, np.float64).reshape(n, dim)
 
 
-def _scores(q: np.ndarray, c: np.ndarray, q_top: float, c_top: float) -> np.ndarray:
-    """Integer inner products, exact."""
-    if q.shape[1] * q_top * c_top < 2**53:
+def _scores(q: np.ndarray, c: np.ndarray, tops: float, other: np.ndarray) -> np.ndarray:
+    """Integer inner products, exact where ``other`` is true."""
+    if q.shape[1] * tops < 2**53:
         return (q @ c.T).astype(np.int64)
-    exact = np.frompyfunc(int, 1, 1)(q) @ np.frompyfunc(int, 1, 1)(c).T
-    if exact.size and max(abs(exact.max()), abs(exact.min())) >= 2**63:
+    exact = np.where(other, np.frompyfunc(int, 1, 1)(q) @ np.frompyfunc(int, 1, 1)(c).T, 0)
+    if exact.size and max(abs(exact.max()), abs(exact.min())) >= 2**62:
         raise ArithmeticError("a score is no 64-bit integer")
     return exact.astype(np.int64)
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, dict, np.ndarray, np.ndarray]]:
-    """Query block number, query ids, state, candidate ids and scores of each pair of blocks."""
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Query block number, number of its queries, strip of them, their ids and state, candidate ids, scores, and
+    which pairs are of two rows; for each strip of each pair of blocks."""
     for batch in batches:
         for row in range(batch.num_rows):
             x = {name: batch.column(i)[row].as_py() for i, name in enumerate(batch.schema.names)}
             q_ids, c_ids = np.frombuffer(x["q_ids"], np.int64), np.frombuffer(x["ids"], np.int64)
-            scores = _scores(_matrix(x["q_data"], x["dim"], len(q_ids)), _matrix(x["data"], x["dim"], len(c_ids)),
-                             x["q_top"], x["top"])
-            state = {k: np.frombuffer(x[k], np.int64) for k in ("low", "span", "need")}
-            yield x["block"], q_ids, state, c_ids, scores
+            queries, candidates = _matrix(x["q_data"], x["dim"], len(q_ids)), _matrix(x["data"], x["dim"], len(c_ids))
+            state = {k: np.frombuffer(x[k], np.int64) for k in ("low", "span", "need") if k in x}
+            for at in range(0, len(q_ids), STRIP):
+                strip = slice(at, at + STRIP)
+                other = q_ids[strip, None] != c_ids[None, :]
+                scores = _scores(queries[strip], candidates, x["q_top"] * x["top"], other)
+                yield x["block"], len(q_ids), strip, q_ids[strip], {k: v[strip] for k, v in state.items()}, c_ids, scores, other
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, low, high): the lowest and highest score of each query among the task's candidates."""
+    most = np.iinfo(np.int64).max
+    found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for block, n, strip, _, _, _, scores, other in _pairs(batches):
+        low, high = found.setdefault(block, (np.full(n, most), np.full(n, -most)))
+        if scores.shape[1]:
+            low[strip] = np.minimum(low[strip], np.where(other, scores, most).min(axis=1))
+            high[strip] = np.maximum(high[strip], np.where(other, scores, -most).max(axis=1))
+    for block, (low, high) in found.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int64()), pa.array([low.tobytes()], pa.binary()), pa.array([high.tobytes()], pa.binary())],
+            ["block", "low", "high"],
+        )
 
 
 def _count(batches: Iterator[pa.RecordBatch], bins: int) -> Iterator[pa.RecordBatch]:
     """(block, counts): how many candidates of the task fall into each bin of each query's range."""
     sums: dict[int, np.ndarray] = {}
-    for block, q_ids, state, c_ids, scores in _pairs(batches):
-        counts = sums.setdefault(block, np.zeros((len(q_ids), bins), np.int64))
+    for block, n, strip, _, state, _, scores, other in _pairs(batches):
+        counts = sums.setdefault(block, np.zeros((n, bins), np.int64))[strip]
         offset = scores - state["low"][:, None]
         span = state["span"][:, None]
         step = -(-span // bins)
-        inside = (offset >= 0) & (offset < span) & (q_ids[:, None] != c_ids[None, :])
+        inside = (offset >= 0) & (offset < span) & other
         query, _ = np.nonzero(inside)
         at = query * bins + (offset // step)[inside]
         counts += np.bincount(at, minlength=counts.size).reshape(counts.shape)
@@ -137,10 +170,9 @@ def narrowed(low: np.ndarray, span: np.ndarray, need: np.ndarray, counts: np.nda
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidates above the k-th score, and the ties with the smallest ids that may be needed."""
-    for _, q_ids, state, c_ids, scores in _pairs(batches):
+    for _, _, _, q_ids, state, c_ids, scores, other in _pairs(batches):
         order = np.argsort(c_ids, kind="stable")
-        c_ids, scores = c_ids[order], scores[:, order]
-        other = q_ids[:, None] != c_ids[None, :]
+        c_ids, scores, other = c_ids[order], scores[:, order], other[:, order]
         tie = (scores == state["low"][:, None]) & other
         tie &= np.cumsum(tie, axis=1) <= state["need"][:, None]
         query, at = np.nonzero(((scores > state["low"][:, None]) & other) | tie)
@@ -168,32 +200,39 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
              F.col("top").alias("q_top"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
      .write.parquet(f"{root}/queries"))
     candidates, queries = spark.read.parquet(f"{root}/candidates"), spark.read.parquet(f"{root}/queries")
-    bound = candidates.agg(F.max(F.col("top") * F.col("top") * F.col("dim"))).first()[0] or 0.0
-    if bound >= 2**61:
-        raise ArithmeticError("scores may be no 64-bit integers")
-    span, rounds = 2 * math.ceil(bound) + 3, 0
-    while span > BINS**rounds:
-        rounds += 1
-
-    def begin(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            for block, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                n = len(ids) // 8
-                yield _state(block, np.full(n, -math.ceil(bound) - 1), np.full(n, span), np.full(n, k))
-
-    kind = "block bigint, low binary, span binary, need binary"
-    state = queries.select("block", "q_ids").mapInArrow(begin, kind)
     # Each candidate block goes once to every query block of its length: a stated query set, in blocks.
     met = candidates.withColumn("deal", F.pmod(F.xxhash64("ids"), F.lit(SPREAD)).cast("int")).withColumn(
         "route", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)))
     )
 
-    def pairs(state: DataFrame) -> DataFrame:
-        dealt = queries.join(state, "block").withColumn(
-            "deal", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
-        )
+    def pairs(state: DataFrame | None) -> DataFrame:
+        known = queries if state is None else queries.join(state, "block")
+        dealt = known.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
         return met.join(dealt, ["route", "deal", "dim"]).drop("route", "deal")
 
+    pairs(None).mapInArrow(_edges, "block bigint, low binary, high binary").write.parquet(f"{root}/edges")
+    edges = spark.read.parquet(f"{root}/edges")
+
+    def begin(key, rows):
+        """The first range of each query; one without candidates has an empty one at 0."""
+        low, high = (np.stack([np.frombuffer(x.as_py(), np.int64) for x in rows.column(c)]) for c in ("low", "high"))
+        low, high = low.min(axis=0), high.max(axis=0)
+        low, high = np.where(low <= high, low, 0), np.where(low <= high, high, 0)
+        return pa.Table.from_batches([_state(key[0].as_py(), low, high - low + 1, np.full(len(low), k))])
+
+    kind = "block bigint, low binary, span binary, need binary"
+    edges.groupBy("block").applyInArrow(begin, kind).write.parquet(f"{root}/begin")
+    state = spark.read.parquet(f"{root}/begin")
+
+    def widest(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            spans = [int(np.frombuffer(x.as_py(), np.int64).max(initial=1)) for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(spans, pa.int64())], ["span"])
+
+    span = state.select("span").mapInArrow(widest, "span bigint").agg(F.max("span")).first()[0] or 1
+    rounds = 0
+    while span > BINS**rounds:
+        rounds += 1
     for i in range(rounds):
         counted = pairs(state).mapInArrow(lambda b: _count(b, BINS), "block bigint, counts binary")
 
