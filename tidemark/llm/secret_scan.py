@@ -141,7 +141,9 @@ def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: Novelty, l
             continue
         if i >= len(behind) and any(s < end and start < e for s, e in told):
             continue
-        bytes_ = novelty.marginal(text[max(0, start - AROUND) : start], value, text[end : end + AROUND])
+        # A copy of the string nearby would explain it.
+        before, after = (t.replace(value, " ") for t in (text[max(0, start - AROUND) : start], text[end : end + AROUND]))
+        bytes_ = novelty.marginal(before, value, after)
         if bytes_ >= least * len(value):
             told.append((start, end))
             yield start, end, "novel"
