@@ -1,7 +1,7 @@
 """The corpus pipeline: documents in, token ids out, in five stages.
 
 Each stage is written as Parquet and read again as the next one's documents. All but the last return
-the columns of ``documents``. Rows of a null doc_id stay where a stage decides by doc_id.
+the columns of ``documents``. Rows are told apart by doc_id and text, so a doc_id may stand on several texts, or be null.
 """
 
 from __future__ import annotations
@@ -41,11 +41,14 @@ def drop_line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate class."""
+    """One row of each near-duplicate class: that of its chosen text. Repeated rows are copies."""
     importable(spark)
-    first = dart_minhash.near_duplicates(docs).filter("doc_id = class_id").select("doc_id").distinct()
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return named.union(docs.filter("doc_id IS NULL"))
+    chosen = dart_minhash.near_duplicates(docs).filter("chosen").select(
+        F.col("doc_id").alias("_chosen_id"), F.col("tie").alias("_chosen_tie")
+    ).distinct()
+    told = docs.withColumn("_tie", F.xxhash64(F.col("text").cast("string")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_chosen_id")) & (F.col("_tie") == F.col("_chosen_tie"))
+    return told.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "_tie"]).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
