@@ -17,18 +17,28 @@ WITH deliveries AS (
 typed AS (
   SELECT id, copy, ts,
     id % 97 <> 0 AND id % 137 <> 0 AND id % 139 <> 0 AS parsed,
-    CAST(id AS VARCHAR) AS event_id,
-    'b' || user_id AS business_id,
+    CASE WHEN id % 151 = 0 THEN '' ELSE CAST(id AS VARCHAR) END AS event_id,
+    CASE WHEN id % 157 = 0 THEN ' ' ELSE 'b' || user_id END AS business_id,
     'Business ' || user_id || ' v' || (id % 3) AS name,
     CAST(CASE WHEN id % 53 = 0 THEN 9.9 WHEN id % 59 = 0 THEN NULL
-              WHEN id % 61 = 0 THEN 4.2 ELSE 1.0 + (id % 9) * 0.5 END AS DOUBLE) AS rating,
-    CASE WHEN id % 67 = 0 THEN -1 ELSE CAST(floor(value) AS INTEGER) END AS review_count,
-    CASE WHEN id % 71 = 0 THEN CAST([] AS VARCHAR[]) WHEN id % 2 = 0 THEN [event_type]
+              WHEN id % 61 = 0 THEN 4.2 ELSE 1.0 + (id % 9) * 0.5 END AS DOUBLE) AS sent_rating,
+    id % 149 = 0 AND sent_rating IS NOT NULL AS odd_rating,
+    CASE WHEN NOT odd_rating THEN sent_rating END AS rating,
+    CASE WHEN id % 163 = 0 THEN NULL WHEN id % 67 = 0 THEN -1
+         ELSE CAST(floor(value) AS INTEGER) END AS sent_count,
+    id % 167 = 0 AND sent_count IS NOT NULL AS odd_count,
+    CASE WHEN NOT odd_count THEN sent_count END AS review_count,
+    CASE WHEN id % 179 = 0 THEN ['', event_type, ' ']
+         WHEN id % 71 = 0 THEN CAST([] AS VARCHAR[]) WHEN id % 2 = 0 THEN [event_type]
          ELSE [event_type, 'k' || (id % 5)] END AS categories,
     CASE WHEN id % 79 <> 0 THEN CAST(CASE WHEN id % 73 = 0 THEN 100
          ELSE user_id % 181 - 90 END AS DOUBLE) END AS latitude,
-    CASE WHEN id % 79 <> 0 THEN CAST((user_id * 7) % 361 - 180 AS DOUBLE) END AS longitude,
+    CASE WHEN id % 79 <> 0 THEN CAST(CASE WHEN id % 173 = 0 THEN 200
+         ELSE (user_id * 7) % 361 - 180 END AS DOUBLE) END AS longitude,
     CASE WHEN id % 83 = 0 THEN ' ' ELSE 'City ' || (user_id % 10) END AS city,
+    'https://example.org/' || user_id AS url, id % 6 = 0 AS is_closed,
+    CASE WHEN id % 4 <> 0 THEN repeat('$', CAST(id % 4 AS INTEGER)) END AS price,
+    'S' || (user_id % 7) AS state, lpad(CAST(user_id % 1000 AS VARCHAR), 5, '0') AS zip_code,
     'US' AS country, 'restaurants' AS search_term,
     'Area ' || (user_id % 3) AS search_location,
     'recipe' AS producer_id, CAST(1 AS INTEGER) AS schema_version,
@@ -45,28 +55,42 @@ texts AS (
     CASE WHEN id % 97 = 0 THEN 'not json #' || id
       WHEN id % 137 = 0 THEN '{"event_id":"' || id || '"}{}'
       WHEN id % 139 = 0 THEN '{"event_id":"' || id || '"} more' ELSE
-      '{"event_id":"' || id || '","producer_id":"recipe","source":"events",'
+      '{"event_id":"' || event_id || '","producer_id":"recipe","source":"events",'
       || '"source_endpoint":"businesses/search","schema_version":1,"observed_at":"'
       || observed_text || '","ingest_lag_ms":0,"payload":{"business_id":"' || business_id
-      || '","name":"' || name || '",'
-      || CASE WHEN rating IS NULL THEN '' ELSE '"rating":' || rating || ',' END
-      || '"review_count":' || review_count || ',"categories":['
+      || '","name":"' || name || '","url":"' || url || '","is_closed":' || is_closed || ','
+      || CASE WHEN odd_rating THEN '"rating":"high",' WHEN rating IS NULL THEN ''
+         ELSE '"rating":' || rating || ',' END
+      || CASE WHEN odd_count THEN '"review_count":7.5,' WHEN review_count IS NULL THEN ''
+         ELSE '"review_count":' || review_count || ',' END
+      || CASE WHEN price IS NULL THEN '' ELSE '"price":"' || price || '",' END || '"categories":['
       || array_to_string(list_transform(categories, lambda c: '"' || c || '"'), ',')
       || '],"coordinates":{' || CASE WHEN latitude IS NULL THEN '' ELSE
            '"latitude":' || latitude || ',"longitude":' || longitude END
-      || '},"location":{"city":"' || city || '","country":"US"},'
+      || '},"location":{"city":"' || city || '","state":"' || state || '","country":"US","zip_code":"'
+      || zip_code || '"},'
       || '"search_term":"restaurants","search_location":"' || search_location || '"}}'
     END AS raw_envelope
   FROM typed
 ),
 failures AS (
   SELECT *, CASE WHEN NOT parsed THEN [] ELSE list_filter([
+    CASE WHEN event_id = '' THEN {'code': 'missing_event_id', 'field': 'event_id',
+      'message': 'event_id must be a non-empty string'} END,
     CASE WHEN observed_at IS NULL THEN {'code': 'missing_observed_at', 'field': 'observed_at',
       'message': 'observed_at must be a timestamp'} END,
-    CASE WHEN rating IS NULL THEN {'code': 'missing_rating', 'field': 'rating',
+    CASE WHEN trim(business_id) = '' THEN {'code': 'missing_business_id', 'field': 'business_id',
+      'message': 'business_id must be a non-empty string'} END,
+    CASE WHEN rating IS NULL AND NOT odd_rating THEN {'code': 'missing_rating', 'field': 'rating',
       'message': 'rating is required'} END,
+    CASE WHEN odd_rating THEN {'code': 'bad_rating_type', 'field': 'rating',
+      'message': 'rating must be numeric, got str'} END,
     CASE WHEN rating IN (9.9, 4.2) THEN {'code': 'rating_out_of_range', 'field': 'rating',
       'message': 'rating=' || rating || ' outside 1.0..5.0 in 0.5 increments'} END,
+    CASE WHEN review_count IS NULL AND NOT odd_count THEN {'code': 'missing_review_count',
+      'field': 'review_count', 'message': 'review_count is required'} END,
+    CASE WHEN odd_count THEN {'code': 'bad_review_count_type', 'field': 'review_count',
+      'message': 'review_count must be an integer'} END,
     CASE WHEN review_count < 0 THEN {'code': 'negative_review_count', 'field': 'review_count',
       'message': 'review_count=' || review_count || ' is negative'} END,
     CASE WHEN latitude IS NULL THEN {'code': 'missing_coordinates', 'field': 'coordinates',
@@ -74,16 +98,24 @@ failures AS (
     CASE WHEN latitude > 90 THEN {'code': 'latitude_out_of_range',
       'field': 'coordinates.latitude',
       'message': 'latitude=' || latitude || ' not in [-90, 90]'} END,
+    CASE WHEN longitude > 180 THEN {'code': 'longitude_out_of_range',
+      'field': 'coordinates.longitude',
+      'message': 'longitude=' || longitude || ' not in [-180, 180]'} END,
     CASE WHEN trim(city) = '' THEN {'code': 'missing_city', 'field': 'location.city',
       'message': 'location.city must be a non-empty string'} END,
     CASE WHEN len(categories) = 0 THEN {'code': 'missing_categories', 'field': 'categories',
-      'message': 'categories must be a non-empty list'} END
+      'message': 'categories must be a non-empty list'} END,
+    CASE WHEN id % 179 = 0 THEN {'code': 'bad_category_value', 'field': 'categories[0]',
+      'message': 'each category must be a non-empty string'} END,
+    CASE WHEN id % 179 = 0 THEN {'code': 'bad_category_value', 'field': 'categories[2]',
+      'message': 'each category must be a non-empty string'} END
   ], lambda f: f IS NOT NULL) END AS failing
   FROM texts
 ),
 labelled AS (
   SELECT *, CASE WHEN NOT parsed THEN ['unparseable_envelope']
-      ELSE list_transform(failing, lambda f: f.code) END AS codes,
+      ELSE list_transform(list_filter(failing, lambda f: f.field <> 'categories[2]'),
+        lambda f: f.code) END AS codes,
     CASE WHEN NOT parsed THEN 'envelope_parse_failed'
          WHEN len(failing) > 0 THEN 'silver_validation' END AS failure_reason
   FROM failures
@@ -116,7 +148,8 @@ dlq AS (
 
 _SILVER = """event_id, business_id, name, rating, review_count,
   array_to_string(categories, '|') AS categories, latitude, longitude, city, country,
-  search_term, search_location, producer_id, schema_version, observed_at"""
+  search_term, search_location, producer_id, schema_version, observed_at,
+  url, is_closed, price, state, zip_code"""
 _ALL_SILVER = f"SELECT {_SILVER}, ingest_ts FROM silver"
 _DLQ = """SELECT dlq_key, kafka_topic, kafka_partition, kafka_offset, kafka_key,
   failure_reason, array_to_string(codes, '|') AS failure_codes, raw_envelope, ingest_ts
@@ -143,8 +176,13 @@ typed AS (
          ELSE [event_type, 'k' || (id % 5)] END AS categories,
     CASE WHEN id % 79 <> 0 THEN CAST(CASE WHEN id % 73 = 0 THEN 100
          ELSE user_id % 181 - 90 END AS DOUBLE) END AS latitude,
-    CASE WHEN id % 79 <> 0 THEN CAST((user_id * 7) % 361 - 180 AS DOUBLE) END AS longitude,
+    CASE WHEN id % 79 <> 0 THEN CAST(CASE WHEN id % 173 = 0 THEN 200
+         ELSE (user_id * 7) % 361 - 180 END AS DOUBLE) END AS longitude,
     CASE WHEN id % 83 = 0 THEN ' ' ELSE 'City ' || (user_id % 10) END AS city,
+    'https://example.org/' || user_id AS url, id % 6 = 0 AS is_closed, '+1' || user_id AS phone,
+    CASE WHEN id % 4 <> 0 THEN repeat('$', CAST(id % 4 AS INTEGER)) END AS price,
+    user_id || ' Main' AS address1, 'S' || (user_id % 7) AS state,
+    lpad(CAST(user_id % 1000 AS VARCHAR), 5, '0') AS zip_code,
     value
   FROM pages_of_events
 ),
@@ -162,12 +200,15 @@ judged AS (
            WHEN id % 113 = 0 THEN '"great"' ELSE CAST(number AS VARCHAR) END, 'null'),
       '"review_count":' || review_count || CASE WHEN id % 127 = 0 THEN '.0'
            WHEN id % 131 = 0 THEN '.5' ELSE '' END,
-      '"is_closed":false', '"distance":' || value,
+      '"is_closed":' || is_closed, '"url":"' || url || '"', '"image_url":null',
+      '"price":' || coalesce('"' || price || '"', 'null'), '"phone":"' || phone || '"',
+      '"distance":' || value,
       '"categories":[' || array_to_string(list_transform(categories,
            lambda c: '{"alias":"' || c || '","title":"' || upper(c) || '"}'), ',') || ']',
       '"coordinates":' || CASE WHEN id % 79 = 0 THEN 'null' ELSE
            '{"latitude":' || latitude || ',"longitude":' || longitude || '}' END,
-      '"location":{"city":"' || city || '"}',
+      '"location":{"address1":"' || address1 || '","city":"' || city || '","state":"' || state
+           || '","country":"US","zip_code":"' || zip_code || '"}',
       '"transactions":' || CASE WHEN id % 5 = 0 THEN 'null' ELSE '["pickup"]' END
     ) || '}' AS listing
   FROM typed
@@ -177,15 +218,36 @@ placed AS (
 ),
 listings AS (
   SELECT *, list_filter([
-    CASE WHEN name = '' THEN 'missing_name' END,
-    CASE WHEN rating IS NULL THEN 'missing_rating' END,
-    CASE WHEN rating IN (9.9, 4.2) THEN 'rating_out_of_range' END,
-    CASE WHEN review_count < 0 THEN 'negative_review_count' END,
-    CASE WHEN latitude IS NULL THEN 'missing_coordinates' END,
-    CASE WHEN latitude > 90 THEN 'latitude_out_of_range' END,
-    CASE WHEN trim(city) = '' THEN 'missing_city' END,
-    CASE WHEN len(categories) = 0 THEN 'missing_categories' END
-  ], lambda c: c IS NOT NULL) AS codes
+    CASE WHEN name = '' THEN {'code': 'missing_name', 'field': 'name',
+      'message': 'name must be a non-empty string'} END,
+    CASE WHEN rating IS NULL THEN {'code': 'missing_rating', 'field': 'rating',
+      'message': 'rating is required'} END,
+    CASE WHEN rating IN (9.9, 4.2) THEN {'code': 'rating_out_of_range', 'field': 'rating',
+      'message': 'rating=' || rating || ' outside 1.0..5.0 in 0.5 increments'} END,
+    CASE WHEN review_count < 0 THEN {'code': 'negative_review_count', 'field': 'review_count',
+      'message': 'review_count=' || review_count || ' is negative'} END,
+    CASE WHEN latitude IS NULL THEN {'code': 'missing_coordinates', 'field': 'coordinates',
+      'message': 'coordinates.latitude and coordinates.longitude required'} END,
+    CASE WHEN latitude > 90 THEN {'code': 'latitude_out_of_range', 'field': 'coordinates.latitude',
+      'message': 'latitude=' || latitude || ' not in [-90, 90]'} END,
+    CASE WHEN longitude > 180 THEN {'code': 'longitude_out_of_range',
+      'field': 'coordinates.longitude', 'message': 'longitude=' || longitude || ' not in [-180, 180]'} END,
+    CASE WHEN trim(city) = '' THEN {'code': 'missing_city', 'field': 'location.city',
+      'message': 'location.city must be a non-empty string'} END,
+    CASE WHEN len(categories) = 0 THEN {'code': 'missing_categories', 'field': 'categories',
+      'message': 'categories must be a non-empty list'} END
+  ], lambda f: f IS NOT NULL) AS failing,
+  list_transform(failing, lambda f: f.code) AS codes,
+  '{"business_id":"' || business_id || '","name":"' || name || '","url":"' || url || '","image_url":null,"is_closed":'
+    || is_closed || ',"rating":' || coalesce(CAST(rating AS VARCHAR), 'null') || ',"review_count":' || review_count
+    || ',"price":' || coalesce('"' || price || '"', 'null') || ',"phone":"' || phone || '","categories":['
+    || array_to_string(list_transform(categories, lambda c: '"' || c || '"'), ',') || '],"coordinates":{"latitude":'
+    || coalesce(CAST(latitude AS VARCHAR), 'null') || ',"longitude":' || coalesce(CAST(longitude AS VARCHAR), 'null')
+    || '},"location":{"address1":"' || address1 || '","city":"' || city || '","state":"' || state
+    || '","country":"US","zip_code":"' || zip_code || '"},"transactions":['
+    || CASE WHEN id % 5 = 0 THEN '' ELSE '"pickup"' END || '],"search_term":"' || search_term
+    || '","search_location":"' || search_location || '"}' AS payload_text,
+  strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS observed_text
   FROM placed
 ),
 outcomes AS (
@@ -316,7 +378,8 @@ _LISTING_QUERIES = {
     "listings_explode": """SELECT page_no, position, search_term, search_location, listing
         FROM listings""",
     "listing_normalize": """SELECT page_no, position, business_id, name, rating,
-        review_count, FALSE AS is_closed, latitude, longitude, city,
+        review_count, is_closed, latitude, longitude, city, url, CAST(NULL AS VARCHAR) AS image_url,
+        price, phone, address1, state, 'US' AS country, zip_code,
         CAST(CASE WHEN page_no % 5 = 0 THEN 0 ELSE 1 END AS INTEGER) AS transactions,
         search_term, search_location FROM listings WHERE NOT failed""",
     "category_alias_lists": """SELECT page_no, position,
@@ -328,7 +391,7 @@ _LISTING_QUERIES = {
         'events' AS source, 'businesses/search' AS source_endpoint,
         CAST(1 AS INTEGER) AS schema_version,
         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS observed_at,
-        CAST(250 AS BIGINT) AS ingest_lag_ms FROM (SELECT *, sha256('{"p0":"' || page_no
+        CAST(250 AS BIGINT) AS ingest_lag_ms, payload_text FROM (SELECT *, sha256('{"p0":"' || page_no
         || '","p1":"' || position || '"}') AS digest FROM listings WHERE NOT failed)""",
     "partition_key": """SELECT page_no, position, CASE WHEN page_no % 101 = 0 THEN 'unknown'
         ELSE business_id END AS key FROM listings""",
@@ -336,6 +399,18 @@ _LISTING_QUERIES = {
         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS observed_at,
         CASE WHEN failed THEN '' ELSE array_to_string(codes, ',') END AS codes, city
         FROM outcomes WHERE reason IS NOT NULL""",
+    "published_records": """SELECT CASE WHEN reason IS NULL THEN 'raw' ELSE 'dlq' END AS topic,
+        CASE WHEN page_no % 101 = 0 THEN 'unknown' ELSE business_id END AS key,
+        CASE WHEN reason IS NULL THEN '{"event_id":"' || concat_ws('-', digest[1:8], digest[9:12],
+            digest[13:16], digest[17:20], digest[21:32]) || '","producer_id":"p1","source":"events",'
+            || '"source_endpoint":"businesses/search","schema_version":1,"observed_at":"' || observed_text
+            || '","ingest_lag_ms":250,"payload":' || payload_text || '}'
+          ELSE '{"producer_id":"p1","reason":"' || reason || '","failures":[' || CASE WHEN failed THEN ''
+            ELSE array_to_string(list_transform(failing, lambda f: '{"code":"' || f.code || '","field":"' || f.field
+              || '","message":"' || f.message || '"}'), ',') END
+            || '],"observed_at":"' || observed_text || '","payload":'
+            || CASE WHEN failed THEN listing ELSE payload_text END || '}' END AS value
+        FROM (SELECT *, sha256('{"p0":"' || page_no || '","p1":"' || position || '"}') AS digest FROM outcomes)""",
     "sink_records": """SELECT CASE WHEN reason IS NULL THEN 'raw' ELSE 'dlq' END
         AS table_name, count(*) AS rows FROM outcomes GROUP BY 1""",
     "sweep_totals": """SELECT p.search_location, p.search_term,

@@ -110,7 +110,7 @@ def _silver_view(df: DataFrame, *more: str) -> DataFrame:
     return df.selectExpr(
         "event_id", "business_id", "name", "rating", "review_count", _joined("categories"),
         "latitude", "longitude", "city", "country", "search_term", "search_location",
-        "producer_id", "schema_version",
+        "producer_id", "schema_version", "url", "is_closed", "price", "state", "zip_code",
         _wall("observed_at"), _wall("ingest_ts"),
         *more,
     )
@@ -474,8 +474,9 @@ def listing_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usable.select(
         "page_no", "position", f"{p}.business_id", f"{p}.name", f"{p}.rating",
         f"{p}.review_count", f"{p}.is_closed", f"{p}.coordinates.latitude",
-        f"{p}.coordinates.longitude", f"{p}.location.city",
-        F.size(f"{p}.transactions").alias("transactions"), f"{p}.search_term",
+        f"{p}.coordinates.longitude", f"{p}.location.city", f"{p}.url", f"{p}.image_url", f"{p}.price",
+        f"{p}.phone", f"{p}.location.address1", f"{p}.location.state", f"{p}.location.country",
+        f"{p}.location.zip_code", F.size(f"{p}.transactions").alias("transactions"), f"{p}.search_term",
         f"{p}.search_location",
     )
 
@@ -534,7 +535,8 @@ def envelope_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
         now="fetched_at + interval 250 milliseconds",
         event_id=content_event_id("page_no", "position"),
     )
-    return stamped.select("page_no", "position", "envelope.*").drop("payload")
+    payload = F.to_json("envelope.payload", {"ignoreNullFields": "false"}).alias("payload_text")
+    return stamped.select("page_no", "position", "envelope.*", payload).drop("payload")
 
 
 @query
@@ -593,6 +595,16 @@ def prepublish_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def published_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic, key and text of every record of both topics, as they would go to the broker."""
+    sweep = ingest(
+        recipe.pages(spark, sf_dir), "p1", "events", "raw", "dlq",
+        now="fetched_at + interval 250 milliseconds", event_id=content_event_id("page_no", "position"),
+    )
+    return sweep.records.select("topic", "key", "value")
+
+
 @query
 def sink_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of both topics mirrored as JSONL in one pass and read back."""

@@ -26,22 +26,33 @@ _CATEGORIES = """CASE WHEN event_id % 71 = 0 THEN cast(array() AS array<string>)
 _COORDINATES = """named_struct(
     'latitude', CASE WHEN event_id % 79 = 0 THEN NULL WHEN event_id % 73 = 0 THEN 100.0D
         ELSE cast(user_id % 181 - 90 AS double) END,
-    'longitude', CASE WHEN event_id % 79 <> 0
-        THEN cast((user_id * 7) % 361 - 180 AS double) END)"""
+    'longitude', CASE WHEN event_id % 79 = 0 THEN NULL WHEN event_id % 173 = 0 THEN 200.0D
+        ELSE cast((user_id * 7) % 361 - 180 AS double) END)"""
 _CITY = "CASE WHEN event_id % 83 = 0 THEN ' ' ELSE concat('City ', user_id % 10) END"
 _BUSINESS_ID = "concat('b', user_id)"
 _NAME = "concat('Business ', user_id, ' v', event_id % 3)"
 _AREA = "concat('Area ', user_id % 3)"
+_URL = "concat('https://example.org/', user_id)"
+_CLOSED = "event_id % 6 = 0"
+_PRICE = "CASE WHEN event_id % 4 <> 0 THEN repeat('$', cast(event_id % 4 AS int)) END"
+_STATE = "concat('S', user_id % 7)"
+_ZIP_CODE = "lpad(cast(user_id % 1000 AS string), 5, '0')"
+
+# Defects that only an envelope has: what a producer of today would not publish.
+_SENT_ID = "CASE WHEN event_id % 151 = 0 THEN '' ELSE cast(event_id AS string) END"
+_SENT_BUSINESS = f"CASE WHEN event_id % 157 = 0 THEN ' ' ELSE {_BUSINESS_ID} END"
+_SENT_COUNT = f"CASE WHEN event_id % 163 <> 0 THEN {_REVIEW_COUNT} END"
+_SENT_CATEGORIES = f"CASE WHEN event_id % 179 = 0 THEN array('', event_type, ' ') ELSE {_CATEGORIES} END"
 
 _ENVELOPE = f"""named_struct(
-    'event_id', cast(event_id AS string), 'producer_id', 'recipe', 'source', 'events',
+    'event_id', {_SENT_ID}, 'producer_id', 'recipe', 'source', 'events',
     'source_endpoint', 'businesses/search', 'schema_version', 1,
     'observed_at', {_OBSERVED_AT}, 'ingest_lag_ms', 0,
     'payload', named_struct(
-        'business_id', {_BUSINESS_ID}, 'name', {_NAME}, 'rating', {_RATING},
-        'review_count', {_REVIEW_COUNT}, 'categories', {_CATEGORIES},
-        'coordinates', {_COORDINATES},
-        'location', named_struct('city', {_CITY}, 'country', 'US'),
+        'business_id', {_SENT_BUSINESS}, 'name', {_NAME}, 'url', {_URL}, 'is_closed', {_CLOSED},
+        'rating', {_RATING}, 'review_count', {_SENT_COUNT}, 'price', {_PRICE},
+        'categories', {_SENT_CATEGORIES}, 'coordinates', {_COORDINATES},
+        'location', named_struct('city', {_CITY}, 'state', {_STATE}, 'country', 'US', 'zip_code', {_ZIP_CODE}),
         'search_term', 'restaurants', 'search_location', {_AREA}))"""
 
 
@@ -49,14 +60,22 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def _mistyped(text: str) -> str:
+    """Every 149th rating becomes text, every 167th review count a fraction."""
+    for step, member, value in ((149, "rating", '"high"'), (167, "review_count", "7.5")):
+        text = f"""CASE WHEN event_id % {step} = 0
+            THEN regexp_replace({text}, '"{member}":-?[0-9.]+', '"{member}":{value}') ELSE {text} END"""
+    return text
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bronze table the recipe stands for."""
-    deliveries = events(spark, sf_dir).selectExpr(
+    deliveries = events(spark, sf_dir).selectExpr("*", f"to_json({_ENVELOPE}) AS sent").selectExpr(
         "*",
         f"""CASE WHEN event_id % 97 = 0 THEN concat('not json #', event_id)
             WHEN event_id % 137 = 0 THEN concat('{{"event_id":"', event_id, '"}}', '{{}}')
             WHEN event_id % 139 = 0 THEN concat('{{"event_id":"', event_id, '"}} more')
-            ELSE to_json({_ENVELOPE}) END AS raw_envelope""",
+            ELSE {_mistyped("sent")} END AS raw_envelope""",
         "explode(CASE WHEN event_id % 50 = 0 THEN array(0, 1) ELSE array(0) END) AS copy",
     )
     return deliveries.selectExpr(
@@ -88,13 +107,18 @@ _LISTING_MEMBERS = (
         WHEN event_id % 113 = 0 THEN '"great"' ELSE cast({_RATING} AS string) END, 'null')"""),
     _member("review_count", f"""concat({_REVIEW_COUNT}, CASE WHEN event_id % 127 = 0 THEN '.0'
         WHEN event_id % 131 = 0 THEN '.5' ELSE '' END)"""),
-    _member("is_closed", "'false'"),
+    _member("is_closed", f"cast({_CLOSED} AS string)"),
+    _member("url", _text(_URL)),
+    _member("image_url", "'null'"),
+    _member("price", f"coalesce({_text(_PRICE)}, 'null')"),
+    _member("phone", _text("concat('+1', user_id)")),
     _member("distance", "cast(value AS string)"),
     _member("categories", f"""to_json(transform({_CATEGORIES},
         c -> named_struct('alias', c, 'title', upper(c))))"""),
     _member("coordinates", f"""CASE WHEN event_id % 79 = 0 THEN 'null'
         ELSE to_json({_COORDINATES}) END"""),
-    _member("location", f"to_json(named_struct('city', {_CITY}))"),
+    _member("location", f"""to_json(named_struct('address1', concat(user_id, ' Main'), 'city', {_CITY},
+        'state', {_STATE}, 'country', 'US', 'zip_code', {_ZIP_CODE}))"""),
     _member("transactions", """CASE WHEN event_id % 5 = 0 THEN 'null' ELSE '["pickup"]' END"""),
 )
 
