@@ -1,13 +1,15 @@
 """Byte-level BPE as dynamic programming over prefixes.
 
 Each prefix of a pre-token has exactly one valid last token. All vocabulary entries that end at a
-position come from one pass of an automaton over the bytes; a match ``t`` that starts at ``j`` is the
+position come from one pass of a suffix automaton over the bytes; a match ``t`` that starts at ``j`` is the
 last token of its prefix if it is compatible with the last token of prefix ``j``: undoing both
 tokens' merges from the latest to the earliest, no merge across the seam would have come first.
 The ids follow from the last prefix back along the stored tokens. No merge loop runs over the text.
 
-Runs of ids of frequent pre-tokens are kept per worker, up to ``CACHE`` entries, then afresh; what
-is kept changes the speed only.
+The new pre-tokens of some hundred texts are taken together, position by position: the automaton's states, the
+matches still to be tried and the pair tests are arrays over all of them. Pre-tokens of more than ``SHORT`` bytes go
+one by one. Ids of pre-tokens are kept per worker in two generations of ``CACHE`` entries: where the
+newer is full it becomes the older one. What is kept changes the speed only.
 
 Edge cases: a null text is encoded as the empty text (no ids); special tokens written in a text
 become their id, as the vocabulary file asks; repeated rows are encoded row by row.
@@ -29,7 +31,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 300_000
+CACHE = 300_000  # pre-tokens of a generation
+SHORT = 48  # bytes of a pre-token up to which many are encoded at once
 #: Fixed value: the pattern that byte-level vocabularies of this kind are split by.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Letters and numbers newer than Unicode 16, which the tokenizers library does not know as such.
@@ -101,12 +104,19 @@ class Codec:
         longest = sorted(self.specials, key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, longest))) if longest else None
         self.automaton = ahocorasick.Automaton()
+        self.plain = {i for i in ids.values() if self._whole(i)}
         for i in ids.values():
-            if self._whole(i):
+            if i in self.plain:
                 text = self.bytes[i].decode("latin-1")
                 self.automaton.add_word(text, (i, len(text)))
         self.automaton.make_automaton()
-        self.runs: dict[str, tuple[str, bytes, bytes]] = {}
+        self.runs: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.batch = _Batch(self)
+
+    def is_plain(self, token: int) -> bool:
+        """Whether text may encode to the token: its bytes do, and it is no special one."""
+        return token in self.plain
 
     def _whole(self, token: int) -> bool:
         """Whether the token's own bytes encode to it."""
@@ -152,44 +162,213 @@ class Codec:
     def decode_bytes(self, ids: list[int]) -> bytes:
         return b"".join([self.bytes[i] for i in ids])
 
-    def _run(self, ids: list[int]) -> tuple[str, bytes, bytes]:
-        return ",".join(map(str, ids)), array("i", ids).tobytes(), self.decode_bytes(ids)
-
-    def encoded(self, text: str) -> list[tuple[str, bytes, bytes]]:
-        """The text's ids in runs of one pre-token: as decimals, as 32-bit integers, decoded."""
-        if self.special and self.special.search(text):
-            out, at = [], 0
-            for m in self.special.finditer(text):
-                out += self._pieces(text[at : m.start()]) + [self._run([self.specials[m[0]]])]
-                at = m.end()
-            return out + self._pieces(text[at:])
-        return self._pieces(text)
-
-    def _pieces(self, text: str) -> list[tuple[str, bytes, bytes]]:
-        runs, pieces = self.runs, split(text)
-        try:
-            return [runs[p] for p in pieces]
-        except KeyError:
-            pass
-        if len(runs) > CACHE:
-            runs.clear()
-        out = []
-        for p in pieces:
-            run = runs.get(p)
-            if run is None:
-                run = self._run(self.encode_piece(p.encode()))
-                if len(p) < 40:
-                    runs[p] = run
-            out.append(run)
-        return out
+    def _special_parts(self, text: str) -> list[tuple[str, bool]]:
+        """The text cut at special tokens: what is in a part, and whether it is one."""
+        if not self.special or not self.special.search(text):
+            return [(text, False)]
+        out, at = [], 0
+        for m in self.special.finditer(text):
+            out += [(text[at : m.start()], False), (m[0], True)]
+            at = m.end()
+        return [*out, (text[at:], False)]
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as 32-bit integers."""
+        parts = [[(array("i", [self.specials[x]]).tobytes() if special else split(x)) for x, special in self._special_parts(t)]
+                 for t in texts]
+        needed: set[str] = set()
+        for text in parts:
+            needed.update(*[p for p in text if isinstance(p, list)])
+        runs = self._runs_of(needed)
+        return [
+            b"".join([p if isinstance(p, bytes) else b"".join([runs[x] for x in p]) for p in text]) for text in parts
+        ]
+
+    def _runs_of(self, needed: set[str]) -> dict[str, bytes]:
+        """The ids of pre-tokens, those of ``needed`` at least."""
+        if len(self.runs) + len(needed) > CACHE:
+            self.runs, self.older = {}, self.runs
+        missing = needed - self.runs.keys()
+        known = missing & self.older.keys()
+        self.runs.update({x: self.older[x] for x in known})
+        missing -= known
+        short, long_ = [], []
+        for x in missing:
+            raw = x.encode()
+            (short if len(raw) <= SHORT else long_).append((x, raw))
+        found = dict(zip([x for x, _ in short], self.batch.encode([raw for _, raw in short]), strict=True))
+        self.runs.update(found)
+        if not long_:
+            return self.runs
+        return self.runs | {x: array("i", self.encode_piece(raw)).tobytes() for x, raw in long_}
 
     def encode(self, text: str | None) -> list[int]:
-        return array("i", b"".join([r[1] for r in self.encoded(text or "")])).tolist()
+        return array("i", self.packed([text or ""])[0]).tolist()
 
     def decode(self, ids: list[int]) -> str:
         return self.decode_bytes(ids).decode("utf-8", "replace")
 
 
+class _Batch:
+    """The same for many short pre-tokens at once, in arrays."""
+
+    _NONE = np.int32(-1)
+
+    def __init__(self, codec: Codec):
+        n = max(codec.bytes) + 1
+        self.left, self.right, self.rank, self.size = (np.full(n, -1, np.int32) for _ in range(4))
+        for i, raw in codec.bytes.items():
+            self.size[i] = len(raw)
+        for i in codec.left:
+            self.left[i], self.right[i], self.rank[i] = codec.left[i], codec.right[i], codec.rank[i]
+        pairs = np.array(list(codec.merge), np.int64).reshape(-1, 2)
+        self.width = n
+        self.merges = _Table(pairs[:, 0] * n + pairs[:, 1], np.array(list(codec.merge.values()), np.int32))
+        self._automaton([(i, raw) for i, raw in codec.bytes.items() if codec.is_plain(i)])
+
+    def _automaton(self, tokens: list[tuple[int, bytes]]) -> None:
+        """States are beginnings of tokens. ``fail``: the longest proper end of a state that is one too; ``ends``: the
+        token that a state is; ``shorter``: the next token along the fails."""
+        steps, ends, depth, parent = {}, [-1], [0], [(0, 0)]
+        for i, raw in tokens:
+            state = 0
+            for byte in raw:
+                key = state << 8 | byte
+                state = steps.get(key, 0)
+                if not state:
+                    state = steps[key] = len(ends)
+                    ends.append(-1)
+                    depth.append(depth[key >> 8] + 1)
+                    parent.append((key >> 8, byte))
+            ends[state] = i
+        self.steps = _Table(np.fromiter(steps, np.int64, len(steps)), np.fromiter(steps.values(), np.int32, len(steps)))
+        self.ends, self.depth = np.array(ends, np.int32), np.array(depth, np.int32)
+        self.fail, self.shorter = (np.zeros(len(ends), np.int32) for _ in range(2))
+        above = np.array(parent, np.int64)
+        for level in range(2, int(self.depth.max(initial=0)) + 1):
+            at = np.flatnonzero(self.depth == level)
+            self.fail[at] = self._next(self.fail[above[at, 0]], above[at, 1])
+        for level in range(1, int(self.depth.max(initial=0)) + 1):
+            at = np.flatnonzero(self.depth == level)
+            to = self.fail[at]
+            self.shorter[at] = np.where(self.ends[to] >= 0, to, self.shorter[to])
+
+    def _next(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The states after one more byte."""
+        out, state = np.zeros(len(state), np.int32), state.copy()
+        open_ = np.arange(len(state))
+        while len(open_):
+            found = self.steps.get(state[open_].astype(np.int64) << 8 | byte[open_])
+            out[open_] = np.maximum(found, 0)
+            open_ = open_[(found < 0) & (state[open_] > 0)]
+            state[open_] = self.fail[state[open_]]
+        return out
+
+    def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``Codec.compatible`` of many pairs."""
+        out = np.ones(len(a), bool)
+        at, limit = np.arange(len(a)), np.full(len(a), np.iinfo(np.int32).max, np.int32)
+        while len(at):
+            seam = self.merges.get(a.astype(np.int64) * self.width + b)
+            bad = (seam >= 0) & (seam < limit)
+            out[at[bad]] = False
+            left, right = self.rank[a], self.rank[b]
+            on = ~bad & ((left >= 0) | (right >= 0))
+            at, a, b, left, right = at[on], a[on], b[on], left[on], right[on]
+            first = left > right
+            # Of equal merges the left one comes first, so the seam wins a tie with b's.
+            limit = np.where(first, left, right + 1)
+            a, b = np.where(first, self.right[a], a), np.where(first, b, self.left[b])
+        return out
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece as 32-bit integers."""
+        if not pieces:
+            return []
+        size = np.array([*map(len, pieces)])
+        order = np.argsort(-size, kind="stable")
+        size, n, most = size[order], len(pieces), int(size.max())
+        text = np.zeros((most, n), np.uint8)
+        flat = np.frombuffer(b"".join([pieces[i] for i in order]), np.uint8)
+        column = np.repeat(np.arange(n), size)
+        text[np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size), column] = flat
+        last = np.full((most + 1, n), self._NONE)
+        state = np.zeros(n, np.int32)
+        for end in range(1, most + 1):
+            m = int(np.searchsorted(-size, -end, "right"))  # the longest come first
+            state = self._next(state[:m], text[end - 1, :m].astype(np.int64))
+            match = np.where(self.ends[state] >= 0, state, self.shorter[state])
+            open_ = np.flatnonzero(match)
+            while len(open_):
+                now = match[open_]
+                token, begin = self.ends[now], end - self.depth[now]
+                before = last[begin, open_]
+                good = begin == 0
+                some = np.flatnonzero(before >= 0)
+                good[some] = self.compatible(before[some], token[some])
+                last[end, open_[good]] = token[good]
+                open_, now = open_[~good], now[~good]
+                match[open_] = self.shorter[now]
+                open_ = open_[match[open_] > 0]
+        return self._back(last, size, order)
+
+    def _back(self, last: np.ndarray, size: np.ndarray, order: np.ndarray) -> list[bytes]:
+        """Follow the stored tokens from the end of each piece."""
+        at, row = size.copy(), np.arange(len(size))
+        found = []
+        while len(row):
+            token = last[at[row], row]
+            found.append((row, token))
+            at[row] -= self.size[token]
+            row = row[at[row] > 0]
+        count = np.zeros(len(size), np.int64)
+        for row, _ in found:
+            count[row] += 1
+        ends = np.cumsum(count)
+        ids = np.zeros(int(ends[-1]), np.int32)
+        for step, (row, token) in enumerate(found):
+            ids[ends[row] - 1 - step] = token
+        raw, out = ids.tobytes(), [b""] * len(size)
+        for i, a, b in zip(order.tolist(), (4 * (ends - count)).tolist(), (4 * ends).tolist(), strict=True):
+            out[i] = raw[a:b]
+        return out
+
+
+class _Table:
+    """Integers by integer keys of 0 or more, looked up many at a time."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, int(len(keys) * 8).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.keys[slot[left]] < 0
+            # Of several that want a free slot one gets it.
+            self.keys[slot[left[free]]] = keys[left[free]]
+            got = self.keys[slot[left]] == keys[left]
+            self.values[slot[left[got]]] = values[left[got]]
+            left = left[~got]
+            slot[left] = (slot[left] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, -1 if there is none."""
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        out = np.where(there == keys, self.values[slot], np.int32(-1))
+        at = np.flatnonzero((there >= 0) & (there != keys))
+        while len(at):
+            slot[at] = (slot[at] + 1) & self.mask
+            there = self.keys[slot[at]]
+            hit = there == keys[at]
+            out[at[hit]] = self.values[slot[at[hit]]]
+            at = at[(there >= 0) & ~hit]
+        return out
+
+
 @lru_cache(maxsize=4)
 def codec(path: str) -> Codec:
     """One codec per worker and vocabulary."""
@@ -214,7 +393,7 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary)
         for doc_id, texts in _by_text(batches):
-            packed = [b"".join([r[1] for r in c.encoded(t)]) for t in texts]
+            packed = c.packed(texts)
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
             ids = pa.ListArray.from_arrays(
                 pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32))
@@ -240,22 +419,32 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
+def _parts(values: pa.Array, count: np.ndarray) -> Iterator[memoryview]:
+    """The bytes of ``count`` values each, one after the other."""
+    _, offsets, data = values.buffers()
+    ends = np.frombuffer(offsets, np.int64)[np.concatenate([[0], np.cumsum(count)])].tolist()
+    raw = memoryview(data if data is not None else b"")
+    return (raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True))
+
+
 def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 without moving the ids out of the worker."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary)
+        known = range(max(c.bytes) + 1)
+        shown = pa.array([f"{i}," for i in known], pa.large_string())
+        spelled = pa.array([c.bytes.get(i, b"") for i in known], pa.large_binary())
         for doc_id, texts in _by_text(batches):
-            counts, ids, back = [], [], []
-            for t in texts:
-                runs = c.encoded(t)
-                decimals = ",".join([r[0] for r in runs])
-                counts.append(decimals.count(",") + 1 if decimals else 0)
-                ids.append(hashlib.sha256(decimals.encode()).hexdigest())
-                text = b"".join([r[2] for r in runs]).decode("utf-8", "replace")
-                back.append(hashlib.sha256(text.encode()).hexdigest())
+            packed = c.packed(texts)
+            count = np.array([len(p) // 4 for p in packed])
+            ids = pa.array(np.frombuffer(b"".join(packed), np.int32))
+            decimals, back = (_parts(table.take(ids), count) for table in (shown, spelled))
+            # The decimals end with a comma that is none of the list's.
+            digests = [hashlib.sha256(d[:-1]).hexdigest() for d in decimals]
+            decoded = [hashlib.sha256(bytes(x).decode("utf-8", "replace").encode()).hexdigest() for x in back]
             yield pa.RecordBatch.from_arrays(
-                [doc_id, pa.array(counts, pa.int64()), pa.array(ids), pa.array(back)],
+                [doc_id, pa.array(count, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
