@@ -360,6 +360,15 @@ _DELIVERY_QUERIES = {
         UNION ALL SELECT 'drift_rows', count(*) FROM drift
         UNION ALL SELECT 'trend_rows', count(*) FROM trends""",
     "crash_then_write": _ALL_SILVER,
+    "bootstrap_tables": """SELECT table_name, "column", type, is_partition, CASE table_name
+          WHEN 'business_events' THEN (SELECT count(*) FROM silver)
+          WHEN 'business' THEN (SELECT count(*) FROM dlq) ELSE 0 END AS rows FROM (VALUES
+          ('business_events_raw', 'ingest_ts', 'timestamp', FALSE), ('business_events_raw', 'kafka_partition', 'int', FALSE), ('business_events_raw', 'kafka_offset', 'bigint', FALSE), ('business_events_raw', 'kafka_key', 'string', FALSE), ('business_events_raw', 'raw_envelope', 'string', FALSE), ('business_events_raw', 'kafka_topic', 'string', TRUE), ('business_events_raw', 'ingest_day', 'date', TRUE), ('business_events_raw', 'batch', 'string', TRUE),
+          ('business_events', 'business_id', 'string', FALSE), ('business_events', 'name', 'string', FALSE), ('business_events', 'rating', 'double', FALSE), ('business_events', 'review_count', 'int', FALSE), ('business_events', 'price', 'string', FALSE), ('business_events', 'is_closed', 'boolean', FALSE), ('business_events', 'url', 'string', FALSE), ('business_events', 'categories', 'array<string>', FALSE), ('business_events', 'latitude', 'double', FALSE), ('business_events', 'longitude', 'double', FALSE), ('business_events', 'city', 'string', FALSE), ('business_events', 'state', 'string', FALSE), ('business_events', 'country', 'string', FALSE), ('business_events', 'zip_code', 'string', FALSE), ('business_events', 'search_term', 'string', FALSE), ('business_events', 'search_location', 'string', FALSE), ('business_events', 'observed_at', 'timestamp', FALSE), ('business_events', 'ingest_ts', 'timestamp', FALSE), ('business_events', 'event_id', 'string', FALSE), ('business_events', 'producer_id', 'string', FALSE), ('business_events', 'schema_version', 'int', FALSE), ('business_events', 'day', 'date', TRUE),
+          ('business', 'dlq_key', 'string', FALSE), ('business', 'ingest_ts', 'timestamp', FALSE), ('business', 'kafka_topic', 'string', FALSE), ('business', 'kafka_partition', 'int', FALSE), ('business', 'kafka_offset', 'bigint', FALSE), ('business', 'kafka_key', 'string', FALSE), ('business', 'failure_codes', 'array<string>', FALSE), ('business', 'raw_envelope', 'string', FALSE), ('business', 'failure_reason', 'string', TRUE), ('business', 'ingest_day', 'date', TRUE),
+          ('rating_drift_daily', 'business_id', 'string', FALSE), ('rating_drift_daily', 'name', 'string', FALSE), ('rating_drift_daily', 'city', 'string', FALSE), ('rating_drift_daily', 'rating_avg', 'double', FALSE), ('rating_drift_daily', 'rating_min', 'double', FALSE), ('rating_drift_daily', 'rating_max', 'double', FALSE), ('rating_drift_daily', 'review_count_max', 'int', FALSE), ('rating_drift_daily', 'observations', 'int', FALSE), ('rating_drift_daily', 'day', 'date', TRUE),
+          ('category_trends_daily', 'category', 'string', FALSE), ('category_trends_daily', 'city', 'string', FALSE), ('category_trends_daily', 'total_observations', 'bigint', FALSE), ('category_trends_daily', 'distinct_businesses', 'bigint', FALSE), ('category_trends_daily', 'avg_rating', 'double', FALSE), ('category_trends_daily', 'day', 'date', TRUE)
+        ) AS t(table_name, "column", type, is_partition)""",
     "replay_lands": """SELECT 'silver' AS place, event_id AS key, ingest_ts, rating FROM (
           SELECT * FROM labelled WHERE failure_reason IS NULL OR codes = ['rating_out_of_range']
           QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingest_ts DESC, kafka_offset DESC) = 1)
@@ -399,6 +408,15 @@ _LISTING_QUERIES = {
         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS observed_at,
         CASE WHEN failed THEN '' ELSE array_to_string(codes, ',') END AS codes, city
         FROM outcomes WHERE reason IS NOT NULL""",
+    "sweep_one_pass": """SELECT 'cities_attempted' AS name, count(DISTINCT search_location) AS rows FROM pages_of_events
+        UNION ALL SELECT 'pages_fetched', count(*) FROM pages_of_events
+        UNION ALL SELECT 'failed_pages', count(*) FROM pages_of_events WHERE id % 17 = 0
+        UNION ALL SELECT 'businesses_seen', count(*) FROM outcomes
+        UNION ALL SELECT 'accepted', count(*) FROM outcomes WHERE reason IS NULL
+        UNION ALL SELECT 'rejected', count(*) FROM outcomes WHERE reason IS NOT NULL
+        UNION ALL SELECT 'topic raw', count(*) FROM outcomes WHERE reason IS NULL
+        UNION ALL SELECT 'topic dlq', count(*) FROM outcomes WHERE reason IS NOT NULL
+        UNION ALL SELECT 'topic failed', count(*) FROM pages_of_events WHERE id % 17 = 0""",
     "published_records": """SELECT CASE WHEN reason IS NULL THEN 'raw' ELSE 'dlq' END AS topic,
         CASE WHEN page_no % 101 = 0 THEN 'unknown' ELSE business_id END AS key,
         CASE WHEN reason IS NULL THEN '{"event_id":"' || concat_ws('-', digest[1:8], digest[9:12],

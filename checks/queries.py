@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,14 +41,15 @@ from tidemark.operators.validate import (
     split_valid,
 )
 from tidemark.plans.gold import gold_job
-from tidemark.plans.ingest import ingest
+from tidemark.plans.ingest import ingest, ingest_pass
 from tidemark.plans.replay import replay_job
-from tidemark.schemas import BRONZE, CATEGORY_TRENDS, DLQ, RATING_DRIFT, SILVER
+from tidemark.schemas import ALL_TABLES, BRONZE, CATEGORY_TRENDS, DLQ, RATING_DRIFT, SILVER
 from tidemark.session import workspace
 from tidemark.sources.files import write_jsonl, write_jsonl_by_topic
 from tidemark.sources.pages import explode_listings, failed_pages
 from tidemark.streaming.bronze import land_batch, land_files
 from tidemark.streaming.silver import process_batch, rebuild, silver_job
+from tidemark.tables.bootstrap import bootstrap, location, sync_partitions
 from tidemark.tables.notes import DayNotes
 from tidemark.tables.parquet import ParquetTable
 from tidemark.tables.upkeep import compact, compact_landed, prune, small_file_partitions
@@ -605,6 +608,40 @@ def published_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sweep.records.select("topic", "key", "value")
 
 
+@query
+def sweep_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One write of all records: what it counted, and what lies in each topic."""
+    root = workspace(spark, "one-pass")
+    sweep = ingest_pass(recipe.pages(spark, sf_dir), "p1", "events", "raw", "dlq", "failed")
+    write_jsonl_by_topic(sweep.records, root)
+    counted = spark.createDataFrame(list(sweep.totals().items()), "name string, rows long")
+    written = spark.read.text(root).groupBy(F.concat(F.lit("topic "), "topic").alias("name")).agg(
+        F.count(F.lit(1)).alias("rows"))
+    return counted.unionByName(written)
+
+
+@query
+def bootstrap_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bootstrapped tables by name: columns, types and partition columns of the catalog, and rows written by path."""
+    root, prefix = workspace(spark, "bootstrap"), f"tidemark_{uuid.uuid4().hex[:12]}_"
+    specs = [dataclasses.replace(s, schema_name=prefix + s.schema_name) for s in ALL_TABLES]
+    by_name = {s.name: s for s in specs}
+    bootstrap(spark, root=root, tables=specs)
+    silver, dlq = (ParquetTable(spark, location(by_name[s.name], root), s) for s in (SILVER, DLQ))
+    process_batch(recipe.bronze(spark, sf_dir), silver, dlq)
+    found = []
+    for spec in specs:
+        if spec.name in (SILVER.name, DLQ.name):
+            sync_partitions(spark, spec)
+        rows = spark.table(spec.full_name).count()
+        parts = {c.name for c in spark.catalog.listColumns(spec.full_name) if c.isPartition}
+        found += [(spec.name, f.name, f.dataType.simpleString(), f.name in parts, rows) for f in spark.table(spec.full_name).schema]
+        spark.sql(f"DROP TABLE {spec.full_name}")
+    for name in {s.schema_name for s in specs}:
+        spark.sql(f"DROP SCHEMA {name}")
+    return spark.createDataFrame(found, "table_name string, column string, type string, is_partition boolean, rows long")
+
+
 @query
 def sink_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of both topics mirrored as JSONL in one pass and read back."""

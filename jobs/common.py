@@ -9,7 +9,7 @@ import json
 from pyspark.sql import SparkSession
 
 from tidemark.schemas import BRONZE, TableSpec
-from tidemark.tables import MergeTable, ParquetTable, open_table
+from tidemark.tables import MergeTable, ParquetTable, open_table, paths
 from tidemark.tables.bootstrap import location, sync_partitions
 from tidemark.tables.notes import DayNotes
 
@@ -37,7 +37,7 @@ def show(spark: SparkSession, args: argparse.Namespace, *specs: TableSpec) -> No
         return
     for spec in specs:
         name = f"{args.catalog}.{spec.full_name}" if args.catalog else spec.full_name
-        if spark.catalog.tableExists(name):
+        if paths.exists(spark, location(spec, args.root)) and spark.catalog.tableExists(name):
             sync_partitions(spark, spec, args.catalog)
 
 

@@ -9,7 +9,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from jobs.common import report
-from tidemark.plans.ingest import ingest
+from tidemark.plans.ingest import ingest_pass
 from tidemark.session import build_session
 from tidemark.sources.files import write_jsonl_by_topic
 from tidemark.sources.kafka import auth_options, write_kafka
@@ -31,25 +31,19 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--dlq-topic", required=True)
     p.add_argument("--out", help="directory of JSONL files, one folder per topic")
     p.add_argument("--bootstrap", help="Kafka bootstrap servers")
-    p.add_argument("--failed-pages", help="directory for pages that cannot be read")
+    p.add_argument("--failed-topic", default="failed_pages", help="topic of pages that cannot be read")
     args = p.parse_args(argv)
     if bool(args.out) == bool(args.bootstrap):
         raise SystemExit("give --out or --bootstrap")
     spark = build_session("ingest")
-    sweep = ingest(read_pages(spark, args.pages, args.pages_format), args.producer_id, args.source,
-                   args.raw_topic, args.dlq_topic)
+    sweep = ingest_pass(read_pages(spark, args.pages, args.pages_format), args.producer_id, args.source,
+                        args.raw_topic, args.dlq_topic, args.failed_topic)
     if args.out:
         write_jsonl_by_topic(sweep.records, args.out)
     else:
         auth = auth_options(os.environ.get("KAFKA_USERNAME", ""), os.environ.get("KAFKA_PASSWORD", ""))
         write_kafka(sweep.records, args.bootstrap, auth)
-    if args.failed_pages:
-        sweep.failed_pages.write.mode("append").json(args.failed_pages)
-    failed = sweep.failed_pages.count()
-    total = sweep.report.filter("is_total").first()
-    counts = total.asDict() if total else {}
-    report("ingest", failed_pages=failed, **{k: counts.get(k, 0) for k in (
-        "cities_attempted", "pages_fetched", "businesses_seen", "accepted", "rejected")})
+    report("ingest", **sweep.totals())
 
 
 if __name__ == "__main__":

@@ -6,15 +6,15 @@ import copy
 import json
 
 GOOD_PAYLOAD = {
-    "search_location": "Harbour Quarter",
-    "search_term": "bookshops",
     "business_id": "b1",
     "name": "Lantern & Page",
-    "location": {"city": "Trondheim"},
-    "coordinates": {"longitude": 10.395, "latitude": 63.43},
-    "categories": ["bookstores", "tea"],
-    "review_count": 37,
     "rating": 3.5,
+    "review_count": 37,
+    "categories": ["bookstores", "tea"],
+    "coordinates": {"latitude": 63.43, "longitude": 10.395},
+    "location": {"city": "Trondheim"},
+    "search_term": "bookshops",
+    "search_location": "Harbour Quarter",
 }
 GOOD_ENVELOPE = {
     "event_id": "e1",

@@ -8,21 +8,21 @@ from pyspark.sql import functions as F
 from helpers import MISSING
 from tidemark.operators.envelope import REASON_NORMALIZE, outcomes
 from tidemark.operators.normalize import normalize
-from tidemark.plans.ingest import ingest
+from tidemark.plans.ingest import ingest, ingest_pass
 from tidemark.sources.pages import explode_listings, failed_pages
 
 GOOD = {
-    "distance": 803.25,
-    "name": "Lantern & Page",
     "id": "biz-1",
-    "review_count": 37,
-    "rating": 3.5,
-    "is_closed": False,
+    "name": "Lantern & Page",
     "url": "https://example.net/lantern",
+    "is_closed": False,
+    "rating": 3.5,
+    "review_count": 37,
+    "categories": [{"alias": "bookstores", "title": "Bookshops"}],
+    "coordinates": {"latitude": 63.43, "longitude": 10.395},
+    "location": {"address1": "Kaigata 9", "city": "Trondheim", "zip_code": "7010"},
     "transactions": ["pickup"],
-    "location": {"city": "Trondheim", "zip_code": "7010", "address1": "Kaigata 9"},
-    "coordinates": {"longitude": 10.395, "latitude": 63.43},
-    "categories": [{"title": "Bookshops", "alias": "bookstores"}],
+    "distance": 803.25,
 }
 
 
@@ -50,6 +50,21 @@ def test_pages_without_listings_yield_none(spark):
     assert [(r["page_no"], r["position"]) for r in rows] == [(4, 0)]
 
 
+def test_a_pass_parses_each_body_once(spark):
+    frame = pages(spark, {"businesses": []}, "junk", {"businesses": [listing(), listing(id=MISSING)]}, "{", {"total": 0})
+    sweep = ingest_pass(frame, "p", "s", "raw", "dlq", "failed")
+    plan = sweep.records._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(StructField(businesses") == 1
+    rows = sweep.records.collect()
+    assert sorted(r["topic"] for r in rows) == ["dlq", "failed", "failed", "raw"]
+    assert sorted(json.loads(r["value"])["body"] for r in rows if r["topic"] == "failed") == ["junk", "{"]
+    assert sweep.totals() == {"cities_attempted": 1, "pages_fetched": 5, "failed_pages": 2, "businesses_seen": 2,
+                              "accepted": 1, "rejected": 1}
+    apart = ingest(frame, "p", "s", "raw", "dlq")
+    assert sorted(map(tuple, apart.records.select("topic", "key").collect())) == sorted(
+        (r["topic"], r["key"]) for r in rows if r["topic"] != "failed")
+
+
 def test_broken_pages_are_told(spark):
     whole = json.dumps({"businesses": [listing()]})
     frame = pages(spark, {"businesses": []}, {"total": 0}, {"businesses": None}, "junk", whole, whole[:-9],

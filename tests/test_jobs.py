@@ -11,7 +11,7 @@ from checks.compare import connect, difference
 from checks.oracle import statements
 from checks.queries import registry
 from helpers import envelope
-from jobs import bootstrap, bronze, gold, ingest, silver, upkeep
+from jobs import bootstrap, bronze, gold, ingest, replay, silver, upkeep
 from tidemark.session import workspace
 
 SMALL = "/root/testdata/sf0.001"
@@ -52,13 +52,36 @@ def test_ingest_main(spark, capsys):
         "body", "'t' AS search_term", "'l' AS search_location", "timestamp'2026-06-09 12:00:00Z' AS fetched_at",
     ).write.parquet(f"{root}/pages")
     ingest.main(["--pages", f"{root}/pages", "--producer-id", "p", "--source", "s", "--raw-topic", "raw",
-                 "--dlq-topic", "dlq", "--out", f"{root}/out", "--failed-pages", f"{root}/failed"])
+                 "--dlq-topic", "dlq", "--out", f"{root}/out", "--failed-topic", "failed"])
     line = json.loads(capsys.readouterr().out.splitlines()[-1])
     assert (line["pages_fetched"], line["businesses_seen"], line["accepted"], line["rejected"]) == (3, 2, 1, 1)
-    assert line["failed_pages"] == 1 and spark.read.json(f"{root}/failed").first()["body"] == "broken"
+    assert line["failed_pages"] == line["cities_attempted"] == 1
+    assert spark.read.json(f"{root}/out/topic=failed").first()["body"] == "broken"
     assert spark.read.text(f"{root}/out/topic=raw").count() == spark.read.text(f"{root}/out/topic=dlq").count() == 1
 
 
+def test_replay_main(spark, capsys):
+    root = workspace(spark, "replay")
+    spark.createDataFrame([(envelope("a", rating=9.0),), ("junk",)], "value string").write.text(f"{root}/drop")
+    bronze.main(["--root", root, "--source", "files", "--drop", f"{root}/drop", "--checkpoint", f"{root}/cp-b"])
+    silver.main(["--root", root, "--checkpoint", f"{root}/cp-s"])
+    replay.main(["--root", root, "--code", "rating_out_of_range"])
+    line = json.loads(capsys.readouterr().out.splitlines()[-1])
+    assert line == {"job": "replay", "rescued": 0, "days": []}
+
+
+def test_bootstrap_main_sets_properties(spark):
+    root = workspace(spark, "bootstrap")
+    bootstrap.main(["--root", root, "--property", "team=listings", "--property", "tier=raw"])
+    for name in ("bronze.business_events_raw", "silver.business_events", "dlq.business",
+                 "gold.rating_drift_daily", "gold.category_trends_daily"):
+        found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        assert found["team"] == "listings" and found["tier"] == "raw"
+        spark.sql(f"DROP TABLE {name}")
+    with pytest.raises(SystemExit):
+        bootstrap.main(["--root", root, "--property", "nonsense"])
+
+
 def test_other_formats_need_a_name(spark):
     with pytest.raises(SystemExit):
         bronze.main(["--source", "files", "--drop", "d", "--checkpoint", "c"])

@@ -5,7 +5,7 @@ import json
 import pytest
 
 from helpers import MISSING, bronze, envelope
-from tidemark.functions.rules import PAYLOAD_RULES, Record
+from tidemark.functions.rules import ENVELOPE_RULES, PAYLOAD_RULES, Record
 from tidemark.operators.decode import decode
 from tidemark.operators.quarantine import (
     CODE_PARSE,
@@ -26,7 +26,7 @@ CASES = {
     "name non-ascii": (envelope(name="é"), []),
     "event id": (envelope(event_id=" "), ["missing_event_id"]),
     "observed": (envelope(observed_at="garbage"), ["missing_observed_at"]),
-    "rating": (envelope(rating=7.0), ["rating_out_of_range"]),
+    "rating": (envelope(rating=6.5), ["rating_out_of_range"]),
     "half step": (envelope(rating=2.7), ["rating_out_of_range"]),
     "rating zero": (envelope(rating=0.5), ["rating_out_of_range"]),
     "rating null": (envelope(rating=None), ["missing_rating"]),
@@ -54,13 +54,6 @@ CASES = {
     "category object": (envelope(categories=[{"a": 1}]), ["bad_category_value"]),
     "category digits": (envelope(categories=["5"]), []),
     "category lines": (envelope(categories=["a\n\nb"]), []),
-    "all": (
-        envelope(location__city=" ", coordinates__longitude=-640.5, coordinates__latitude=123.75,
-                 categories=[], review_count=-7, rating=0.25, name=" ", business_id=" "),
-        ["missing_business_id", "missing_name", "rating_out_of_range",
-         "negative_review_count", "latitude_out_of_range", "longitude_out_of_range",
-         "missing_city", "missing_categories"],
-    ),
     "unknown member": (envelope(shoe_size=44), []),
     "not json": ("not json", [CODE_PARSE]),
     "truncated": (envelope()[:-20], [CODE_PARSE]),
@@ -103,6 +96,34 @@ def test_codes(codes, name):
         assert row["failure_reason"] == (REASON_RULES if expected else None)
 
 
+#: One way to break each rule; rules about one field exclude each other.
+BREAKS = {
+    "missing_event_id": {"event_id": ""}, "missing_observed_at": {"observed_at": "soon"},
+    "missing_business_id": {"business_id": None}, "missing_name": {"name": ""},
+    "missing_rating": {"rating": MISSING}, "bad_rating_type": {"rating": True}, "rating_out_of_range": {"rating": 5.5},
+    "missing_review_count": {"review_count": MISSING}, "bad_review_count_type": {"review_count": "few"},
+    "negative_review_count": {"review_count": -2}, "missing_coordinates": {"coordinates": None},
+    "latitude_out_of_range": {"coordinates__latitude": -91}, "longitude_out_of_range": {"coordinates__longitude": 181.5},
+    "missing_city": {"location__city": MISSING}, "missing_categories": {"categories": None},
+    "bad_category_value": {"categories": ["", "b"]},
+}
+
+
+def _together(one: str, two: str) -> bool:
+    fields = [{k.split("__")[0] for k in BREAKS[c]} for c in (one, two)]
+    both = {"latitude_out_of_range", "longitude_out_of_range"} == {one, two}
+    return both or not fields[0] & fields[1]
+
+
+def test_every_pair_of_rules_accumulates_in_rule_order(spark):
+    order = [r.code for r in ENVELOPE_RULES]
+    assert sorted(BREAKS) == sorted(order)
+    pairs = [(a, b) for i, a in enumerate(order) for b in order[i + 1 :] if _together(a, b)]
+    texts = [envelope(**{**BREAKS[a], **BREAKS[b]}) for a, b in pairs]
+    rows = classify(bronze(spark, texts)).orderBy("kafka_offset").collect()
+    assert [tuple(r["failure_codes"]) for r in rows] == pairs
+
+
 @pytest.mark.parametrize(("value", "kind"), [("good", "str"), ([1], "list"), ({"a": 1}, "dict")])
 def test_the_message_names_the_type_of_a_bad_rating(spark, value, kind):
     row = failure_details(decode(bronze(spark, [envelope(rating=value)]))).first()

@@ -123,18 +123,27 @@ def publish_records(
     source: str,
     raw_topic: str,
     dlq_topic: str,
+    instead: str = "NULL",
+    instead_value: str = "NULL",
     **stamp_args: str,
 ) -> DataFrame:
-    """``(topic, key, value)`` of every listing, published and quarantined in one pass."""
+    """``(topic, key, value)`` of every listing, published and quarantined in one pass.
+
+    Rows that are no listing have another topic, ``instead``, with a text of their own.
+    """
     envelope = f"to_json({envelope_of(producer_id, source, **stamp_args)}, {_WITH_NULLS})"
 
     def either(published: str, quarantined: str) -> str:
         return f"CASE WHEN reason IS NULL THEN {published} ELSE {quarantined} END"
 
+    topics = f"coalesce({instead}, {either(quoted(raw_topic), quoted(dlq_topic))})"
+    other = f"({instead}) IS NOT NULL"
+    if instead == "NULL":
+        topics, other = either(quoted(raw_topic), quoted(dlq_topic)), "false"
     return labelled.selectExpr(
-        f"{either(quoted(raw_topic), quoted(dlq_topic))} AS topic",
-        f"{either(EVENT_KEY, _DLQ_KEY)} AS key",
-        f"{either(envelope, _dlq_record(producer_id))} AS value",
+        f"{topics} AS topic",
+        f"CASE WHEN {other} THEN 'unknown' ELSE {either(EVENT_KEY, _DLQ_KEY)} END AS key",
+        f"CASE WHEN {other} THEN {instead_value} ELSE {either(envelope, _dlq_record(producer_id))} END AS value",
     )
 
 

@@ -91,6 +91,7 @@ SILVER = TableSpec(
     partition_by=("day",),
     keys=("event_id",),
     cluster_by=("business_id", "observed_at"),
+    required=("business_id",),
 )
 
 DLQ_COLUMNS = (
@@ -105,6 +106,7 @@ DLQ = TableSpec(
     "failure_codes array<string>, raw_envelope string, ingest_day date",
     partition_by=("failure_reason", "ingest_day"),
     keys=("dlq_key",),
+    required=("dlq_key",),
     cluster_by=("kafka_topic", "kafka_offset", "dlq_key"),
     day_of=("ingest_day", "ingest_ts"),
 )

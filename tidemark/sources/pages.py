@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.barrier import computed_once
 from tidemark.schemas import PAGE
 
 
@@ -21,6 +22,23 @@ def explode_listings(pages: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+def explode_pages(pages: DataFrame, body: str = "body") -> DataFrame:
+    """Listings and failed pages in one parse: at least one row of every page.
+
+    ``position`` and ``listing`` are null for a page without a listing; ``page_failed`` tells those that
+    ``failed_pages`` tells, whose ``body`` is kept as ``failed_body``.
+    """
+    flagged = F.from_json(F.col(body), f"{PAGE}, _flagged string", {"columnNameOfCorruptRecord": "_flagged"})
+    failed = F.expr("_page IS NULL OR _page._flagged IS NOT NULL")
+    return (
+        computed_once(pages.withColumn("_parsed", flagged), "_page", "_parsed")
+        .withColumn("page_failed", failed)
+        .withColumn("failed_body", F.when(F.col("page_failed"), F.col(body)))
+        .select("*", F.posexplode_outer(F.expr("CASE WHEN NOT page_failed THEN _page.businesses END")).alias("position", "listing"))
+        .drop("_page", "_parsed", body)
+    )
+
+
 def failed_pages(pages: DataFrame, body: str = "body") -> DataFrame:
     """Pages whose body is null, no JSON object or truncated, or whose ``businesses`` is no array.
 

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
+from tidemark.functions.text import quoted
 from tidemark.schemas import ALL_TABLES, TableSpec
 
 
@@ -24,17 +25,21 @@ def table_statement(
 ) -> str:
     """``CREATE TABLE IF NOT EXISTS``: running it again alters nothing.
 
-    With ``root`` the table lies at ``<root>/<schema>/<name>``, where the path-based
+    Required columns are ``NOT NULL`` where the format enforces it; plain files do not. With ``root`` the table lies at ``<root>/<schema>/<name>``, where the path-based
     writers put it.
     """
     prefix = f"{catalog}." if catalog else ""
-    text = f"CREATE TABLE IF NOT EXISTS {prefix}{spec.full_name} ({spec.columns}) USING {fmt}"
+    columns = ", ".join(
+        f"{column} NOT NULL" if column.split()[0] in spec.required and fmt != "parquet" else column
+        for column in spec.columns.split(", ")
+    )
+    text = f"CREATE TABLE IF NOT EXISTS {prefix}{spec.full_name} ({columns}) USING {fmt}"
     if spec.partition_by:
         text += f" PARTITIONED BY ({', '.join(spec.partition_by)})"
     if root:
         text += f" LOCATION '{location(spec, root)}'"
     if properties:
-        pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+        pairs = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties.items())
         text += f" TBLPROPERTIES ({pairs})"
     return text
 
