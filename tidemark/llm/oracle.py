@@ -119,7 +119,32 @@ SELECT d.doc_id, len(ls)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_removed
 FROM d LEFT JOIN per USING (doc_id) LEFT JOIN cut USING (doc_id)
 """
 
+OP12 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 4], ' ') AS g
+  FROM d, unnest(range(0, greatest(len(w) - 3, CASE WHEN len(w) > 0 THEN 1 ELSE 0 END))) AS t(i)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM pairs JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id
+  WHERE 100 * shared >= 85 * (a.n + b.n - shared)
+), edges AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM d
+  UNION SELECT r.doc_id, e.y FROM reached r JOIN edges e ON r.other = e.x
+)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reached USING (doc_id) GROUP BY d.doc_id
+"""
+
 ORACLE: dict[str, str] = {
     "op3_warc_transactions": OP3, "op4_word_windows": OP4, "op8_bwt_byte_dedup": OP8, "op9_top_k": OP9,
-    "op10_line_runs": OP10,
+    "op10_line_runs": OP10, "op12_ngram_join": OP12,
 }
