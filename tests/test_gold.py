@@ -163,7 +163,10 @@ def test_bootstrap_creates_tables_once_and_serves_path_writes(spark):
 
 
 def test_layouts():
-    assert "PARTITIONED BY (kafka_topic)" in table_statement(ALL_TABLES[0])
+    assert "PARTITIONED BY (kafka_topic, ingest_day, batch)" in table_statement(ALL_TABLES[0])
+    text = table_statement(SILVER, fmt="delta", properties={"a.b": "it's"})
+    assert "business_id string NOT NULL" in text and "event_id string," in text and "TBLPROPERTIES ('a.b' = " in text
+    assert "NOT NULL" not in table_statement(SILVER)
     text = table_statement(SILVER, "cat", "delta", properties={"a": "b"})
     assert text.startswith("CREATE TABLE IF NOT EXISTS cat.silver.business_events (")
     assert "USING delta" in text and "TBLPROPERTIES ('a' = 'b')" in text
