@@ -21,6 +21,7 @@ taken whole, a very long one is a chunk of its own.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,24 +42,43 @@ PARTS = 32  # of a bucket, by anchor, taken one after the other: a small text is
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of ``text`` (values below 512) in the order of their first ``depth`` symbols at least."""
+    """Suffixes of ``text`` (values below 512) in the order of their first ``depth`` symbols at least.
+
+    After the first sort only suffixes with an equal one are sorted again, by the ranks of what follows: a rank is the
+    place of the first suffix that begins alike.
+    """
     n = len(text)
     padded = np.concatenate([text.astype(np.uint64), np.zeros(_SYMBOLS, np.uint64)])
     key = np.zeros(n, np.uint64)
     for i in range(_SYMBOLS):
         key = (key << np.uint64(9)) | padded[i : i + n]
-    known = _SYMBOLS
-    while True:
-        order = np.argsort(key)
+    order, known = np.argsort(key), _SYMBOLS
+    if known >= depth or not n:
+        return order
+    first = np.ones(n + 1, bool)
+    first[1:n] = key[order[1:]] != key[order[:-1]]
+    bits = np.uint64((n + 1).bit_length())
+    ahead = 2 if 3 * int(bits) <= 64 else 1  # ranks that fit beside a suffix's own
+    # Beyond the end: less than all ranks.
+    rank = np.zeros(n + 1 + depth, np.uint64)
+    at = np.flatnonzero(~(first[:-1] & first[1:]))
+    rank[order] = np.maximum.accumulate(np.where(first[:-1], np.arange(n, dtype=np.int64), 0)).astype(np.uint64) + np.uint64(1)
+    while len(at):
+        some = order[at]
+        key = rank[some]
+        for k in range(1, ahead + 1):
+            key = (key << bits) | rank[np.minimum(some + k * known, n)]
+        new = np.argsort(key)
+        some, key = some[new], key[new]
+        order[at] = some
+        known *= ahead + 1
+        changed = np.ones(len(at) + 1, bool)
+        changed[1:-1] = key[1:] != key[:-1]
         if known >= depth:
-            return order
-        rank = np.zeros(n, np.uint64)
-        rank[order[1:]] = np.cumsum(key[order[1:]] != key[order[:-1]])
-        rank += np.uint64(1)
-        ahead = np.zeros(n, np.uint64)
-        ahead[: max(0, n - known)] = rank[known:]
-        key = rank * np.uint64(n + 2) + ahead
-        known *= 2
+            break
+        rank[some] = np.maximum.accumulate(np.where(changed[:-1], at, 0)).astype(np.uint64) + np.uint64(1)
+        at = at[~(changed[:-1] & changed[1:])]
+    return order
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
@@ -66,7 +86,9 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
 
     Two suffixes at ``k - 1`` and ``k`` that begin with the same byte are backward extensions, by that byte
     of the transform, of the suffixes at ``low`` and ``high``. Their value is one more than the smallest between
-    those, so it is found in the round after the first boundary there was: breadth first, by value.
+    those, so it is found in the round after the first boundary there was: breadth first, by value. Where ``low``
+    and ``high`` are neighbours, as in most places of a repetitive text, there is one boundary to wait for, and the place is
+    kept in its list; the others are looked at in every round.
     """
     n = len(text)
     value = np.full(n, most, np.int16)
@@ -75,27 +97,32 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     place = np.zeros(n + 1, np.int32)
     place[order] = np.arange(n, dtype=np.int32)
     place[n] = -1  # the empty suffix comes before all
-    one, two = order[:-1], order[1:]
-    first_same = text[one] == text[two]
-    boundary = np.zeros(n, bool)
-    boundary[0] = True
-    boundary[1:][~first_same] = True
-    value[boundary] = 0
+    first_same = text[order[:-1]] == text[order[1:]]
+    new = np.concatenate([[0], np.flatnonzero(~first_same) + 1])
+    value[new] = 0
     open_ = np.flatnonzero(first_same) + 1
     i, j = place[order[open_ - 1] + 1], place[order[open_] + 1]
     low, high = np.minimum(i, j), np.maximum(i, j)
-    for level in range(most):
-        if not len(open_):
+    single = high - low == 1
+    waits = high[single]
+    waiting = open_[single][np.argsort(waits, kind="stable")]
+    until = np.zeros(n + 1, np.int64)
+    np.cumsum(np.bincount(waits, minlength=n), out=until[1:])
+    open_, low, high = open_[~single], low[~single] + 1, high[~single] + 1
+    marked, passed = np.zeros(n + 1, bool), np.zeros(n + 1, np.int32)
+    for level in range(1, most):
+        begin, count = until[new], until[new + 1] - until[new]
+        told = waiting[_ranges(begin, count)]
+        marked[:] = False
+        marked[new + 1] = True
+        np.cumsum(marked, dtype=np.int32, out=passed)
+        found = passed[high] != passed[low]
+        new = np.concatenate([told, open_[found]])
+        if not len(new):
             break
-        passed = np.cumsum(boundary, dtype=np.int32)
-        upto = passed[high] - np.where(low >= 0, passed[low], 0)
-        found = upto > 0
-        if not found.any() and level:
-            break
-        now = open_[found]
-        value[now] = level + 1
-        boundary[now] = level + 1 < most
-        open_, low, high = open_[~found], low[~found], high[~found]
+        value[new] = level
+        if found.any():
+            open_, low, high = open_[~found], low[~found], high[~found]
     return value
 
 
@@ -199,11 +226,22 @@ def _stretch_cells(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
             parts = (part[i].tobytes(), sizes[i].astype(np.uint32).tobytes())
             return squeeze(joined), steps.tobytes(), b"".join(parts)
 
-        yield ck.cells(chunk.name, ck.bucket_of(tx.mix(key[first]), buckets), buckets, rows)
+        bucket = ck.bucket_of(tx.mix(key[first]), buckets)
+        yield ck.cells(chunk.name, bucket, buckets, rows)
+        # The places themselves come back with the answers, so that they are found once.
+        places = np.concatenate([[len(start)], start, count, same, bucket.astype(np.int64)])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([buckets + zlib.crc32(chunk.name.encode()) % buckets], pa.int32()), pa.array([chunk.name]),
+             pa.array([squeeze(np.diff(places, prepend=0).tobytes())], pa.binary()), pa.array([None], pa.binary()),
+             pa.array([None], pa.binary())],
+            ["bucket", "chunk", "entries", "docs", "extra"],
+        )
 
 
 def _decide(rows: list[dict], length: int) -> list[np.ndarray]:
-    """For a bucket of cells: one bit per window of each stretch, whether a smaller doc has it."""
+    """For a bucket of cells: one bit per window of each stretch, whether a smaller doc has it. Places come back as they are."""
+    if rows[0]["docs"] is None:
+        return [np.unpackbits(np.frombuffer(r["entries"], np.uint8)) for r in rows]
     expand = zstandard.ZstdDecompressor().decompress
     texts, docs, parts, cuts = [], [], [], [0]
     for r in rows:
@@ -237,14 +275,22 @@ def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(count.sum()) + np.repeat(start - (np.cumsum(count) - count), count)
 
 
+def _places(answers: dict[int, bytes], buckets: int) -> tuple[np.ndarray, ...]:
+    """Start, number of windows and first equal stretch of each stretch, and the bucket of each first one."""
+    (packed,) = [a for bucket, a in answers.items() if bucket >= buckets]
+    all_ = np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.int64))
+    n = int(all_[0])
+    return all_[1 : n + 1], all_[n + 1 : 2 * n + 1], all_[2 * n + 1 : 3 * n + 1], all_[3 * n + 1 :]
+
+
 def _results(batches: Iterator[pa.RecordBatch], length: int, buckets: int, texts: bool) -> Iterator[pa.RecordBatch]:
     for chunk in ck.unpacked(batches):
-        start, count, key, same, _ = _Stretches(chunk, length).stretches(chunk.answers[0], buckets)
+        start, count, same, bucket = _places(chunk.answers[0], buckets)
         n = len(chunk.data)
         gone = np.zeros(n, bool)
         first = np.flatnonzero(same == np.arange(len(same)))
         if len(first):
-            bits, at = ck.read_answers(chunk.answers[1], ck.bucket_of(tx.mix(key[first]), buckets), buckets, count[first])
+            bits, at = ck.read_answers(chunk.answers[0], bucket, buckets, count[first])
             gone[_ranges(start[first], count[first])] = bits[_ranges(at, count[first])]
             doc = chunk.order_ids[chunk.doc(start)]
             again = np.flatnonzero(same != np.arange(len(same)))
@@ -286,6 +332,6 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, texts: bool = T
         lambda rows: _decide(rows, length), f"{root}/stretches",
     )
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return ck.with_answers(chunks, anchors, stretches).mapInArrow(
+    return ck.with_answers(chunks, stretches).mapInArrow(
         lambda b: _results(b, length, buckets, texts), schema + ", kept_bytes binary" * texts
     )
