@@ -57,6 +57,100 @@ def test_the_cutoff_that_gains_most():
     assert quality.best_cutoff([0], [9], 50, 50, 0.01, 0.001) is None
 
 
+def test_path_takes_what_catches_most_for_least():
+    counts = {"a": ([0, 5, 0, 0, 0, 0], [0, 1, 0, 0, 0, 9]), "b": ([0, 0, 8, 1], [0, 0, 0, 6]), "c": ([0, 0], [3, 3])}
+    path = quality.draw_path(counts, 10, 20)
+    # b's first pool, then a's with half of the untouched steps behind it, then what is left of b; never c.
+    assert path == [("b", 0, 0), ("b", 1, 1), ("b", 2, 1), ("a", 0, 2), ("a", 1, 3), ("a", 2, 3), ("b", 3, 4)]
+    assert quality.draw_path({"a": ([0, 0], [1, 0])}, 0, 1) == []
+
+
+def _brute_cutoffs(docs, labels, risk=0.02, error=0.05):
+    """Cutoffs of one stratum, in plain Python: the path from bad and unlabelled rows, the walk on good ones."""
+    told = dict(labels)
+    rows = {"good": [], "bad": [], "other": []}
+    for i, text in docs:
+        words, chars, symbols, dups, repeats = _measures(text)
+        if words < 10 or 100 * repeats > 20 * words:
+            continue
+        lines = len([x for x in text.split("\n") if _WORD.search(x)])
+        odd = sum(not re.search("[A-Za-z]|[^\x00-\x7f]", w) for w in _WORD.findall(text))
+        values = {"symbols": symbols / words, "odd_words": odd / words, "repeats": repeats / words,
+                  "dup_lines": dups / lines, "long_words": chars / words}
+        rows[{None: "other", 0: "bad", 1: "good"}[told.get(i)]].append(values)
+    rejects = lambda r, step, v: v[r.name] > r.grid[step]
+    counts = {}
+    for r in quality.RULES:
+        upto = [[sum(rejects(r, s, v) for v in rows[kind]) for s in range(len(r.grid))] for kind in ("bad", "other")]
+        counts[r.name] = tuple([x - y for x, y in zip(u, [0, *u], strict=False)] for u in upto)
+    path = quality.draw_path(counts, len(rows["bad"]), len(rows["other"]))
+    rules, now, lost, caught, vectors = {r.name: r for r in quality.RULES}, {}, [], [], []
+    for at in range(path[-1][2] + 1 if path else 0):
+        now = {**now, **{name: step for name, step, place in path if place == at}}
+        hit = {k: sum(any(rejects(rules[n], s, v) for n, s in now.items()) for v in rows[k]) for k in ("good", "bad")}
+        n, k = len(rows["good"]), hit["good"]
+        tail = sum(math.comb(n, j) * Fraction(risk) ** j * (1 - Fraction(risk)) ** (n - j) for j in range(k + 1))
+        if k > n * risk or tail > error:
+            break
+        lost.append(k / n)
+        caught.append(hit["bad"] / max(1, len(rows["bad"])))
+        vectors.append(now)
+    gain = [c - x for c, x in zip(caught, lost, strict=True)]
+    if not gain or max(gain) <= 0:
+        return {}
+    equal = [i for i, g in enumerate(gain) if abs(g - max(gain)) < 1e-12]
+    return {n: (s, rules[n].grid[s]) for n, s in vectors[equal[len(equal) // 2]].items()}
+
+
+def _noisy(seed, n, first=0):
+    """Good and bad texts that overlap, of one stratum; a third has no label."""
+    rng, rows, labels = random.Random(seed), [], []
+    for i in range(first, first + n):
+        bad = rng.random() < 0.2
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(40)]
+        for k in range(rng.choice([4, 9, 14]) if bad and rng.random() < 0.8 else rng.choice([0] * 12 + [1, 2])):
+            words[k] = rng.choice(["#", "%%", "||"])
+        text = "\n".join(" ".join(words[k : k + 8]) for k in range(0, 40, 8))
+        if bad and rng.random() < 0.5:
+            text += "\n" + "\n".join([words[-1]] * 3)
+        rows.append((i, text, bad))
+        if rng.random() < 0.66:
+            labels.append((i, 0 if bad else 1))
+    return rows, labels
+
+
+def test_cutoffs_against_brute_force(spark):
+    rows, labels = _noisy(3, 700)
+    docs = spark.createDataFrame([(i, t, "en") for i, t, _ in rows], "doc_id long, text string, stratum string")
+    measures = quality.text_measures(docs, "doc_id", "stratum")
+    got = {r.rule: (r.step, r.cutoff) for r in quality.choose_cutoffs(measures, spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    want = _brute_cutoffs([(i, t) for i, t, _ in rows], labels)
+    assert got == want and "symbols" in got
+
+
+def test_three_hundred_good_labels_suffice_and_little_is_lost(spark):
+    """Sixteen strata with their own labels: rules take effect, and unseen good documents are kept."""
+    rows, labels = [], []
+    for s in range(16):
+        own, told = _noisy(100 + s, 700, first=s * 10_000)
+        rows += [(i, t, f"s{s}", bad) for i, t, bad in own]
+        labels += told
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, bad boolean")
+    seen = {i for i, _ in labels}
+    lost, total, caught, junk = Counter(), Counter(), 0, 0
+    strata = {i: (s, bad) for i, _, s, bad in rows}
+    cut = quality.quality_verdicts(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    for r in cut.collect():
+        s, bad = strata[r.doc_id]
+        if bad:
+            junk, caught = junk + 1, caught + (not r.kept)
+        elif r.doc_id not in seen:
+            total[s] += 1
+            lost[s] += not r.kept
+    assert 0.3 * junk < caught
+    assert sum(lost.values()) <= 0.02 * sum(total.values())
+
+
 def _corpus(n=14_000):
     rng = random.Random(5)
     rows, labels = [], []

@@ -1,14 +1,17 @@
 """Quality rules whose cutoffs are set by the risk of rejecting good documents.
 
 ``text_measures`` counts, over whole texts, what the rules look at. ``choose_cutoffs`` uses
-labelled documents as a holdout: for each rule and stratum it walks a fixed grid of cutoffs from
-the loosest inward and takes a step only while an exact binomial (Clopper-Pearson) bound shows
-that at most the rule's share of ``max_false_reject`` of the good documents would be rejected.
-The walk is a fixed-sequence test, so steps need no correction among themselves; rules and strata
-are corrected by Bonferroni. Thus, with probability ``1 - error``, no stratum loses more than
-``max_false_reject`` of its good documents to all rules together. Among the safe cutoffs that one is
-taken that catches most bad documents beyond the rules before it for what it costs; a rule that gains
-nothing is not used. A stratum with too few labels gets no cutoff: its documents meet the base rules only.
+labelled documents as a holdout. All rules of a stratum are judged together, along one path of cutoff
+vectors, from rejecting nothing to rejecting much. ``draw_path`` orders the path's steps, each of which
+tightens one rule, by how many of the labelled bad documents a step catches for what it takes of the
+documents without a label. The labelled good documents have no part in that, so for them the path is fixed
+in advance: the walk along it is a fixed-sequence test. It goes on while an exact binomial
+(Clopper-Pearson) bound shows that all rules together reject at most ``max_false_reject`` of the good
+documents; its steps need no correction among themselves, strata are corrected by Bonferroni. Thus, with
+probability ``1 - error``, no stratum loses more than ``max_false_reject`` of its good documents. With four
+strata and 2 %, 217 good labels without a false rejection suffice. Among the safe steps that one is taken
+that gains most. A rule that gains nothing is not used. A stratum with too few labels gets no cutoff: its
+documents meet the base rules only.
 
 Edge cases: a null text is an empty one (no words, base rule fails); a null stratum is the
 stratum ``""``; repeated documents are judged row by row and calibrate once; a document labelled
@@ -21,7 +24,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -120,16 +122,18 @@ def base_failed() -> Column:
 
 
 def binomial_at_most(k: int, n: int, p: float) -> float:
-    """P(X <= k) for X binomial(n, p), summed exactly term by term."""
+    """P(X <= k) for X binomial(n, p): the terms from k down, until they vanish."""
     if k >= n:
         return 1.0
-    logs = [
-        math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1)
-        + i * math.log(p) + (n - i) * math.log1p(-p)
-        for i in range(k + 1)
-    ]
-    top = max(logs)
-    return min(1.0, math.exp(top) * math.fsum(math.exp(x - top) for x in logs))
+    if k > n * p:  # terms would grow at first; the other tail's shrink
+        return 1.0 - binomial_at_most(n - k - 1, n, 1.0 - p)
+    top = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
+    total, term, i = 1.0, 1.0, k
+    while i > 0 and term > total * 1e-18:
+        term *= i * (1.0 - p) / ((n - i + 1) * p)
+        total += term
+        i -= 1
+    return min(1.0, math.exp(top) * total)
 
 
 def safe_cutoff(rejected: list[int], n: int, risk: float, error: float) -> int | None:
@@ -147,19 +151,22 @@ def safe_cutoff(rejected: list[int], n: int, risk: float, error: float) -> int |
 
 
 def _grid_index(rule: Rule) -> Column:
-    """The first grid step that rejects the row, or null."""
+    """The first grid step that rejects the row; the grid's length if none does."""
     grid = F.array(*[F.lit(float(x)) for x in rule.grid])
     value = F.expr(rule.value).cast("double")
-    # The grid is even, but a scan of it is exact for any grid.
-    hit = F.filter(F.sequence(F.lit(0), F.lit(len(rule.grid) - 1)),
-                   lambda i: value > grid[i] if rule.over else value < grid[i])
-    return F.try_element_at(hit, F.lit(1))
+    return F.size(F.filter(grid, lambda g: value <= g if rule.over else value >= g))
+
+
+def _by_rule(rows: DataFrame, *keep: str) -> DataFrame:
+    """One row for each row and rule: ``keep``, rule, step."""
+    each = [F.struct(F.lit(r.name).alias("rule"), _grid_index(r).alias("step")) for r in RULES]
+    return rows.select(*keep, F.explode(F.array(*each)).alias("s")).select(*keep, "s.rule", "s.step")
 
 
 def best_cutoff(good: list[int], bad: list[int], n_good: int, n_bad: int, risk: float, error: float) -> int | None:
     """The safe grid step that gains most: share of bad documents caught less share of good ones lost.
 
-    ``good[i]`` and ``bad[i]`` count what step i rejects, of ``bad`` only what no earlier rule caught. Any
+    ``good[i]`` and ``bad[i]`` count what is rejected up to step i. Any
     choice among safe steps is safe. Of equal steps the middle one is taken, far from both sides.
     """
     last = safe_cutoff(good, n_good, risk, error)
@@ -172,19 +179,70 @@ def best_cutoff(good: list[int], bad: list[int], n_good: int, n_bad: int, risk:
     return equal[len(equal) // 2]
 
 
-def _picker(rule: Rule, risk: float, error: float):
-    """From a stratum's histogram over the rule's grid to its cutoff, if any."""
+def draw_path(counts: dict[str, tuple[list[int], list[int]]], n_bad: int, n_other: int) -> list[tuple[str, int, int]]:
+    """(rule, grid step, place on the path), in the order in which steps are worth most.
+
+    ``counts`` has, for each rule, how many bad and how many other documents each grid step is the first to
+    reject. Successive steps of a rule are pooled until what they catch per document taken falls from pool to pool;
+    the pools of all rules are merged by that ratio, which keeps each rule's own order. Pools that catch
+    nothing are left out. Of steps that touch no document the first half shares the place before them and the
+    others the place behind them, if that is of the same pool: cutoffs lie in the middle of gaps.
+    """
+    pools = []
+    for number, (name, (bad, other)) in enumerate(counts.items()):
+        own: list[list] = []  # steps with the gaps behind them, bad, other
+        step = 0
+        while step < len(bad):
+            end = step + 1
+            while end < len(bad) and not bad[end] and not other[end]:
+                end += 1
+            own.append([[(step, end)], bad[step], other[step]])
+            while len(own) > 1 and _worth(own[-2], n_bad, n_other) <= _worth(own[-1], n_bad, n_other):
+                last = own.pop()
+                own[-1] = [x + y for x, y in zip(own[-1], last, strict=True)]
+            step = end
+        pools += [(-_worth(pool, n_bad, n_other), number, pool[0], name) for pool in own if pool[1]]
+    path, at = [], 0
+    for _, _, steps, name in sorted(pools):
+        begin = steps[0][0]
+        for step, end in steps:
+            middle = step + 1 + (end - step - 1) // 2
+            path += [(name, i, at) for i in range(begin, middle)]
+            begin, at = middle, at + 1
+    return path
+
+
+def _worth(pool: list, n_bad: int, n_other: int) -> float:
+    return pool[1] / max(1, n_bad) * (n_other + 1) / (pool[2] + 0.5)
+
+
+def _paths(group: pd.DataFrame) -> pd.DataFrame:
+    """From a stratum's histograms over the grids to its path."""
+    counts, n_bad, n_other = {}, 0, 0
+    for rule in RULES:
+        own = group[group["rule"] == rule.name]
+        n_bad, n_other = int(own["bad"].sum()), int(own["other"].sum())
+        bad, other = (np.zeros(len(rule.grid) + 1, np.int64) for _ in range(2))
+        np.add.at(bad, own["step"].to_numpy(), own["bad"].to_numpy())
+        np.add.at(other, own["step"].to_numpy(), own["other"].to_numpy())
+        counts[rule.name] = bad[:-1].tolist(), other[:-1].tolist()
+    found = [(group["stratum"].iloc[0], *step) for step in draw_path(counts, n_bad, n_other)]
+    return pd.DataFrame(found, columns=["stratum", "rule", "step", "at"])
+
+
+def _picker(risk: float, error: float):
+    """From a stratum's histogram over its path to the last step taken, if any."""
 
     def pick(group: pd.DataFrame) -> pd.DataFrame:
-        good, bad = (np.zeros(len(rule.grid), np.int64) for _ in range(2))
-        hit = group[group["first"].notna()]
-        at = hit["first"].astype(int).to_numpy()
+        hit = group[group["at"].notna()]
+        at = hit["at"].astype(int).to_numpy()
+        good, bad = (np.zeros(at.max(initial=-1) + 1, np.int64) for _ in range(2))
         np.add.at(good, at, hit["good"].to_numpy())
-        np.add.at(bad, at, hit["new_bad"].to_numpy())
+        np.add.at(bad, at, hit["bad"].to_numpy())
         step = best_cutoff(list(np.cumsum(good)), list(np.cumsum(bad)), int(group["good"].sum()),
                            int(group["bad"].sum()), risk, error)
-        found = [] if step is None else [(group["stratum"].iloc[0], rule.name, step, rule.grid[step])]
-        return pd.DataFrame(found, columns=["stratum", "rule", "step", "cutoff"])
+        found = [] if step is None else [(group["stratum"].iloc[0], step)]
+        return pd.DataFrame(found, columns=["stratum", "upto"])
 
     return pick
 
@@ -195,38 +253,41 @@ def choose_cutoffs(
     """(stratum, rule, step, cutoff) for each rule that is of use in a stratum.
 
     ``measures`` has doc_id, stratum and MEASURES; ``labels`` has doc_id and quality (1: good).
-    Counts cover every labelled document; what is grouped in one task is one histogram per
-    stratum, of at most as many rows as the rule's grid.
+    Counts cover every document that passes the base rules; what is grouped in one task is one histogram
+    per stratum, of at most as many rows as the rules' grids have steps.
     """
     spark = measures.sparkSession
     root = workspace(spark, "quality")
     told = (labels.groupBy("doc_id").agg(F.min("quality").alias("label"))
             .filter("label IS NOT NULL AND doc_id IS NOT NULL"))
-    (measures.filter(~base_failed()).join(told, "doc_id")
-     .groupBy("doc_id", "stratum", "label").agg(*[F.min(m).alias(m) for m in MEASURES])
-     .select("stratum", (F.col("label") == 1).alias("good"), *[_grid_index(r).alias(r.name) for r in RULES])
-     .write.parquet(f"{root}/held"))
+    passed = measures.filter(~base_failed())
+    held = passed.join(told, "doc_id").groupBy(
+        "doc_id", "stratum", (F.col("label") == 1).alias("good")
+    ).agg(*[F.min(m).alias(m) for m in MEASURES])
+    _by_rule(held, "doc_id", "stratum", "good").write.parquet(f"{root}/held")
     held = spark.read.parquet(f"{root}/held")
-    strata = max(1, held.select("stratum").distinct().count())
-    risk, share = max_false_reject / len(RULES), error / len(RULES) / strata
-    chosen: list[DataFrame] = []
-    for rule in RULES:
-        rows = held.withColumn("caught", F.lit(False))
-        for before, cut in zip(RULES, chosen, strict=False):
-            rows = rows.join(cut.select("stratum", "step"), "stratum", "left").withColumn(
-                "caught", F.col("caught") | F.coalesce(F.col(before.name) <= F.col("step"), F.lit(False))
-            ).drop("step")
-        counts = rows.groupBy("stratum", F.col(rule.name).alias("first")).agg(
-            F.count_if("good").alias("good"), F.count_if(~F.col("good") & ~F.col("caught")).alias("new_bad"),
-            F.count_if(~F.col("good")).alias("bad"),
-        )
+    other = _by_rule(passed.join(told, "doc_id", "left_anti"), "stratum")
+    histogram = (
+        other.select("*", F.lit(0).alias("b"), F.lit(1).alias("o"))
+        .union(held.filter("NOT good").select("stratum", "rule", "step", F.lit(1), F.lit(0)))
+        .groupBy("stratum", "rule", "step").agg(F.sum("b").alias("bad"), F.sum("o").alias("other"))
+    )
+    shape = "stratum string, rule string, step int, at int"
+    histogram.groupBy("stratum").applyInPandas(_paths, shape).write.parquet(f"{root}/path")
+    path = spark.read.parquet(f"{root}/path")
 
-        path = f"{root}/cut_{rule.name}"
-        counts.groupBy("stratum").applyInPandas(
-            _picker(rule, risk, share), "stratum string, rule string, step int, cutoff double"
-        ).write.parquet(path)
-        chosen.append(spark.read.schema("stratum string, rule string, step int, cutoff double").parquet(path))
-    return reduce(DataFrame.union, chosen)
+    strata = max(1, held.select("stratum").distinct().count())
+    first = (held.join(path, ["stratum", "rule", "step"], "left")
+             .groupBy("doc_id", "stratum", "good").agg(F.min("at").alias("at")))
+    counts = first.groupBy("stratum", "at").agg(
+        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")
+    )
+    ends = counts.groupBy("stratum").applyInPandas(_picker(max_false_reject, error / strata), "stratum string, upto int")
+    grids = F.create_map(*[c for r in RULES for c in (F.lit(r.name), F.array(*[F.lit(x) for x in r.grid]))])
+    (path.join(ends, "stratum").filter("at <= upto").groupBy("stratum", "rule").agg(F.max("step").alias("step"))
+     .select("stratum", "rule", "step", F.get(grids[F.col("rule")], F.col("step")).alias("cutoff"))
+     .write.parquet(f"{root}/cutoffs"))
+    return spark.read.parquet(f"{root}/cutoffs")
 
 
 def apply_rules(measures: DataFrame, cutoffs: DataFrame) -> DataFrame:
