@@ -235,3 +235,67 @@ def test_mixing(spark, monkeypatch):
     again = mixing.mix(docs.repartition(9), levels, weights, budget_share=0.9, max_epochs=3)
     assert Counter((r.doc_id, r.mix_epoch) for r in again.collect()) == Counter((r.doc_id, r.mix_epoch) for r in got.collect())
     assert mixing.mix(docs.limit(0), levels, weights).count() == 0
+
+
+def _brute_budgets(supply, weights, total, epochs):
+    """Budgets by many small drops, each poured down the tree past what is full: siblings first, then ancestors."""
+    from fractions import Fraction as Q
+
+    def pour(node, amount):
+        """Fill the subtree; siblings share by weight, round after round, until all are full or nothing is left."""
+        if node in supply:
+            given[node] = min(amount, Q(supply[node] * epochs))
+            return
+        below = sorted({leaf[: len(node) + 1] for leaf in supply if leaf[: len(node)] == node and len(leaf) > len(node)})
+        room = {c: Q(sum(n for leaf, n in supply.items() if leaf[: len(c)] == c) * epochs) for c in below}
+        part = dict.fromkeys(below, Q(0))
+        left = min(amount, sum(room.values()))
+        while left > 0:
+            thirsty = [c for c in below if part[c] < room[c] and weights.get(c, 1) > 0]
+            if not thirsty:
+                break
+            weight = {c: Q(weights.get(c, 1)) for c in thirsty}
+            # The largest level at which no one overflows, then again among those with room.
+            level = min(min((room[c] - part[c]) / weight[c] for c in thirsty), left / sum(weight.values()))
+            for c in thirsty:
+                part[c] += level * weight[c]
+            left -= level * sum(weight.values())
+        for c in below:
+            pour(c, part[c])
+
+    given = {}
+    pour((), Q(total))
+    return {leaf: int(x + Q(1, 10**6)) for leaf, x in given.items()}
+
+
+def test_mixing_takes_exactly_the_prefix(spark, monkeypatch):
+    """Each leaf's copies, one by one: budgets by pouring, prefixes by sorting the leaf."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 50)
+    rng = random.Random(21)
+    rows = [(i, f"t{rng.randint(0, 10**6)} " + " ".join(["w"] * rng.randint(0, 9)), "en" if rng.random() < 0.7 else "de",
+             "hot" if rng.random() < 0.5 else f"s{i % 3}") for i in range(900)]
+    rows += [rows[5]] * 40 + [(7, None, "en", "hot"), (7, "", "en", "hot"), (None, "one two three", "de", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)
+    weights = {("en",): 1.0, ("de",): 3.0, ("en", "hot"): 2.0}
+    levels = {"lang": F.col("lang"), "source": F.col("source")}
+    got = Counter((r.doc_id, r.text, r.mix_epoch) for r in mixing.mix(docs, levels, weights, 0.8, 2, seed=4).collect())
+    keyed = docs.select("doc_id", "text", F.array(F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))).alias("path"),
+                        *[F.xxhash64(F.lit(4), F.lit(e), F.col("doc_id"), F.xxhash64("text")).alias(f"key{e}") for e in range(3)]).collect()
+    supply = Counter()
+    for r in keyed:
+        supply[tuple(r.path)] += len((r.text or "").split())
+    given = _brute_budgets(supply, weights, 0.8 * sum(supply.values()), 2)
+    want = Counter()
+    for leaf, budget in given.items():
+        own = [r for r in keyed if tuple(r.path) == leaf]
+        whole, rest = divmod(budget, supply[leaf]) if supply[leaf] else (0, 0)
+        for r in own:
+            want.update((r.doc_id, r.text, e) for e in range(whole))
+        keys, spent = sorted({r[f"key{whole}"] for r in own}), 0
+        for key in keys if rest else []:
+            equal = [r for r in own if r[f"key{whole}"] == key]
+            spent += sum(len((r.text or "").split()) for r in equal)
+            if spent > rest:
+                break
+            want.update((r.doc_id, r.text, whole) for r in equal)
+    assert got == want and len(set(given.values())) > 2

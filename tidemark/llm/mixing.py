@@ -7,8 +7,9 @@ all children of a node are full. A leaf's budget is spent in epochs: whole ones,
 one more, in the order of a hash of seed, epoch and document.
 
 The prefix of a leaf is found without sorting it: its hash range is cut into buckets of a bounded
-number of rows, bucket totals tell which bucket holds the end, and only that bucket's rows are
-ordered. The result is one cutoff per leaf, with which a scan of the documents is filtered. Only
+number of rows and those into parts. Bucket totals tell which bucket holds the end, the totals of its parts
+which part does, and only the keys of that part are ordered, with one total per key. All totals are combined
+before they are shuffled, so a hot leaf sends as many rows as a small one. The result is one cutoff per leaf, with which a scan of the documents is filtered. Only
 leaf totals reach the driver, one row per leaf of the configured tree; more than ``MAX_LEAVES`` raise.
 
 Edge cases: a null level is the name ``""``; a null or empty text has no tokens and comes along in each
@@ -32,6 +33,7 @@ from tidemark.session import workspace
 MAX_LEAVES = 200_000
 BROADCAST_LEAVES = 20_000  # a plan of at most so many rows is broadcast, a larger one is joined
 BUCKET_ROWS = 20_000
+PARTS = 256  # of a bucket
 Path = tuple[str, ...]
 
 
@@ -89,10 +91,10 @@ def _order_key(seed: int, epoch: Column, doc_id: Column, tie: Column) -> Column:
     return F.xxhash64(F.lit(seed), epoch, doc_id, tie)
 
 
-def _bucket(key: Column, buckets: Column) -> Column:
-    """Buckets in the order of the key, of equal ranges."""
-    part = F.shiftrightunsigned(key.bitwiseXOR(F.lit(-(2**63))), 1).cast("double") / F.lit(2.0**63)
-    return F.least((part * buckets).cast("int"), buckets - 1)
+def _part(key: Column, parts: Column) -> Column:
+    """Parts in the order of the key, of equal ranges."""
+    place = F.shiftrightunsigned(key.bitwiseXOR(F.lit(-(2**63))), 1).cast("double") / F.lit(2.0**63)
+    return F.least((place * parts).cast("long"), parts - 1)
 
 
 def mix(
@@ -136,29 +138,43 @@ def mix(
     def placed(df: DataFrame) -> DataFrame:
         """With each row's place in its leaf's next epoch."""
         key = _order_key(seed, F.col("whole"), F.col("doc_id"), F.col("tie"))
-        return df.withColumn("key", key).withColumn("bucket", _bucket(F.col("key"), F.col("buckets")))
-
-    within = placed(sizes.join(small(plan.filter("rest > 0")), "mix_path"))
-    up_to = Window.partitionBy("mix_path").orderBy("bucket")
-    ends = (
-        within.groupBy("mix_path", "bucket", "rest").agg(F.sum("tokens").alias("tokens"))
-        .withColumn("upto", F.sum("tokens").over(up_to))
-        .filter("upto > rest AND upto - tokens <= rest")
-        .select("mix_path", F.col("bucket").alias("cut_bucket"), (F.col("upto") - F.col("tokens")).alias("before"))
+        return df.withColumn("key", key).withColumn("part", _part(F.col("key"), F.col("buckets") * F.lit(PARTS)))
+
+    def end(of: DataFrame, unit: str) -> DataFrame:
+        """The unit of each leaf in which its budget ends, and what is spent before it."""
+        upto = F.col("before") + F.sum("tokens").over(Window.partitionBy("mix_path").orderBy(unit))
+        return (
+            of.groupBy("mix_path", unit, "rest", "before").agg(F.sum("tokens").alias("tokens")).withColumn("upto", upto)
+            .filter("upto > rest AND upto - tokens <= rest")
+            .select("mix_path", F.col(unit).alias(f"cut_{unit}"), (F.col("upto") - F.col("tokens")).alias("spent"))
+        )
+
+    def inside(ends: DataFrame, unit: str) -> DataFrame:
+        """The rows in the units found."""
+        return (
+            within.drop("before").join(small(ends.withColumn(unit, F.col(f"cut_{unit}"))), ["mix_path", unit])
+            .withColumnRenamed("spent", "before")
+        )
+
+    within = (
+        placed(sizes.join(small(plan.filter("rest > 0")), "mix_path"))
+        .withColumn("bucket", F.expr(f"part DIV {PARTS}")).withColumn("before", F.lit(0).cast("long"))
     )
-    in_order = Window.partitionBy("mix_path").orderBy("key").rangeBetween(Window.unboundedPreceding, 0)
+    part_ends = end(inside(end(within, "bucket"), "bucket"), "part")
+    in_order = Window.partitionBy("mix_path").orderBy("key")
     cuts = (
-        within.join(small(ends.withColumn("bucket", F.col("cut_bucket"))), ["mix_path", "bucket"])
+        inside(part_ends, "part").groupBy("mix_path", "cut_part", "rest", "before", "key")
+        .agg(F.sum("tokens").alias("tokens"))
         .withColumn("upto", F.col("before") + F.sum("tokens").over(in_order))
-        .groupBy("mix_path", "cut_bucket")
+        .groupBy("mix_path", "cut_part")
         .agg(F.max(F.when(F.col("upto") <= F.col("rest"), F.col("key"))).alias("cut_key"))
     )
     plan.join(cuts, "mix_path", "left").write.parquet(f"{root}/plan")
     rows_with_plan = docs.select(
         F.struct(*docs.columns).alias("doc"), "doc_id", path.alias("mix_path"), tie.alias("tie")
     ).join(small(spark.read.parquet(f"{root}/plan")), "mix_path")
-    taken = (F.col("bucket") < F.col("cut_bucket")) | (
-        (F.col("bucket") == F.col("cut_bucket")) & (F.col("key") <= F.col("cut_key"))
+    taken = (F.col("part") < F.col("cut_part")) | (
+        (F.col("part") == F.col("cut_part")) & (F.col("key") <= F.col("cut_key"))
     )
     copies = F.col("whole") + F.coalesce(taken, F.lit(False)).cast("int")
     return (
