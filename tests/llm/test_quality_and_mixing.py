@@ -151,6 +151,17 @@ def test_three_hundred_good_labels_suffice_and_little_is_lost(spark):
     assert sum(lost.values()) <= 0.02 * sum(total.values())
 
 
+@pytest.mark.parametrize("over", [True, False])
+def test_grid_index(spark, over):
+    for own in quality.RULES:
+        rule = quality.Rule(own.name, "v", over, own.grid if over else own.grid[::-1])
+        values = {x + d for x in rule.grid for d in (0.0, 1e-9, -1e-9, 0.004)} | {-5.0, 0.0, 1e12}
+        rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", quality._grid_index(rule).alias("step"))
+        for r in rows.collect():
+            hit = [i for i, g in enumerate(rule.grid) if (r.v > g if over else r.v < g)]
+            assert r.step == (hit[0] if hit else len(rule.grid))
+
+
 def _corpus(n=14_000):
     rng = random.Random(5)
     rows, labels = [], []

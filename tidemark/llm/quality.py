@@ -151,10 +151,20 @@ def safe_cutoff(rejected: list[int], n: int, risk: float, error: float) -> int |
 
 
 def _grid_index(rule: Rule) -> Column:
-    """The first grid step that rejects the row; the grid's length if none does."""
+    """The first grid step that rejects the row; the grid's length if none does.
+
+    The grid is even but for rounding: its arithmetic tells the step to within two, which are compared.
+    """
+    n, first = len(rule.grid), rule.grid[0]
     grid = F.array(*[F.lit(float(x)) for x in rule.grid])
     value = F.expr(rule.value).cast("double")
-    return F.size(F.filter(grid, lambda g: value <= g if rule.over else value >= g))
+    place = (value - F.lit(first)) / F.lit((rule.grid[-1] - first) / (n - 1))
+    near = F.floor(F.greatest(F.lit(0.0), F.least(F.lit(float(n)), place))).cast("int")
+    step = near
+    for i in range(2):
+        cutoff = F.get(grid, near + i)
+        step = step + F.coalesce(value <= cutoff if rule.over else value >= cutoff, F.lit(False)).cast("int")
+    return step
 
 
 def _by_rule(rows: DataFrame, *keep: str) -> DataFrame:
