@@ -22,14 +22,16 @@ _LITERAL_TEXT = r"(?m)^(-?\d.*|true|false|\{.*|\[.*)$"
 _FLAGGED = "(env IS NULL OR env._flagged IS NOT NULL)"
 # The parser stops after the first value. Texts that may hold more behind it: something other
 # than a comma or bracket after a brace, objects side by side, an end that is no brace, or braces
-# that do not match.
-_MORE_AFTER = r"\}\s*[^\s,\]\}]|\}\s*,\s*\{|[^\s\}]\s*$"
+# that do not match. The first pattern is tried at braces only, the second where the end is no brace.
+_MORE_AFTER = r"\}\s*+([^\s,\]\}]|,\s*+\{)"
+_OTHER_END = r"[^\s\}]\s*$"
 
 
 def _trailing(column: str) -> str:
     """Whether anything follows the first JSON value; only suspects are parsed once more."""
     braces = " <> ".join(f"length(replace({column}, '{b}', ''))" for b in "{}")
-    suspect = f"({column} RLIKE r'{_MORE_AFTER}' OR {braces})"
+    end = f"(NOT endswith({column}, '}}') AND {column} RLIKE r'{_OTHER_END}')"
+    suspect = f"({column} RLIKE r'{_MORE_AFTER}' OR {end} OR {braces})"
     alone = f"size(from_json(concat('[', {column}, ']'), 'array<string>')) = 1"
     return f"coalesce({suspect} AND NOT coalesce({alone}, false), false)"
 
@@ -81,9 +83,10 @@ def decode(df: DataFrame, column: str = "raw_envelope", schema: str = ENVELOPE)
         'review_count', {_mistyped('review_count')},
         'categories', {_untyped_categories()})"""
     parsed = computed_once(df, "env", parse).selectExpr("*", f"{reparse} AS _doc")
-    return parsed.selectExpr(
-        "*", f"{check} AS env_check", f"{to_utc('env.observed_at')} AS observed_at"
-    ).drop("_doc")
+    # The look for trailing text reads the column alone: a filter on the outcome would take it below the first
+    # parse, to whatever the column is computed from, and compute that once for every mention.
+    checked = computed_once(parsed, "env_check", check)
+    return checked.selectExpr("*", f"{to_utc('env.observed_at')} AS observed_at").drop("_doc")
 
 
 def split_parsed(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
