@@ -96,6 +96,13 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes(normalize(explode_listings(recipe.pages(spark, sf_dir))))
 
 
+def _stored(spark: SparkSession, label: str, rows: DataFrame) -> DataFrame:
+    """Rows that several results share, written once and read back."""
+    path = f"{workspace(spark, label)}/rows"
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _joined(column: str) -> str:
     return f"array_join({column}, '|') AS {column.rpartition('.')[2]}"
 
@@ -196,8 +203,9 @@ def failure_summary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def valid_invalid_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed, unparsed = split_parsed(decode(recipe.bronze(spark, sf_dir)))
-    valid, invalid = split_valid(annotate_failures(parsed))
+    checked = annotate_failures(decode(recipe.bronze(spark, sf_dir))).select("env_check", "failure_codes")
+    parsed, unparsed = split_parsed(_stored(spark, "split", checked))
+    valid, invalid = split_valid(parsed)
     return reports.table_counts({"valid": valid, "invalid": invalid, "unparsed": unparsed})
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pytest
+
+from checks import queries
 from tests.helpers import bronze, envelope
 from tidemark import recipe
 from tidemark.operators.decode import decode, split_parsed
@@ -35,3 +38,8 @@ def test_trailing_text_is_told_as_before(spark):
 
 def test_events_are_dealt_out(spark, tmp_path):
     assert "Rebalance" in plan(recipe.events(spark, write_events(spark, tmp_path)))
+
+
+@pytest.mark.parametrize("name", ["valid_invalid_split"])
+def test_results_of_one_table_share_one_decode(spark, tmp_path, name):
+    assert "from_json" not in plan(queries.registry()[name](spark, write_events(spark, tmp_path)))
