@@ -250,9 +250,12 @@ def dlq_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dlq_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed, unparsed = split_parsed(decode(recipe.bronze(spark, sf_dir)))
-    _, broken = split_valid(annotate_failures(parsed))
-    return _dlq_view(union_failures(broken, unparsed))
+    bronze = recipe.bronze(spark, sf_dir)
+    checked = annotate_failures(decode(bronze)).select(*bronze.columns, "env_check", "failure_codes")
+    failing = checked.filter("NOT env_check.parsed OR size(failure_codes) > 0")
+    parsed, unparsed = split_parsed(_stored(spark, "dlq-union", failing))
+    _, broken = split_valid(parsed)
+    return _dlq_view(union_failures(broken, unparsed.drop("failure_codes")))
 
 
 @query
