@@ -33,7 +33,13 @@ from tidemark.operators.quarantine import (
     split_classified,
     union_failures,
 )
-from tidemark.operators.silver import dedup_latest, latest_observations, to_silver, with_day
+from tidemark.operators.silver import (
+    dedup_latest,
+    latest_delivery,
+    latest_observations,
+    to_silver,
+    with_day,
+)
 from tidemark.operators.validate import (
     annotate_failures,
     failure_details,
@@ -48,7 +54,7 @@ from tidemark.session import workspace
 from tidemark.sources.files import write_jsonl, write_jsonl_by_topic
 from tidemark.sources.pages import explode_listings, failed_pages
 from tidemark.streaming.bronze import land_batch, land_files
-from tidemark.streaming.silver import process_batch, rebuild, silver_job
+from tidemark.streaming.silver import flattened, process_batch, rebuild, silver_job
 from tidemark.tables.bootstrap import bootstrap, location, sync_partitions
 from tidemark.tables.notes import DayNotes
 from tidemark.tables.parquet import ParquetTable
@@ -403,12 +409,15 @@ def gold_empty_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = recipe.bronze(spark, sf_dir)
+    valid, dlq = split_classified(_stored(spark, "counts-rows", flattened(bronze)))
+    silver = _stored(spark, "counts-silver", with_day(latest_delivery(valid)))
     return reports.table_counts({
-        "bronze.business_events_raw": recipe.bronze(spark, sf_dir),
-        "silver.business_events": _silver(spark, sf_dir),
-        "gold.rating_drift_daily": _drift(spark, sf_dir),
-        "gold.category_trends_daily": _trends(spark, sf_dir),
-        "dlq.business": _dlq(spark, sf_dir),
+        "bronze.business_events_raw": bronze,
+        "silver.business_events": silver,
+        "gold.rating_drift_daily": gold.rating_drift_daily(silver),
+        "gold.category_trends_daily": gold.category_trends_daily(silver),
+        "dlq.business": dlq,
     })
 
 

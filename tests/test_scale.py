@@ -40,6 +40,6 @@ def test_events_are_dealt_out(spark, tmp_path):
     assert "Rebalance" in plan(recipe.events(spark, write_events(spark, tmp_path)))
 
 
-@pytest.mark.parametrize("name", ["valid_invalid_split", "dlq_union"])
+@pytest.mark.parametrize("name", ["valid_invalid_split", "dlq_union", "table_counts"])
 def test_results_of_one_table_share_one_decode(spark, tmp_path, name):
     assert "from_json" not in plan(queries.registry()[name](spark, write_events(spark, tmp_path)))

@@ -53,6 +53,11 @@ class SilverRun:
     batches: list[BatchReport] = field(default_factory=list)
 
 
+def flattened(bronze: DataFrame) -> DataFrame:
+    """Bronze rows decoded and labelled once, with all that silver and quarantine need of them."""
+    return to_silver(classify(bronze), keep=_SHARED)
+
+
 def process_batch(
     bronze: DataFrame,
     silver: Table,
@@ -67,7 +72,7 @@ def process_batch(
     writes repeats the batch, which neither table notices.
     """
     seen, counted = Observation(), [F.expr(f"count_if({test})").alias(name) for name, test in _COUNTED.items()]
-    rows = to_silver(classify(bronze), keep=_SHARED).observe(seen, *counted).persist()
+    rows = flattened(bronze).observe(seen, *counted).persist()
     try:
         valid, quarantined = split_classified(rows)
         # The first write fills the cache and with it the counts; without valid rows it writes nothing.
