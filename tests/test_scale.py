@@ -8,6 +8,9 @@ from checks import queries
 from tests.helpers import bronze, envelope
 from tidemark import recipe
 from tidemark.operators.decode import decode, split_parsed
+from tidemark.streaming import silver as stream
+from tidemark.tables.parquet import ParquetTable
+from tidemark.schemas import BRONZE, DLQ, SILVER
 
 TEXTS = [envelope("e1"), envelope("e2", rating=9.9), envelope("e3") + "\f", envelope("e4") + "{}", envelope("e5") + " x",
          envelope("e6") + " ", "not json", " ", None]
@@ -43,3 +46,15 @@ def test_events_are_dealt_out(spark, tmp_path):
 @pytest.mark.parametrize("name", ["valid_invalid_split", "dlq_union", "table_counts"])
 def test_results_of_one_table_share_one_decode(spark, tmp_path, name):
     assert "from_json" not in plan(queries.registry()[name](spark, write_events(spark, tmp_path)))
+
+
+def test_a_batch_of_few_files_is_dealt_out(spark, tmp_path, monkeypatch):
+    bronze(spark, TEXTS[:3]).selectExpr("*", "date'2024-01-29' AS ingest_day", "'q-0' AS batch").select(
+        *BRONZE.column_names).write.partitionBy(*BRONZE.partition_by).parquet(f"{tmp_path}/bronze")
+    plans = []
+    real = stream.process_batch
+    monkeypatch.setattr(stream, "process_batch", lambda batch, *a: (plans.append(plan(batch)), real(batch, *a))[1])
+    silver, dlq = ParquetTable(spark, f"{tmp_path}/silver", SILVER), ParquetTable(spark, f"{tmp_path}/dlq", DLQ)
+    stream.silver_job(spark, f"{tmp_path}/bronze", silver, dlq, f"{tmp_path}/cp", max_files=1)
+    assert plans and all("Rebalance" in p for p in plans)
+    assert {r["event_id"] for r in silver.read().collect()} == {"e1", "e3"}

@@ -108,8 +108,9 @@ def silver_job(
     result = SilverRun()
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        # A batch of few files is as few tasks: it is dealt out evenly before it is decoded.
         result.batches.append(
-            process_batch(batch, silver, dlq, batch_id, keys_keep_partition, notes)
+            process_batch(batch.hint("rebalance"), silver, dlq, batch_id, keys_keep_partition, notes)
         )
 
     query = (
