@@ -187,3 +187,35 @@ def test_no_key_of_a_hot_anchor_gathers_a_stretch_per_occurrence():
         for k in key[first].tolist():
             sent[k] = sent.get(k, 0) + 1
     assert max(sent.values()) <= bwt_dedup.HOT
+
+
+def test_rounds_look_at_places_without_a_boundary(monkeypatch):
+    rng = np.random.default_rng(3)
+    passage = rng.integers(1, 5, 300)
+    text = np.concatenate([x for _ in range(40) for x in (rng.integers(1, 5, 300), passage, [0])]).astype(np.uint16)
+    order = bwt_dedup.suffix_array(text, 50)
+    seen, real = [], np.cumsum
+    monkeypatch.setattr(bwt_dedup.np, "cumsum", lambda a, *rest, **more: (seen.append(len(a)), real(a, *rest, **more))[1])
+    got = bwt_dedup.common_prefixes(text, order, 50)
+    monkeypatch.undo()
+    assert sum(seen) < 40 * len(text)  # 49 rounds over all places before
+    padded = np.concatenate([text, np.zeros(50, np.uint16)])
+    windows = np.lib.stride_tricks.sliding_window_view(padded, 50)[order]
+    differ = (windows[1:] != windows[:-1]) | ((np.arange(50) + order[1:, None]) >= len(text)) | ((np.arange(50) + order[:-1, None]) >= len(text))
+    assert got[1:].tolist() == np.where(differ.any(axis=1), differ.argmax(axis=1), 50).tolist()
+
+
+def test_a_stretch_alone_under_its_anchor_is_not_sorted(monkeypatch):
+    def cell(*entries):
+        raw = b"".join(t for t, _, _ in entries)
+        docs = np.diff([d for _, d, _ in entries], prepend=0).astype(np.int64)
+        extra = np.array([k for _, _, k in entries], np.uint32).tobytes() + np.array([len(t) for t, _, _ in entries], np.uint32).tobytes()
+        return {"entries": bwt_dedup.zstandard.ZstdCompressor().compress(raw), "docs": docs.tobytes(), "extra": extra}
+
+    shared = bytes(range(60))
+    rows = [cell((b"a" * 55, 1, 7), (shared, 2, 9)), cell((b"a" * 55, 3, 7), (b"x" + shared[:55], 4, 9))]
+    sorted_, real = [], bwt_dedup.removable
+    monkeypatch.setattr(bwt_dedup, "removable", lambda strings, *a: (sorted_.extend(strings), real(strings, *a))[1])
+    got = [x.astype(int).tolist() for x in bwt_dedup._decide(rows, 50)]
+    assert got == [[0] * 6 + [0] * 11, [1] * 6 + [0] + [1] * 6]
+    assert sorted(sorted_) == sorted([shared, b"x" + shared[:55]])

@@ -36,13 +36,22 @@ class Anchors:
             self.several = np.zeros(0, bool)
             self.times = np.zeros(0, np.int64)
             return
-        pieces = np.where(usable, pieces, _MOST)
-        self.of = _slid(pieces, span, np.minimum)
+        n, self.of, found = len(inside), np.zeros(len(inside), np.uint64), []
         pad = np.zeros(span - 1, np.uint64)
-        shown = np.concatenate([pad, np.where(inside, self.of, np.uint64(0)), pad])
-        # A piece is an anchor if it is the smallest of some window it is in.
-        found = pieces[(pieces == _slid(shown, span, np.maximum)) & usable]
-        self.values, self.times = np.unique(found, return_counts=True)
+        # In blocks that stay in the cache.
+        for a in range(0, n, tx.BLOCK):
+            some = slice(a, min(a + tx.BLOCK, n) + span - 1)
+            self.of[a : a + tx.BLOCK] = _slid(np.where(usable[some], pieces[some], _MOST), span, np.minimum)
+        for a in range(0, n + span - 1, tx.BLOCK):
+            some = slice(a, min(a + tx.BLOCK, n + span - 1))
+            # The windows that a piece of the block is in: they begin up to span - 1 places in front of it.
+            low, high = a - span + 1, some.stop
+            shown = np.where(inside[max(low, 0) : high], self.of[max(low, 0) : high], np.uint64(0))
+            shown = np.concatenate([pad[: max(-low, 0)], shown, pad[: max(high - n, 0)]])
+            # A piece is an anchor if it is the smallest of some window it is in.
+            here = pieces[some]
+            found.append(here[(here == _slid(shown, span, np.maximum)) & usable[some]])
+        self.values, self.times = np.unique(np.concatenate(found), return_counts=True)
         # Of two or more pieces in this chunk: repeated, whatever the other chunks hold.
         self.several = self.times > 1
 
@@ -74,15 +83,16 @@ class Anchors:
         two = np.full(len(self.values), 2, np.int64)
         bits, start = ck.read_answers(answers, ck.bucket_of(tx.mix(self.values), buckets), buckets, two)
         hot = bits[start + 1]
-        flags = self._windows(bits[start] | self.several)
-        return flags, self._windows(hot) if hot.any() else np.zeros(len(self.inside), bool)
+        # Both at a time, so that the anchors are looked up once: one bit each.
+        flags = self._windows((bits[start] | self.several) + hot * np.uint8(2))
+        return (flags & 1).astype(bool), flags > 1
 
     def _windows(self, known: np.ndarray) -> np.ndarray:
         """What is known of the anchors, for each window."""
         change = np.flatnonzero(np.concatenate([[True], self.of[1:] != self.of[:-1]]))
         at = np.minimum(np.searchsorted(self.values, self.of[change]), len(self.values) - 1)
-        flags = known[at] & (self.values[at] == self.of[change])
-        return np.repeat(flags, np.diff(np.append(change, len(self.of)))) & self.inside
+        flags = known[at] * (self.values[at] == self.of[change])
+        return np.repeat(flags, np.diff(np.append(change, len(self.of)))) * self.inside
 
 
 def in_several_chunks(rows: list[dict]) -> list[np.ndarray]:

@@ -6,8 +6,8 @@ copies of a string meet in one bucket, and a stretch that occurs often counts on
 occurs more than ``HOT`` times anywhere may bring a new stretch each time, so its strings are sent one by
 one, by a hash of the whole string, each once a chunk: no key gathers more than ``HOT`` stretches, or one
 string a chunk. A bucket
-sorts the suffixes of its distinct stretches and derives their longest common prefixes from the
-transform, by increasing value: a boundary of value ``v`` between two suffixes, carried one byte
+sorts the suffixes of its distinct stretches, those without another of their anchor left out, and derives their longest
+common prefixes from the transform, by increasing value: a boundary of value ``v`` between two suffixes, carried one byte
 backward wherever both sides have that byte, is a boundary of value ``v + 1``. The search is breadth
 first and stops at ``length``; what has no boundary then are intervals of suffixes with that long a
 common prefix. In each interval the smallest doc_id keeps its copy.
@@ -88,7 +88,8 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     of the transform, of the suffixes at ``low`` and ``high``. Their value is one more than the smallest between
     those, so it is found in the round after the first boundary there was: breadth first, by value. Where ``low``
     and ``high`` are neighbours, as in most places of a repetitive text, there is one boundary to wait for, and the place is
-    kept in its list; the others are looked at in every round.
+    kept in its list; the others are looked at in every round. No range that is still looked at holds a boundary, so
+    places that have one are left out of the count whenever only half of the places are without.
     """
     n = len(text)
     value = np.full(n, most, np.int16)
@@ -97,32 +98,48 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     place = np.zeros(n + 1, np.int32)
     place[order] = np.arange(n, dtype=np.int32)
     place[n] = -1  # the empty suffix comes before all
-    first_same = text[order[:-1]] == text[order[1:]]
+    symbol, after = text[order], place[order + 1]
+    first_same = symbol[:-1] == symbol[1:]
     new = np.concatenate([[0], np.flatnonzero(~first_same) + 1])
     value[new] = 0
     open_ = np.flatnonzero(first_same) + 1
-    i, j = place[order[open_ - 1] + 1], place[order[open_] + 1]
+    i, j = after[open_ - 1], after[open_]
     low, high = np.minimum(i, j), np.maximum(i, j)
     single = high - low == 1
     waits = high[single]
-    waiting = open_[single][np.argsort(waits, kind="stable")]
+    waiting = open_[single][np.argsort(waits)]
     until = np.zeros(n + 1, np.int64)
     np.cumsum(np.bincount(waits, minlength=n), out=until[1:])
-    open_, low, high = open_[~single], low[~single] + 1, high[~single] + 1
+    open_, low, high = open_[~single], low[~single].astype(np.int64) + 1, high[~single].astype(np.int64) + 1
+    number, left = np.arange(n, dtype=np.int32), n  # of a place among those that had no boundary at the last look; how many have none
     marked, passed = np.zeros(n + 1, bool), np.zeros(n + 1, np.int32)
     for level in range(1, most):
         begin, count = until[new], until[new + 1] - until[new]
         told = waiting[_ranges(begin, count)]
-        marked[:] = False
-        marked[new + 1] = True
-        np.cumsum(marked, dtype=np.int32, out=passed)
-        found = passed[high] != passed[low]
-        new = np.concatenate([told, open_[found]])
+        if len(open_):
+            marked[:] = False
+            marked[number[new] + 1] = True
+            np.cumsum(marked, dtype=np.int32, out=passed)
+            found = passed[high] != passed[low]
+            left -= len(new)
+            new = np.concatenate([told, open_[found]])
+            if found.any():
+                some = np.flatnonzero(~found)
+                open_, low, high = open_[some], low[some], high[some]
+        else:
+            new = told
         if not len(new):
             break
+        if 2 * left <= len(marked):
+            # The boundaries of this round are still to be counted: they get their value below.
+            without = value == most
+            before = np.zeros(len(marked), np.int32)
+            np.cumsum(without[number >= 0], dtype=np.int32, out=before[1:])
+            low, high = before[low].astype(np.int64), before[high].astype(np.int64)
+            number = np.where(without, np.cumsum(without, dtype=np.int32) - 1, -1).astype(np.int32)
+            left = int(before[-1])
+            marked, passed = np.zeros(left + 1, bool), np.zeros(left + 1, np.int32)
         value[new] = level
-        if found.any():
-            open_, low, high = open_[~found], low[~found], high[~found]
     return value
 
 
@@ -137,14 +154,15 @@ def removable(strings: list[bytes], docs: np.ndarray, length: int) -> list[np.nd
     order = suffix_array(text, length)
     value = common_prefixes(text, order, length)
     interval = np.cumsum(value < length) - 1
-    doc = docs[owner[order]]
     # Windows that run into an end never count, so an interval's smallest doc is one of usable windows.
-    doc_of_usable = np.where(usable[order], doc, np.iinfo(np.int64).max)
-    least = np.full(interval[-1] + 1, np.iinfo(np.int64).max)
-    np.minimum.at(least, interval, doc_of_usable)
+    whole = usable[order]
+    order, interval = order[whole], interval[whole]
+    doc = docs[owner[order]]
+    least = np.full(len(text), np.iinfo(np.int64).max)
+    np.minimum.at(least, interval, doc)
     gone = np.zeros(len(text), bool)
-    gone[order] = usable[order] & (doc > least[interval])
-    return [gone[a : a + s - length + 1] for a, s in zip(starts, sizes, strict=True)]
+    gone[order] = doc > least[interval]
+    return [gone[a:b] for a, b in zip(starts.tolist(), (starts + sizes - length + 1).tolist(), strict=True)]
 
 
 class _Stretches:
@@ -185,14 +203,15 @@ class _Stretches:
             at = start[single]
             key[single] = tx.mix(tx.mix(self.hashes[at]) ^ self.hashes[at + self.last])
             same[single] = single[self._first_equal(at, key[single])]
-        raw, seen, texts = self.chunk.data.tobytes(), {}, {}
-        for i in np.flatnonzero(~hot[start]).tolist():
-            text = raw[start[i] : start[i] + count[i] + self.length - 1]
-            same[i] = first = seen.setdefault(text, i)
-            if first == i:
-                texts[i] = text
-        for i in single[same[single] == single].tolist():
-            texts[i] = raw[start[i] : start[i] + self.length]
+        raw, seen = self.chunk.data.tobytes(), {}
+        others, stop = np.flatnonzero(~hot[start]), start + count + self.length - 1
+        same[others] = [
+            seen.setdefault(raw[a:b], i)
+            for i, a, b in zip(others.tolist(), start[others].tolist(), stop[others].tolist(), strict=True)
+        ]
+        texts = {i: text for text, i in seen.items()}
+        once = single[same[single] == single]
+        texts.update((i, raw[a : a + self.length]) for i, a in zip(once.tolist(), start[once].tolist(), strict=True))
         return start, count, key, same, texts
 
     def _first_equal(self, at: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -218,12 +237,12 @@ def _stretch_cells(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
         start, count, key, same, texts = _Stretches(chunk, length).stretches(chunk.answers[0], buckets)
         first = np.flatnonzero(same == np.arange(len(same)))
         docs, sizes = chunk.order_ids[chunk.doc(start[first])], count[first] + length - 1
-        part = (tx.mix(key[first]) % np.uint64(PARTS)).astype(np.uint8)
+        short = (tx.mix(key[first]) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
         def rows(i: np.ndarray) -> tuple:
             steps = np.diff(docs[i], prepend=np.int64(0))
-            joined = b"".join([texts[first[k]] for k in i])
-            parts = (part[i].tobytes(), sizes[i].astype(np.uint32).tobytes())
+            joined = b"".join([texts[k] for k in first[i].tolist()])
+            parts = (short[i].tobytes(), sizes[i].astype(np.uint32).tobytes())
             return squeeze(joined), steps.tobytes(), b"".join(parts)
 
         bucket = ck.bucket_of(tx.mix(key[first]), buckets)
@@ -239,33 +258,43 @@ def _stretch_cells(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
 
 
 def _decide(rows: list[dict], length: int) -> list[np.ndarray]:
-    """For a bucket of cells: one bit per window of each stretch, whether a smaller doc has it. Places come back as they are."""
+    """For a bucket of cells: one bit per window of each stretch, whether a smaller doc has it. Places come back as they are.
+
+    Equal windows have the same key, so a text that is the only one of its key shares none with another text.
+    """
     if rows[0]["docs"] is None:
         return [np.unpackbits(np.frombuffer(r["entries"], np.uint8)) for r in rows]
     expand = zstandard.ZstdDecompressor().decompress
-    texts, docs, parts, cuts = [], [], [], [0]
+    numbers: dict[bytes, int] = {}
+    number, docs, keys, cuts = [], [], [], [0]
     for r in rows:
         n = len(r["docs"]) // 8
-        parts.append(np.frombuffer(r["extra"], np.uint8, n))
-        sizes = np.frombuffer(r["extra"], np.uint32, offset=n).astype(np.int64)
+        keys.append(np.frombuffer(r["extra"], np.uint32, n))
+        sizes = np.frombuffer(r["extra"], np.uint32, offset=4 * n).astype(np.int64)
         raw = expand(r["entries"], max_output_size=max(1, int(sizes.sum())))
         ends = np.cumsum(sizes)
-        texts += [raw[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+        number += [
+            numbers.setdefault(raw[a:b], len(numbers)) for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)
+        ]
         docs.append(np.cumsum(np.frombuffer(r["docs"], np.int64)))
-        cuts.append(len(texts))
-    doc, part = np.concatenate(docs), np.concatenate(parts)
-    bits: list[np.ndarray] = [np.zeros(0, bool)] * len(texts)
-    for p in np.unique(part):
+        cuts.append(len(number))
+    strings, of, doc = list(numbers), np.array(number, np.int64), np.concatenate(docs)
+    least, key = np.full(len(strings), np.iinfo(np.int64).max), np.zeros(len(strings), np.uint32)
+    np.minimum.at(least, of, doc)
+    key[of] = np.concatenate(keys)
+    _, group, times = np.unique(key, return_inverse=True, return_counts=True)
+    part = np.where(times[group] > 1, key % PARTS, PARTS)
+    none, every = (np.full(max(map(len, strings), default=0), x) for x in (False, True))
+    bits = [none[: len(text) - length + 1] for text in strings]
+    for p in range(PARTS):
         at = np.flatnonzero(part == p)
-        numbers: dict[bytes, int] = {}
-        number = np.array([numbers.setdefault(texts[k], len(numbers)) for k in at.tolist()], np.int64)
-        least = np.full(len(numbers), np.iinfo(np.int64).max)
-        np.minimum.at(least, number, doc[at])
-        gone = removable(list(numbers), least, length)
-        later = (doc[at] > least[number]).tolist()
-        for k, x, all_gone in zip(at.tolist(), number.tolist(), later, strict=True):
-            bits[k] = np.ones(len(gone[x]), bool) if all_gone else gone[x]
-    return [np.concatenate([np.zeros(0, bool), *bits[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        if len(at):
+            some = at.tolist()
+            for x, gone in zip(some, removable([strings[x] for x in some], least[at], length), strict=True):
+                bits[x] = gone
+    later = (doc > least[of]).tolist()
+    told = [every[: len(bits[x])] if gone else bits[x] for x, gone in zip(number, later, strict=True)]
+    return [np.concatenate([np.zeros(0, bool), *told[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:

@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
+BLOCK = 1 << 14  # positions taken at a time where eight bytes or more are held for each
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _U = np.uint64
@@ -133,13 +134,20 @@ def range_hash(sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np
 
 
 def sliding_hash(data: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
-    """Hashes of all ranges of ``width`` bytes; equal bytes have equal hashes anywhere."""
+    """Hashes of all ranges of ``width`` bytes; equal bytes have equal hashes anywhere.
+
+    A hash does not depend on where the sums begin, so they are taken over blocks that stay in the cache.
+    """
     if len(data) < width:
         return np.zeros(0, _U)
-    pre, down = prefix_sums(data, seed)
-    x = pre[width:] - pre[: len(data) - width + 1]
-    x *= down[: len(x)]
-    return mix(x)
+    found = np.zeros(len(data) - width + 1, _U)
+    for a in range(0, len(found), BLOCK):
+        block = found[a : a + BLOCK]
+        pre, down = prefix_sums(data[a : a + len(block) + width - 1], seed)
+        np.subtract(pre[width:], pre[: len(block)], out=block)
+        block *= down[: len(block)]
+        block[:] = mix(block)
+    return found
 
 
 def join_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
