@@ -9,6 +9,8 @@ from tests.helpers import bronze, envelope
 from tidemark import recipe
 from tidemark.operators.decode import decode, split_parsed
 from tidemark.streaming import silver as stream
+from tidemark.tables import paths
+from tidemark.tables.kept import kept
 from tidemark.tables.parquet import ParquetTable
 from tidemark.schemas import BRONZE, DLQ, SILVER
 
@@ -58,3 +60,23 @@ def test_a_batch_of_few_files_is_dealt_out(spark, tmp_path, monkeypatch):
     stream.silver_job(spark, f"{tmp_path}/bronze", silver, dlq, f"{tmp_path}/cp", max_files=1)
     assert plans and all("Rebalance" in p for p in plans)
     assert {r["event_id"] for r in silver.read().collect()} == {"e1", "e3"}
+
+
+def test_rows_of_a_batch_are_not_left_in_the_tasks_that_made_them(spark, tmp_path, monkeypatch):
+    plans = []
+    for name in ("upsert", "insert_absent", "_append"):
+        real = getattr(ParquetTable, name)
+        monkeypatch.setattr(ParquetTable, name, lambda self, df, *a, _real=real, **k: (plans.append(plan(df)), _real(self, df, *a, **k))[1])
+    silver, dlq = ParquetTable(spark, f"{tmp_path}/silver", SILVER), ParquetTable(spark, f"{tmp_path}/dlq", DLQ)
+    for _ in range(2):
+        report = stream.process_batch(bronze(spark, TEXTS), silver, dlq)
+        assert (report.valid, report.dlq) == (2, len(TEXTS) - 2)
+    assert len(plans) == 6 and not any("InMemoryRelation" in p or "from_json" in p for p in plans)
+    assert silver.read().count() == 2 and dlq.read().count() == len(TEXTS) - 2
+
+
+def test_kept_rows_go_when_they_were_used(spark):
+    with kept(spark.range(100).repartition(50), "rows") as rows:
+        assert rows.rdd.getNumPartitions() < 50 and rows.count() == 100
+        (path,) = {f.rpartition("/")[0] for f in rows.inputFiles()}
+    assert not paths.exists(spark, path)

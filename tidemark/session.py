@@ -35,6 +35,11 @@ def workspace(spark: SparkSession, label: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/tidemark-{label}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+    if not one_machine(spark):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"tidemark-{label}-")
+
+
+def one_machine(spark: SparkSession) -> bool:
+    """Whether driver and executors share a disk."""
+    return spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"

@@ -11,6 +11,7 @@ from tidemark.operators.quarantine import REASON_PARSE, classify, split_classifi
 from tidemark.operators.silver import DELIVERY, latest_delivery, to_silver, with_day
 from tidemark.sources.files import bronze_stream
 from tidemark.streaming.drain import RunReport, drain
+from tidemark.tables.kept import kept
 from tidemark.tables.merge import MergeTable
 from tidemark.tables.notes import DayNotes
 from tidemark.tables.parquet import ParquetTable, observed
@@ -72,22 +73,19 @@ def process_batch(
     writes repeats the batch, which neither table notices.
     """
     seen, counted = Observation(), [F.expr(f"count_if({test})").alias(name) for name, test in _COUNTED.items()]
-    rows = flattened(bronze).observe(seen, *counted).persist()
-    try:
+    with kept(flattened(bronze).observe(seen, *counted), "batch") as rows:
         valid, quarantined = split_classified(rows)
-        # The first write fills the cache and with it the counts; without valid rows it writes nothing.
         written = silver.upsert(
             with_day(latest_delivery(valid)), keys_keep_partition=keys_keep_partition,
             before=notes and notes.before("silver"),
         )
+        # Known once the rows were kept, by their first use at the latest.
         counts = observed(seen) or rows.agg(*counted).first().asDict()
         if counts["dlq"]:
             # Topic and offset are part of the hashed key, so equal keys have equal ones.
             dlq.insert_absent(quarantined, implied_by_key=("kafka_topic", "kafka_offset"))
         touched = written.touched if written else ()
         return BatchReport(batch_id, counts["valid"], counts["dlq"], counts["unparseable"], touched)
-    finally:
-        rows.unpersist()
 
 
 def silver_job(
