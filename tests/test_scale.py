@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from checks import queries
@@ -80,3 +82,10 @@ def test_kept_rows_go_when_they_were_used(spark):
         assert rows.rdd.getNumPartitions() < 50 and rows.count() == 100
         (path,) = {f.rpartition("/")[0] for f in rows.inputFiles()}
     assert not paths.exists(spark, path)
+
+
+def test_braces_are_told_by_bytes(spark):
+    texts = [envelope("e1", name="\u00e9\u6f22\U0001f600"), envelope("e2", name="\u6f22") + "}", envelope("e3", name="\u00e9") + " }"]
+    decoded = decode(bronze(spark, texts))
+    assert not re.search(r"(?<!_)length\(replace", plan(decoded))
+    assert {r["kafka_offset"] for r in split_parsed(decoded)[0].collect()} == {0}

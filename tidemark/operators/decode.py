@@ -22,14 +22,15 @@ _LITERAL_TEXT = r"(?m)^(-?\d.*|true|false|\{.*|\[.*)$"
 _FLAGGED = "(env IS NULL OR env._flagged IS NOT NULL)"
 # The parser stops after the first value. Texts that may hold more behind it: something other
 # than a comma or bracket after a brace, objects side by side, an end that is no brace, or braces
-# that do not match. The first pattern is tried at braces only, the second where the end is no brace.
+# that do not match (told by bytes: a brace is one, and they need not be counted one by one). The first pattern is tried at
+# braces only, the second where the end is no brace.
 _MORE_AFTER = r"\}\s*+([^\s,\]\}]|,\s*+\{)"
 _OTHER_END = r"[^\s\}]\s*$"
 
 
 def _trailing(column: str) -> str:
     """Whether anything follows the first JSON value; only suspects are parsed once more."""
-    braces = " <> ".join(f"length(replace({column}, '{b}', ''))" for b in "{}")
+    braces = " <> ".join(f"octet_length(replace({column}, '{b}', ''))" for b in "{}")
     end = f"(NOT endswith({column}, '}}') AND {column} RLIKE r'{_OTHER_END}')"
     suspect = f"({column} RLIKE r'{_MORE_AFTER}' OR {end} OR {braces})"
     alone = f"size(from_json(concat('[', {column}, ']'), 'array<string>')) = 1"
